@@ -1,4 +1,4 @@
 """Registered queries over the graph view, and the SQL that gives the same rows."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from . import core, graph, learning  # noqa: F401  each module registers its queries
+from .view import ORACLE_SQL, QUERIES  # noqa: F401
