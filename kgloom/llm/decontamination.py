@@ -22,12 +22,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from .storage import materialize
-from .textops import ALNUM, U, column, ngrams, signed, words
+from .storage import bloom, materialize, passes
+from .textops import ALNUM, column, ngrams, signed, words
 
 SHINGLE = 4
-#: Bits of the Bloom filter: one megabyte, whatever the benchmark's size.
-BLOOM_BITS = 1 << 23
 #: Prefix shingles up to this many are broadcast to the join; beyond it both sides are shuffled.
 BROADCAST_ROWS = 100_000
 
@@ -56,26 +54,12 @@ def _windows(size: int):
     return run
 
 
-def bloom(df: DataFrame, col: str) -> np.ndarray:
-    """The filter's words; what reaches the driver is BLOOM_BITS / 8 bytes at most."""
-    pos = F.pmod(F.col(col), F.lit(BLOOM_BITS))
-    rows = df.select(F.floor(pos / 32).alias("w"), F.expr(f"shiftleft(1L, cast(pmod({col}, 32) as int))").alias("m")).groupBy("w").agg(F.expr("bit_or(m)").alias("m")).collect()
-    bits = np.zeros(BLOOM_BITS // 32, dtype=np.uint32)
-    for w, m in rows:
-        bits[w] = m
-    return bits
-
-
-def _hits(g: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    return (bits[(g & U(BLOOM_BITS - 1)) >> U(5)] >> (g & U(31)).astype(np.uint32) & np.uint32(1)).astype(bool)
-
-
 def _positions(w, sizes: list[int], bits: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(s, word positions, shingles) of s-word shingles inside one row that pass the filter."""
     left = np.repeat(w.bounds[1:], np.diff(w.bounds)) - np.arange(len(w.h))
     for s in sizes:
         g = ngrams(w.h, s)
-        at = np.flatnonzero(_hits(g, bits) & (left[: len(g)] >= s))
+        at = np.flatnonzero(passes(g, bits) & (left[: len(g)] >= s))
         yield s, at, g[at]
 
 

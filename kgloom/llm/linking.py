@@ -22,21 +22,24 @@ from pyspark.sql import DataFrame, functions as F
 
 from .storage import materialize
 
-BLOCK = 512
+BLOCK = 1536
 
 
 def components(edges: DataFrame, tag: str = "cc") -> DataFrame:
     """(id, component) for every id in edges (a, b): the smallest id reachable.
 
-    Each round maps every vertex to the smallest of itself and its neighbours and contracts the edges; the graph shrinks
-    by a factor each round, and rounds are cut by written tables. No edges give no rows; self loops and repeats are
-    harmless.
+    Each round maps every vertex to the smallest of itself and its neighbours, follows that map four steps, so that a chain
+    shrinks to a quarter and a star to a point, and contracts the edges. Rounds are cut by written tables. No edges give no
+    rows; self loops and repeats are harmless.
     """
     edges = materialize(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b").distinct(), tag)
     maps: list[DataFrame] = []
     while not edges.isEmpty():
         both = edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         to = materialize(both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("p")).select("v", F.least("v", "p").alias("p")), tag)
+        for _ in range(2):
+            to = to.join(to.select(F.col("v").alias("p"), F.col("p").alias("q")), "p").select("v", F.col("q").alias("p"))
+        to = materialize(to, tag)
         maps.append(to)
         a, b = to.select(F.col("v").alias("a"), F.col("p").alias("pa")), to.select(F.col("v").alias("b"), F.col("p").alias("pb"))
         edges = materialize(edges.join(a, "a").join(b, "b").where("pa <> pb").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), tag)
@@ -141,6 +144,7 @@ def link_groups(buckets: DataFrame, sketches: DataFrame, payload: Callable[[Data
     heads = buckets.groupBy("key").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "a")
     star = materialize(buckets.join(heads, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct(), tag)
     involved = star.select(F.col("a").alias("id")).unionAll(star.select(F.col("b").alias("id"))).distinct()
+    involved = materialize(involved, tag)
     texts = materialize(payload(involved), tag).select("id", "text")
     sa, sb = sketches.select(F.col("id").alias("a"), F.col("sketch").alias("sa")), sketches.select(F.col("id").alias("b"), F.col("sketch").alias("sb"))
     scored = star.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb").mapInArrow(_score_pairs(score), "a long, b long, score double")

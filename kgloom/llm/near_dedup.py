@@ -2,9 +2,9 @@
 
 A document's set holds its distinct n-word shingles. Each set is hashed once; a hash's high half picks one of K buckets,
 and a bucket keeps its least low half as a 16-bit register: the count of leading zeros and ten mantissa bits. Bands of
-seven registers are the candidate keys. At a Jaccard similarity of 0.85 a pair shares no band with probability
-(1 - 0.85**7)**36 < 1e-6. The share of equal registers, corrected for chance collisions, estimates the similarity; what
-may reach the threshold is verified on the full sets.
+registers are the candidate keys: at a Jaccard similarity of 0.85 a pair of large sets shares no band with probability
+(1 - 0.85**7)**36 < 1e-6, a pair of small sets always shares one. The share of equal registers, corrected for chance
+collisions, estimates the similarity; what may reach the threshold is verified on the full sets.
 
 Defined results: null and empty texts, and texts without words, have an empty set and link with nothing; equal sets are
 collapsed first, so groups of exact copies cost one row each; repeated rows with one id act as one document; rows whose
@@ -20,10 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .linking import link_groups
-from .storage import materialize
+from .storage import likely, materialize
 from .textops import SPACED, U, column, mix, shingle_set, signed, words
 
-K, BAND, MANTISSA = 252, 7, 10
+K, MANTISSA = 252, 10
 #: Chance that two different minima give one register, for sets much larger than K.
 COLLISION = 0.1699 * 2.0**-MANTISSA
 
@@ -116,16 +116,42 @@ def _sketch(shingle: int):
     return run
 
 
-def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        ids = b.column("id").to_numpy()
-        x = _matrix(b.column("sketch")).astype(U)
-        for k in range(0, K, BAND):
-            acc = np.full(len(x), k + 1, dtype=U)
-            for j in range(k, k + BAND):
-                acc = mix(acc ^ x[:, j]) + U(j)
-            full = x[:, k : k + BAND].any(axis=1)
-            yield pa.RecordBatch.from_arrays([signed(acc[full]), pa.array(ids[full])], ["key", "id"])
+def band_width(threshold: float) -> int:
+    """The most registers a band may have for a miss, at the threshold, under one in a hundred thousand."""
+    return next((r for r in (7, 6, 4, 3, 2) if (1 - threshold**r) ** (K // r) < 1e-5), 1)
+
+
+def _bands(threshold: float):
+    """Candidate keys. Large sets use K / band_width bands of full registers. Small sets leave registers empty, so a narrow
+    band would hold one or two shingles and match by chance; they use fewer and wider bands, one more than a linked pair
+    can have differing shingles, so that one band at least is untouched (pigeonhole). The number of bands goes by size
+    class; sizes of a linked pair are in one class or in neighbouring ones, so each set gives keys for two classes."""
+    most, step = K // band_width(threshold), 1 / (threshold - 0.01)
+
+    def bands(label: int) -> int:
+        return min(most, int((1 - threshold) * 2 * step ** (label + 1) / (1 + threshold)) + 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = b.column("id").to_numpy()
+            x = _matrix(b.column("sketch")).astype(U)
+            size = np.floor(np.log(np.maximum(b.column("n_shingles").to_numpy(), 1)) / np.log(step) + 1e-9).astype(np.int64)
+            groups: dict[tuple[int, int], list[np.ndarray]] = {}
+            for label in np.unique(np.concatenate([size, size + 1])).tolist():
+                n = bands(label)
+                groups.setdefault((n, 0 if n == most else label + 1), []).append(np.flatnonzero((size == label) | (size + 1 == label)))
+            for (n, label), rows in groups.items():
+                at = np.unique(np.concatenate(rows))
+                edges = np.arange(n + 1) * K // n
+                for k in range(n):
+                    part = x[at, edges[k] : edges[k + 1]]
+                    acc = np.full(len(at), (label << 20) + k + 1, dtype=U)
+                    for j in range(part.shape[1]):
+                        acc = mix(acc ^ part[:, j]) + U(j)
+                    full = part.any(axis=1)
+                    yield pa.RecordBatch.from_arrays([signed(acc[full]), pa.array(ids[at[full]])], ["key", "id"])
+
+    return run
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -140,9 +166,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         table.where("n_shingles > 0 and id is not null").groupBy("set_a", "set_b", "n_shingles").agg(F.min("id").alias("rep")), "sets"
     )
     reps = sets.select(F.col("rep").alias("id")).distinct()
-    sketches = materialize(table.select("id", "sketch").join(reps, "id", "left_semi").dropDuplicates(["id"]), "reps")
-    buckets = sketches.mapInArrow(_bands, "key long, id long")
-    payload = lambda ids: src.join(ids, "id").dropDuplicates(["id"])
+    sketches = materialize(table.select("id", "n_shingles", "sketch").join(reps, "id", "left_semi").dropDuplicates(["id"]), "reps")
+    buckets = sketches.mapInArrow(_bands(percent / 100), "key long, id long")
+    payload = lambda ids: likely(src, ids).join(ids, "id").dropDuplicates(["id"])
     found, links = link_groups(buckets, sketches, payload, scorer(percent / 100), preparer(shingle), verifier(percent), "near")
     degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
     classes = sets.join(found.withColumnRenamed("id", "rep"), "rep", "left").join(degree, "rep", "left")

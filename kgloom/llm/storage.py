@@ -5,7 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -28,3 +32,39 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     path = new_path(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Bits of a filter: one megabyte, whatever it holds.
+BLOOM_BITS = 1 << 23
+
+
+def bloom(df: DataFrame, col: str) -> np.ndarray:
+    """A Bloom filter, as 32-bit words, of a column of hashes; what reaches the driver is BLOOM_BITS / 8 bytes at most."""
+    pos = F.pmod(F.col(col), F.lit(BLOOM_BITS))
+    rows = df.select(F.floor(pos / 32).alias("w"), F.expr(f"shiftleft(1L, cast(pmod({col}, 32) as int))").alias("m")).groupBy("w").agg(F.expr("bit_or(m)").alias("m")).collect()
+    bits = np.zeros(BLOOM_BITS // 32, dtype=np.uint32)
+    for w, m in rows:
+        bits[w] = m
+    return bits
+
+
+def passes(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which of the hashes (unsigned) the filter lets through."""
+    return (bits[(h & np.uint64(BLOOM_BITS - 1)) >> np.uint64(5)] >> (h & np.uint64(31)).astype(np.uint32) & np.uint32(1)).astype(bool)
+
+
+def likely(df: DataFrame, ids: DataFrame, id_col: str = "id") -> DataFrame:
+    """df less rows whose id is certainly not in ids (id): what a join would drop anyway needn't be shuffled.
+
+    A filter of fixed size goes to the scan; as it fills up, more rows pass, none is lost.
+    """
+    hashed = ids.select(F.xxhash64("id").alias("h"))
+    shared = df.sparkSession.sparkContext.broadcast(bloom(hashed, "h"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h = b.column("__h").to_numpy().view(np.uint64)
+            yield b.drop_columns(["__h"]).filter(pa.array(passes(h, shared.value)))
+
+    schema = df.schema
+    return df.withColumn("__h", F.xxhash64(id_col)).mapInArrow(run, schema)
