@@ -12,7 +12,7 @@ def spark():
     from pyspark.sql import SparkSession
 
     s = (
-        SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "4g").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC")
+        SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "4g").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.showConsoleProgress", "false").config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="kgloom-test-")).config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="spark-")).getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
