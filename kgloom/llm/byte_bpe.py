@@ -1,9 +1,10 @@
 """Byte-level BPE encoding and decoding (operator 7): a segment tree over byte positions.
 
 Each match of the public pattern is encoded by itself. A leaf of the tree stands for a byte position and holds the rank of
-the pair that starts there with the position behind it, so a node's minimum is the leftmost pair of least rank. A merge
-takes the root's pair, joins it with its right neighbour and updates three leaves: the merged one, the one before it and
-the one that vanished; each update climbs one path of the tree. A match of n bytes takes O(n log n) steps, however long.
+the pair that starts there with the position behind it, so a node's minimum is the leftmost pair of least rank; nodes have
+sixteen children. A merge takes the root's pair, joins it with its right neighbour and updates three leaves: the merged one,
+the one before it and the one that vanished; each update climbs one path of the tree. A match of n bytes takes O(n log n)
+steps, however long.
 
 Rows are independent, so there is no shuffle; each task remembers short pieces in a bounded dictionary.
 
@@ -25,6 +26,8 @@ from .textops import column
 from .units import Remembered, pieces
 
 FAR = 1 << 62
+#: Children of a node of the tree.
+WIDTH = 16
 _loaded: dict[str, Codec] = {}
 
 
@@ -32,8 +35,11 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.tokens = {v: k for k, v in ranks.items()}
+        self.names = {v: str(v) for v in self.tokens}
         self.longest = max(map(len, ranks))
+        self.pairs = {k: v << 32 for k, v in ranks.items() if len(k) == 2}
         self.find = regex.compile(pattern).findall
+        self.matches = Remembered(self.match)
         self.first = Remembered(lambda p: self.piece(p))
         self.later = Remembered(lambda p: self.piece(" " + p))
 
@@ -51,57 +57,62 @@ class Codec:
         whole = self.ranks.get(b)
         if whole is not None:
             return [whole]
-        n, get, longest = len(b), self.ranks.get, self.longest
-        size = 1 << (n - 1).bit_length()
-        tree = [FAR] * (2 * size)
-        for i in range(n - 1):
-            r = get(b[i : i + 2])
-            if r is not None:
-                tree[size + i] = r << 32 | i
-        for k in range(size - 1, 0, -1):
-            x, y = tree[2 * k], tree[2 * k + 1]
-            tree[k] = x if x < y else y
+        n, get, longest, pairs = len(b), self.ranks.get, self.longest, self.pairs
+        leaf = [pairs.get(b[i : i + 2], FAR) | i for i in range(n - 1)]
+        leaf.append(FAR)
         after = list(range(1, n + 1))  # start of the next live part
         before = list(range(-1, n - 1))
-
-        def put(i: int, value: int) -> None:
-            k = size + i
-            tree[k] = value
-            while k > 1:
-                k >>= 1
-                x, y = tree[2 * k], tree[2 * k + 1]
-                least = x if x < y else y
-                if tree[k] == least:
-                    return
-                tree[k] = least
-
-        def rank(i: int) -> int:
-            j = after[i]
-            if j >= n or after[j] - i > longest:
-                return FAR
-            r = get(b[i : after[j]])
-            return FAR if r is None else r << 32 | i
-
-        while tree[1] < FAR:
-            i = tree[1] & 0xFFFFFFFF
+        levels = [leaf]
+        while len(levels[-1]) > WIDTH:
+            low = levels[-1]
+            levels.append([min(low[k : k + WIDTH]) for k in range(0, len(low), WIDTH)])
+        top = levels[-1]
+        while (least := min(top)) < FAR:
+            i = least & 0xFFFFFFFF
             j = after[i]
-            after[i] = after[j]
-            if after[j] < n:
-                before[after[j]] = i
-            put(j, FAR)
-            put(i, rank(i))
-            if before[i] >= 0:
-                put(before[i], rank(before[i]))
+            end = after[i] = after[j]
+            # Three leaves change: the part that vanished, the merged one, and the one before it.
+            leaf[j] = leaf[i] = FAR
+            if end < n:
+                before[end] = i
+                r = get(b[i : after[end]])
+                if r is not None:
+                    leaf[i] = r << 32 | i
+            p = before[i]
+            if p >= 0:
+                r = get(b[p:end]) if end - p <= longest else None
+                leaf[p] = FAR if r is None else r << 32 | p
+            if top is not leaf:
+                changed = {i, j, p if p >= 0 else i}
+                for low, high in zip(levels, levels[1:]):
+                    changed = {k // WIDTH for k in changed}
+                    for k in changed:
+                        high[k] = min(low[k * WIDTH : (k + 1) * WIDTH])
         out, i = [], 0
         while i < n:
             out.append(self.ranks[b[i : after[i]]])
             i = after[i]
         return out
 
+    def split(self, p: str) -> list[str]:
+        """The pattern's matches; most pieces are a word, with or without a mark behind it."""
+        word = p[1:] if p[0] == " " else p
+        if word.isalpha():
+            return [p]
+        if len(word) > 1 and word[-1] in ",." and word[:-1].isalpha():
+            return [p[:-1], p[-1]]
+        return self.find(p)
+
+    def match(self, m: str) -> tuple[str, int, bytes]:
+        """Of one match: its ids as text, their number, and the bytes that they decode to."""
+        ids = self.encode_match(m.encode())
+        return " ".join([self.names[i] for i in ids]), len(ids), self.decode(ids)
+
     def piece(self, p: str) -> tuple[str, int, bytes]:
-        """Of one piece: its ids as text, their number, and the bytes that they decode to."""
-        ids = [x for m in self.find(p) for x in self.encode_match(m.encode())]
-        return " ".join(map(str, ids)), len(ids), self.decode(ids)
+        """The same of one piece."""
+        matches = self.matches
+        got = [matches[m] for m in self.split(p)]
+        return got[0] if len(got) == 1 else (" ".join([g[0] for g in got]), sum([g[1] for g in got]), b"".join([g[2] for g in got]))
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join([self.tokens[i] for i in ids])
