@@ -1,10 +1,15 @@
-"""Line dedup (operator 2): SimHash of normalised lines, pigeonhole blocks, edit similarity, one occurrence per group.
+"""Line dedup (operator 2): pigeonhole keys of normalised lines, SimHash, edit similarity, one occurrence per group.
 
 A line is a piece of text between newlines. Its normal form is its words (letters in lower case and digits; punctuation
-and spacing dropped). Lines with fewer than min_words words are left alone. Each distinct normal form gets a 128-bit
-SimHash of its words of four bytes or more (of all its words if it has none), cut into four blocks of 32 bits: forms within three bits of each other share a block for certain, and any two
-that share one are compared. They are linked when 1 - edits / longer length over their words is at least `similarity`;
-links are followed to connected groups, and of each group only the first occurrence, by (id, line number), stays.
+and spacing dropped). Lines with fewer than min_words words are left alone. Distinct forms are linked when 1 - edits /
+longer length over their words is at least `similarity`; links are followed to connected groups, and of each group only
+the first occurrence, by (id, line number), stays.
+
+Candidates are complete: e edits change at most 2e of a form's pairs of neighbouring words, so of the pairs, put into one
+order for all forms (longest first, as long words are rare), two forms within e edits have one among their first 2e + 1 in
+common. Forms that can only be linked to equal ones give no keys. The 128-bit SimHash of a form's words of four bytes or
+more (of all its words if it has none) ranks the candidates of a form; a parity bit for each of 128 classes of words rules
+out those that differ in more than 2e of them.
 
 Defined results: null texts stay null; empty texts have no line to remove; repeated rows with one id keep the same lines;
 rows with a null id pass unchanged and neither keep nor remove anything; extra columns pass through; if the input has an
@@ -23,6 +28,9 @@ from .linking import link_groups
 from .storage import likely, materialize
 from .textops import ALNUM, LOWER, U, column, mix, signed, words
 
+#: Bits of a key's order: length, then hash; above them stands the line's number in its run.
+LENGTH_BITS, HASH_BITS, LINE_BITS = 6, 40, 18
+
 #: The four bits of a nibble as 16-bit lanes of one word.
 LANES = np.array([sum((v >> b & 1) << (16 * b) for b in range(4)) for v in range(16)], dtype=U)
 
@@ -44,7 +52,54 @@ def simhash(h: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return out
 
 
-def _lines(min_words: int):
+def parity(h: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """For each of 128 classes of words whether the run has an odd number of them, as (n, 2) words; an edit flips two bits at most."""
+    x = mix(h ^ U(0xA0761D6478BD642F))
+    bit, high = U(1) << (x & U(63)), (x >> U(6) & U(1)).astype(bool)
+    return np.stack([np.bitwise_xor.reduceat(np.where(high == half, bit, U(0)), cuts) for half in (False, True)], axis=1)
+
+
+def edits_within(sizes: np.ndarray, similarity: float) -> np.ndarray:
+    """The most edits between a line of so many words and any line, which may be longer, that it can be linked to."""
+    return ((1 - similarity) * np.floor(sizes / similarity + 1e-6) + 1e-9).astype(np.int64)
+
+
+def line_keys(h: np.ndarray, size: np.ndarray, cuts: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, how many of each run) of runs of word hashes h, of `size` bytes each, that begin at cuts.
+
+    The keys are the first k * e + 1 runs of k words, numbered among equal ones. Below a similarity of 0.75 edits may touch
+    all pairs of words, so there k is 1.
+    """
+    k = 2 if similarity >= 0.75 else 1
+    n = np.diff(np.append(cuts, len(h)))
+    most = edits_within(n, similarity)
+    grams = np.where(most > 0, np.maximum(n - k + 1, 0), 0)
+    take = np.minimum(k * most + 1, grams)
+    out = []
+    step = 1 << LINE_BITS
+    for lo in range(0, len(cuts), step):
+        count = grams[lo : lo + step]
+        total = int(count.sum())
+        if not total:
+            continue
+        begin = np.cumsum(count) - count
+        line = np.repeat(np.arange(len(count)), count)
+        at = np.repeat(cuts[lo : lo + step] - begin, count) + np.arange(total)
+        g, length = mix(h[at]), size[at]
+        if k == 2:
+            g, length = mix(g ^ h[at + 1]), length + size[at + 1]
+        top = (1 << LENGTH_BITS) - 1
+        order = (top - np.minimum(length, top)).astype(U) << U(HASH_BITS) | g >> U(64 - HASH_BITS)
+        x = np.sort(line.astype(U) << U(LENGTH_BITS + HASH_BITS) | order)
+        first = np.flatnonzero(np.append(True, x[1:] != x[:-1]))
+        nth = np.arange(total) - np.repeat(first, np.diff(np.append(first, total)))
+        keep = np.arange(total) - np.repeat(begin, count) < np.repeat(take[lo : lo + step], count)
+        body = x[keep] & U((1 << LENGTH_BITS + HASH_BITS) - 1)
+        out.append(mix(mix(body) + nth[keep].astype(U) * U(0x9E3779B97F4A7C15)))
+    return np.concatenate(out) if out else np.zeros(0, dtype=U), take
+
+
+def _lines(min_words: int, similarity: float = 0.9):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column("id").to_numpy()
@@ -68,9 +123,14 @@ def _lines(min_words: int):
                 count = np.add.reduceat(used.astype(np.int64), cuts)[long]
                 sim = simhash(w.h[used], np.cumsum(count) - count)
                 at = cuts[long]
+                mine = np.repeat(long, sizes)
+                h, begin = w.h[mine], np.cumsum(sizes[long]) - sizes[long]
+                par = parity(h, begin)
+                keys, many = line_keys(h, (w.ends - w.starts)[mine], begin, similarity)
                 yield pa.RecordBatch.from_arrays(
-                    [signed(mix(key[long])), pa.array(ids[w.row0 + row[at]]), pa.array(line[at].astype(np.int32)), signed(sim[:, 0].copy()), signed(sim[:, 1].copy()), pa.array(sizes[long].astype(np.int32))],
-                    ["id", "doc", "line", "s0", "s1", "n"],
+                    [signed(mix(key[long])), pa.array(ids[w.row0 + row[at]]), pa.array(line[at].astype(np.int32)), signed(sim[:, 0].copy()), signed(sim[:, 1].copy())]
+                    + [signed(par[:, 0].copy()), signed(par[:, 1].copy()), pa.array(sizes[long].astype(np.int32)), pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(many)).astype(np.int32)), signed(keys))],
+                    ["id", "doc", "line", "s0", "s1", "p0", "p1", "n", "keys"],
                 )
 
     return run
@@ -79,18 +139,23 @@ def _lines(min_words: int):
 def _fields(col) -> np.ndarray:
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
-    return col.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(U).reshape(-1, 3)
+    return col.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(U).reshape(-1, 5)
 
 
-def score(a, b, cross: bool) -> tuple[np.ndarray, np.ndarray]:
-    """1 - Hamming distance / 128 of pairs that share a block; -1 for others. The third word is the line's length."""
-    x, y = _fields(a), _fields(b)
-    if cross:
-        x, y = x[:, None, :], y[None, :, :]
-    d = x[..., :2] ^ y[..., :2]
-    share = ((d & U(0xFFFFFFFF)) == 0).any(axis=-1) | ((d >> U(32)) == 0).any(axis=-1)
-    s = np.where(share, 1 - np.bitwise_count(d).sum(axis=-1) / 128, -1.0)
-    return s, np.zeros_like(s)
+def scorer(similarity: float):
+    def score(a, b, cross: bool) -> tuple[np.ndarray, np.ndarray]:
+        """1 - Hamming distance / 128 of SimHashes; -1 where lengths or parities rule a link out."""
+        x, y = _fields(a), _fields(b)
+        if cross:
+            x, y = x[:, None, :], y[None, :, :]
+        m, n = x[..., 4].astype(np.int64), y[..., 4].astype(np.int64)
+        most = ((1 - similarity) * np.maximum(m, n) + 1e-9).astype(np.int64)
+        flips = sum(np.bitwise_count(x[..., c] ^ y[..., c]).astype(np.int64) for c in (2, 3))
+        apart = sum(np.bitwise_count(x[..., c] ^ y[..., c]).astype(np.int64) for c in (0, 1))
+        s = np.where((np.abs(m - n) <= most) & (flips <= 2 * most), 1 - apart / 128, -1.0)
+        return s, np.zeros_like(s)
+
+    return score
 
 
 def prepare(col) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -174,24 +239,43 @@ def _pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(text, pa.string())], ["id", "text"])
 
 
+#: Buckets up to this size are cut into their pairs.
+SMALL = 32
+
+
+def _close(buckets: DataFrame, forms: DataFrame, similarity: float) -> DataFrame:
+    """The buckets, the small ones replaced by their pairs that lengths and parities don't rule out, each a bucket of two."""
+    sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    sized = materialize(buckets.join(sizes, "key"), "buckets")
+    small = materialize(sized.where(F.col("size") <= SMALL).select("key", "id").join(forms.select("id", "p0", "p1", "n"), "id"), "buckets")
+    a, b = (small.select("key", *(F.col(c).alias(f"{side}_{c}") for c in ("id", "p0", "p1", "n"))) for side in "ab")
+    most = F.floor((1 - similarity) * F.greatest("a_n", "b_n") + 1e-9)
+    flips = F.expr("bit_count(a_p0 ^ b_p0) + bit_count(a_p1 ^ b_p1)")
+    pairs = a.join(b, "key").where((F.col("a_id") < F.col("b_id")) & (F.abs(F.col("a_n") - F.col("b_n")) <= most) & (flips <= 2 * most)).select("a_id", "b_id").distinct()
+    twos = pairs.select(F.xxhash64("a_id", "b_id").alias("key"), F.explode(F.array("a_id", "b_id")).alias("id"))
+    return materialize(twos.unionAll(sized.where(F.col("size") > SMALL).select("key", "id")), "buckets")
+
+
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 5, similarity: float = 0.9) -> DataFrame:
     """(doc, removed): for each document that loses lines, the numbers, from 0, of those lines."""
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
-    lines = materialize(src.mapInArrow(_lines(min_words), "id long, doc long, line int, s0 long, s1 long, n int"), "lines")
-    forms = lines.groupBy("id").agg(F.min(F.struct("doc", "line")).alias("first"), F.first("s0").alias("s0"), F.first("s1").alias("s1"), F.first("n").alias("n"))
-    forms = materialize(forms.select("id", "first.doc", "first.line", "s0", "s1", "n"), "forms")
-    block = lambda k, c: F.struct(F.lit(k).alias("k"), c.alias("v"))
-    low = lambda c: F.col(c).bitwiseAND(0xFFFFFFFF)
-    blocks = forms.select("id", F.explode(F.array(block(0, low("s0")), block(1, F.shiftrightunsigned("s0", 32)), block(2, low("s1")), block(3, F.shiftrightunsigned("s1", 32)))).alias("b"))
-    buckets = blocks.select(F.expr("b.k * 4294967296L + b.v").alias("key"), "id")
-    sketches = forms.select("id", F.array("s0", "s1", F.col("n").cast("long")).alias("sketch"))
+    lines = materialize(src.mapInArrow(_lines(min_words, similarity), "id long, doc long, line int, s0 long, s1 long, p0 long, p1 long, n int, keys array<long>"), "lines")
+    sketch = ["s0", "s1", "p0", "p1", "n"]
+    forms = lines.groupBy("id").agg(F.min(F.struct("doc", "line")).alias("first"), *(F.first(c).alias(c) for c in sketch))
+    forms = materialize(forms.select("id", "first.doc", "first.line", *sketch), "forms")
+    # Most keys stand in one line only: they go before anything is shuffled with its line.
+    keys = lines.select("id", F.explode("keys").alias("key"))
+    again = materialize(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("key").alias("id")), "keys")
+    buckets = materialize(likely(keys, again, "key").join(again.withColumnRenamed("id", "key"), "key", "left_semi").distinct(), "buckets")
+    buckets = _close(buckets, forms, similarity)
+    sketches = forms.select("id", F.array(*(F.col(c).cast("long") for c in sketch)).alias("sketch"))
 
     def payload(ids: DataFrame) -> DataFrame:
         refs = materialize(forms.join(ids, "id").groupBy("doc").agg(F.collect_list(F.struct("id", "line")).alias("refs")), "lines")
         some = likely(src, refs.select(F.col("doc").alias("id")))
         return some.dropDuplicates(["id"]).join(refs, F.col("id") == F.col("doc")).select("text", "refs").mapInArrow(_pick, "id long, text string")
 
-    groups, _ = link_groups(buckets, sketches, payload, score, prepare, verifier(similarity), "lines")
+    groups, _ = link_groups(buckets, sketches, payload, scorer(similarity), prepare, verifier(similarity), "lines")
     first = forms.join(groups, "id", "left").groupBy(F.coalesce("component", "id").alias("g")).agg(F.min(F.struct("doc", "line")).alias("f"))
     stay = first.groupBy(F.col("f.doc").alias("doc")).agg(F.collect_list("f.line").alias("stay"))
     every = lines.groupBy("doc").agg(F.collect_set("line").alias("every"))

@@ -191,6 +191,50 @@ def test_line_dedup_matches_brute_force(spark):
     assert gone == brute_lines(rows)
 
 
+def every_link(rows, similarity, min_words=5):
+    """Removed lines when all pairs of forms are compared by edit similarity alone."""
+    forms = {}
+    for i, t in rows:
+        for k, line in enumerate(t.split("\n")):
+            w = tuple(re.findall(rb"[0-9a-z\x80-\xff]+", line.encode().lower()))
+            if len(w) >= min_words:
+                forms.setdefault(w, []).append((i, k))
+    keys = list(forms)
+    root = {w: w for w in keys}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, x in enumerate(keys):
+        for y in keys[:a]:
+            most = int((1 - similarity) * max(len(x), len(y)) + 1e-9)
+            if abs(len(x) - len(y)) <= most and sum((collections.Counter(x) & collections.Counter(y)).values()) >= max(len(x), len(y)) - most and edit(x, y) <= most:
+                root[find(x)] = find(y)
+    groups = collections.defaultdict(list)
+    for w in keys:
+        groups[find(w)] += forms[w]
+    return {p for g in groups.values() for p in g if p != min(g)}
+
+
+@pytest.mark.parametrize("similarity", [0.9, 0.8, 0.6])
+def test_line_dedup_finds_every_similar_pair(spark, similarity):
+    rng = random.Random(17)
+    vocab = [f"w{i}" for i in range(40)] + [f"longerword{i}" for i in range(200)] + ["a"] * 20
+    rows = []
+    for i in range(120):
+        w = rng.choices(vocab, k=rng.randrange(5, 70))
+        other = list(w)
+        for _ in range(max(1, int((1 - similarity) * len(w)) + rng.choice([-1, 0, 0, 1]))):
+            at, kind = rng.randrange(len(other)), rng.randrange(3)
+            other[at : at + (kind != 0)] = [rng.choice(vocab)] if kind != 2 else []
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(other))]
+    gone = {(r.doc, k) for r in line_dedup.removed_lines(spark.createDataFrame(rows, "doc_id long, text string"), similarity=similarity).collect() for k in r.removed}
+    want = every_link(rows, similarity)
+    assert gone == want and len(want) > 40
+
+
 def test_line_dedup_edges(spark):
     df = awkward(spark)
     out = line_dedup.dedup_lines(df)
