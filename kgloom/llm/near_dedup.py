@@ -3,7 +3,8 @@
 A document's set holds its distinct n-word shingles. Each set is hashed once; a hash's high half picks one of K buckets,
 and a bucket keeps its least low half as a 16-bit register: the count of leading zeros and ten mantissa bits. Bands of
 registers are the candidate keys: at a Jaccard similarity of 0.85 a pair of large sets shares no band with probability
-(1 - 0.85**7)**36 < 1e-6, a pair of small sets always shares one. The share of equal registers, corrected for chance
+(1 - 0.85**7)**36 < 1e-6. Small sets give their least n - ceil(t * n) + 1 hashes as keys, of which a pair at the threshold
+always shares one. The share of equal registers, corrected for chance
 collisions, estimates the similarity; what may reach the threshold is verified on the full sets.
 
 Defined results: null and empty texts, and texts without words, have an empty set and link with nothing; equal sets are
@@ -96,21 +97,25 @@ def verifier(percent: int):
     return same
 
 
-def _sketch(shingle: int):
+def _sketch(shingle: int, percent: int):
+    classes = Classes(percent / 100)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column("id")
             for w in words(column(b, "text"), SPACED):
-                size, one, two, sk = [], [], [], []
+                size, one, two, sk, low = [], [], [], [], []
                 for i in range(w.n):
                     s = shingle_set(w.h[w.bounds[i] : w.bounds[i + 1]], shingle)
                     size.append(len(s))
                     one.append(s.sum(dtype=U))
                     two.append(mix(s ^ U(0x5851F42D4C957F2D)).sum(dtype=U))
                     sk.append(registers(s).tobytes())
+                    # Of A's n hashes ceil(t * n) at least are in any B linked to it, so the least of those both have is here.
+                    low.append(s[: len(s) + percent * len(s) // -100 + 1].view(np.int64) if classes.small(len(s)) else [])
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(w.row0, w.n), pa.array(size, pa.int64()), signed(np.array(one, dtype=U)), signed(np.array(two, dtype=U)), pa.array(sk, pa.binary())],
-                    ["id", "n_shingles", "set_a", "set_b", "sketch"],
+                    [ids.slice(w.row0, w.n), pa.array(size, pa.int64()), signed(np.array(one, dtype=U)), signed(np.array(two, dtype=U)), pa.array(sk, pa.binary()), pa.array(low, pa.list_(pa.int64()))],
+                    ["id", "n_shingles", "set_a", "set_b", "sketch", "low"],
                 )
 
     return run
@@ -121,35 +126,44 @@ def band_width(threshold: float) -> int:
     return next((r for r in (7, 6, 4, 3, 2) if (1 - threshold**r) ** (K // r) < 1e-5), 1)
 
 
-def _bands(threshold: float):
-    """Candidate keys. Large sets use K / band_width bands of full registers. Small sets leave registers empty, so a narrow
-    band would hold one or two shingles and match by chance; they use fewer and wider bands, one more than a linked pair
-    can have differing shingles, so that one band at least is untouched (pigeonhole). The number of bands goes by size
-    class; sizes of a linked pair are in one class or in neighbouring ones, so each set gives keys for two classes."""
-    most, step = K // band_width(threshold), 1 / (threshold - 0.01)
+class Classes:
+    """Size classes: sizes of a linked pair are in one class or in neighbouring ones. From the class `first` on a pair at the
+    threshold can have as many differing shingles as there are bands."""
+
+    def __init__(self, threshold: float):
+        self.bands, self.step = K // band_width(threshold), 1 / (threshold - 0.01)
+        self.first = next(c for c in range(10_000) if int((1 - threshold) * 2 * self.step ** (c + 1) / (1 + threshold)) + 1 >= self.bands) if threshold < 1 else 0
+
+    def of(self, size) -> np.ndarray:
+        return np.floor(np.log(np.maximum(size, 1)) / np.log(self.step) + 1e-9).astype(np.int64)
 
-    def bands(label: int) -> int:
-        return min(most, int((1 - threshold) * 2 * step ** (label + 1) / (1 + threshold)) + 1)
+    def small(self, size) -> np.ndarray:
+        """Sets that give single hashes as keys: one class more than those that have no bands, for pairs across the border."""
+        return self.of(size) <= self.first
+
+
+def _bands(threshold: float):
+    """Candidate keys: the single hashes of small sets, and K / band_width bands of full registers of sets from the class
+    below `first` on. Registers of small sets are mostly empty, so that a band could hold nothing that a pair shares."""
+    classes = Classes(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column("id").to_numpy()
-            x = _matrix(b.column("sketch")).astype(U)
-            size = np.floor(np.log(np.maximum(b.column("n_shingles").to_numpy(), 1)) / np.log(step) + 1e-9).astype(np.int64)
-            groups: dict[tuple[int, int], list[np.ndarray]] = {}
-            for label in np.unique(np.concatenate([size, size + 1])).tolist():
-                n = bands(label)
-                groups.setdefault((n, 0 if n == most else label + 1), []).append(np.flatnonzero((size == label) | (size + 1 == label)))
-            for (n, label), rows in groups.items():
-                at = np.unique(np.concatenate(rows))
-                edges = np.arange(n + 1) * K // n
-                for k in range(n):
-                    part = x[at, edges[k] : edges[k + 1]]
-                    acc = np.full(len(at), (label << 20) + k + 1, dtype=U)
-                    for j in range(part.shape[1]):
-                        acc = mix(acc ^ part[:, j]) + U(j)
-                    full = part.any(axis=1)
-                    yield pa.RecordBatch.from_arrays([signed(acc[full]), pa.array(ids[at[full]])], ["key", "id"])
+            low = b.column("low")
+            many = np.diff(low.offsets.to_numpy())
+            if many.sum():
+                yield pa.RecordBatch.from_arrays([signed(mix(low.flatten().to_numpy().view(U) ^ U(0x2545F4914F6CDD1D))), pa.array(np.repeat(ids, many))], ["key", "id"])
+            at = np.flatnonzero(classes.of(b.column("n_shingles").to_numpy()) + 1 >= classes.first)
+            x = _matrix(b.column("sketch"))[at].astype(U)
+            edges = np.arange(classes.bands + 1) * K // classes.bands
+            for k in range(classes.bands):
+                part = x[:, edges[k] : edges[k + 1]]
+                acc = np.full(len(at), k + 1, dtype=U)
+                for j in range(part.shape[1]):
+                    acc = mix(acc ^ part[:, j]) + U(j)
+                full = part.any(axis=1)
+                yield pa.RecordBatch.from_arrays([signed(acc[full]), pa.array(ids[at[full]])], ["key", "id"])
 
     return run
 
@@ -161,12 +175,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links between different sets that the search needed, not all that exist.
     """
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    table = materialize(src.mapInArrow(_sketch(shingle), "id long, n_shingles long, set_a long, set_b long, sketch binary"), "sketch")
+    table = materialize(src.mapInArrow(_sketch(shingle, percent), "id long, n_shingles long, set_a long, set_b long, sketch binary, low array<long>"), "sketch")
     sets = materialize(
         table.where("n_shingles > 0 and id is not null").groupBy("set_a", "set_b", "n_shingles").agg(F.min("id").alias("rep")), "sets"
     )
     reps = sets.select(F.col("rep").alias("id")).distinct()
-    sketches = materialize(table.select("id", "n_shingles", "sketch").join(reps, "id", "left_semi").dropDuplicates(["id"]), "reps")
+    sketches = materialize(table.select("id", "n_shingles", "sketch", "low").join(reps, "id", "left_semi").dropDuplicates(["id"]), "reps")
     buckets = sketches.mapInArrow(_bands(percent / 100), "key long, id long")
     payload = lambda ids: likely(src, ids).join(ids, "id").dropDuplicates(["id"])
     found, links = link_groups(buckets, sketches, payload, scorer(percent / 100), preparer(shingle), verifier(percent), "near")

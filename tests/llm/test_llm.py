@@ -316,6 +316,29 @@ def test_near_edges(spark):
     assert near_dedup.near_duplicates(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_small_linked_sets_share_a_key(percent):
+    import pyarrow as pa
+
+    rng = random.Random(percent)
+    texts = []
+    for _ in range(6000):
+        w = [f"w{rng.randrange(10**9)}" for _ in range(rng.randrange(5, 43))]
+        texts += [" ".join(w), " ".join([*w, *(f"x{rng.randrange(10**9)}" for _ in range(max(1, len(w) * (100 - percent) // 200)))])]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["id", "text"])
+    keys = collections.defaultdict(set)
+    for b in near_dedup._bands(percent / 100)(near_dedup._sketch(3, percent)([batch])):
+        for k, i in zip(b["key"].to_pylist(), b["id"].to_pylist()):
+            keys[i].add(k)
+    linked = 0
+    for i in range(0, len(texts), 2):
+        x, y = shingles(texts[i], 3), shingles(texts[i + 1], 3)
+        if 100 * len(x & y) >= percent * len(x | y):
+            linked += 1
+            assert keys[i] & keys[i + 1]
+    assert linked > 1000
+
+
 def test_estimate_corrects_collisions():
     assert near_dedup.estimate(np.array([252.0]), np.array([252.0]))[0] == 1
     assert near_dedup.estimate(np.array([0.0]), np.array([252.0]))[0] == 0
