@@ -1,19 +1,20 @@
 """Line dedup (operator 2): pigeonhole keys of normalised lines, SimHash, edit similarity, one occurrence per group.
 
 A line is a piece of text between newlines. Its normal form is its words (letters in lower case and digits; punctuation
-and spacing dropped). Lines with fewer than min_words words are left alone. Distinct forms are linked when 1 - edits /
-longer length over their words is at least `similarity`; links are followed to connected groups, and of each group only
-the first occurrence, by (id, line number), stays.
+and spacing dropped); lines with fewer than min_words words (none, by default) are left alone, lines without words always.
+Distinct forms are linked when 1 - edits / longer length over their words is at least `similarity`; links are followed to
+connected groups, and of each group only the first occurrence, by (id, line number), stays.
 
 Candidates are complete: e edits change at most 2e of a form's pairs of neighbouring words, so of the pairs, put into one
-order for all forms (longest first, as long words are rare), two forms within e edits have one among their first 2e + 1 in
-common. Forms that can only be linked to equal ones give no keys. The 128-bit SimHash of a form's words of four bytes or
-more (of all its words if it has none) ranks the candidates of a form; a parity bit for each of 128 classes of words rules
-out those that differ in more than 2e of them.
-
-Defined results: null texts stay null; empty texts have no line to remove; repeated rows with one id keep the same lines;
-rows with a null id pass unchanged and neither keep nor remove anything; extra columns pass through; if the input has an
-n_chars column it is set to the new length.
+order for all forms (rare words first), two forms within e edits have one among their first 2e + 1 in common: pigeonhole
+blocks over the words themselves. Blocks of SimHash bits alone lose links, as one changed word in ten flips a tenth of the
+bits. The 128-bit SimHash of a form's words ranks the candidates of a form; a parity bit for each of 128 classes of words
+rules out those that differ in more than 2e of them. Forms that can only be linked to equal ones give no keys.
+
+Defined results: null texts stay null; empty texts have no line to remove; ids may be of any type that has an order;
+repeated rows (id and text alike) keep the same lines, rows that share an id but not the text count as documents of their
+own; rows with a null id pass unchanged and neither keep nor remove anything; extra columns pass through; if the input has
+an n_chars column it is set to the new length.
 """
 
 from __future__ import annotations
@@ -24,12 +25,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .linking import link_groups
+from .linking import Likeness, link_groups
 from .storage import likely, materialize
-from .textops import ALNUM, LOWER, U, column, mix, signed, words
+from .textops import ALNUM, LOWER, U, column, levels_of, mix, signed, word_levels, words
 
-#: Bits of a key's order: length, then hash; above them stands the line's number in its run.
-LENGTH_BITS, HASH_BITS, LINE_BITS = 6, 40, 18
+#: Bits of a key's order: level, then hash; above them stands the line's number in its run.
+ORDER_BITS, HASH_BITS, LINE_BITS = 6, 40, 18
 
 #: The four bits of a nibble as 16-bit lanes of one word.
 LANES = np.array([sum((v >> b & 1) << (16 * b) for b in range(4)) for v in range(16)], dtype=U)
@@ -64,8 +65,8 @@ def edits_within(sizes: np.ndarray, similarity: float) -> np.ndarray:
     return ((1 - similarity) * np.floor(sizes / similarity + 1e-6) + 1e-9).astype(np.int64)
 
 
-def line_keys(h: np.ndarray, size: np.ndarray, cuts: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, how many of each run) of runs of word hashes h, of `size` bytes each, that begin at cuts.
+def line_keys(h: np.ndarray, level: np.ndarray, cuts: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, how many of each run) of runs of word hashes h, each as common as its level says, that begin at cuts.
 
     The keys are the first k * e + 1 runs of k words, numbered among equal ones. Below a similarity of 0.75 edits may touch
     all pairs of words, so there k is 1.
@@ -85,24 +86,25 @@ def line_keys(h: np.ndarray, size: np.ndarray, cuts: np.ndarray, similarity: flo
         begin = np.cumsum(count) - count
         line = np.repeat(np.arange(len(count)), count)
         at = np.repeat(cuts[lo : lo + step] - begin, count) + np.arange(total)
-        g, length = mix(h[at]), size[at]
+        g, common = mix(h[at]), level[at].astype(U)
         if k == 2:
-            g, length = mix(g ^ h[at + 1]), length + size[at + 1]
-        top = (1 << LENGTH_BITS) - 1
-        order = (top - np.minimum(length, top)).astype(U) << U(HASH_BITS) | g >> U(64 - HASH_BITS)
-        x = np.sort(line.astype(U) << U(LENGTH_BITS + HASH_BITS) | order)
+            g, common = mix(g ^ h[at + 1]), common + level[at + 1]
+        order = common << U(HASH_BITS) | g >> U(64 - HASH_BITS)
+        x = np.sort(line.astype(U) << U(ORDER_BITS + HASH_BITS) | order)
         first = np.flatnonzero(np.append(True, x[1:] != x[:-1]))
         nth = np.arange(total) - np.repeat(first, np.diff(np.append(first, total)))
         keep = np.arange(total) - np.repeat(begin, count) < np.repeat(take[lo : lo + step], count)
-        body = x[keep] & U((1 << LENGTH_BITS + HASH_BITS) - 1)
+        body = x[keep] & U((1 << ORDER_BITS + HASH_BITS) - 1)
         out.append(mix(mix(body) + nth[keep].astype(U) * U(0x9E3779B97F4A7C15)))
     return np.concatenate(out) if out else np.zeros(0, dtype=U), take
 
 
-def _lines(min_words: int, similarity: float = 0.9):
+LINES = "id long, row long, doc {}, line int, s0 long, s1 long, p0 long, p1 long, n int, keys array<long>"
+
+
+def _lines(min_words: int, similarity: float, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = b.column("id").to_numpy()
             for w in words(column(b, "text"), ALNUM, LOWER):
                 if not len(w.h):
                     continue
@@ -111,26 +113,21 @@ def _lines(min_words: int, similarity: float = 0.9):
                 line = seen[w.starts] - seen[w.offsets[:-1]][row]
                 cuts = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(line, prepend=-1) != 0))
                 sizes = np.diff(np.append(cuts, len(row)))
-                order = np.arange(len(row)) - np.repeat(cuts, sizes)
-                long = sizes >= min_words
-                if not long.any():
+                mine = np.repeat(sizes >= min_words, sizes)
+                h, cuts, sizes = w.h[mine], cuts[sizes >= min_words], sizes[sizes >= min_words]
+                if not len(h):
                     continue
-                key = np.add.reduceat(mix(w.h ^ mix(order.astype(U) + U(1))), cuts)
-                # Common words are short and shared by unrelated lines: the SimHash reads words of four bytes or more.
-                rare = w.ends - w.starts >= 4
-                some = np.logical_or.reduceat(rare, cuts)
-                used = np.repeat(long, sizes) & (rare | np.repeat(~some, sizes))
-                count = np.add.reduceat(used.astype(np.int64), cuts)[long]
-                sim = simhash(w.h[used], np.cumsum(count) - count)
-                at = cuts[long]
-                mine = np.repeat(long, sizes)
-                h, begin = w.h[mine], np.cumsum(sizes[long]) - sizes[long]
-                par = parity(h, begin)
-                keys, many = line_keys(h, (w.ends - w.starts)[mine], begin, similarity)
+                begin = np.cumsum(sizes) - sizes
+                order = np.arange(len(h)) - np.repeat(begin, sizes)
+                key = np.add.reduceat(mix(h ^ mix(order.astype(U) + U(1))), begin)
+                sim, par = simhash(h, begin), parity(h, begin)
+                keys, many = line_keys(h, levels_of(shared.value, h), begin, similarity)
+                of = pa.array(w.row0 + row[cuts])
                 yield pa.RecordBatch.from_arrays(
-                    [signed(mix(key[long])), pa.array(ids[w.row0 + row[at]]), pa.array(line[at].astype(np.int32)), signed(sim[:, 0].copy()), signed(sim[:, 1].copy())]
-                    + [signed(par[:, 0].copy()), signed(par[:, 1].copy()), pa.array(sizes[long].astype(np.int32)), pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(many)).astype(np.int32)), signed(keys))],
-                    ["id", "doc", "line", "s0", "s1", "p0", "p1", "n", "keys"],
+                    [signed(mix(key)), b.column("row").take(of), b.column("doc").take(of), pa.array(line[cuts].astype(np.int32))]
+                    + [signed(x[:, k].copy()) for x in (sim, par) for k in (0, 1)]
+                    + [pa.array(sizes.astype(np.int32)), pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(many)).astype(np.int32)), signed(keys))],
+                    ["id", "row", "doc", "line", "s0", "s1", "p0", "p1", "n", "keys"],
                 )
 
     return run
@@ -143,9 +140,8 @@ def _fields(col) -> np.ndarray:
 
 
 def scorer(similarity: float):
-    def score(a, b, cross: bool) -> tuple[np.ndarray, np.ndarray]:
+    def score(x: np.ndarray, y: np.ndarray, cross: bool) -> tuple[np.ndarray, np.ndarray]:
         """1 - Hamming distance / 128 of SimHashes; -1 where lengths or parities rule a link out."""
-        x, y = _fields(a), _fields(b)
         if cross:
             x, y = x[:, None, :], y[None, :, :]
         m, n = x[..., 4].astype(np.int64), y[..., 4].astype(np.int64)
@@ -239,60 +235,50 @@ def _pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(text, pa.string())], ["id", "text"])
 
 
-#: Buckets up to this size are cut into their pairs.
-SMALL = 32
-
-
-def _close(buckets: DataFrame, forms: DataFrame, similarity: float) -> DataFrame:
-    """The buckets, the small ones replaced by their pairs that lengths and parities don't rule out, each a bucket of two."""
-    sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    sized = materialize(buckets.join(sizes, "key"), "buckets")
-    small = materialize(sized.where(F.col("size") <= SMALL).select("key", "id").join(forms.select("id", "p0", "p1", "n"), "id"), "buckets")
-    a, b = (small.select("key", *(F.col(c).alias(f"{side}_{c}") for c in ("id", "p0", "p1", "n"))) for side in "ab")
-    most = F.floor((1 - similarity) * F.greatest("a_n", "b_n") + 1e-9)
-    flips = F.expr("bit_count(a_p0 ^ b_p0) + bit_count(a_p1 ^ b_p1)")
-    pairs = a.join(b, "key").where((F.col("a_id") < F.col("b_id")) & (F.abs(F.col("a_n") - F.col("b_n")) <= most) & (flips <= 2 * most)).select("a_id", "b_id").distinct()
-    twos = pairs.select(F.xxhash64("a_id", "b_id").alias("key"), F.explode(F.array("a_id", "b_id")).alias("id"))
-    return materialize(twos.unionAll(sized.where(F.col("size") > SMALL).select("key", "id")), "buckets")
-
-
-def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 5, similarity: float = 0.9) -> DataFrame:
-    """(doc, removed): for each document that loses lines, the numbers, from 0, of those lines."""
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
-    lines = materialize(src.mapInArrow(_lines(min_words, similarity), "id long, doc long, line int, s0 long, s1 long, p0 long, p1 long, n int, keys array<long>"), "lines")
-    sketch = ["s0", "s1", "p0", "p1", "n"]
-    forms = lines.groupBy("id").agg(F.min(F.struct("doc", "line")).alias("first"), *(F.first(c).alias(c) for c in sketch))
-    forms = materialize(forms.select("id", "first.doc", "first.line", *sketch), "forms")
+def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 1, similarity: float = 0.9) -> DataFrame:
+    """(row, doc, removed): for each document that loses lines, the hash of its id and text, the id, and the numbers, from 0,
+    of those lines."""
+    src = docs.select(F.xxhash64(id_col, text_col).alias("row"), F.col(id_col).alias("doc"), F.col(text_col).alias("text")).where("doc is not null and text is not null")
+    level = docs.sparkSession.sparkContext.broadcast(word_levels(src, ALNUM))
+    lines = materialize(src.mapInArrow(_lines(min_words, similarity, level), LINES.format(dict(src.dtypes)["doc"])), "lines")
+    firsts = materialize(lines.groupBy("id").agg(F.min(F.struct("doc", "row", "line")).alias("first")), "forms")
     # Most keys stand in one line only: they go before anything is shuffled with its line.
     keys = lines.select("id", F.explode("keys").alias("key"))
     again = materialize(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("key").alias("id")), "keys")
     buckets = materialize(likely(keys, again, "key").join(again.withColumnRenamed("id", "key"), "key", "left_semi").distinct(), "buckets")
-    buckets = _close(buckets, forms, similarity)
-    sketches = forms.select("id", F.array(*(F.col(c).cast("long") for c in sketch)).alias("sketch"))
+    fields = ["s0", "s1", "p0", "p1", "n"]
+    some = buckets.select("id").distinct()
+    sketches = likely(lines.select("id", *fields), some).join(some, "id", "left_semi").groupBy("id").agg(*(F.first(c).alias(c) for c in fields))
+    sketches = materialize(sketches.select("id", F.array(*(F.col(c).cast("long") for c in fields)).alias("sketch")), "lines")
 
     def payload(ids: DataFrame) -> DataFrame:
-        refs = materialize(forms.join(ids, "id").groupBy("doc").agg(F.collect_list(F.struct("id", "line")).alias("refs")), "lines")
-        some = likely(src, refs.select(F.col("doc").alias("id")))
-        return some.dropDuplicates(["id"]).join(refs, F.col("id") == F.col("doc")).select("text", "refs").mapInArrow(_pick, "id long, text string")
-
-    groups, _ = link_groups(buckets, sketches, payload, scorer(similarity), prepare, verifier(similarity), "lines")
-    first = forms.join(groups, "id", "left").groupBy(F.coalesce("component", "id").alias("g")).agg(F.min(F.struct("doc", "line")).alias("f"))
-    stay = first.groupBy(F.col("f.doc").alias("doc")).agg(F.collect_list("f.line").alias("stay"))
-    every = lines.groupBy("doc").agg(F.collect_set("line").alias("every"))
+        refs = materialize(firsts.join(ids, "id").groupBy("first.row").agg(F.collect_list(F.struct("id", "first.line")).alias("refs")), "lines")
+        found = likely(src.select("row", "text"), refs.select(F.col("row").alias("id")), "row").dropDuplicates(["row"])
+        return found.join(refs, "row").select("text", "refs").mapInArrow(_pick, "id long, text string")
+
+    groups, _ = link_groups(buckets, sketches, payload, Likeness(_fields, scorer(similarity), prepare, verifier(similarity)), "lines")
+    first = firsts.join(groups, "id", "left").groupBy(F.coalesce("component", "id").alias("g")).agg(F.min("first").alias("f"))
+    stay = first.groupBy(F.col("f.row").alias("row")).agg(F.collect_list("f.line").alias("stay"))
+    every = lines.groupBy("row").agg(F.min("doc").alias("doc"), F.collect_set("line").alias("every"))
     gone = F.array_except("every", F.coalesce("stay", F.array().cast("array<int>")))
-    return every.join(stay, "doc", "left").select("doc", gone.alias("removed")).where("size(removed) > 0")
+    return every.join(stay, "row", "left").select("row", "doc", gone.alias("removed")).where("size(removed) > 0")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 5, similarity: float = 0.9, counts: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 1, similarity: float = 0.9, counts: bool = False) -> DataFrame:
     """docs with repeated lines taken out of the text; with counts, also __n_lines and __n_removed."""
-    gone = removed_lines(docs, id_col, text_col, min_words, similarity).select(F.col("doc").alias("__doc"), F.col("removed").alias("__removed"))
-    out = docs.join(gone, F.col(id_col).cast("long") == F.col("__doc"), "left").drop("__doc")
+    gone = removed_lines(docs, id_col, text_col, min_words, similarity).select(F.col("row").alias("__row"), F.col("removed").alias("__removed"))
+    known = F.when(F.col(id_col).isNotNull() & F.col(text_col).isNotNull(), F.xxhash64(id_col, text_col))
+    out = docs.join(gone, known == F.col("__row"), "left").drop("__row")
     out = out.withColumn("__lines", F.split(F.col(text_col), "\n", -1))
     left = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__removed"))
     cut = F.array_join(F.transform(left, lambda i: F.element_at("__lines", i + 1)), "\n")
-    out = out.withColumn("__text", F.when(F.col("__removed").isNull(), F.col(text_col)).otherwise(cut))
-    new = {text_col: F.col("__text")} | ({"n_chars": F.length("__text").cast(dict(docs.dtypes)["n_chars"])} if "n_chars" in docs.columns else {})
-    out = out.withColumns(new | ({"__n_lines": F.coalesce(F.when(F.col("__lines").isNull(), 0).otherwise(F.size("__lines")), F.lit(0)).cast("long"), "__n_removed": F.coalesce(F.when(F.col("__removed").isNull(), 0).otherwise(F.size("__removed")), F.lit(0)).cast("long")} if counts else {}))
+    new = {text_col: F.when(F.col("__removed").isNull(), F.col(text_col)).otherwise(cut)}
+    if counts:
+        size = lambda c: F.when(F.col(c).isNull(), 0).otherwise(F.size(c)).cast("long")
+        new |= {"__n_lines": size("__lines"), "__n_removed": size("__removed")}
+    out = out.withColumns(new)
+    if "n_chars" in docs.columns and text_col != "n_chars":
+        out = out.withColumn("n_chars", F.length(text_col).cast(dict(docs.dtypes)["n_chars"]))
     return out.select(*docs.columns, *(["__n_lines", "__n_removed"] if counts else []))
 
 

@@ -1,28 +1,30 @@
 """Connected groups of similar items from shared bucket keys, without listing all pairs of a bucket.
 
-1. Star: each item of a bucket is paired with the smallest id of that bucket only, so a bucket of n items gives n - 1
-   candidate pairs. For each item the candidate with the best sketch score is verified in full.
-2. Verified links give components; the unverified star pairs give families (every two items that share a bucket are in
-   one family). Only families that hold more than one component have anything left to test.
-3. In such a family every item outside its largest component is compared with all items of the other components, in
-   blocks of bounded size: sketches first, then the full contents. Of links that join components already joined inside a
-   block only the first is reported, so what a block returns is bounded by its items, not by their pairs.
-
-Every pair that shares a bucket thus ends in one component or has been tested; no bucket is capped. A hot bucket costs its
-outsiders times its size, spread over blocks.
+1. Star: each item of a bucket is paired with the bucket's smallest id only; a bucket of more than FAN items is dealt into
+   parts, each with a head of its own, and the heads are paired with the smallest. Pairs whose sketches rule a link out go.
+   For each item the pair with the best sketch score is verified in full, and the links give components.
+2. A bucket whose items are all in one component is done. In every other one, items of different components are compared by
+   their sketches, inside tasks: small buckets many at a time, large ones in blocks of at most BLOCK by BLOCK items, where
+   only items outside the bucket's largest component meet the others. What passes is verified in full. From a large block
+   the BEST pairs of an item with a component go first, which joins most; what then is still apart is compared to the end.
+
+Every pair that shares a bucket thus ends in one component or has been tested; no bucket is capped. Only components of
+verified links matter, so unrelated items that share buckets never grow into one family. Blocks carry sketches of fixed
+size; full contents are joined to candidate pairs alone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .storage import materialize
+from .storage import likely, materialize
 
-BLOCK = 1536
+FAN, SMALL, BLOCK, BEST = 1024, 64, 1536, 4
 
 
 def components(edges: DataFrame, tag: str = "cc") -> DataFrame:
@@ -51,137 +53,190 @@ def components(edges: DataFrame, tag: str = "cc") -> DataFrame:
     return materialize(out, tag)
 
 
-Scorer = Callable[[list, list], tuple[np.ndarray, np.ndarray]]
+@dataclass(frozen=True)
+class Likeness:
+    """How items are compared.
 
+    fields turns a column of sketches into a matrix with a row each; score gives, for two such matrices row by row or
+    (cross) for all pairs, the score and the least score worth verifying. prepare turns a column of contents into items;
+    same(items, items, i, j) verifies pairs of them.
+    """
+
+    fields: Callable[[pa.Array], np.ndarray]
+    score: Callable[[np.ndarray, np.ndarray, bool], tuple[np.ndarray, np.ndarray]]
+    prepare: Callable[[pa.Array], list]
+    same: Callable[[list, list, np.ndarray, np.ndarray], np.ndarray]
+
+
+def _passing(like: Likeness):
+    """The pairs (a, b) whose sketches (sa, sb) allow a link, with their scores."""
 
-def _score_pairs(score) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            s, _ = score(b.column("sa"), b.column("sb"), False)
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(s, pa.float64())], ["a", "b", "score"])
+            s, least = like.score(like.fields(b.column("sa")), like.fields(b.column("sb")), False)
+            ok = np.flatnonzero(s >= least)
+            yield pa.RecordBatch.from_arrays([b.column("a").take(pa.array(ok)), b.column("b").take(pa.array(ok)), pa.array(s[ok], pa.float64())], ["a", "b", "score"])
 
     return run
 
 
-def _verify_pairs(prepare, same) -> Callable:
+def _verified(like: Likeness):
+    """The pairs (a, b) whose contents (ta, tb) are linked."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                left, right = prepare(part.column("ta")), prepare(part.column("tb"))
-                ok = same(left, right, np.arange(part.num_rows), np.arange(part.num_rows))
+                left, right = like.prepare(part.column("ta")), like.prepare(part.column("tb"))
+                ok = like.same(left, right, np.arange(part.num_rows), np.arange(part.num_rows))
                 yield part.select(["a", "b"]).filter(pa.array(ok))
 
     return run
 
 
-def _block_links(score, prepare, same) -> Callable:
-    """Links between components of one or more blocks; rows: blk, id, comp, l, r, sketch, text."""
+FOUND = "a long, b long, more boolean"
+
+
+def _found(ids: np.ndarray, x: np.ndarray, y: np.ndarray, more: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[x], ids[y])), pa.array(np.maximum(ids[x], ids[y])), pa.array(more)], ["a", "b", "more"])
+
+
+def _within_small(like: Likeness):
+    """Pairs of different components in small buckets; rows (key, id, comp, sketch) come sorted by key."""
+
+    def pairs(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        key, ids, comp = (t[c].to_numpy() for c in ("key", "id", "comp"))
+        x = like.fields(t["sketch"].combine_chunks())
+        for far in range(1, min(SMALL, len(key))):
+            shared = key[far:] == key[:-far]
+            if not shared.any():
+                break
+            i = np.flatnonzero(shared & (comp[far:] != comp[:-far]))
+            for at in range(0, len(i), 4096):
+                p = i[at : at + 4096]
+                s, least = like.score(x[p], x[p + far], False)
+                p = p[s >= least]
+                if len(p):
+                    yield _found(ids, p, p + far, np.zeros(len(p), dtype=bool))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            t = pa.Table.from_batches([b] if rest is None else [*rest.to_batches(), b])
+            key = t["key"].to_numpy()
+            cut = int(np.flatnonzero(key != key[-1])[-1]) + 1 if (key != key[-1]).any() else 0
+            yield from pairs(t.slice(0, cut))
+            rest = t.slice(cut)
+        if rest is not None:
+            yield from pairs(rest)
+
+    return run
 
-    def one(t: pa.Table) -> list[tuple[int, int]]:
-        t = t.combine_chunks()
-        ids, comp = t["id"].to_numpy(), t["comp"].to_numpy()
-        left, right = np.flatnonzero(t["l"].to_numpy(zero_copy_only=False)), np.flatnonzero(t["r"].to_numpy(zero_copy_only=False))
-        sk = t["sketch"].combine_chunks()
-        if isinstance(sk, pa.ChunkedArray):
-            sk = sk.chunk(0)
-        s, least = score(sk.take(pa.array(left)), sk.take(pa.array(right)), True)
-        li, ri = np.nonzero((s >= least) & (comp[left][:, None] != comp[right][None, :]))
-        if not len(li):
-            return []
-        order = np.lexsort((-s[li, ri], li))
-        x, y = left[li[order]], right[ri[order]]
-        used = np.unique(np.concatenate([x, y]))
-        text = t["text"].combine_chunks()
-        if isinstance(text, pa.ChunkedArray):
-            text = text.chunk(0)
-        items = dict(zip(used.tolist(), prepare(text.take(pa.array(used)))))
-        root = {int(c): int(c) for c in comp}
-
-        def find(c: int) -> int:
-            while root[c] != c:
-                root[c] = root[root[c]]
-                c = root[c]
-            return c
-
-        links = []
-        while len(x):
-            first = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
-            rank = np.arange(len(x)) - np.repeat(first, np.diff(np.append(first, len(x))))
-            now = rank < 8
-            ok = same(items, items, x[now], y[now])
-            for i, j in zip(x[now][ok], y[now][ok]):
-                a, b = find(int(comp[i])), find(int(comp[j]))
-                if a != b:
-                    root[max(a, b)] = min(a, b)
-                    links.append((int(ids[i]), int(ids[j])))
-            at = np.array([find(int(c)) for c in comp])
-            keep = ~now & (at[x] != at[y])
-            x, y = x[keep], y[keep]
-        return links
+
+def _within_block(like: Likeness, best: int | None):
+    """Pairs of different components in one block; rows: id, comp, l, r, sketch. Of an item with a component the best only."""
 
     def run(t: pa.Table) -> pa.Table:
-        blk = t["blk"].to_numpy()
-        order = np.argsort(blk, kind="stable")
-        cuts = np.flatnonzero(np.diff(blk[order], prepend=blk[order][0] - 1 if len(blk) else 0))
-        found: list[tuple[int, int]] = []
-        for i, lo in enumerate(cuts):
-            hi = cuts[i + 1] if i + 1 < len(cuts) else len(blk)
-            found += one(t.take(pa.array(order[lo:hi])))
-        return pa.table({"a": pa.array([p[0] for p in found], pa.int64()), "b": pa.array([p[1] for p in found], pa.int64())})
+        ids, comp = t["id"].to_numpy(), t["comp"].to_numpy()
+        left, right = (np.flatnonzero(t[c].to_numpy()) for c in ("l", "r"))
+        x = like.fields(t["sketch"].combine_chunks())
+        s, least = like.score(x[left], x[right], True)
+        li, ri = np.nonzero((s >= least) & (comp[left][:, None] != comp[right][None, :]))
+        score, li, ri = s[li, ri], left[li], right[ri]
+        more = np.zeros(len(li), dtype=bool)
+        if best is not None and len(li):
+            order = np.lexsort((-score, comp[ri], li))
+            li, ri = li[order], ri[order]
+            first = np.flatnonzero(np.append(True, (li[1:] != li[:-1]) | (comp[ri[1:]] != comp[ri[:-1]])))
+            rank = np.arange(len(li)) - np.repeat(first, np.diff(np.append(first, len(li))))
+            more = np.append(rank[1:] == best, False)
+            li, ri, more = li[rank < best], ri[rank < best], more[rank < best]
+        return pa.Table.from_batches([_found(ids, li, ri, more)])
 
     return run
 
 
-def link_groups(buckets: DataFrame, sketches: DataFrame, payload: Callable[[DataFrame], DataFrame], score, prepare, same, tag: str) -> tuple[DataFrame, DataFrame]:
+def _salted(of: Column, parts: Column) -> Column:
+    return F.pmod(F.xxhash64(of), parts.cast("long"))
+
+
+def _star(rows: DataFrame, tag: str) -> DataFrame:
+    """Distinct pairs (a, b) of each item with its bucket's head; rows: key, id, head, n."""
+    plain = rows.where(F.col("n") <= FAN).select(F.col("head").alias("a"), F.col("id").alias("b"))
+    hot = rows.where(F.col("n") > FAN).withColumn("part", _salted(F.col("id"), F.ceil(F.col("n") / FAN)))
+    tops = hot.groupBy("key", "part").agg(F.min("id").alias("a"), F.first("head").alias("head"))
+    dealt = hot.join(tops.select("key", "part", "a"), ["key", "part"]).select("a", F.col("id").alias("b"))
+    return plain.unionAll(dealt).unionAll(tops.select(F.col("head").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct()
+
+
+def _apart(rows: DataFrame, comp: DataFrame, tag: str) -> DataFrame:
+    """The rows, with their components, of buckets that hold more than one component."""
+    named = rows.select("key", "id", "n").join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
+    mixed = named.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
+    return materialize(named.join(mixed, "key"), tag)
+
+
+def _compared(apart: DataFrame, sketches: DataFrame, like: Likeness, best: int | None) -> DataFrame:
+    """(a, b, more): pairs of different components in a bucket whose sketches allow a link."""
+    small = apart.where(F.col("n") <= SMALL).select("key", "id", "comp").join(sketches, "id").select("key", "id", "comp", "sketch")
+    found = small.repartition("key").sortWithinPartitions("key").mapInArrow(_within_small(like), FOUND)
+    large = apart.where(F.col("n") > SMALL)
+    sizes = large.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
+    mains = sizes.groupBy("key").agg(F.max(F.struct("n", (-F.col("comp")).alias("c"))).alias("x"), F.sum("n").alias("all"))
+    mains = mains.select("key", (-F.col("x.c")).alias("main"), F.ceil((F.col("all") - F.col("x.n")) / BLOCK).cast("int").alias("oc"), F.ceil(F.col("x.n") / BLOCK).cast("int").alias("mc"))
+    rows = large.select("key", "id", "comp").join(mains, "key").withColumn("out", F.col("comp") != F.col("main"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1)).alias("j")
+    block = lambda i, j, kind: F.xxhash64("key", i.cast("long"), j.cast("long"), F.lit(kind)).alias("blk")
+    outs = rows.where("out").withColumn("c", _salted(F.col("id"), F.col("oc")))
+    # An outsider's chunk i meets the outsiders' chunks j >= i (as left side), j < i (as right side) and all main chunks.
+    meets = outs.select("key", "id", "comp", "c", every(F.col("oc"))).select(block(F.least("c", "j"), F.greatest("c", "j"), 0), "id", "comp", (F.col("c") <= F.col("j")).alias("l"), (F.col("c") >= F.col("j")).alias("r"))
+    ahead = outs.select("key", "id", "comp", "c", every(F.col("mc"))).select(block(F.col("c"), F.col("j"), 1), "id", "comp", F.lit(True).alias("l"), F.lit(False).alias("r"))
+    core = rows.where("not out").withColumn("c", _salted(F.col("id"), F.col("mc")))
+    core = core.select("key", "id", "comp", "c", every(F.col("oc"))).select(block(F.col("j"), F.col("c"), 1), "id", "comp", F.lit(False).alias("l"), F.lit(True).alias("r"))
+    blocks = meets.unionAll(ahead).unionAll(core).join(sketches, "id").select("blk", "id", "comp", "l", "r", "sketch")
+    return found.unionAll(blocks.groupBy("blk").applyInArrow(_within_block(like, best), FOUND))
+
+
+def link_groups(buckets: DataFrame, sketches: DataFrame, payload: Callable[[DataFrame], DataFrame], like: Likeness, tag: str) -> tuple[DataFrame, DataFrame]:
     """Components of similar items, and the links found; items without a link are in neither.
 
-    buckets: (key, id), sketches: (id, sketch); payload(ids) gives (id, text) of a table of ids. score(a, b, cross) of
-    two sketch columns gives the score and the least score worth verifying, row by row or for all pairs; prepare turns a
-    text column into items, same(items, items, i, j) verifies pairs of them.
+    buckets: (key, id), without repeats; sketches: (id, sketch); payload(ids) gives (id, text) of a table of ids.
     """
     # A bucket's least id and size come from a map-side combined aggregate; joining back splits hot keys at run time.
-    heads = buckets.groupBy("key").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "a")
-    star = materialize(buckets.join(heads, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct(), tag)
-    involved = star.select(F.col("a").alias("id")).unionAll(star.select(F.col("b").alias("id"))).distinct()
-    involved = materialize(involved, tag)
-    texts = materialize(payload(involved), tag).select("id", "text")
-    sa, sb = sketches.select(F.col("id").alias("a"), F.col("sketch").alias("sa")), sketches.select(F.col("id").alias("b"), F.col("sketch").alias("sb"))
-    scored = star.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb").mapInArrow(_score_pairs(score), "a long, b long, score double")
-    best = scored.groupBy("b").agg(F.max(F.struct("score", (-F.col("a")).alias("m"))).alias("x")).select((-F.col("x.m")).alias("a"), "b")
-    ta, tb = texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
-    first = materialize(best.join(tb, "b").join(ta, "a").select("a", "b", "ta", "tb").mapInArrow(_verify_pairs(prepare, same), "a long, b long"), tag)
-
-    comp = components(first, tag)
-    fam = components(star, tag)
-    member = materialize(
-        fam.select("id", F.col("component").alias("fam")).join(comp, "id", "left").select("id", "fam", F.coalesce("component", "id").alias("comp")), tag
-    )
-    sizes = member.groupBy("fam", "comp").agg(F.count(F.lit(1)).alias("n"))
-    fams = sizes.groupBy("fam").agg(
-        F.max(F.struct("n", (-F.col("comp")).alias("c"))).alias("x"), F.sum("n").alias("total"), F.count(F.lit(1)).alias("comps")
-    ).where("comps > 1").select("fam", (-F.col("x.c")).alias("main"), F.col("x.n").alias("n_main"), (F.col("total") - F.col("x.n")).alias("n_out"))
-    fams = fams.select("*", F.ceil(F.col("n_out") / BLOCK).alias("oc"), F.ceil(F.col("n_main") / BLOCK).alias("mc"))
-    rows = member.join(fams, "fam")
-    h = F.xxhash64("id")
-    single = "oc = 1 and n_main + n_out <= {}".format(2 * BLOCK)
-    small = rows.where(single).select("id", "comp", F.xxhash64("fam", F.lit(-1)).alias("blk"), (F.col("comp") != F.col("main")).alias("l"), F.lit(True).alias("r"))
-    large = rows.where(f"not ({single})").withColumn("out", F.col("comp") != F.col("main"))
-    large = large.withColumn("c", F.when(F.col("out"), F.pmod(h, F.col("oc"))).otherwise(F.pmod(h, F.col("mc"))))
-    outs = large.where("out")
-    # An outsider's chunk i meets the outsiders' chunks j >= i (as left side), j < i (as right side) and all main chunks.
-    meets = outs.select("id", "comp", "fam", "c", F.explode(F.sequence(F.lit(0), F.col("oc").cast("int") - 1)).alias("j")).select(
-        "id", "comp", F.xxhash64("fam", F.least("c", "j").cast("long"), F.greatest("c", "j").cast("long"), F.lit(0)).alias("blk"), (F.col("c") <= F.col("j")).alias("l"), (F.col("c") >= F.col("j")).alias("r")
-    )
-    mains = outs.select("id", "comp", "fam", "c", F.explode(F.sequence(F.lit(0), F.col("mc").cast("int") - 1)).alias("j")).select(
-        "id", "comp", F.xxhash64("fam", F.col("c").cast("long"), F.col("j").cast("long"), F.lit(1)).alias("blk"), F.lit(True).alias("l"), F.lit(False).alias("r")
-    )
-    core = large.where("not out").select("id", "comp", "fam", "c", F.explode(F.sequence(F.lit(0), F.col("oc").cast("int") - 1)).alias("j")).select(
-        "id", "comp", F.xxhash64("fam", F.col("j").cast("long"), F.col("c").cast("long"), F.lit(1)).alias("blk"), F.lit(False).alias("l"), F.lit(True).alias("r")
-    )
-    packs = F.lit(max(64, int(rows.where(single).count()) // 1024))
-    todo = small.withColumn("gk", F.pmod("blk", packs)).unionAll(meets.unionAll(mains).unionAll(core).withColumn("gk", F.col("blk")))
-    todo = todo.join(sketches.select("id", "sketch"), "id").join(texts, "id").select("gk", "blk", "id", "comp", "l", "r", "sketch", "text")
-    rest = materialize(todo.groupBy("gk").applyInArrow(_block_links(score, prepare, same), "a long, b long"), tag)
-    links = first.unionAll(rest)
-    return components(links, tag), links
+    heads = materialize(buckets.groupBy("key").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1"), tag)
+    rows = materialize(likely(buckets, heads.select(F.col("key").alias("id")), "key").join(heads, "key").select("key", "id", "head", "n"), tag)
+    sketches = sketches.select("id", "sketch")
+    ends = [sketches.select(F.col("id").alias(c), F.col("sketch").alias(f"s{c}")) for c in "ab"]
+    star = _star(rows, tag).join(ends[0], "a").join(ends[1], "b").select("a", "b", "sa", "sb")
+    star = materialize(star.mapInArrow(_passing(like), "a long, b long, score double"), tag)
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), tag)
+        texts = materialize(payload(ids).select("id", "text"), tag)
+        ta, tb = (texts.select(F.col("id").alias(c), F.col("text").alias(f"t{c}")) for c in "ab")
+        # The side that may repeat is joined while rows are thin.
+        return materialize(pairs.select("a", "b").join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb").mapInArrow(_verified(like), "a long, b long"), tag)
+
+    best = star.groupBy("b").agg(F.max(F.struct("score", (-F.col("a")).alias("m"))).alias("x")).select((-F.col("x.m")).alias("a"), "b")
+    tested = materialize(best, tag)
+    links = verified(tested)
+    comp = components(links, tag)
+    for most in (BEST, None):
+        # The star has compared the buckets of two, the first round all small ones to the end.
+        apart = _apart(rows.where(F.col("n") > (2 if most else SMALL)), comp, tag)
+        found = _compared(apart, sketches, like, most)
+        if most:  # pairs of the star that were not their item's best
+            a, b = (comp.select(F.col("id").alias(c), F.col("component").alias(f"c{c}")) for c in "ab")
+            other = star.join(a, "a", "left").join(b, "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
+            found = found.unionAll(other.select("a", "b", F.lit(False)))
+        found = materialize(found.groupBy("a", "b").agg(F.max("more").alias("more")).join(tested, ["a", "b"], "left_anti"), tag)
+        if found.isEmpty():
+            break
+        links = links.unionAll(verified(found))
+        comp = components(links, tag)
+        tested = tested.unionAll(found.select("a", "b"))
+        if found.where("more").isEmpty():
+            break
+    return comp, links

@@ -3,13 +3,14 @@
 A document's set holds its distinct n-word shingles. Each set is hashed once; a hash's high half picks one of K buckets,
 and a bucket keeps its least low half as a 16-bit register: the count of leading zeros and ten mantissa bits. Bands of
 registers are the candidate keys: at a Jaccard similarity of 0.85 a pair of large sets shares no band with probability
-(1 - 0.85**7)**36 < 1e-6. Small sets give their least n - ceil(t * n) + 1 hashes as keys, of which a pair at the threshold
-always shares one. The share of equal registers, corrected for chance
-collisions, estimates the similarity; what may reach the threshold is verified on the full sets.
+(1 - 0.85**7)**36 < 1e-6. Small sets give their first n - ceil(t * n) + 1 hashes, those of rare words first, as keys, of
+which a pair at the threshold always shares one. The share of equal registers, corrected for chance collisions, estimates
+the similarity; what may reach the threshold is verified on the full sets.
 
 Defined results: null and empty texts, and texts without words, have an empty set and link with nothing; equal sets are
-collapsed first, so groups of exact copies cost one row each; repeated rows with one id act as one document; rows whose
-id is null keep a null component and are kept; extra columns are ignored by `near_duplicates` and kept by `keep_one`.
+collapsed first, so groups of exact copies cost one row each; ids may be of any type that has an order; repeated rows (id
+and text alike) act as one document, rows that share an id but not the text are compared each by itself; rows whose id is
+null keep a null component and are kept; extra columns are ignored by `near_duplicates` and kept by `keep_one`.
 """
 
 from __future__ import annotations
@@ -20,9 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .linking import link_groups
+from .linking import Likeness, link_groups
 from .storage import likely, materialize
-from .textops import SPACED, U, column, mix, shingle_set, signed, words
+from .textops import SPACED, U, column, levels_of, mix, ngrams, shingle_set, signed, word_levels, words
 
 K, MANTISSA = 252, 10
 #: Chance that two different minima give one register, for sets much larger than K.
@@ -55,8 +56,7 @@ def estimate(equal: np.ndarray, union: np.ndarray) -> np.ndarray:
 
 
 def scorer(threshold: float):
-    def score(a, b, cross: bool) -> tuple[np.ndarray, np.ndarray]:
-        x, y = _matrix(a), _matrix(b)
+    def score(x: np.ndarray, y: np.ndarray, cross: bool) -> tuple[np.ndarray, np.ndarray]:
         if not cross:
             equal, union = ((x == y) & (x > 0)).sum(axis=1), ((x > 0) | (y > 0)).sum(axis=1)
         else:
@@ -97,25 +97,34 @@ def verifier(percent: int):
     return same
 
 
-def _sketch(shingle: int, percent: int):
+def _first_keys(h: np.ndarray, shingle: int, level: np.ndarray, take: int) -> np.ndarray:
+    """The first `take` shingles of word hashes h: those of rare words first, then by hash."""
+    n = min(shingle, len(h))
+    of = levels_of(level, h).astype(U)
+    common = np.minimum(sum(of[k : len(h) - n + 1 + k] for k in range(n)), U(255))
+    return np.unique(common << U(56) | ngrams(h, n) >> U(8))[:take]
+
+
+def _sketch(shingle: int, percent: int, shared):
     classes = Classes(percent / 100)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = b.column("id")
             for w in words(column(b, "text"), SPACED):
                 size, one, two, sk, low = [], [], [], [], []
                 for i in range(w.n):
-                    s = shingle_set(w.h[w.bounds[i] : w.bounds[i + 1]], shingle)
+                    h = w.h[w.bounds[i] : w.bounds[i + 1]]
+                    s = shingle_set(h, shingle)
                     size.append(len(s))
                     one.append(s.sum(dtype=U))
                     two.append(mix(s ^ U(0x5851F42D4C957F2D)).sum(dtype=U))
                     sk.append(registers(s).tobytes())
-                    # Of A's n hashes ceil(t * n) at least are in any B linked to it, so the least of those both have is here.
-                    low.append(s[: len(s) + percent * len(s) // -100 + 1].view(np.int64) if classes.small(len(s)) else [])
+                    # Of A's n hashes ceil(t * n) at least are in any B linked to it, so the first of those both have is here.
+                    small = len(s) and classes.small(len(s))
+                    low.append(_first_keys(h, shingle, shared.value, len(s) + percent * len(s) // -100 + 1).view(np.int64) if small else [])
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(w.row0, w.n), pa.array(size, pa.int64()), signed(np.array(one, dtype=U)), signed(np.array(two, dtype=U)), pa.array(sk, pa.binary()), pa.array(low, pa.list_(pa.int64()))],
-                    ["id", "n_shingles", "set_a", "set_b", "sketch", "low"],
+                    [b.column(c).slice(w.row0, w.n) for c in ("key", "id")] + [pa.array(size, pa.int64()), signed(np.array(one, dtype=U)), signed(np.array(two, dtype=U)), pa.array(sk, pa.binary()), pa.array(low, pa.list_(pa.int64()))],
+                    ["key", "id", "n_shingles", "set_a", "set_b", "sketch", "low"],
                 )
 
     return run
@@ -168,34 +177,44 @@ def _bands(threshold: float):
     return run
 
 
+def _compared(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
+    """One row per document: key (of id and text), id, n_shingles, component_id, n_links."""
+    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).select(F.xxhash64("id", "text").alias("key"), "id", "text")
+    level = docs.sparkSession.sparkContext.broadcast(word_levels(src, SPACED))
+    kind = dict(src.dtypes)["id"]
+    table = materialize(src.mapInArrow(_sketch(shingle, percent, level), f"key long, id {kind}, n_shingles long, set_a long, set_b long, sketch binary, low array<long>"), "sketch")
+    which = ["set_a", "set_b", "n_shingles"]
+    sets = materialize(table.where("n_shingles > 0 and id is not null").groupBy(which).agg(F.min("key").alias("rep"), F.min("id").alias("least")), "sets")
+    reps = sets.select(F.col("rep").alias("id")).distinct()
+    sketches = table.select(F.col("key").alias("id"), "n_shingles", "sketch", "low")
+    sketches = materialize(sketches.join(reps, "id", "left_semi").dropDuplicates(["id"]), "reps")
+    buckets = sketches.mapInArrow(_bands(percent / 100), "key long, id long")
+    texts = src.where("id is not null").select(F.col("key").alias("id"), "text")
+    payload = lambda ids: likely(texts, ids).join(ids, "id").dropDuplicates(["id"])
+    found, links = link_groups(buckets, sketches, payload, Likeness(_matrix, scorer(percent / 100), preparer(shingle), verifier(percent)), "near")
+    degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
+    classes = sets.join(found.withColumnRenamed("id", "rep"), "rep", "left").join(degree, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    least = classes.groupBy("component").agg(F.min("least").alias("component_id"))
+    classes = classes.join(least, "component").select(*which, "component_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    out = table.select("key", "id", *which).join(classes, which, "left")
+    comp = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
+    return out.select("key", "id", "n_shingles", comp.alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: id, n_shingles, component_id (smallest id reachable over links), n_links, kept.
 
     Documents are linked when 100 * intersection >= percent * union of their shingle sets. n_links counts the verified
     links between different sets that the search needed, not all that exist.
     """
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    table = materialize(src.mapInArrow(_sketch(shingle, percent), "id long, n_shingles long, set_a long, set_b long, sketch binary, low array<long>"), "sketch")
-    sets = materialize(
-        table.where("n_shingles > 0 and id is not null").groupBy("set_a", "set_b", "n_shingles").agg(F.min("id").alias("rep")), "sets"
-    )
-    reps = sets.select(F.col("rep").alias("id")).distinct()
-    sketches = materialize(table.select("id", "n_shingles", "sketch", "low").join(reps, "id", "left_semi").dropDuplicates(["id"]), "reps")
-    buckets = sketches.mapInArrow(_bands(percent / 100), "key long, id long")
-    payload = lambda ids: likely(src, ids).join(ids, "id").dropDuplicates(["id"])
-    found, links = link_groups(buckets, sketches, payload, scorer(percent / 100), preparer(shingle), verifier(percent), "near")
-    degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
-    classes = sets.join(found.withColumnRenamed("id", "rep"), "rep", "left").join(degree, "rep", "left")
-    classes = classes.select("set_a", "set_b", "n_shingles", F.coalesce("component", "rep").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    out = table.select("id", "n_shingles", "set_a", "set_b").join(classes, ["set_a", "set_b", "n_shingles"], "left")
-    comp = F.coalesce("component_id", "id")
-    return out.select(F.col("id").alias(id_col), "n_shingles", F.when(F.col("id").isNotNull(), comp).alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce(F.col("id") == comp, F.lit(True)).alias("kept"))
+    out = _compared(docs, id_col, text_col, shingle, percent)
+    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", "n_links", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
     """The documents, with all their columns, less those that repeat a kept one; rows with a null id stay."""
-    gone = near_duplicates(docs, id_col, text_col, shingle, percent).where("not kept").select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
+    gone = _compared(docs, id_col, text_col, shingle, percent).where("id <> component_id").select(F.col("key").alias("__gone")).distinct()
+    return docs.join(gone, F.xxhash64(id_col, text_col) == F.col("__gone"), "left_anti")
 
 
 def op3_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame, functions as F
 
 U = np.uint64
 BASE = 0x9E3779B97F4A7C55
@@ -136,3 +137,37 @@ def signed(x: np.ndarray) -> pa.Array:
 
 def unsigned(col: pa.Array) -> np.ndarray:
     return col.to_numpy(zero_copy_only=False).astype(np.int64).view(U)
+
+
+#: Words are counted by the first bits of their hashes; those that make up less than 2**-RARE of all words are level 0.
+LEVEL_BITS, RARE = 18, 16
+
+
+def _often(keep: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << LEVEL_BITS, dtype=np.int64)
+        for b in batches:
+            for w in words(column(b, "text"), keep):
+                total += np.bincount((w.h >> U(64 - LEVEL_BITS)).astype(np.intp), minlength=1 << LEVEL_BITS)
+        at = np.flatnonzero(total > total.sum() >> RARE)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["slot", "n"])
+
+    return run
+
+
+def word_levels(texts: DataFrame, keep: np.ndarray) -> np.ndarray:
+    """How common words are, 0 to 31, by the first bits of their hashes; a table of fixed size, over all texts (text).
+
+    A word's level only puts keys into an order, rarest first; any order gives the same results. Each task reports the slots
+    that hold 2**-RARE of its words or more, so fewer than 2**RARE rows.
+    """
+    rows = texts.select("text").mapInArrow(_often(keep), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    level = np.zeros(1 << LEVEL_BITS, dtype=np.uint8)
+    if rows.num_rows:
+        slot, n = rows["slot"].to_numpy(), rows["n"].to_numpy()
+        level[slot] = np.clip(2 * (RARE + np.log2(n / n.sum())) + 1, 0, 31).astype(np.uint8)
+    return level
+
+
+def levels_of(level: np.ndarray, h: np.ndarray) -> np.ndarray:
+    return level[(h >> U(64 - LEVEL_BITS)).astype(np.intp)]

@@ -17,13 +17,20 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from kgloom.llm import byte_bpe, class_lm, code_search, decontamination, language_id, license_scan, line_dedup, linking, near_dedup, secret_scan, storage, token_counts, units
+from kgloom.llm import byte_bpe, class_lm, code_search, decontamination, language_id, license_scan, line_dedup, linking, near_dedup, secret_scan, storage, textops, token_counts, units
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Extra columns whose names the operators use themselves.
 CLASH = ["id", "key", "component", "h", "blob", "hits"]
 
 
+class Shared:
+    """Stands for a broadcast value."""
+
+    def __init__(self, value):
+        self.value = value
+
+
 def clash():
     return {c: F.lit(c) for c in CLASH}
 
@@ -141,39 +148,6 @@ def test_simhash_counts_bits():
             assert int(got[k, half]) == want
 
 
-def brute_lines(rows, min_words=5, similarity=0.9):
-    """Removed lines by exact normal form only, plus the links that share a block, by union-find."""
-    import pyarrow as pa
-
-    forms, first = {}, {}
-    for i, t in rows:
-        for k, line in enumerate(t.split("\n")):
-            w = tuple(re.findall(rb"[0-9a-z\x80-\xff]+", line.encode().lower()))
-            if len(w) >= min_words:
-                forms.setdefault(w, []).append((i, k))
-                first.setdefault(w, line)
-    keys = list(forms)
-    batch = pa.RecordBatch.from_arrays([pa.array(range(len(keys))), pa.array([first[k] for k in keys])], ["id", "text"])
-    sk = {r["doc"]: (r["s0"] & 2**64 - 1, r["s1"] & 2**64 - 1) for b in line_dedup._lines(min_words)([batch]) for r in b.to_pylist()}
-    blocks = lambda s: (s[0] & 0xFFFFFFFF, s[0] >> 32, s[1] & 0xFFFFFFFF, s[1] >> 32)
-    parent = list(range(len(keys)))
-
-    def find(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    for a in range(len(keys)):
-        for b in range(a):
-            if any(p == q for p, q in zip(blocks(sk[a]), blocks(sk[b]))) and edit(keys[a], keys[b]) <= int((1 - similarity) * max(len(keys[a]), len(keys[b])) + 1e-9):
-                x, y = find(a), find(b)
-                parent[max(x, y)] = min(x, y)
-    groups = collections.defaultdict(list)
-    for k, w in enumerate(keys):
-        groups[find(k)] += forms[w]
-    return {p for g in groups.values() for p in g if p != min(g)}
-
-
 def test_line_dedup_matches_brute_force(spark):
     rng = random.Random(7)
     vocab = [f"word{i}" for i in range(300)]
@@ -188,10 +162,10 @@ def test_line_dedup_matches_brute_force(spark):
             lines.append((" ".join(w)).title() + rng.choice(["", ".", " !"]))
         rows.append((i, "\n".join(lines)))
     gone = {(r.doc, k) for r in line_dedup.removed_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect() for k in r.removed}
-    assert gone == brute_lines(rows)
+    assert gone == every_link(rows, 0.9)
 
 
-def every_link(rows, similarity, min_words=5):
+def every_link(rows, similarity, min_words=1):
     """Removed lines when all pairs of forms are compared by edit similarity alone."""
     forms = {}
     for i, t in rows:
@@ -242,7 +216,9 @@ def test_line_dedup_edges(spark):
     got = {r.doc_id: r for r in out.collect()}
     assert got[1].text is None and got[2].text == "" and got[None].text.startswith("a row") and got[7].text == "x" * 50_000
     two = docs(spark, ["One two three four five 6.\nshort line", "other words stand in this line\none TWO three, four five 6\nshort line"])
-    got = {r.doc_id: r for r in line_dedup.dedup_lines(two).collect()}
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(two).collect()}
+    assert got[1] == "other words stand in this line" and got[0].endswith("short line")
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(two, min_words=5).collect()}
     assert got[1].text == "other words stand in this line\nshort line" and got[1].n_chars == len(got[1].text) and got[0].text.count("\n") == 1
     assert line_dedup.dedup_lines(empty(spark)).count() == 0
 
@@ -294,7 +270,8 @@ def test_near_duplicates_match_brute_force(spark, n, percent):
 
 def test_outsiders_of_a_large_family_meet(spark, monkeypatch):
     """A chain of near copies in which most pairs are too different: blocks of bounded size must still find each link."""
-    monkeypatch.setattr(linking, "BLOCK", 8)
+    for name, n in (("BLOCK", 8), ("SMALL", 4), ("FAN", 6), ("BEST", 1)):
+        monkeypatch.setattr(linking, name, n)
     rng = random.Random(3)
     vocab = [f"v{i}" for i in range(500)]
     now, rows = rng.choices(vocab, k=120), []
@@ -316,8 +293,34 @@ def test_near_edges(spark):
     assert near_dedup.near_duplicates(empty(spark)).count() == 0
 
 
+def test_near_duplicates_of_any_id(spark):
+    """String ids; one id with two texts, of which one repeats another document."""
+    one, two = "alpha beta gamma delta epsilon zeta", "some other words that stand alone here"
+    df = spark.createDataFrame([("b", one), ("a", one + " "), ("c", one), ("c", two), ("c", two), (None, one)], "doc_id string, text string")
+    got = sorted((r.doc_id or "", r.component_id or "", r.kept) for r in near_dedup.near_duplicates(df).collect())
+    assert got == [("", "", True), ("a", "a", True), ("b", "a", False), ("c", "a", False), ("c", "c", True), ("c", "c", True)]
+    assert sorted((r.doc_id or "", r.text) for r in near_dedup.keep_one(df).collect()) == sorted([("", one), ("a", one + " "), ("c", two), ("c", two)])
+    lines = {(r.doc_id, r.text) for r in line_dedup.dedup_lines(df).collect()}
+    assert lines == {("b", ""), ("a", one + " "), ("c", ""), ("c", two), (None, one)}
+
+
+def test_unrelated_items_of_a_chain_of_buckets_stay_out_of_blocks(spark):
+    """10,000 items in a chain of shared buckets without one link: each is compared within its own buckets only."""
+    n = 10_000
+    seen = spark.sparkContext.accumulator(0)
+
+    def score(x, y, cross):
+        seen.add(len(x) * (len(y) if cross else 1))
+        return (np.full((len(x), len(y)), -1.0), np.zeros((len(x), len(y)))) if cross else (np.full(len(x), -1.0), np.zeros(len(x)))
+
+    like = linking.Likeness(lambda col: np.array(col.to_pylist()).reshape(-1, 1), score, None, None)
+    buckets = spark.range(n).selectExpr("explode(array(id, id + 1, id + 2)) as key", "id")
+    groups, links = linking.link_groups(buckets, spark.range(n).selectExpr("id", "id as sketch"), lambda ids: ids.selectExpr("id", "'' as text"), like, "chain")
+    assert groups.count() == links.count() == 0 and seen.value < 6 * n
+
+
 @pytest.mark.parametrize("percent", [80, 85])
-def test_small_linked_sets_share_a_key(percent):
+def test_small_linked_sets_share_a_key(spark, percent):
     import pyarrow as pa
 
     rng = random.Random(percent)
@@ -325,9 +328,10 @@ def test_small_linked_sets_share_a_key(percent):
     for _ in range(6000):
         w = [f"w{rng.randrange(10**9)}" for _ in range(rng.randrange(5, 43))]
         texts += [" ".join(w), " ".join([*w, *(f"x{rng.randrange(10**9)}" for _ in range(max(1, len(w) * (100 - percent) // 200)))])]
-    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["id", "text"])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(range(len(texts))), pa.array(texts)], ["key", "id", "text"])
     keys = collections.defaultdict(set)
-    for b in near_dedup._bands(percent / 100)(near_dedup._sketch(3, percent)([batch])):
+    sketches = [b.rename_columns(["id", "doc", *b.schema.names[2:]]) for b in near_dedup._sketch(3, percent, Shared(textops.word_levels(spark.createDataFrame([(t,) for t in texts[:500]], "text string"), textops.SPACED)))([batch])]
+    for b in near_dedup._bands(percent / 100)(sketches):
         for k, i in zip(b["key"].to_pylist(), b["id"].to_pylist()):
             keys[i].add(k)
     linked = 0
