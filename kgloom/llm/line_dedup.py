@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .linking import Likeness, link_groups
+from .linking import Likeness, link_groups, shared_buckets
 from .storage import likely, materialize
 from .textops import ALNUM, LOWER, U, column, levels_of, mix, signed, word_levels, words
 
@@ -133,6 +133,18 @@ def _lines(min_words: int, similarity: float, shared):
     return run
 
 
+def _keys(keep):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys = b.column("keys")
+            k = keys.flatten().to_numpy()
+            at = np.flatnonzero(keep(k.view(U)))
+            of = np.repeat(np.arange(b.num_rows), np.diff(keys.offsets.to_numpy()))[at]
+            yield pa.RecordBatch.from_arrays([pa.array(k[at]), b.column("id").take(pa.array(of))], ["key", "id"])
+
+    return run
+
+
 def _fields(col) -> np.ndarray:
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
@@ -242,14 +254,11 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     level = docs.sparkSession.sparkContext.broadcast(word_levels(src, ALNUM))
     lines = materialize(src.mapInArrow(_lines(min_words, similarity, level), LINES.format(dict(src.dtypes)["doc"])), "lines")
     firsts = materialize(lines.groupBy("id").agg(F.min(F.struct("doc", "row", "line")).alias("first")), "forms")
-    # Most keys stand in one line only: they go before anything is shuffled with its line.
-    keys = lines.select("id", F.explode("keys").alias("key"))
-    again = materialize(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("key").alias("id")), "keys")
-    buckets = materialize(likely(keys, again, "key").join(again.withColumnRenamed("id", "key"), "key", "left_semi").distinct(), "buckets")
+    buckets = shared_buckets(lines.select("id", "keys"), _keys, "buckets")
     fields = ["s0", "s1", "p0", "p1", "n"]
     some = buckets.select("id").distinct()
     sketches = likely(lines.select("id", *fields), some).join(some, "id", "left_semi").groupBy("id").agg(*(F.first(c).alias(c) for c in fields))
-    sketches = materialize(sketches.select("id", F.array(*(F.col(c).cast("long") for c in fields)).alias("sketch")), "lines")
+    sketches = materialize(sketches.select("id", F.array(*(F.col(c).cast("long") for c in fields)).alias("sketch"), (16 * F.col("n").cast("long")).alias("bytes")), "lines")
 
     def payload(ids: DataFrame) -> DataFrame:
         refs = materialize(firsts.join(ids, "id").groupBy("first.row").agg(F.collect_list(F.struct("id", "first.line")).alias("refs")), "lines")

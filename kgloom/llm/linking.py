@@ -5,12 +5,14 @@
    For each item the pair with the best sketch score is verified in full, and the links give components.
 2. A bucket whose items are all in one component is done. In every other one, items of different components are compared by
    their sketches, inside tasks: small buckets many at a time, large ones in blocks of at most BLOCK by BLOCK items, where
-   only items outside the bucket's largest component meet the others. What passes is verified in full. From a large block
-   the BEST pairs of an item with a component go first, which joins most; what then is still apart is compared to the end.
+   only items outside the bucket's largest component meet the others. What passes is verified in full; a large block gives
+   the BEST pairs of each item, which join most.
+3. What large blocks still have to compare is compared to the end: the items that may be linked get their contents, and the
+   links that join components are found inside the block, so a block returns no more links than it has items.
 
 Every pair that shares a bucket thus ends in one component or has been tested; no bucket is capped. Only components of
-verified links matter, so unrelated items that share buckets never grow into one family. Blocks carry sketches of fixed
-size; full contents are joined to candidate pairs alone.
+verified links matter, so unrelated items that share buckets never grow into one family. Blocks are bounded in items and in
+bytes of contents; contents are joined to items that a sketch lets pass alone.
 """
 
 from __future__ import annotations
@@ -22,9 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .storage import likely, materialize
+from .storage import bloom, materialize, passes
 
-FAN, SMALL, BLOCK, BEST = 1024, 64, 1536, 4
+FAN, SMALL, BLOCK, BEST, BLOCK_BYTES = 1024, 64, 1536, 4, 32 << 20
 
 
 def components(edges: DataFrame, tag: str = "cc") -> DataFrame:
@@ -135,25 +137,71 @@ def _within_small(like: Likeness):
     return run
 
 
-def _within_block(like: Likeness, best: int | None):
-    """Pairs of different components in one block; rows: id, comp, l, r, sketch. Of an item with a component the best only."""
+def _survivors(like: Likeness, t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(left, right, score) of pairs of different components in one block, row numbers of t, that sketches let pass."""
+    comp = t["comp"].to_numpy()
+    left, right = (np.flatnonzero(t[c].to_numpy()) for c in ("l", "r"))
+    x = like.fields(t["sketch"].combine_chunks())
+    s, least = like.score(x[left], x[right], True)
+    li, ri = np.nonzero((s >= least) & (comp[left][:, None] != comp[right][None, :]))
+    return left[li], right[ri], s[li, ri]
+
+
+def _best(like: Likeness, best: int):
+    """Of one block the best pairs of each item on the left."""
+
+    def run(t: pa.Table) -> pa.Table:
+        x, y, score = _survivors(like, t)
+        order = np.lexsort((-score, x))
+        x, y = x[order], y[order]
+        rank = np.arange(len(x)) - np.searchsorted(x, x)
+        more = np.append(rank[1:] == best, False)[: len(x)]
+        keep = rank < best
+        return pa.Table.from_batches([_found(t["id"].to_numpy(), x[keep], y[keep], more[keep])])
+
+    return run
+
+
+def _open(like: Likeness):
+    """The rows of a block that stand in a pair its sketches let pass."""
+
+    def run(t: pa.Table) -> pa.Table:
+        x, y, _ = _survivors(like, t)
+        return t.take(pa.array(np.unique(np.concatenate([x, y])))).select(["blk", "id", "comp", "l", "r"])
+
+    return run
+
+
+def _links(like: Likeness):
+    """Links of one block that join components, the likeliest pairs first; rows: id, comp, l, r, sketch, text."""
 
     def run(t: pa.Table) -> pa.Table:
         ids, comp = t["id"].to_numpy(), t["comp"].to_numpy()
-        left, right = (np.flatnonzero(t[c].to_numpy()) for c in ("l", "r"))
-        x = like.fields(t["sketch"].combine_chunks())
-        s, least = like.score(x[left], x[right], True)
-        li, ri = np.nonzero((s >= least) & (comp[left][:, None] != comp[right][None, :]))
-        score, li, ri = s[li, ri], left[li], right[ri]
-        more = np.zeros(len(li), dtype=bool)
-        if best is not None and len(li):
-            order = np.lexsort((-score, comp[ri], li))
-            li, ri = li[order], ri[order]
-            first = np.flatnonzero(np.append(True, (li[1:] != li[:-1]) | (comp[ri[1:]] != comp[ri[:-1]])))
-            rank = np.arange(len(li)) - np.repeat(first, np.diff(np.append(first, len(li))))
-            more = np.append(rank[1:] == best, False)
-            li, ri, more = li[rank < best], ri[rank < best], more[rank < best]
-        return pa.Table.from_batches([_found(ids, li, ri, more)])
+        x, y, score = _survivors(like, t)
+        order = np.lexsort((-score, x))
+        x, y = x[order], y[order]
+        items = like.prepare(t["text"].combine_chunks())
+        root = {int(c): int(c) for c in comp}
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        links = []
+        while len(x):
+            now = np.arange(len(x)) - np.searchsorted(x, x) < 8
+            ok = like.same(items, items, x[now], y[now])
+            for i, j in zip(x[now][ok], y[now][ok]):
+                a, b = find(int(comp[i])), find(int(comp[j]))
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+                    links.append((int(ids[i]), int(ids[j])))
+            at = np.array([find(int(c)) for c in comp])
+            keep = ~now & (at[x] != at[y])
+            x, y = x[keep], y[keep]
+        return pa.table({"a": pa.array([min(p) for p in links], pa.int64()), "b": pa.array([max(p) for p in links], pa.int64())})
 
     return run
 
@@ -178,14 +226,19 @@ def _apart(rows: DataFrame, comp: DataFrame, tag: str) -> DataFrame:
     return materialize(named.join(mixed, "key"), tag)
 
 
-def _compared(apart: DataFrame, sketches: DataFrame, like: Likeness, best: int | None) -> DataFrame:
-    """(a, b, more): pairs of different components in a bucket whose sketches allow a link."""
+def _small_pairs(apart: DataFrame, sketches: DataFrame, like: Likeness) -> DataFrame:
+    """(a, b, more): pairs of different components in a small bucket that sketches let pass."""
     small = apart.where(F.col("n") <= SMALL).select("key", "id", "comp").join(sketches, "id").select("key", "id", "comp", "sketch")
-    found = small.repartition("key").sortWithinPartitions("key").mapInArrow(_within_small(like), FOUND)
-    large = apart.where(F.col("n") > SMALL)
-    sizes = large.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
-    mains = sizes.groupBy("key").agg(F.max(F.struct("n", (-F.col("comp")).alias("c"))).alias("x"), F.sum("n").alias("all"))
-    mains = mains.select("key", (-F.col("x.c")).alias("main"), F.ceil((F.col("all") - F.col("x.n")) / BLOCK).cast("int").alias("oc"), F.ceil(F.col("x.n") / BLOCK).cast("int").alias("mc"))
+    return small.repartition("key").sortWithinPartitions("key").mapInArrow(_within_small(like), FOUND)
+
+
+def _blocks(apart: DataFrame, sketches: DataFrame) -> DataFrame:
+    """(blk, id, comp, l, r): the large buckets cut into blocks, in which items on the left meet those on the right."""
+    large = apart.where(F.col("n") > SMALL).select("key", "id", "comp").join(sketches.select("id", "bytes"), "id")
+    sizes = large.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
+    mains = sizes.groupBy("key").agg(F.max(F.struct("n", (-F.col("comp")).alias("c"), "bytes")).alias("x"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
+    chunks = lambda n, size: F.greatest(F.ceil(n / BLOCK), F.ceil(size / BLOCK_BYTES), F.lit(1)).cast("int")
+    mains = mains.select("key", (-F.col("x.c")).alias("main"), chunks(F.col("n") - F.col("x.n"), F.col("bytes") - F.col("x.bytes")).alias("oc"), chunks(F.col("x.n"), F.col("x.bytes")).alias("mc"))
     rows = large.select("key", "id", "comp").join(mains, "key").withColumn("out", F.col("comp") != F.col("main"))
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1)).alias("j")
     block = lambda i, j, kind: F.xxhash64("key", i.cast("long"), j.cast("long"), F.lit(kind)).alias("blk")
@@ -195,48 +248,70 @@ def _compared(apart: DataFrame, sketches: DataFrame, like: Likeness, best: int |
     ahead = outs.select("key", "id", "comp", "c", every(F.col("mc"))).select(block(F.col("c"), F.col("j"), 1), "id", "comp", F.lit(True).alias("l"), F.lit(False).alias("r"))
     core = rows.where("not out").withColumn("c", _salted(F.col("id"), F.col("mc")))
     core = core.select("key", "id", "comp", "c", every(F.col("oc"))).select(block(F.col("j"), F.col("c"), 1), "id", "comp", F.lit(False).alias("l"), F.lit(True).alias("r"))
-    blocks = meets.unionAll(ahead).unionAll(core).join(sketches, "id").select("blk", "id", "comp", "l", "r", "sketch")
-    return found.unionAll(blocks.groupBy("blk").applyInArrow(_within_block(like, best), FOUND))
+    return meets.unionAll(ahead).unionAll(core)
+
+
+def shared_buckets(table: DataFrame, emit: Callable[[Callable], Callable], tag: str) -> DataFrame:
+    """The distinct (key, id) whose key stands in several rows. emit(keep) makes a function for mapInArrow that gives the keys
+    (key, id) of the table's rows for which keep(keys) holds.
+
+    Most keys stand in one row only: keys are counted by themselves, and a filter of fixed size drops most of the others
+    where they are made; it loses none that is shared.
+    """
+    counted = table.mapInArrow(emit(lambda keys: np.ones(len(keys), dtype=bool)), "key long, id long").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    again = materialize(counted.where("n > 1").select("key"), tag)
+    bits = table.sparkSession.sparkContext.broadcast(bloom(again, "key"))
+    rows = table.mapInArrow(emit(lambda keys: passes(keys, bits.value)), "key long, id long")
+    return materialize(rows.join(again, "key", "left_semi").distinct(), tag)
 
 
 def link_groups(buckets: DataFrame, sketches: DataFrame, payload: Callable[[DataFrame], DataFrame], like: Likeness, tag: str) -> tuple[DataFrame, DataFrame]:
     """Components of similar items, and the links found; items without a link are in neither.
 
-    buckets: (key, id), without repeats; sketches: (id, sketch); payload(ids) gives (id, text) of a table of ids.
+    buckets: (key, id), without repeats, such as shared_buckets gives; sketches: (id, sketch, bytes), bytes the size of an item's contents; payload(ids)
+    gives (id, text) of a table of ids.
     """
     # A bucket's least id and size come from a map-side combined aggregate; joining back splits hot keys at run time.
-    heads = materialize(buckets.groupBy("key").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1"), tag)
-    rows = materialize(likely(buckets, heads.select(F.col("key").alias("id")), "key").join(heads, "key").select("key", "id", "head", "n"), tag)
-    sketches = sketches.select("id", "sketch")
-    ends = [sketches.select(F.col("id").alias(c), F.col("sketch").alias(f"s{c}")) for c in "ab"]
+    heads = buckets.groupBy("key").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    rows = materialize(buckets.join(heads, "key").select("key", "id", "head", "n"), tag)
+    drawn = sketches.select("id", "sketch")
+    ends = [drawn.select(F.col("id").alias(c), F.col("sketch").alias(f"s{c}")) for c in "ab"]
     star = _star(rows, tag).join(ends[0], "a").join(ends[1], "b").select("a", "b", "sa", "sb")
     star = materialize(star.mapInArrow(_passing(like), "a long, b long, score double"), tag)
 
+    def contents(ids: DataFrame) -> DataFrame:
+        return materialize(payload(materialize(ids.distinct(), tag)).select("id", "text"), tag)
+
     def verified(pairs: DataFrame) -> DataFrame:
-        ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), tag)
-        texts = materialize(payload(ids).select("id", "text"), tag)
+        texts = contents(pairs.select(F.explode(F.array("a", "b")).alias("id")))
         ta, tb = (texts.select(F.col("id").alias(c), F.col("text").alias(f"t{c}")) for c in "ab")
         # The side that may repeat is joined while rows are thin.
         return materialize(pairs.select("a", "b").join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb").mapInArrow(_verified(like), "a long, b long"), tag)
 
-    best = star.groupBy("b").agg(F.max(F.struct("score", (-F.col("a")).alias("m"))).alias("x")).select((-F.col("x.m")).alias("a"), "b")
-    tested = materialize(best, tag)
-    links = verified(tested)
+    best = materialize(star.groupBy("b").agg(F.max(F.struct("score", (-F.col("a")).alias("m"))).alias("x")).select((-F.col("x.m")).alias("a"), "b"), tag)
+    links = verified(best)
+    comp = components(links, tag)
+
+    # The star has compared the buckets of two.
+    apart = _apart(rows.where("n > 2"), comp, tag)
+    blocks = _blocks(apart, sketches).join(drawn, "id").select("blk", "id", "comp", "l", "r", "sketch")
+    found = _small_pairs(apart, drawn, like).unionAll(blocks.groupBy("blk").applyInArrow(_best(like, BEST), FOUND))
+    a, b = (comp.select(F.col("id").alias(c), F.col("component").alias(f"c{c}")) for c in "ab")
+    other = star.join(a, "a", "left").join(b, "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
+    found = found.unionAll(other.select("a", "b", F.lit(False)))
+    found = materialize(found.groupBy("a", "b").agg(F.max("more").alias("more")).join(best.select("a", "b"), ["a", "b"], "left_anti"), tag)
+    if found.isEmpty():
+        return comp, links
+    links = links.unionAll(verified(found))
     comp = components(links, tag)
-    for most in (BEST, None):
-        # The star has compared the buckets of two, the first round all small ones to the end.
-        apart = _apart(rows.where(F.col("n") > (2 if most else SMALL)), comp, tag)
-        found = _compared(apart, sketches, like, most)
-        if most:  # pairs of the star that were not their item's best
-            a, b = (comp.select(F.col("id").alias(c), F.col("component").alias(f"c{c}")) for c in "ab")
-            other = star.join(a, "a", "left").join(b, "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
-            found = found.unionAll(other.select("a", "b", F.lit(False)))
-        found = materialize(found.groupBy("a", "b").agg(F.max("more").alias("more")).join(tested, ["a", "b"], "left_anti"), tag)
-        if found.isEmpty():
-            break
-        links = links.unionAll(verified(found))
-        comp = components(links, tag)
-        tested = tested.unionAll(found.select("a", "b"))
-        if found.where("more").isEmpty():
-            break
-    return comp, links
+    if found.where("more").isEmpty():
+        return comp, links
+
+    apart = _apart(rows.where(F.col("n") > SMALL), comp, tag)
+    blocks = _blocks(apart, sketches).join(drawn, "id").select("blk", "id", "comp", "l", "r", "sketch")
+    still = materialize(blocks.groupBy("blk").applyInArrow(_open(like), "blk long, id long, comp long, l boolean, r boolean"), tag)
+    if still.isEmpty():
+        return comp, links
+    full = still.join(drawn, "id").join(contents(still.select("id")), "id").select("blk", "id", "comp", "l", "r", "sketch", "text")
+    links = links.unionAll(materialize(full.groupBy("blk").applyInArrow(_links(like), "a long, b long"), tag))
+    return components(links, tag), links

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .linking import Likeness, link_groups
+from .linking import Likeness, link_groups, shared_buckets
 from .storage import likely, materialize
 from .textops import SPACED, U, column, levels_of, mix, ngrams, shingle_set, signed, word_levels, words
 
@@ -151,7 +151,7 @@ class Classes:
         return self.of(size) <= self.first
 
 
-def _bands(threshold: float):
+def _bands(threshold: float, keep):
     """Candidate keys: the single hashes of small sets, and K / band_width bands of full registers of sets from the class
     below `first` on. Registers of small sets are mostly empty, so that a band could hold nothing that a pair shares."""
     classes = Classes(threshold)
@@ -162,7 +162,9 @@ def _bands(threshold: float):
             low = b.column("low")
             many = np.diff(low.offsets.to_numpy())
             if many.sum():
-                yield pa.RecordBatch.from_arrays([signed(mix(low.flatten().to_numpy().view(U) ^ U(0x2545F4914F6CDD1D))), pa.array(np.repeat(ids, many))], ["key", "id"])
+                key = mix(low.flatten().to_numpy().view(U) ^ U(0x2545F4914F6CDD1D))
+                ok = keep(key)
+                yield pa.RecordBatch.from_arrays([signed(key[ok]), pa.array(np.repeat(ids, many)[ok])], ["key", "id"])
             at = np.flatnonzero(classes.of(b.column("n_shingles").to_numpy()) + 1 >= classes.first)
             x = _matrix(b.column("sketch"))[at].astype(U)
             edges = np.arange(classes.bands + 1) * K // classes.bands
@@ -171,7 +173,7 @@ def _bands(threshold: float):
                 acc = np.full(len(at), k + 1, dtype=U)
                 for j in range(part.shape[1]):
                     acc = mix(acc ^ part[:, j]) + U(j)
-                full = part.any(axis=1)
+                full = part.any(axis=1) & keep(acc)
                 yield pa.RecordBatch.from_arrays([signed(acc[full]), pa.array(ids[at[full]])], ["key", "id"])
 
     return run
@@ -186,9 +188,9 @@ def _compared(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent
     which = ["set_a", "set_b", "n_shingles"]
     sets = materialize(table.where("n_shingles > 0 and id is not null").groupBy(which).agg(F.min("key").alias("rep"), F.min("id").alias("least")), "sets")
     reps = sets.select(F.col("rep").alias("id")).distinct()
-    sketches = table.select(F.col("key").alias("id"), "n_shingles", "sketch", "low")
+    sketches = table.select(F.col("key").alias("id"), "n_shingles", "sketch", "low", (8 * F.col("n_shingles")).alias("bytes"))
     sketches = materialize(sketches.join(reps, "id", "left_semi").dropDuplicates(["id"]), "reps")
-    buckets = sketches.mapInArrow(_bands(percent / 100), "key long, id long")
+    buckets = shared_buckets(sketches, lambda keep: _bands(percent / 100, keep), "buckets")
     texts = src.where("id is not null").select(F.col("key").alias("id"), "text")
     payload = lambda ids: likely(texts, ids).join(ids, "id").dropDuplicates(["id"])
     found, links = link_groups(buckets, sketches, payload, Likeness(_matrix, scorer(percent / 100), preparer(shingle), verifier(percent)), "near")

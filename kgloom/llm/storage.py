@@ -13,13 +13,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where it is unset, as in tests, one temporary folder for the session."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder in spark.checkpoint.dir; where it is unset, in local mode only, one temporary folder for the session."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.kgloom.scratch", None)
     if not found:
-        found = spark.conf.get("spark.kgloom.scratch", None)
-        if not found:
-            found = "file://" + tempfile.mkdtemp(prefix="kgloom-")
-            spark.conf.set("spark.kgloom.scratch", found)
+        # In local mode driver and executors share one machine; on a cluster each would write to a disk of its own.
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="kgloom-")
+        spark.conf.set("spark.kgloom.scratch", found)
     return found.rstrip("/")
 
 
@@ -34,17 +35,17 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-#: Bits of a filter: one megabyte, whatever it holds.
-BLOOM_BITS = 1 << 23
+#: Bits of a filter: eight megabytes, whatever it holds.
+BLOOM_BITS = 1 << 26
 
 
 def bloom(df: DataFrame, col: str) -> np.ndarray:
-    """A Bloom filter, as 32-bit words, of a column of hashes; what reaches the driver is BLOOM_BITS / 8 bytes at most."""
+    """A Bloom filter, as 32-bit words, of a column of hashes; its words reach the driver, BLOOM_BITS / 32 rows at most."""
     pos = F.pmod(F.col(col), F.lit(BLOOM_BITS))
-    rows = df.select(F.floor(pos / 32).alias("w"), F.expr(f"shiftleft(1L, cast(pmod({col}, 32) as int))").alias("m")).groupBy("w").agg(F.expr("bit_or(m)").alias("m")).collect()
+    rows = df.select(F.shiftright(pos, 5).cast("int").alias("w"), F.expr(f"shiftleft(1L, cast(pmod({col}, 32) as int))").alias("m")).groupBy("w").agg(F.expr("bit_or(m)").alias("m")).toArrow()
     bits = np.zeros(BLOOM_BITS // 32, dtype=np.uint32)
-    for w, m in rows:
-        bits[w] = m
+    if rows.num_rows:
+        bits[rows["w"].to_numpy()] = rows["m"].to_numpy()
     return bits
 
 
