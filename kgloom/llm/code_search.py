@@ -5,9 +5,10 @@ at distance d have a segment at distance d // segments or less, so after all seg
 within segments * (s + 1) - 1 has been seen. The search looks at codes whose segments are 0, 1, 2, ... bits from the query's
 and stops, query by query, as soon as the kth verified distance is covered by that bound. The result is exact.
 
-At scale: equal codes are collapsed first and keep the k smallest ids, all that any query can need. The distinct codes are
-dealt by hash into cells of bounded size and the queries into blocks of bounded size; each (block, cell) pair is one task
-group with its own segment tables, which returns k rows a query at most; the kth best over all cells follows by ranking.
+At scale: equal codes are collapsed first and keep the k smallest ids, all that any query can need. The index is a table of
+(segment, value, code); a round joins it with the queries that are still open, each segment value changed in s bits. A code
+that a query meets over several segments counts where it is nearest, in the first such segment, so no pair comes twice and
+no state but the k best of a query is kept between rounds. DataFrame functions only.
 
 Defined results: null and empty vectors, and vectors of null ids, are neither found nor ask; null elements count as not
 positive; shorter vectors are padded with zeros; ties go to the smaller id; repeated ids count once per distinct code; with
@@ -16,129 +17,71 @@ fewer than k other vectors all are returned; a query isn't its own neighbour; ex
 
 from __future__ import annotations
 
-from itertools import combinations
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F
+from .storage import materialize
 
 SEGMENT = 16
-CELL, BLOCK = 8192, 4096
 
 
-def masks(radius: int) -> np.ndarray:
-    """All segment values with exactly `radius` bits."""
-    return np.array([sum(1 << b for b in c) for c in combinations(range(SEGMENT), radius)], dtype=np.int64)
+def _segments(vector: Column, dims: int) -> list[Column]:
+    """The sign bits of a vector, cut into numbers of SEGMENT bits; missing elements are no bits."""
+    bits = F.rpad(F.array_join(F.transform(vector, lambda x: F.when(x > 0, "1").otherwise("0")), ""), -(-dims // SEGMENT) * SEGMENT, "0")
+    return [F.conv(F.substring(bits, at + 1, SEGMENT), 2, 10).cast("long").alias(f"c{at // SEGMENT}") for at in range(0, dims, SEGMENT)]
 
 
-def search(queries: np.ndarray, codes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, code, distance) indexes: the k nearest codes of each query with all that tie with the kth.
-
-    queries and codes are (n, segments) arrays of 16-bit values.
-    """
-    m, n = codes.shape[1], len(codes)
-    tables = []
-    for j in range(m):
-        order = np.argsort(codes[:, j], kind="stable")
-        tables.append((order, np.searchsorted(codes[order, j], np.arange((1 << SEGMENT) + 1))))
-    seen_q, seen_c, seen_d = (np.zeros(0, dtype=np.int64) for _ in range(3))
-    open_q = np.arange(len(queries))
-    done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for s in range(SEGMENT + 1):
-        flips = masks(s)
-        new = []
-        for j, (order, starts) in enumerate(tables):
-            for at in range(0, len(open_q), 256):
-                q = open_q[at : at + 256]
-                value = (queries[q, j].astype(np.int64)[:, None] ^ flips[None, :]).ravel()
-                lo, size = starts[value], starts[value + 1] - starts[value]
-                hit = np.flatnonzero(size)
-                lo, size = lo[hit], size[hit]
-                who = np.repeat(np.repeat(q, len(flips))[hit], size)
-                which = order[np.repeat(lo, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)]
-                new.append(np.unique(who * n + which))
-        fresh = np.setdiff1d(np.unique(np.concatenate(new)) if new else np.zeros(0, dtype=np.int64), seen_q * n + seen_c, assume_unique=False)
-        fq, fc = fresh // n, fresh % n
-        fd = np.bitwise_count(queries[fq] ^ codes[fc]).sum(axis=1).astype(np.int64)
-        seen_q, seen_c, seen_d = np.concatenate([seen_q, fq]), np.concatenate([seen_c, fc]), np.concatenate([seen_d, fd])
-        covered = m * (s + 1) - 1
-        within = seen_d <= covered
-        count = np.bincount(seen_q[within], minlength=len(queries))
-        full = open_q[(count[open_q] >= k) | (s == SEGMENT)]
-        if len(full):
-            mine = np.isin(seen_q, full)
-            q, c, d = seen_q[mine], seen_c[mine], seen_d[mine]
-            order = np.lexsort((d, q))
-            q, c, d = q[order], c[order], d[order]
-            first = np.searchsorted(q, q)
-            kth = d[np.minimum(first + k - 1, np.searchsorted(q, q, "right") - 1)]
-            done.append((q[d <= kth], c[d <= kth], d[d <= kth]))
-            seen_q, seen_c, seen_d = seen_q[~mine], seen_c[~mine], seen_d[~mine]
-            open_q = np.setdiff1d(open_q, full)
-        if not len(open_q):
-            break
-    if not done:
-        return seen_q, seen_c, seen_d
-    return tuple(np.concatenate([x[i] for x in done]) for i in range(3))
-
-
-def _codes(col) -> np.ndarray:
-    col = col.combine_chunks()
-    if isinstance(col, pa.ChunkedArray):
-        col = col.chunk(0)
-    raw = np.frombuffer(b"".join(col.to_pylist()), dtype=np.uint8)
-    return raw.reshape(len(col), -1).view("<u2")
-
-
-def _cell(k: int):
-    def run(t: pa.Table) -> pa.Table:
-        asks = t["asks"].to_numpy()
-        q, c = t.filter(pa.array(asks)), t.filter(pa.array(~asks))
-        out: dict[str, list] = {"query_id": [], "vec_id": [], "distance": []}
-        if len(q) and len(c):
-            ids, owners = q["id"].to_pylist(), c["ids"].to_pylist()
-            # One row more than k of codes: the query's own code may be among them.
-            for i, j, d in zip(*(x.tolist() for x in search(_codes(q["code"]), _codes(c["code"]), k + 1))):
-                for v in owners[j]:
-                    if v != ids[i]:
-                        out["query_id"].append(ids[i])
-                        out["vec_id"].append(v)
-                        out["distance"].append(d)
-        found = pa.table({"query_id": pa.array(out["query_id"], pa.int64()), "vec_id": pa.array(out["vec_id"], pa.int64()), "distance": pa.array(out["distance"], pa.int32())})
-        # No more than k a query leave the cell.
-        order = np.lexsort((found["vec_id"].to_numpy(), found["distance"].to_numpy(), found["query_id"].to_numpy()))
-        q = found["query_id"].to_numpy()[order]
-        return found.take(pa.array(order[np.arange(len(q)) - np.searchsorted(q, q) < k]))
-
-    return run
-
-
-def binary_codes(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(id, code): the sign bits of each vector, padded to whole segments of the longest vector."""
-    src = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).where("id is not null and size(v) > 0")
-    longest = src.agg(F.max(F.size("v"))).first()[0] or 0
-    width = -(-longest // SEGMENT) * SEGMENT
-    bits = F.rpad(F.array_join(F.transform("v", lambda x: F.when(x > 0, "1").otherwise("0")), ""), width, "0")
-    hexed = F.concat(*(F.lpad(F.conv(F.substring(bits, at + 1, SEGMENT), 2, 16), SEGMENT // 4, "0") for at in range(0, width, SEGMENT))) if width else F.lit("")
-    return src.select("id", F.unhex(hexed).alias("code"))
+def _probes(found: DataFrame, codes: list[str], radius: int) -> DataFrame:
+    """found with a row for each segment j and each value that differs from the code's in exactly `radius` bits."""
+    every = F.explode(F.array(*(F.struct(F.lit(j).alias("j"), F.col(c).alias("value")) for j, c in enumerate(codes)))).alias("at")
+    out = found.select("*", every).select("*", "at.j", "at.value").drop("at")
+    if not radius:
+        return out
+    # A constant: all numbers of SEGMENT bits with `radius` ones.
+    masks = F.filter(F.sequence(F.lit(0).cast("long"), F.lit((1 << SEGMENT) - 1).cast("long")), lambda x: F.bit_count(x) == radius)
+    return out.withColumn("mask", F.explode(masks)).withColumn("value", F.col("value").bitwiseXOR(F.col("mask"))).drop("mask")
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, distance): the k nearest vectors by Hamming distance of each row of queries, a subset of
     vectors."""
-    codes = binary_codes(vectors, id_col, vector_col).distinct()
-    asking = codes.join(queries.select(F.col(id_col).cast("long").alias("id")).distinct(), "id", "left_semi")
+    src = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).where("id is not null and size(v) > 0")
+    dims = src.agg(F.max(F.size("v"))).first()[0] or SEGMENT
+    coded = src.select("id", *_segments(F.col("v"), dims)).distinct()
+    codes = coded.columns[1:]
+    coded = materialize(coded, "codes")
+    asking = coded.join(queries.select(F.col(id_col).cast("long").alias("id")).distinct(), "id", "left_semi").withColumnRenamed("id", "query_id")
     # Of equal codes the k + 1 smallest ids: one may be the query itself.
-    ranked = codes.withColumn("r", F.row_number().over(W.partitionBy("code").orderBy("id"))).where(F.col("r") <= k + 1)
-    distinct = ranked.groupBy("code").agg(F.array_sort(F.collect_list("id")).alias("ids"))
-    cells = max(1, -(-codes.count() // CELL))
-    blocks = max(1, -(-asking.count() // BLOCK))
-    every = lambda n, name: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
-    q = asking.select(F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), every(cells, "cell"), F.lit(True).alias("asks"), "id", "code", F.lit(None).cast("array<bigint>").alias("ids"))
-    c = distinct.select(every(blocks, "block"), F.pmod(F.xxhash64("code"), F.lit(cells)).cast("int").alias("cell"), F.lit(False).alias("asks"), F.lit(None).cast("bigint").alias("id"), "code", "ids")
-    found = q.unionByName(c).groupBy("block", "cell").applyInArrow(_cell(k), "query_id long, vec_id long, distance int")
-    best = F.row_number().over(W.partitionBy("query_id").orderBy("distance", "vec_id"))
-    return found.select("query_id", best.alias("rank"), "vec_id", "distance").where(F.col("rank") <= k)
+    ranked = coded.withColumn("r", F.row_number().over(W.partitionBy(*codes).orderBy("id"))).where(F.col("r") <= k + 1)
+    distinct = ranked.groupBy(*codes).agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    index = materialize(_probes(distinct, codes, 0).select("j", "value", "ids", *(F.col(c).alias(f"x{c}") for c in codes)), "index")
+    open_ = materialize(asking, "open")
+    best = None
+    done = []
+    for s in range(SEGMENT + 1):
+        apart = [F.bit_count(F.col(c).bitwiseXOR(F.col(f"x{c}"))) for c in codes]
+        # Once only: no segment is nearer, and none before this one is as near.
+        first = F.lit(True)
+        for i, d in enumerate(apart):
+            first = first & F.when(F.col("j") > i, d > s).otherwise(d >= s)
+        met = _probes(open_, codes, s).join(index, ["j", "value"]).where(first)
+        met = met.select("query_id", *codes, sum(apart[1:], apart[0]).cast("int").alias("distance"), F.explode("ids").alias("vec_id")).where("vec_id <> query_id").select("query_id", "distance", "vec_id")
+        met = met if best is None else met.unionAll(best)
+        rank = F.row_number().over(W.partitionBy("query_id").orderBy("distance", "vec_id")).alias("rank")
+        met = materialize(met.distinct().select("query_id", rank, "vec_id", "distance").where(F.col("rank") <= k), "best")
+        if s == SEGMENT:
+            done.append(met)
+            break
+        covered = len(codes) * (s + 1) - 1
+        closed = met.where((F.col("rank") == k) & (F.col("distance") <= covered)).select("query_id").distinct()
+        done.append(met.join(closed, "query_id", "left_semi"))
+        best = met.join(closed, "query_id", "left_anti").select("query_id", "distance", "vec_id")
+        open_ = materialize(open_.join(closed, "query_id", "left_anti"), "open")
+        if open_.isEmpty():
+            break
+    out = done[0]
+    for part in done[1:]:
+        out = out.unionAll(part)
+    return out.select("query_id", "rank", "vec_id", "distance")
 
 
 def op8_exact_top_k(spark, sf_dir: str) -> DataFrame:
