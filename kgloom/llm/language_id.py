@@ -1,16 +1,16 @@
 """Language ID (operator 1): bit-sliced Bloom filters over byte n-grams.
 
-Each slot of the filter is a bit mask of languages. A gram's mask, the AND of its K slots, names all languages that contain
+Each slot of the filter is a bit mask of languages, of as many 64-bit words as they need. A gram's mask, the AND of its K slots, names all languages that contain
 it (and a few by chance); the votes of a text are, per language, the count of its grams whose mask has the language's bit.
 A language whose bit is set in a share f of the slots gets f**K false votes a gram; votes are corrected for that, and the
 language with the largest corrected share of the text's grams is predicted. The share is the score.
 
 Grams are runs of four bytes of the text after lower-casing A-Z and turning everything but letters and bytes beyond ASCII
-into spaces, with two letters at least. The filter holds, per language, the `grams` most frequent grams whose share of the
-language's grams is at least half of the largest share that the gram has in any language.
+into spaces, with two letters at least. The filter holds, per language, the most frequent grams, `grams` at most (those that tie at the end stay out), whose
+share of the language's grams is at least half of the largest share that the gram has in any language.
 
-Learning reads at most about `sample` labelled documents per language, chosen by a hash of the id (documented bound); at most
-64 languages are learned, the most frequent ones. The filter has a fixed size.
+Learning reads at most about `sample` labelled documents per language, chosen by a hash of the id (documented bound). Every
+language that labelled documents show is learned; the filter has a size fixed by their number.
 
 Defined results: null texts and texts without a letter give `und` and 0; texts whose grams are all unknown give the most
 frequent language and 0; ties go to the language first in the alphabet; without labelled documents all is `und`; extra
@@ -24,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .storage import materialize
 from .textops import CHUNK, U, buffers, column, mix
@@ -115,27 +115,38 @@ def _count(langs: list[str]):
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = 20_000, grams: int = 20_000) -> Model:
     """Learns from labelled (id, text, language) rows; rows without a language are ignored."""
     rows = labelled.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("lang is not null and text is not null")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(64).collect()
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     langs = sorted(r[0] for r in counts)
     if not langs:
-        return Model([], "und", np.zeros(1, dtype=np.uint8), np.zeros(0))
+        return Model([], "und", np.zeros((1, 1), dtype=np.uint8), np.zeros(0))
     share = F.create_map(*(x for r in counts for x in (F.lit(r[0]), F.lit(min(1.0, sample / r[1])))))
-    chosen = rows.where(F.col("lang").isin(langs)).where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < F.element_at(share, F.col("lang")) * (1 << 20))
+    chosen = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < F.element_at(share, F.col("lang")) * (1 << 20))
     seen = chosen.select("lang", "text").mapInArrow(_count(langs), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     seen = materialize(seen, "grams")
-    total = F.create_map(*(x for r in seen.groupBy("lang").agg(F.sum("n")).collect() for x in (F.lit(r[0]), F.lit(r[1]))), *(F.lit(x) for x in ("", 1)))
+    totals = {r[0]: r[1] for r in seen.groupBy("lang").agg(F.sum("n")).collect()}
+    total = F.create_map(*(x for k in langs for x in (F.lit(k), F.lit(totals.get(k, 0)))))
     seen = seen.withColumn("part", F.col("n") / F.element_at(total, F.col("lang")))
     most = seen.groupBy("gram").agg(F.max("part").alias("most"))
-    seen = seen.join(most, "gram").where("part >= 0.5 * most")
-    top = seen.withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "gram"))).where(F.col("k") <= grams)
-    table = top.select("lang", "gram").toArrow()
+    seen = materialize(seen.join(most, "gram").where("part >= 0.5 * most").select("lang", "gram", "n"), "grams")
+    # The count at which a language has `grams` grams or more, from how many grams have each count; no language is sorted.
+    often = seen.groupBy("lang", "n").agg(F.count(F.lit(1)).alias("kinds")).toArrow().to_pydict()
+    least = {}
+    for k in langs:
+        left = grams
+        for n, kinds in sorted(((n, c) for x, n, c in zip(often["lang"], often["n"], often["kinds"]) if x == k), reverse=True):
+            if kinds > left:
+                break
+            left, least[k] = left - kinds, n
+    floor = F.create_map(*(x for k in langs for x in (F.lit(k), F.lit(least.get(k, 1 << 62)))))
+    table = seen.where(F.col("n") >= F.element_at(floor, F.col("lang"))).select("lang", "gram").toArrow()
+    width = -(-len(langs) // 64)
     kind = np.uint8 if len(langs) <= 8 else np.uint64
-    slots = np.zeros(SLOTS, dtype=kind)
-    of, g = np.array(table["lang"].to_pylist()), table["gram"].to_numpy()
+    slots = np.zeros((SLOTS, width), dtype=kind)
+    of, g = np.array(table["lang"].to_pylist(), dtype=object), table["gram"].to_numpy()
     for k, name in enumerate(langs):
         for pos in _positions(g[of == name].astype(np.uint32)):
-            slots[pos] |= kind(1 << k)
-    full = np.array([(slots >> kind(k) & kind(1)).mean() for k in range(len(langs))])
+            slots[pos, k // 64] |= kind(1 << k % 64)
+    full = np.array([(slots[:, k // 64] >> kind(k % 64) & kind(1)).mean() for k in range(len(langs))])
     return Model(langs, counts[0][0], slots, full**K)
 
 
@@ -153,10 +164,10 @@ def _votes(shared):
                 bounds = np.searchsorted(where, offsets)
                 total = np.diff(bounds)
                 pos = list(_positions(g[where]))
-                mask = m.slots[pos[0]] & m.slots[pos[1]] & m.slots[pos[2]] if m.langs else np.zeros(0, dtype=kind)
+                mask = m.slots[pos[0]] & m.slots[pos[1]] & m.slots[pos[2]] if m.langs else np.zeros((0, 1), dtype=kind)
                 best, lang = np.full(n, -1.0), np.full(n, -1)
                 for k in range(len(m.langs)):
-                    upto = np.concatenate([[0], np.cumsum((mask >> kind(k) & kind(1)).astype(np.int32), dtype=np.int64)])
+                    upto = np.concatenate([[0], np.cumsum((mask[:, k // 64] >> kind(k % 64) & kind(1)).astype(np.int32), dtype=np.int64)])
                     votes = upto[bounds[1:]] - upto[bounds[:-1]]
                     p = m.false_rate[k]
                     share = np.clip((votes / np.maximum(total, 1) - p) / max(1 - p, 1e-9), 0, 1)
@@ -195,8 +206,10 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def keep_recognised(docs: DataFrame, model: Model, least: float = 0.1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, with all their columns, in a recognised language: not `und`, and with a score of `least` or more."""
-    bad = predict(docs, model, id_col, text_col).where((F.col("lang_pred") == "und") | (F.col("score") < least)).select(F.col(id_col).alias("__bad")).distinct()
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("__bad")), "left_anti")
+    row = F.xxhash64(id_col, text_col)
+    rows = docs.select(row.alias("row"), F.col(text_col).alias("text"))
+    bad = predict(rows, model, "row", "text").where((F.col("lang_pred") == "und") | (F.col("score") < least)).select(F.col("row").alias("__bad")).distinct()
+    return docs.join(bad, row == F.col("__bad"), "left_anti")
 
 
 def op1_language_id(spark, sf_dir: str) -> DataFrame:
