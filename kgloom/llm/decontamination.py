@@ -10,8 +10,8 @@ word by word. Windows with a shingle that no document has are dropped: they cann
 A Bloom filter of fixed size keeps positions that cannot match from leaving the scan; it never drops a match.
 
 Defined results: null and empty texts have no words; repeated items give one window with several owners; items with a null
-id count for hits, not for items; rows sharing an id are expected to share their text; extra columns are ignored by
-`contamination` and kept by `decontaminate`.
+id count for hits, not for items; rows that share an id but not the text are judged each by itself, repeated rows alike;
+extra columns are ignored by `contamination` and kept by `decontaminate`.
 """
 
 from __future__ import annotations
@@ -78,7 +78,6 @@ def _find(sizes: list[int], size: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("p", pa.int32()), ("gram", pa.int64()), ("lo", pa.int32()), ("ctx", pa.string())]))
         for b in batches:
-            ids = b.column("id")
             for w in words(column(b, "text"), ALNUM):
                 found: list[list | None] = [None] * w.n
                 rows = np.repeat(np.arange(w.n), np.diff(w.bounds))
@@ -91,15 +90,15 @@ def _find(sizes: list[int], size: int, shared):
                         if found[r] is None:
                             found[r] = []
                         found[r].append({"p": i - first, "gram": x, "lo": lo - first, "ctx": ctx})
-                yield pa.RecordBatch.from_arrays([ids.slice(w.row0, w.n), pa.array(np.diff(w.bounds), pa.int64()), pa.array(found, kind)], ["id", "n_words", "hits"])
+                yield pa.RecordBatch.from_arrays([b.column(c).slice(w.row0, w.n) for c in ("row", "id")] + [pa.array(np.diff(w.bounds), pa.int64()), pa.array(found, kind)], ["row", "id", "n_words", "hits"])
 
     return run
 
 
-def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 13) -> DataFrame:
-    """Per document: id, n_words, n_hit, n_items, items (sorted ids as strings), contaminated."""
+def _judged(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    """Per document: row (a hash of id and text), id, n_words, n_hit, items, n_items, contaminated."""
     spark = docs.sparkSession
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    src = docs.select(F.xxhash64(id_col, text_col).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     owned = materialize(items.select(F.col("item_id").cast("string").alias("item_id"), "text").mapInArrow(_windows(size), "item_id string, win string, n int, grams array<long>"), "windows")
     wins = owned.dropDuplicates(["win"]).select("win", "n", "grams")
     sizes = sorted(r[0] for r in wins.select(F.least("n", F.lit(SHINGLE)).alias("s")).distinct().collect())
@@ -113,29 +112,33 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     table = src.mapInArrow(_find(sizes, size, probe), T_FOUND.format(dict(src.dtypes)["id"]))
     table = materialize(table, "hits")
     side = F.broadcast(prefix) if prefix.count() <= BROADCAST_ROWS else prefix
-    hits = table.where("hits is not null").select("id", "n_words", F.explode("hits").alias("h")).select("id", "n_words", "h.*")
+    hits = table.where("hits is not null").select("row", "n_words", F.explode("hits").alias("h")).select("row", "n_words", "h.*")
     at = hits.join(side, "gram").withColumn("start", F.col("p") - F.col("off")).where("start >= 0 and start >= lo and start + n <= n_words")
     at = at.where(F.array_join(F.slice(F.split("ctx", " "), F.col("start") - F.col("lo") + 1, F.col("n")), " ") == F.col("win"))
-    occ = materialize(at.select("id", "win", "start", (F.col("start") + F.col("n")).alias("end")), "occurrences")
+    occ = materialize(at.select("row", "win", "start", (F.col("start") + F.col("n")).alias("end")), "occurrences")
     # Words covered: each interval adds what lies beyond the farthest end of those before it in its document.
-    spans = occ.select("id", "start", "end").distinct()
-    before = W.partitionBy("id").orderBy("start", "end").rowsBetween(W.unboundedPreceding, -1)
+    spans = occ.select("row", "start", "end").distinct()
+    before = W.partitionBy("row").orderBy("start", "end").rowsBetween(W.unboundedPreceding, -1)
     spans = spans.withColumn("far", F.coalesce(F.max("end").over(before), F.lit(0)))
-    n_hit = spans.groupBy("id").agg(F.sum(F.greatest(F.lit(0), F.col("end") - F.greatest("start", "far"))).alias("n_hit"))
-    owners = occ.select("id", "win").distinct().join(owned.select("win", "item_id").distinct(), "win").groupBy("id").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
-    none = F.array().cast("array<string>")
-    out = table.select("id", "n_words").join(n_hit.withColumnRenamed("id", "i1"), F.col("id").eqNullSafe(F.col("i1")), "left").join(owners.withColumnRenamed("id", "i2"), F.col("id").eqNullSafe(F.col("i2")), "left")
-    out = out.select(F.col("id").alias(id_col), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", none).alias("items"))
+    n_hit = spans.groupBy("row").agg(F.sum(F.greatest(F.lit(0), F.col("end") - F.greatest("start", "far"))).alias("n_hit"))
+    owners = occ.select("row", "win").distinct().join(owned.select("win", "item_id").distinct(), "win").groupBy("row").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    out = table.select("row", "id", "n_words").join(n_hit, "row", "left").join(owners, "row", "left")
+    out = out.select("row", "id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
     return out.withColumn("n_items", F.size("items").cast("long")).withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
-T_FOUND = "id {}, n_words long, hits array<struct<p: int, gram: long, lo: int, ctx: string>>"
+def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 13) -> DataFrame:
+    """Per document: id, n_words, n_hit, items (sorted ids as strings), n_items, contaminated."""
+    return _judged(docs, items, id_col, text_col, size).drop("row").withColumnRenamed("id", id_col)
+
+
+T_FOUND = "row long, id {}, n_words long, hits array<struct<p: int, gram: long, lo: int, ctx: string>>"
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 13) -> DataFrame:
     """The documents, with all their columns, that aren't contaminated."""
-    bad = contamination(docs, items, id_col, text_col, size).where("contaminated").select(F.col(id_col).alias("__bad")).distinct()
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("__bad")), "left_anti")
+    bad = _judged(docs, items, id_col, text_col, size).where("contaminated").select(F.col("row").alias("__bad")).distinct()
+    return docs.join(bad, F.xxhash64(id_col, text_col) == F.col("__bad"), "left_anti")
 
 
 def op4_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
