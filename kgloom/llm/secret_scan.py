@@ -7,7 +7,9 @@ every path. A new rule version leaves old entries alone.
 Positions come from the pieces between matches: a match starts after all pieces and matches before it, so a running sum
 over them gives code-point offsets in time linear in the matches.
 
-Defined results: a null text is an empty blob; rows that repeat keep their own result row; extra columns are ignored.
+Defined results: a null text is an empty blob; rows that repeat keep their own result row; an empty table gives no rows and
+no entries; pairs that the ledger holds twice, as two runs at once can leave them, count once; extra columns are kept, but
+for any named blob or spans, which the results replace.
 """
 
 from __future__ import annotations
@@ -30,29 +32,32 @@ RULE_VERSION = hashlib.sha256(repr(RULES).encode()).hexdigest()[:16]
 
 
 def scan(blobs: DataFrame) -> DataFrame:
-    """(blob, spans) of blobs (blob, text); spans are structs (start, kind, end), kind an index into RULES."""
-    parts = []
-    for k, (_, pattern, group, least) in enumerate(RULES):
-        hit = blobs.where(F.col("text").rlike(pattern)).select(
-            "blob", F.split("text", pattern, -1).alias("gaps"), F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("all"), F.regexp_extract_all("text", F.lit(pattern), F.lit(group)).alias("part")
+    """(blob, spans) of blobs (blob, text), all rules in one pass; spans are structs (start, kind, end), kind an index into
+    RULES. Blobs in which nothing is found have no row."""
+    hits = []
+    for k, (_, pattern, group, _) in enumerate(RULES):
+        found = F.struct(
+            F.lit(k).alias("kind"), F.split("text", pattern, -1).alias("gaps"), F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("all"),
+            F.regexp_extract_all("text", F.lit(pattern), F.lit(group)).alias("part"),
         )
-        each = hit.select("blob", F.posexplode(F.arrays_zip("gaps", "all", "part")).alias("i", "x")).select(
-            "blob", "i", F.length("x.gaps").alias("gap"), F.coalesce(F.length("x.all"), F.lit(0)).alias("len"), F.coalesce(F.length("x.part"), F.lit(-1)).alias("value")
-        )
-        upto = W.partitionBy("blob").orderBy("i").rowsBetween(W.unboundedPreceding, 0)
-        each = each.withColumn("end", F.sum(F.col("gap") + F.col("len")).over(upto)).where(F.col("value") >= least)
-        parts.append(each.select("blob", F.struct((F.col("end") - F.col("len")).alias("start"), F.lit(k).alias("kind"), "end").alias("span")))
-    found = parts[0]
-    for p in parts[1:]:
-        found = found.unionByName(p)
-    return found.groupBy("blob").agg(F.array_sort(F.collect_list("span")).alias("spans"))
+        hits.append(F.when(F.col("text").rlike(pattern), found))
+    each = blobs.select("blob", F.explode(F.array_compact(F.array(*hits))).alias("hit"))
+    each = each.select("blob", "hit.kind", F.posexplode(F.arrays_zip("hit.gaps", "hit.all", "hit.part")).alias("i", "x")).select(
+        "blob", "kind", "i", F.length("x.gaps").alias("gap"), F.coalesce(F.length("x.all"), F.lit(0)).alias("len"), F.coalesce(F.length("x.part"), F.lit(-1)).alias("value")
+    )
+    upto = W.partitionBy("blob", "kind").orderBy("i").rowsBetween(W.unboundedPreceding, 0)
+    least = F.element_at(F.array(*(F.lit(r[3]) for r in RULES)), F.col("kind") + 1)
+    each = each.withColumn("end", F.sum(F.col("gap") + F.col("len")).over(upto)).where(F.col("value") >= least)
+    span = F.struct((F.col("end") - F.col("len")).alias("start"), "kind", "end")
+    return each.groupBy("blob").agg(F.array_sort(F.collect_list(span)).alias("spans"))
 
 
 SPANS = "array<struct<start: bigint, kind: int, end: bigint>>"
 
 
 def scan_history(versions: DataFrame, ledger: str, text_col: str = "text", rule_version: str = RULE_VERSION) -> DataFrame:
-    """versions with columns blob and spans added; ledger is the path of the ledger table, created when missing.
+    """versions with columns blob and spans added (replaced, if there are such); ledger is the path of the ledger table,
+    created when missing.
 
     Only blobs without an entry for this rule version are scanned; their entries are appended, whether or not anything
     was found.
@@ -65,16 +70,16 @@ def scan_history(versions: DataFrame, ledger: str, text_col: str = "text", rule_
     if known is not None:
         keyed = keyed.join(known.where(F.col("rule_version") == rule_version).select("blob"), "blob", "left_anti")
     fresh = keyed.dropDuplicates(["blob"])
-    # A blob enters the ledger as seen in any case; its spans are rows of their own, so the texts are read once per rule only.
-    unseen = fresh.select("blob", "text")
+    # A blob enters the ledger as seen in any case; its spans are rows of their own.
     kept = new_path(spark, "blobs")
-    unseen.write.parquet(kept)
+    fresh.select("blob", "text").write.parquet(kept)
     unseen = spark.read.schema("blob string, text string").parquet(kept)
     entries = unseen.select("blob").join(scan(unseen), "blob", "left")
     entries.select("blob", F.lit(rule_version).alias("rule_version"), F.coalesce(F.col("spans").cast(SPANS), F.array().cast(SPANS)).alias("spans")).write.mode("append").parquet(ledger)
-    entries = _ledger(spark, ledger, schema).where(F.col("rule_version") == rule_version).select(F.col("blob").alias("__blob"), "spans")
-    out = versions.withColumn("blob", F.sha2(text, 256))
-    return out.join(entries, F.col("blob") == F.col("__blob"), "left").drop("__blob")
+    entries = _ledger(spark, ledger, schema).where(F.col("rule_version") == rule_version).groupBy(F.col("blob").alias("__blob")).agg(F.first("spans").alias("__spans"))
+    out = versions.withColumn("__key", F.sha2(text, 256)).join(entries, F.col("__key") == F.col("__blob"), "left")
+    mine = [c for c in versions.columns if c not in ("blob", "spans")]
+    return out.select(*mine, F.col("__key").alias("blob"), F.col("__spans").alias("spans"))
 
 
 def _ledger(spark, path: str, schema: str) -> DataFrame | None:

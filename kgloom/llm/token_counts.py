@@ -6,7 +6,8 @@ digests. A run joins the two digests to the stored counts, encodes each distinct
 and joins them to every row.
 
 Defined results: null and empty texts have no bytes and no tokens; repeated rows and texts are encoded once and keep their
-rows; extra columns are ignored.
+rows; an empty table gives no rows; counts that the cache holds twice, as two runs at once can leave them, count once; extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -87,7 +88,7 @@ def token_counts(docs: DataFrame, name: str, cache: str, id_col: str = "doc_id",
     if known is not None:
         todo = todo.join(known.where(F.col("tokenizer") == tokenizer).select("content"), "content", "left_anti")
     todo.dropDuplicates(["content"]).mapInArrow(_encode(name, tokenizer), schema).write.mode("append").parquet(cache)
-    stored = _ledger(spark, cache, schema).where(F.col("tokenizer") == tokenizer).select("content", "n_tokens")
+    stored = _ledger(spark, cache, schema).where(F.col("tokenizer") == tokenizer).groupBy("content").agg(F.first("n_tokens").alias("n_tokens"))
     return rows.join(stored, "content", "left").select(id_col, "n_bytes", "n_tokens")
 
 
