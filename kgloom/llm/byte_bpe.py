@@ -32,7 +32,7 @@ FAR = 1 << 62
 #: Children of a node of a long match's tree; the longest match whose tree is a row of a matrix, and its bits.
 WIDTH, VECTOR, BITS = 16, 64, 6
 #: Pieces of up to LONGEST characters are remembered, MOST of them; a full memory starts anew.
-LONGEST, MOST = 64, 400_000
+LONGEST, MOST = 64, 200_000
 _loaded: dict[str, Codec] = {}
 Coded = tuple[str, int, bytes]
 
@@ -284,8 +284,8 @@ def _codes(name: str, full: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.named(name)
         for b in batches:
-            for at in range(0, b.num_rows, 1024):
-                part = b.slice(at, 1024)
+            for at in range(0, b.num_rows, 512):
+                part = b.slice(at, 512)
                 got = codec.texts(column(part, "text").to_pylist())
                 n = pa.array([g[1] for g in got], pa.int64())
                 if full:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .storage import bloom, materialize, passes
 
-FAN, SMALL, BLOCK, BEST, BLOCK_BYTES = 1024, 64, 1536, 4, 32 << 20
+FAN, SMALL, BLOCK, BEST, BLOCK_BYTES = 1024, 64, 1536, 1, 32 << 20
 
 
 def components(edges: DataFrame, tag: str = "cc") -> DataFrame:

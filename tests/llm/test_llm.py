@@ -100,6 +100,15 @@ def test_language_votes_match_sets(spark):
             assert votes[r.lang_pred] == max(votes.values())
 
 
+def test_more_languages_than_a_word_has_bits(spark):
+    """Each of 80 languages has words of its own and must be learned."""
+    rows = [(10 * k + i, " ".join(f"{chr(97 + k // 26) * 3}{chr(97 + k % 26) * 3}{c}" for c in "abcd"), f"l{k}", "s", 0) for k in range(80) for i in range(3)]
+    df = spark.createDataFrame(rows, DOCS)
+    model = language_id.fit(df)
+    assert len(model.langs) == 80 and model.slots.shape[1] == 2
+    assert {r.doc_id: r.lang_pred for r in language_id.predict(df, model).collect()} == {r[0]: r[2] for r in rows}
+
+
 def test_language_edges(spark):
     model = language_id.fit(docs(spark, ["the house is there", "the tree"]))
     got = {r.doc_id: r for r in language_id.predict(awkward(spark), model).collect()}
@@ -351,6 +360,16 @@ def test_estimate_corrects_collisions():
 # --- 4 ------------------------------------------------------------------------
 
 
+def test_contamination_of_repeated_ids(spark):
+    """Rows that share an id but not the text are judged each by itself."""
+    item = " ".join(f"b{i}" for i in range(20))
+    df = spark.createDataFrame([("a", item), ("a", "clean text"), ("a", "clean text"), (None, item)], "doc_id string, text string")
+    bench = spark.createDataFrame([("x", item)], "item_id string, text string")
+    got = sorted((r.doc_id or "", r.n_hit, r.contaminated) for r in decontamination.contamination(df, bench).collect())
+    assert got == [("", 20, True), ("a", 0, False), ("a", 0, False), ("a", 20, True)]
+    assert [tuple(r) for r in decontamination.decontaminate(df, bench).collect()] == [("a", "clean text")] * 2
+
+
 def test_decontamination_edges(spark):
     bench = spark.createDataFrame([(1, " ".join(f"b{i}" for i in range(20))), (2, "tiny item"), (3, None), (4, "!!!"), (5, "tiny item")], "item_id long, text string")
     hit = " ".join(f"B{i}," for i in range(3, 16))
@@ -381,8 +400,10 @@ def test_secrets_match_brute_force(spark, tmp_path):
     rng = random.Random(9)
     parts = ["password", "Token", "api_key", "APIKEY", "secret", "=", ": ", '"', "'", " ", "abcdef0123456789abcd", "AKIA", "ABCDEFGH12345678", "deadbeef", "é🎉", "\n", "x", "=="]
     texts = ["".join(rng.choices(parts, k=rng.randrange(0, 14))) for _ in range(400)]
-    df = docs(spark, texts).unionByName(awkward(spark).drop(*CLASH))
+    df = docs(spark, texts).withColumns(clash()).unionByName(awkward(spark)).withColumn("spans", F.lit("clash"))
     ledger = "file://" + str(tmp_path / "ledger")
+    nothing = secret_scan.scan_history(df.limit(0), ledger)
+    assert nothing.count() == 0 and nothing.columns.count("spans") == 1
     names = [r[0] for r in secret_scan.RULES]
     for r in secret_scan.scan_history(df, ledger).collect():
         assert ",".join(f"{names[s.kind]}:{s.start}:{s.end}" for s in r.spans) == brute_secrets(r.text or "")
@@ -455,9 +476,7 @@ def test_token_counts_and_cache(spark, tmp_path):
 # --- 8 ------------------------------------------------------------------------
 
 
-def test_search_is_exact(spark, monkeypatch):
-    monkeypatch.setattr(code_search, "CELL", 64)
-    monkeypatch.setattr(code_search, "BLOCK", 8)
+def test_search_is_exact(spark):
     rng = np.random.default_rng(3)
     vecs = rng.normal(size=(300, 40))
     vecs[250:] = vecs[0]
@@ -475,6 +494,13 @@ def test_search_is_exact(spark, monkeypatch):
     assert code_search.top_k(df.limit(0), df.limit(0), 5).count() == 0
 
 
+def test_search_of_short_vectors_and_null_elements(spark):
+    rows = [(0, [1.0, None, 1.0]), (50, [1.0]), (3, [1.0, -1.0, 2.0, 1.0]), (4, [None]), (50, [1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = [tuple(r) for r in code_search.top_k(df, df.where("vec_id % 50 = 0"), 3).orderBy("query_id", "rank").collect()]
+    assert got == [(0, 1, 3, 1), (0, 2, 50, 1), (0, 3, 4, 2), (50, 1, 0, 1), (50, 2, 4, 1), (50, 3, 3, 2)]
+
+
 # --- 9 ------------------------------------------------------------------------
 
 
