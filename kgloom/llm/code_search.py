@@ -36,8 +36,8 @@ def _probes(found: DataFrame, codes: list[str], radius: int) -> DataFrame:
     out = found.select("*", every).select("*", "at.j", "at.value").drop("at")
     if not radius:
         return out
-    # A constant: all numbers of SEGMENT bits with `radius` ones.
-    masks = F.filter(F.sequence(F.lit(0).cast("long"), F.lit((1 << SEGMENT) - 1).cast("long")), lambda x: F.bit_count(x) == radius)
+    # A constant, folded once: all numbers of SEGMENT bits with `radius` ones.
+    masks = F.split(F.lit(",".join(str(x) for x in range(1 << SEGMENT) if x.bit_count() == radius)), ",").cast("array<long>")
     return out.withColumn("mask", F.explode(masks)).withColumn("value", F.col("value").bitwiseXOR(F.col("mask"))).drop("mask")
 
 

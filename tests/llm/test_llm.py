@@ -524,6 +524,43 @@ def test_lm_counts_and_probabilities(spark, monkeypatch):
         assert r.score < 0
 
 
+def test_lm_scores_match_brute_force(spark, monkeypatch):
+    """Scores from transitions and emissions counted anew, given only each word's class."""
+    monkeypatch.setattr(class_lm, "HEAD", 30)
+    monkeypatch.setattr(class_lm, "CLUSTERED", 8)
+    monkeypatch.setattr(class_lm, "REST", 8)
+    monkeypatch.setattr(class_lm, "END", 9)
+    monkeypatch.setattr(class_lm, "WIDE", 10)
+    rng = random.Random(16)
+    vocab = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.choices(vocab, weights=[1 / (i + 1) for i in range(60)], k=rng.randrange(0, 25))) for _ in range(120)]
+    df = docs(spark, texts)
+    model, _ = class_lm.fit(df.where(~class_lm.held_out()))
+    assert len(model.head) <= 30 and (model.head_class < class_lm.CLASSES).all()  # every word of the head has a class
+    hashed = {w: int(x.h[0]) for w in vocab for x in textops.words(__import__("pyarrow").array([w]), textops.SPACED)}
+    cls = dict(zip(model.head.tolist(), model.head_class.tolist()))
+    of = lambda w: cls.get(hashed[w], class_lm.CLASSES)
+    g, c, kinds, size = (collections.Counter() for _ in range(4))
+    for i, t in enumerate(texts):
+        if zlib.crc32(str(i).encode()) % 10:
+            chain = [class_lm.CLASSES + 1, *map(of, t.split()), class_lm.CLASSES + 1]
+            g.update(zip(chain, chain[1:]))
+            c.update(t.split())
+    for w, n in c.items():
+        size[of(w)] += n
+        kinds[of(w)] += 1
+    total = collections.Counter()
+    for (a, _), n in g.items():
+        total[a] += n
+    wide = class_lm.CLASSES + 2
+    step = lambda a, b: math.log10((g[a, b] + 0.1) / (total[a] + 0.1 * wide))
+    for r in class_lm.lm_scores(df).collect():
+        chain = [class_lm.CLASSES + 1, *map(of, texts[r.doc_id].split()), class_lm.CLASSES + 1]
+        want = sum(step(a, b) for a, b in zip(chain, chain[1:]))
+        want += sum(math.log10((c[w] + 0.1) / (size[of(w)] + 0.1 * (kinds[of(w)] + 1))) for w in texts[r.doc_id].split())
+        assert r.score == pytest.approx(want, rel=1e-9)
+
+
 def test_lm_probabilities_sum_to_one(spark):
     model, _ = class_lm.fit(docs(spark, ["a b a c", "b a d", "c c a"]))
     assert np.power(10, model.step).sum(axis=1) == pytest.approx(np.ones(class_lm.CLASSES + 2))
