@@ -580,7 +580,7 @@ def test_class_model_beats_unigrams_on_ordered_text(spark):
 
 
 def test_license_forms(spark):
-    text = "Copyright (c) 2020 Someone\n(c) Other\nPERMISSION to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. " + dict((k, v) for k, v in license_scan.KNOWN)["0BSD"].split("granted.")[1].strip().replace("SOFTWARE", "software")
+    text = "Copyright (c) 2020 Someone\n(c) Other\nPERMISSION to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. " + dict(license_scan.TEXTS)["0BSD"].split("granted.")[1].strip().replace("SOFTWARE", "software")
     df = docs(spark, ["Released under the M.I.T Licence", "released under the MIT LICENCE!", "first line\nAll rights reserved\nAll Rights Reserved.", text, None, "", "..."])
     got = {r.doc_id: r for r in license_scan.scan_licenses(df).collect()}
     assert got[0].license_id is None and got[1].license_id == "MIT" and got[1].notices == "MIT"
@@ -590,6 +590,39 @@ def test_license_forms(spark):
     assert license_scan.scan_licenses(awkward(spark)).count() == 9 and license_scan.scan_licenses(empty(spark)).count() == 0
 
 
+def test_wrapped_license_files_and_a_table_of_texts(spark, tmp_path):
+    """Real files: title, copyright line, wrapped text; texts of a folder; one id with two texts; null ids."""
+    import textwrap
+
+    bodies = dict(license_scan.TEXTS)
+    file = lambda title, i: f"{title}\n\nCopyright (c) 2021, A. N. Other\n\n" + textwrap.fill(bodies[i], 78)
+    df = docs(spark, [file("BSD 3-Clause License", "BSD-3-Clause"), file("", "BSD-2-Clause"), file("MIT No Attribution", "MIT-0"), file("", "Unlicense"), file("zlib License", "Zlib")])
+    assert [r.license_id for r in license_scan.scan_licenses(df).orderBy("doc_id").collect()] == ["BSD-3-Clause", "BSD-2-Clause", "MIT-0", "Unlicense", "Zlib"]
+    (tmp_path / "Own-1.0.txt").write_text("You may do\nas you like.")
+    known = license_scan.license_files(spark, str(tmp_path))
+    rows = [(None, "x\nYou may do as you like!"), ("a", "YOU MAY DO AS YOU LIKE"), ("a", "other"), ("a", "other")]
+    got = sorted((r.doc_id or "", r.license_id or "", r.n_notices) for r in license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id string, text string"), known=known).collect())
+    assert got == [("", "", 1), ("a", "", 0), ("a", "", 0), ("a", "Own-1.0", 1)]
+
+
+def test_sql_of_the_operators(spark):
+    """The registered SQL gives the registered queries' rows on the smallest tables."""
+    import duckdb
+
+    from kgloom.llm import queries
+
+    d = "/root/testdata/sf0.001"
+    for name, sql in queries.ORACLE_SQL.items():
+        con = duckdb.connect()
+        for t in ("documents", "benchmark", "embeddings"):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{d}/{t}.parquet'")
+        want = con.execute(sql)
+        columns = [c[0] for c in want.description]
+        rows = queries.QUERIES[name](spark, d)
+        assert sorted(rows.columns) == sorted(columns)
+        assert sorted(map(repr, (tuple(r) for r in rows.select(*columns).collect()))) == sorted(map(repr, want.fetchall())), name
+
+
 # --- pipeline -------------------------------------------------------------------
 
 
