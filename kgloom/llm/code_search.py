@@ -63,7 +63,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "ve
         first = F.lit(True)
         for i, d in enumerate(apart):
             first = first & F.when(F.col("j") > i, d > s).otherwise(d >= s)
-        met = _probes(open_, codes, s).join(index, ["j", "value"]).where(first)
+        # Probes are many more than the rows they come from: sizes guessed before that must not lead to a broadcast.
+        met = _probes(open_, codes, s).join(index.hint("merge"), ["j", "value"]).where(first)
         met = met.select("query_id", *codes, sum(apart[1:], apart[0]).cast("int").alias("distance"), F.explode("ids").alias("vec_id")).where("vec_id <> query_id").select("query_id", "distance", "vec_id")
         met = met if best is None else met.unionAll(best)
         rank = F.row_number().over(W.partitionBy("query_id").orderBy("distance", "vec_id")).alias("rank")
