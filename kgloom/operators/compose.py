@@ -7,7 +7,8 @@ derivation hash, and rejected ones are counted by reason. Inferred edges never g
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import functools
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -73,9 +74,10 @@ def pathogenicity_reason(c: Column) -> Column:
 
 @dataclass(frozen=True)
 class Template:
-    """name; premises (relation, from variable, to variable); out: the variables of the result's ends; context fields that
-    must agree; independent: premise sources must not overlap; observed: a relation that must (closed) or must not (novel)
-    already join the ends; signed: +1 or -1 product wanted; fields used for signs."""
+    """name; premises (relation, from variable, to variable); out: the variables of the result's ends; gates: functions of
+    cell(i, field) that give a reason against a path or null, asked first; context fields that must agree; mapping fields that
+    must agree, asked after the context; independent: premise sources must not overlap; triangle: a relation that must already
+    join the ends; signed: +1 or -1 product wanted."""
 
     name: str
     premises: tuple[tuple[str, str, str], ...]
@@ -85,16 +87,25 @@ class Template:
     independent: bool = False
     triangle: str | None = None
     signed: int | None = None
-    gates: dict = field(default_factory=dict)
+    gates: tuple = ()
+    mapping: tuple[str, ...] = ()
 
 
 def paths(edges: DataFrame, t: Template) -> DataFrame:
-    """All joins of the premises: variables v_*, and each premise's row as p0, p1, ..."""
+    """All joins of the premises: variables v_*, and each premise's row as p0, p1, ...
+
+    Values of the fields that the template compares are taken apart once an edge, before paths multiply: f_<field> holds them,
+    one_<field> the only one, if there is one, and sign the direction's sign.
+    """
     fields = [c for c in edges.columns if c not in ("x_id", "y_id", "relation")]
+    compared = dict.fromkeys((*t.context, *t.mapping, *(["source"] if t.independent else [])))
+    taken = edges.withColumns({f"f_{f}": values(F.col(f)) for f in compared} | ({"sign": sign(F.col("direction"))} if t.signed is not None else {}))
+    more = [F.when(F.size(f"f_{f}") == 1, F.col(f"f_{f}")[0]).alias(f"one_{f}") for f in compared]
+    extra = [F.col(f"f_{f}") for f in compared] + more + (["sign"] if t.signed is not None else [])
     out, known = None, set()
     for i, (relation, a, b) in enumerate(t.premises):
-        p = edges.where(F.col("relation") == relation).select(
-            F.col("x_id").alias(f"v_{a}"), F.col("y_id").alias(f"v_{b}"), F.struct(F.concat_ws("|", "relation", "x_id", "y_id").alias("key"), "relation", *fields).alias(f"p{i}")
+        p = taken.where(F.col("relation") == relation).select(
+            F.col("x_id").alias(f"v_{a}"), F.col("y_id").alias(f"v_{b}"), F.struct(F.concat_ws("|", "relation", "x_id", "y_id").alias("key"), "relation", *fields, *extra).alias(f"p{i}")
         )
         out = p if out is None else out.join(p, [f"v_{v}" for v in dict.fromkeys((a, b)) if v in known])
         known |= {a, b}
@@ -106,31 +117,55 @@ def derive(edges: DataFrame, t: Template) -> DataFrame:
     p = paths(edges, t)
     n = len(t.premises)
     cell = lambda i, f: F.col(f"p{i}.{f}")
-    reason = F.lit(None).cast("string")
+    each = lambda f: [cell(i, f) for i in range(n)]
+    every = lambda conditions: functools.reduce(lambda a, b: a & b, conditions)
+    # No field holds two values, and those that hold one hold the same; nulls don't count in least and greatest.
+    single = lambda f: every(F.size(c) <= 1 for c in each(f"f_{f}"))
+    same = lambda f: F.coalesce(F.least(*each(f"one_{f}")) == F.greatest(*each(f"one_{f}")), F.lit(True))
+    full = lambda f: every(c.isNotNull() for c in each(f"one_{f}"))
+    reasons = [gate(cell) for gate in t.gates]
     if t.signed is not None:
-        product = sign(cell(0, "direction"))
-        for i in range(1, n):
-            product = product * sign(cell(i, "direction"))
-        reason = F.coalesce(reason, F.when(product == 0, "conflicting_sign").when(product.isNull(), "missing_sign").when(product != t.signed, "other_sign"))
+        product = functools.reduce(lambda a, b: a * b, each("sign"))
+        reasons.append(F.when(product == 0, "conflicting_sign").when(product.isNull(), "missing_sign").when(product != t.signed, "other_sign"))
     if t.context:
-        ok = F.lit(True)
-        for f in t.context:
-            ok = ok & agree(*(cell(i, f) for i in range(n)))
-        reason = F.coalesce(reason, F.when(~ok, "context_mismatch"))
+        reasons.append(F.when(~every(single(f) & same(f) for f in t.context), "context_mismatch"))
         if t.signed is not None:
-            some = F.lit(False)
-            for f in t.context:
-                some = some | shared(*(cell(i, f) for i in range(n)))
-            reason = F.coalesce(reason, F.when(~some, "missing_shared_context"))
+            reasons.append(F.when(~functools.reduce(lambda a, b: a | b, (full(f) & same(f) for f in t.context)), "missing_shared_context"))
+    if t.mapping:
+        reasons.append(F.when(~every(single(f) & same(f) for f in t.mapping), "isoform_or_assembly_mismatch"))
     if t.independent:
-        reason = F.coalesce(reason, F.when(~independent(*(cell(i, "source") for i in range(n))), "source_not_independent"))
+        common = functools.reduce(F.array_intersect, each("f_source"))
+        apart = F.when(full("source"), ~same("source")).otherwise(every(F.size(c) > 0 for c in each("f_source")) & (F.size(common) == 0))
+        reasons.append(F.when(~apart, "source_not_independent"))
     x, y = (f"v_{v}" for v in t.out)
-    p = p.withColumn("x_id", F.col(x)).withColumn("y_id", F.col(y)).withColumn("reason", reason)
+    p = p.withColumn("x_id", F.col(x)).withColumn("y_id", F.col(y)).withColumn("reason", F.coalesce(*reasons, F.lit(None).cast("string")))
     if t.triangle:
         seen = edges.where(F.col("relation") == t.triangle).select("x_id", "y_id").distinct().withColumn("__closed", F.lit(True))
         p = p.join(seen, ["x_id", "y_id"], "left").withColumn("reason", F.coalesce("reason", F.when(F.col("__closed").isNull(), "no_closing_edge"))).drop("__closed")
-    support = F.array_sort(F.array(*(F.col(f"p{i}.key") for i in range(n))))
-    return p.select("x_id", "y_id", F.lit(t.relation).alias("relation"), F.lit(t.name).alias("template"), "reason", F.array_join(support, ";").alias("support"), F.array_join(F.array(*(F.col(f"p{i}.key") for i in range(n))), ">").alias("path"))
+    support = F.array_sort(F.array(*each("key")))
+    return p.select("x_id", "y_id", F.lit(t.relation).alias("relation"), F.lit(t.name).alias("template"), "reason", F.array_join(support, ";").alias("support"), F.array_join(F.array(*each("key")), ">").alias("path"))
+
+
+def pathogenic(i: int):
+    """Gate: the pathogenicity that premise i states is allowed."""
+    return lambda cell: pathogenicity_reason(cell(i, "pathogenicity"))
+
+
+def names(i: int, j: int):
+    """Gate: premise i names, as its only isoform, what premise j joins."""
+    return lambda cell: F.when(~F.coalesce((F.size(values(cell(i, "protein_isoform"))) == 1) & (values(cell(i, "protein_isoform"))[0] == F.lower(F.substring_index(cell(j, "key"), "|", -1))), F.lit(False)), "isoform_not_named")
+
+
+def states(i: int, field_: str, wanted: str, reason: str):
+    """Gate: premise i has the one value `wanted` in a field."""
+    return lambda cell: F.when(~F.coalesce((F.size(values(cell(i, field_))) == 1) & (values(cell(i, field_))[0] == wanted), F.lit(False)), reason)
+
+
+def member_views(members: DataFrame, targets: DataFrame, most: int = 500) -> DataFrame:
+    """(g, m, y): a row for each member m of a group of at most `most` members and each of its targets y."""
+    size = members.groupBy("x_id").agg(F.count_distinct("y_id").alias("n_members")).where(F.col("n_members") <= most)
+    small = members.join(size, "x_id").select(F.col("x_id").alias("g"), F.col("y_id").alias("m"), "n_members").distinct()
+    return small.join(targets.select(F.col("x_id").alias("m"), F.col("y_id").alias("y")).distinct(), "m").select("g", "m", "y", "n_members")
 
 
 def candidates(derived: DataFrame) -> DataFrame:

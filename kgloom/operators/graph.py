@@ -2,22 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from .cuts import cut
 
-def dense_index(nodes: DataFrame, kind: str = "node_type", key: str = "id") -> DataFrame:
-    """(type, id, index): 0..n-1 per type in id order.
 
-    Ids are range-partitioned by (type, id); each partition numbers its own rows and adds how many rows of the type stand
-    in partitions before it, so no type needs to fit one task.
+def numbered(df: DataFrame, group: list[str], order: list[Column], weight: Column | None = None) -> DataFrame:
+    """df with __r, the place of each row in its group by `order`, from 1, and __n, the group's size; with a weight also __w,
+    the sum of weights up to and with the row, and __all, the group's sum.
+
+    Rows are range-partitioned by (group, order); each partition numbers its own rows and adds what stands in the partitions
+    before it, so no group needs to fit one task.
     """
-    ids = nodes.where(F.col(key).isNotNull()).select(kind, key).distinct().repartitionByRange(F.col(kind), F.col(key))
-    # Partition ids of a sorted exchange are only stable once written; ranks use the values themselves.
-    part = ids.withColumn("__p", F.spark_partition_id())
-    local = part.withColumn("__i", F.row_number().over(W.partitionBy("__p", kind).orderBy(key)))
-    sizes = part.groupBy("__p", kind).agg(F.count(F.lit(1)).alias("__n"))
-    before = sizes.withColumn("__b", F.coalesce(F.sum("__n").over(W.partitionBy(kind).orderBy("__p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("__n")
-    return local.join(before, ["__p", kind]).select(kind, key, (F.col("__i") - 1 + F.col("__b")).cast("long").alias("index"))
+    keys = {f"__o{i}": c for i, c in enumerate(order)}
+    rows = df.withColumns(keys | ({"__v": weight} if weight is not None else {}))
+    # A range exchange samples anew whenever it runs: both readers below need the same written partitions.
+    rows = cut(rows.repartitionByRange(*group, *keys).withColumn("__p", F.spark_partition_id()))
+    sums = [F.sum("__v").alias("__s")] if weight is not None else []
+    sizes = rows.groupBy("__p", *group).agg(F.count(F.lit(1)).alias("__k"), *sums)
+    # A row a partition and group.
+    inside, whole = W.partitionBy("__p", *group).orderBy(*keys), W.partitionBy(*group) if group else W.partitionBy(F.lit(0))
+    before = whole.orderBy("__p").rowsBetween(W.unboundedPreceding, -1)
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    more = [zero(F.sum("__s").over(before)).alias("__c"), F.sum("__s").over(whole).alias("__all")] if sums else []
+    sizes = sizes.select("__p", *group, zero(F.sum("__k").over(before)).alias("__b"), F.sum("__k").over(whole).alias("__n"), *more)
+    new = {"__i": F.row_number().over(inside)} | ({"__u": F.sum("__v").over(inside.rowsBetween(W.unboundedPreceding, 0))} if sums else {})
+    out = rows.withColumns(new).join(sizes, ["__p", *group]).withColumn("__r", F.col("__i") + F.col("__b"))
+    out = out.withColumn("__w", F.col("__u") + F.col("__c")).drop("__v", "__u", "__c") if sums else out
+    return out.drop(*keys, "__p", "__i", "__b")
+
+
+def dense_index(nodes: DataFrame, kind: str = "node_type", key: str = "id") -> DataFrame:
+    """(type, id, index): 0..n-1 per type in id order."""
+    ids = nodes.where(F.col(key).isNotNull()).select(kind, key).distinct()
+    return numbered(ids, [kind], [F.col(key)]).select(kind, key, (F.col("__r") - 1).cast("long").alias("index"))
 
 
 def edge_index(edges: DataFrame, index: DataFrame) -> DataFrame:
@@ -60,16 +78,15 @@ def k_hops(edges: DataFrame, anchors: DataFrame, k: int) -> DataFrame:
 
 def closure(edges: DataFrame, rounds: int = 20) -> DataFrame:
     """(ancestor, descendant, depth) over child -> parent edges (x_id, y_id): shortest depth, by rounds that extend only new
-    pairs; each round is cut by a checkpoint when the session has a checkpoint folder."""
-    keep = lambda df: df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.persist()
+    pairs. Each round writes its new pairs only; the result is the union of the rounds."""
     step = edges.select(F.col("x_id").alias("child"), F.col("y_id").alias("ancestor")).where("child <> ancestor").distinct()
-    found = new = keep(step.select("ancestor", F.col("child").alias("descendant"), F.lit(1).alias("depth")))
+    found = new = cut(step.select("ancestor", F.col("child").alias("descendant"), F.lit(1).alias("depth")))
     for depth in range(2, rounds + 1):
         more = new.join(step.select(F.col("child").alias("ancestor"), F.col("ancestor").alias("up")), "ancestor").select(F.col("up").alias("ancestor"), "descendant").distinct()
-        new = keep(more.join(found, ["ancestor", "descendant"], "left_anti").where("ancestor <> descendant").withColumn("depth", F.lit(depth)))
+        new = cut(more.join(found, ["ancestor", "descendant"], "left_anti").where("ancestor <> descendant").withColumn("depth", F.lit(depth)))
         if new.isEmpty():
             break
-        found = keep(found.unionByName(new))
+        found = found.unionByName(new)
     return found
 
 
@@ -88,8 +105,7 @@ def hashed_order(seed: int, *cols: str):
 
 def drop_share(edges: DataFrame, percent: float, seed: int) -> DataFrame:
     """edges less floor(percent of each relation), chosen by a seeded hash order."""
-    w = W.partitionBy("relation")
-    r = edges.withColumn("__n", F.count(F.lit(1)).over(w)).withColumn("__r", F.row_number().over(w.orderBy(hashed_order(seed, "x_id", "y_id"), "x_id", "y_id")))
+    r = numbered(edges, ["relation"], [hashed_order(seed, "x_id", "y_id"), F.col("x_id"), F.col("y_id")])
     return r.where(F.col("__r") > F.floor(F.col("__n") * percent / 100)).drop("__n", "__r")
 
 
@@ -100,8 +116,8 @@ def drop_relation(edges: DataFrame, relation: str) -> DataFrame:
 def random_edges(edges: DataFrame, index: DataFrame, percent: float, seed: int) -> DataFrame:
     """percent more edges a relation with the same source and a random target of the right type."""
     sizes = index.groupBy(F.col("node_type").alias("y_type")).agg(F.max("index").alias("__m"))
-    w = W.partitionBy("relation")
-    pick = edges.withColumn("__n", F.count(F.lit(1)).over(w)).withColumn("__r", F.row_number().over(w.orderBy(hashed_order(seed, "x_id", "y_id"), "x_id", "y_id"))).where(F.col("__r") <= F.floor(F.col("__n") * percent / 100))
+    pick = numbered(edges, ["relation"], [hashed_order(seed, "x_id", "y_id"), F.col("x_id"), F.col("y_id")])
+    pick = pick.where(F.col("__r") <= F.floor(F.col("__n") * percent / 100)).drop("__r")
     pick = pick.join(F.broadcast(sizes), "y_type").withColumn("index", F.pmod(hashed_order(seed + 1, "relation", "x_id", "y_id"), F.col("__m") + 1))
     to = index.select(F.col("node_type").alias("y_type"), "index", F.col("id").alias("__y"))
     return pick.join(to, ["y_type", "index"]).withColumn("y_id", F.col("__y")).select(*edges.columns)
@@ -121,12 +137,14 @@ def walk_profile(edges: DataFrame, anchors: DataFrame, steps: int, walks: int, s
     """(anchor, id, visits) over seeded random walks: each step takes the neighbour whose position is a hash of seed, walk and
     step modulo the degree."""
     adj = edges.select(F.col("x_id").alias("at"), F.col("y_id").alias("to")).unionAll(edges.select("y_id", "x_id")).distinct()
-    adj = adj.groupBy("at").agg(F.array_sort(F.collect_set("to")).alias("next"))
-    now = anchors.select(F.col("id").alias("anchor"), F.col("id").alias("at")).crossJoin(F.broadcast(anchors.sparkSession.range(walks).withColumnRenamed("id", "walk")))
+    # Neighbours are numbered, not gathered: a hub is as many rows as it has neighbours.
+    adj = cut(numbered(adj, ["at"], [F.col("to")]).select("at", "to", (F.col("__r") - 1).alias("place"), F.col("__n").alias("degree")))
+    degrees = adj.where("place = 0").select("at", "degree")
+    now = anchors.select(F.col("id").alias("anchor"), F.col("id").alias("at"), F.explode(F.sequence(F.lit(0), F.lit(walks - 1))).alias("walk"))
     seen = None
     for s in range(steps):
-        pick = F.pmod(F.xxhash64(F.lit(seed), "anchor", "walk", F.lit(s)), F.size("next")).cast("int") + 1
-        now = now.join(adj, "at").select("anchor", "walk", F.element_at("next", pick).alias("at"))
+        place = F.pmod(F.xxhash64(F.lit(seed), "anchor", "walk", F.lit(s)), F.col("degree")).alias("place")
+        now = now.join(degrees, "at").select("anchor", "walk", "at", place).join(adj.select("at", "to", "place"), ["at", "place"]).select("anchor", "walk", F.col("to").alias("at"))
         seen = now if seen is None else seen.unionAll(now)
     return seen.groupBy("anchor", F.col("at").alias("id")).agg(F.count(F.lit(1)).alias("visits"))
 

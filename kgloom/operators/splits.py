@@ -5,7 +5,9 @@ Order is by a seeded hash of the keys, so a split is the same whatever the parti
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from .graph import numbered
 
 KEY = ["x_id", "y_id"]
 
@@ -16,8 +18,7 @@ def hash_order(seed: int, *cols: str) -> list[Column]:
 
 def stratified(edges: DataFrame, seed: int, test: float, valid: float, order: list[Column] | None = None) -> DataFrame:
     """edges with `split`: per relation round(test * n) test rows, then round(valid / (1 - test) * rest) valid rows."""
-    w = W.partitionBy("relation")
-    r = edges.withColumn("__n", F.count(F.lit(1)).over(w)).withColumn("__r", F.row_number().over(w.orderBy(*(order or hash_order(seed, *KEY)))))
+    r = numbered(edges, ["relation"], order or hash_order(seed, *KEY))
     n_test = F.round(F.col("__n") * test)
     n_valid = F.round((F.col("__n") - n_test) * (valid / (1 - test)))
     split = F.when(F.col("__r") <= n_test, "test").when(F.col("__r") <= n_test + n_valid, "valid").otherwise("train")
@@ -33,11 +34,10 @@ def hold_out(edges: DataFrame, entities: DataFrame, seed: int, valid: float = 0.
 
 def by_entity(edges: DataFrame, entity: str, seed: int, test: float, valid: float, order: list[Column] | None = None) -> DataFrame:
     """All edges of an entity share a split; entities are cut by fractions in hash order."""
-    e = edges.select(entity).distinct()
-    n = e.count()
-    rank = F.row_number().over(W.orderBy(*(order or hash_order(seed, entity))))
-    cut = F.when(F.col("r") <= round(n * test), "test").when(F.col("r") <= round(n * test) + round(n * valid), "valid").otherwise("train")
-    return edges.join(e.withColumn("r", rank).select(entity, cut.alias("split")), entity)
+    e = numbered(edges.select(entity).distinct(), [], order or hash_order(seed, entity))
+    n_test, n_valid = F.round(F.col("__n") * test), F.round(F.col("__n") * valid)
+    split = F.when(F.col("__r") <= n_test, "test").when(F.col("__r") <= n_test + n_valid, "valid").otherwise("train")
+    return edges.join(e.select(entity, split.alias("split")), entity)
 
 
 def few_neighbours(edges: DataFrame, targets: list[str], most: int = 3, entity: str = "y_id") -> DataFrame:
@@ -56,14 +56,16 @@ def few_targets(edges: DataFrame, targets: list[str], most: int = 3, entity: str
 
 def folds(edges: DataFrame, entity: str, k: int, seed: int, order: list[Column] | None = None) -> DataFrame:
     """edges with `fold` 1..k, equal for all edges of an entity; entities are dealt evenly in hash order."""
-    e = edges.select(entity).distinct().withColumn("fold", F.ntile(k).over(W.orderBy(*(order or hash_order(seed, entity)))))
-    return edges.join(e, entity)
+    e = numbered(edges.select(entity).distinct(), [], order or hash_order(seed, entity))
+    small, at = F.floor(F.col("__n") / k), F.col("__r") - 1
+    large = F.col("__n") % k * (small + 1)  # entities in folds that hold one more
+    fold = F.when(at < large, F.floor(at / (small + 1))).otherwise(F.col("__n") % k + F.floor((at - large) / F.greatest(small, F.lit(1)))) + 1
+    return edges.join(e.select(entity, fold.cast("int").alias("fold")), entity)
 
 
 def three_way(edges: DataFrame, seed: int, most: int = 1024, order: list[Column] | None = None) -> DataFrame:
     """Per relation test = valid = min(n / 5, most), one at least; the rest trains."""
-    w = W.partitionBy("relation")
-    r = edges.withColumn("__n", F.count(F.lit(1)).over(w)).withColumn("__r", F.row_number().over(w.orderBy(*(order or hash_order(seed, *KEY)))))
+    r = numbered(edges, ["relation"], order or hash_order(seed, *KEY))
     k = F.greatest(F.lit(1), F.least(F.floor(F.col("__n") / 5), F.lit(most)))
     return r.withColumn("split", F.when(F.col("__r") <= k, "test").when(F.col("__r") <= 2 * k, "valid").otherwise("train")).drop("__n", "__r")
 
@@ -95,10 +97,9 @@ def weighted_negatives(positives: DataFrame, degrees: DataFrame, seed: int, powe
     nodes). degrees is (id, degree), all of one type; cumulative weights are cut into 65,536 equal slots, so the draw is an
     equi-join on the slot followed by a range test."""
     slots = 1 << 16
-    w = degrees.where("degree > 0").withColumn("w", F.pow(F.col("degree"), F.lit(power)))
-    total = w.agg(F.sum("w")).first()[0] or 1.0
-    upto = W.orderBy("id").rowsBetween(W.unboundedPreceding, W.currentRow)
-    cum = w.withColumn("hi", F.sum("w").over(upto) / total).withColumn("lo", F.col("hi") - F.col("w") / total)
+    cum = numbered(degrees.where("degree > 0"), [], [F.col("id")], F.pow(F.col("degree"), F.lit(power)))
+    own = F.pow(F.col("degree"), F.lit(power))
+    cum = cum.select("id", (F.col("__w") / F.col("__all")).alias("hi"), ((F.col("__w") - own) / F.col("__all")).alias("lo"))
     cum = cum.withColumn("slot", F.explode(F.sequence(F.floor(F.col("lo") * slots).cast("int"), F.floor(F.least(F.col("hi"), F.lit(0.999999999)) * slots).cast("int"))))
     u = F.pmod(F.xxhash64(F.lit(seed), *KEY), F.lit(1 << 40)) / float(1 << 40)
     p = positives.withColumn("u", u).withColumn("slot", F.floor(F.col("u") * slots).cast("int"))

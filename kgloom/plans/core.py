@@ -181,10 +181,10 @@ def o33(s, d):
 
 @register("o34_direction_features", """
 SELECT e.x_id, e.y_id, CASE WHEN v.dirs IS NULL OR v.dirs = '' THEN 'unknown' WHEN v.dirs LIKE '%decrease%' AND v.dirs LIKE '%increase%' THEN 'conflicting' ELSE 'known' END AS direction_status, coalesce(v.dirs, '') AS directions, coalesce(v.n, 0) AS evidence_count
-FROM edges e LEFT JOIN (SELECT x_id, y_id, coalesce(string_agg(DISTINCT nullif(direction, ''), ',' ORDER BY nullif(direction, '')), '') AS dirs, count(*) AS n FROM evidence WHERE evidence_score >= 0.95 GROUP BY x_id, y_id) v ON v.x_id = e.x_id AND v.y_id = e.y_id
+FROM edges e LEFT JOIN (SELECT x_id, y_id, coalesce(string_agg(DISTINCT nullif(direction, ''), ',' ORDER BY nullif(direction, '')), '') AS dirs, count(*) AS n FROM evidence GROUP BY x_id, y_id) v ON v.x_id = e.x_id AND v.y_id = e.y_id
 WHERE e.relation = 'supplier_supplies_part'""", view=True)
 def o34(s, d):
-    return ev.direction_features(supply(s, d), evidence(s, d).where("evidence_score >= 0.95"))
+    return ev.direction_features(supply(s, d), evidence(s, d))
 
 
 @register("o35_assertion_conflicts", """
@@ -412,9 +412,9 @@ def o90(s, d):
     return table(s, d, "documents").select("doc_id", F.explode(N.windows(F.col("text"), 300, 200)).alias("w")).select("doc_id", F.col("w.start").cast("int").alias("start"), F.col("w.end").cast("int").alias("end"))
 
 
-@register("o91_reverse_complement", "SELECT doc_id, reverse(translate(left(text, 80), 'ACGTacgt', 'TGCAtgca')) AS rc, substring(text, 4, 9) AS around FROM documents WHERE length(text) >= 20")
+@register("o91_reverse_complement", "SELECT doc_id, reverse(translate(text, 'ACGTacgt', 'TGCAtgca')) AS rc, substring(text, 4, 9) AS around FROM documents")
 def o91(s, d):
-    return table(s, d, "documents").where("length(text) >= 20").select("doc_id", N.reverse_complement(F.substring("text", 1, 80)).alias("rc"), N.context(F.col("text"), F.lit(8), 4).alias("around"))
+    return table(s, d, "documents").select("doc_id", N.reverse_complement(F.col("text")).alias("rc"), N.context(F.col("text"), F.lit(8), 4).alias("around"))
 
 
 @register("o92_invalid_letters", """

@@ -12,12 +12,13 @@ from .view import edges, evidence, nodes, register, table
 BRIEF = "x_id, relation, y_id, source, credibility"
 
 
-@register("o08_node_sink", "SELECT id, max_by(name, k) AS name FROM (SELECT 'n:' || (o_custkey % 97) AS id, o_orderpriority AS name, o_orderkey AS k FROM orders) GROUP BY id")
+@register("o08_node_sink", "SELECT id, max_by(name, o) AS name FROM (SELECT 'n:' || (o_custkey % 97) AS id, o_orderpriority AS name, o_orderkey % 2 * 1000000000 + o_orderkey AS o FROM orders) GROUP BY id")
 def o08(s, d):
     from ..sources.sinks import merged_nodes
 
     n = table(s, d, "orders").select(F.concat(F.lit("n:"), (F.col("o_custkey") % 97).cast("string")).alias("id"), F.col("o_orderpriority").alias("name"), F.col("o_orderkey").alias("seq"))
-    return merged_nodes(n.where("seq % 2 = 0"), n.where("seq > (0)").where("true")) if False else merged_nodes(None, n)
+    stored = merged_nodes(None, n.where("seq % 2 = 0")).withColumn("seq", F.lit(0).cast("long"))
+    return merged_nodes(stored, n.where("seq % 2 = 1"))
 
 
 @register("o09_edge_sink", """
@@ -46,7 +47,7 @@ def o10(s, d):
 @register("o11_feature_context_sink", "SELECT edge_key AS feature_key, source_record_id FROM (SELECT *, row_number() OVER (PARTITION BY x_id, y_id, evidence_type ORDER BY l_orderkey DESC, l_linenumber DESC) AS r FROM evidence WHERE evidence_type = 'association_score') WHERE r = 1", view=True)
 def o11(s, d):
     e = evidence(s, d).withColumn("seq", F.col("l_orderkey") * 10 + F.col("l_linenumber")).withColumn("evidence_type", F.when(F.col("evidence_type") == "correlative", "causal").otherwise(F.col("evidence_type")))
-    kept = ev.coerce_context(e, [("supplier", "part")], ["relation", "x_id", "y_id"]) if False else ev.keep_last(
+    kept = ev.keep_last(
         ev.coerce_context(e, [("supplier", "part")], ["relation", "x_id", "y_id", "evidence_type"]).select("relation", "x_id", "y_id", "evidence_type", "source_record_id", "seq"), ["x_id", "y_id", "evidence_type"], "seq")
     return kept.select(ev.edge_key(F.col("relation"), F.col("x_id"), F.col("y_id")).alias("feature_key"), "source_record_id")
 
@@ -112,12 +113,12 @@ def o54(s, d):
 
 @register("o55_interval_join", """
 WITH iv AS (SELECT o_orderkey, o_custkey % 40 AS chrom, date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) AS s, date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) + o_orderkey % 30 AS e FROM orders),
-p AS (SELECT l_orderkey AS pk, l_linenumber AS pl, l_suppkey % 40 AS chrom, date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) AS pos FROM lineitem WHERE l_quantity > 48)
+p AS (SELECT l_orderkey AS pk, l_linenumber AS pl, l_suppkey % 40 AS chrom, date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) AS pos FROM lineitem)
 SELECT chrom, count(*) AS pairs, CAST(sum(pk % 1000) AS BIGINT) AS check_p, CAST(sum(o_orderkey % 1000) AS BIGINT) AS check_i FROM p JOIN iv USING (chrom) WHERE pos BETWEEN s - 2 AND e + 2 GROUP BY chrom""")
 def o55(s, d):
     day = lambda c: F.datediff(F.col(c), F.lit("1992-01-01")).cast("long")
     iv = table(s, d, "orders").select("o_orderkey", (F.col("o_custkey") % 40).alias("chrom"), day("o_orderdate").alias("s"), (day("o_orderdate") + F.col("o_orderkey") % 30).alias("e"))
-    p = table(s, d, "lineitem").where("l_quantity > 48").select(F.col("l_orderkey").alias("pk"), (F.col("l_suppkey") % 40).alias("chrom"), day("l_shipdate").alias("pos"))
+    p = table(s, d, "lineitem").select(F.col("l_orderkey").alias("pk"), (F.col("l_suppkey") % 40).alias("chrom"), day("l_shipdate").alias("pos"))
     j = intervals.contains(p, iv, "chrom", "pos", "s", "e", padding=2)
     return j.groupBy("chrom").agg(F.count(F.lit(1)).alias("pairs"), F.sum(F.col("pk") % 1000).alias("check_p"), F.sum(F.col("o_orderkey") % 1000).alias("check_i"))
 
@@ -138,14 +139,15 @@ def o57(s, d):
 
 
 @register("o57_mutual_pairs", """
-WITH p AS (SELECT DISTINCT l_partkey % 300 AS a, l_suppkey * 7 % 500 AS b FROM lineitem WHERE l_quantity > 49)
-SELECT a, b FROM (SELECT *, count(*) OVER (PARTITION BY a) AS na, count(*) OVER (PARTITION BY b) AS nb FROM p) WHERE na = 1 AND nb = 1""")
-def o57b(s, d):
-    return mapping.mutual(table(s, d, "lineitem").where("l_quantity > 49").select((F.col("l_partkey") % 300).alias("a"), (F.col("l_suppkey") * 7 % 500).alias("b")), "a", "b")
+WITH p AS (SELECT c_custkey AS a, CASE WHEN c_custkey % 3 = 0 THEN c_custkey % 20 ELSE 1000 + c_custkey END AS b FROM customer)
+SELECT a, b FROM p WHERE a IN (SELECT a FROM p GROUP BY a HAVING count(*) = 1) AND b IN (SELECT b FROM p GROUP BY b HAVING count(*) = 1)""")
+def o57_mutual(s, d):
+    b = F.when(F.col("c_custkey") % 3 == 0, F.col("c_custkey") % 20).otherwise(1000 + F.col("c_custkey"))
+    return mapping.mutual(table(s, d, "customer").select(F.col("c_custkey").alias("a"), b.alias("b")), "a", "b").select("a", "b")
 
 
 @register("o58_id_remap", """
-WITH e AS (SELECT 'supplier:' || l_suppkey AS x_id, l_partkey AS p, l_returnflag AS source, l_orderkey * 10 + l_linenumber AS seq FROM lineitem WHERE l_quantity > 45),
+WITH e AS (SELECT 'supplier:' || l_suppkey AS x_id, l_partkey AS p, l_returnflag AS source, l_orderkey * 10 + l_linenumber AS seq FROM lineitem WHERE true),
 m AS (SELECT *, CASE WHEN p % 10 = 5 THEN 'y_ambiguous' WHEN p % 10 = 7 THEN 'y_unmapped' END AS reason, 'part:' || (CASE WHEN p % 10 = 0 THEN p + 1 ELSE p END) AS y_id FROM e),
 r AS (SELECT *, row_number() OVER (PARTITION BY x_id, y_id ORDER BY source DESC, seq) AS r FROM m WHERE reason IS NULL)
 SELECT 'kept' AS part, count(*) AS n, CAST(sum(seq) AS BIGINT) AS check_sum FROM r WHERE r = 1 UNION ALL SELECT 'collision', count(*), CAST(sum(seq) AS BIGINT) FROM r WHERE r > 1
@@ -155,7 +157,7 @@ def o58(s, d):
     k = F.col("p_partkey")
     status = F.when(k % 10 == 0, "accepted").when(k % 10 == 5, "ambiguous").otherwise("unmapped")
     m = table(s, d, "part").where("p_partkey % 10 in (0, 5, 7)").select(p(k).alias("old_id"), p(F.when(k % 10 == 0, k + 1)).alias("new_id"), status.alias("status"))
-    e = table(s, d, "lineitem").where("l_quantity > 45").select(
+    e = table(s, d, "lineitem").select(
         F.concat(F.lit("supplier:"), F.col("l_suppkey").cast("string")).alias("x_id"), p(F.col("l_partkey")).alias("y_id"), F.lit(SP).alias("relation"), F.col("l_returnflag").alias("source"), F.lit(1).alias("credibility"), F.lit("d").alias("display_relation"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"),
     )
     kept, bad, coll = mapping.remap(e, m)
@@ -313,12 +315,10 @@ def o104b(s, d):
 
 
 @register("o105_neighbour_similarity", """
-, e AS (SELECT DISTINCT x_id AS a, y_id FROM edges WHERE relation = 'customer_in_nation' AND CAST(split_part(x_id, ':', 2) AS INTEGER) <= 200 UNION SELECT x_id, y_type FROM edges WHERE relation = 'customer_places_order' AND CAST(split_part(x_id, ':', 2) AS INTEGER) <= 200), d AS (SELECT a, count(*) AS d FROM e GROUP BY a)
+, e AS (SELECT DISTINCT x_id AS a, y_id FROM edges WHERE relation = 'supplier_supplies_part'), d AS (SELECT a, count(*) AS d FROM e GROUP BY a)
 SELECT p.a, p.b, shared, round(shared / sqrt(x.d * y.d), 6) AS cosine FROM (SELECT l.a, r.a AS b, count(*) AS shared FROM e l JOIN e r ON l.y_id = r.y_id AND l.a < r.a GROUP BY ALL) p JOIN d x ON x.a = p.a JOIN d y ON y.a = p.b""", view=True)
 def o105(s, d):
-    e = edges(s, d).where("cast(split(x_id, ':')[1] as int) <= 200")
-    e = e.where("relation = 'customer_in_nation'").select("x_id", "y_id").unionAll(e.where("relation = 'customer_places_order'").select("x_id", "y_type"))
-    return G.shared_neighbours(e).withColumn("cosine", F.round("cosine", 6))
+    return G.shared_neighbours(supply(s, d).select("x_id", "y_id")).withColumn("cosine", F.round("cosine", 6))
 
 
 @register("o106_walk_profile")
@@ -356,17 +356,28 @@ def o112(s, d):
 
 
 def premises(s, d):
-    """Edges with the fields that templates read: source sets, direction and context from their evidence."""
-    e = edges(s, d).where("relation in ('customer_places_order', 'order_contains_part', 'supplier_in_nation', 'supplier_supplies_part')")
-    n = F.length("x_id") + F.length("y_id")
+    """Edges with the fields that templates read: source sets, direction, context, mapping and statements; besides those of the
+    view, each nation is joined to the parts with an even-length id that its suppliers supply."""
+    e = edges(s, d).where("relation in ('customer_places_order', 'order_contains_part', 'supplier_in_nation', 'supplier_supplies_part')").select("x_id", "y_id", "relation", "source")
+    sn = e.where("relation = 'supplier_in_nation'").select("x_id", F.col("y_id").alias("n"))
+    seen = sn.join(e.where("relation = 'supplier_supplies_part' and length(y_id) % 2 = 0").select("x_id", "y_id"), "x_id").select(F.col("n").alias("x_id"), "y_id").distinct()
+    e = e.unionAll(seen.select("x_id", "y_id", F.lit("nation_offers_part"), F.lit("seen")))
+    n, k = F.length("x_id") + F.length("y_id"), F.length("x_id") % 4
     direction = F.when(n % 3 == 0, "increase").when(n % 3 == 1, "decrease").otherwise("unknown")
-    return e.select("x_id", "y_id", "relation", "source", direction.alias("direction"), F.when(F.length("y_id") % 2 == 0, "even").otherwise("odd").alias("tissue"))
+    stated = F.when(k == 0, "pathogenic").when(k == 1, "benign").when(k == 2, "likely_pathogenic").otherwise("unknown")
+    return e.select(
+        "x_id", "y_id", "relation", "source", direction.alias("direction"), F.when(F.length("y_id") % 2 == 0, "even").otherwise("odd").alias("tissue"), stated.alias("pathogenicity"),
+        F.when(F.length("x_id") % 2 == 0, "even").otherwise("unknown").alias("isoform_id"), F.when(F.length("y_id") % 2 == 0, F.col("y_id")).otherwise("").alias("protein_isoform"),
+    )
 
 
-PREMISES = """, pre AS (SELECT x_id, y_id, relation, source, CASE (length(x_id) + length(y_id)) % 3 WHEN 0 THEN 1 WHEN 1 THEN -1 END AS sgn, CASE WHEN length(y_id) % 2 = 0 THEN 'even' ELSE 'odd' END AS tissue FROM edges)"""
+PREMISES = """, pre0 AS (SELECT x_id, y_id, relation, source FROM edges UNION ALL SELECT DISTINCT a.y_id, b.y_id, 'nation_offers_part', 'seen' FROM edges a JOIN edges b ON a.x_id = b.x_id WHERE a.relation = 'supplier_in_nation' AND b.relation = 'supplier_supplies_part' AND length(b.y_id) % 2 = 0),
+pre AS (SELECT x_id, y_id, relation, source, CASE (length(x_id) + length(y_id)) % 3 WHEN 0 THEN 1 WHEN 1 THEN -1 END AS sgn, CASE WHEN length(y_id) % 2 = 0 THEN 'even' ELSE 'odd' END AS tissue,
+  CASE length(x_id) % 4 WHEN 1 THEN 'benign_only' WHEN 3 THEN 'missing_pathogenicity' END AS refused, CASE WHEN length(x_id) % 2 = 0 THEN 'even' END AS iso FROM pre0)
+"""
 T_NOVEL = C.Template("supplier_to_order_v1", (("supplier_supplies_part", "s", "p"), ("order_contains_part", "o", "p")), ("s", "o"), "supplier_serves_order", context=("tissue",), independent=True)
 T_SIGNED = C.Template("supplier_to_order_signed_v1", (("supplier_supplies_part", "s", "p"), ("order_contains_part", "o", "p")), ("s", "o"), "supplier_hinders_order", context=("tissue",), signed=-1)
-T_TRIANGLE = C.Template("customer_part_triangle_v1", (("customer_places_order", "c", "o"), ("order_contains_part", "o", "p")), ("c", "p"), "customer_gets_part", triangle="order_contains_part")
+T_TRIANGLE = C.Template("nation_part_triangle_v1", (("supplier_in_nation", "s", "n"), ("supplier_supplies_part", "s", "p")), ("n", "p"), "nation_gets_part", independent=True, triangle="nation_offers_part")
 
 
 @register("o118_rejection_ledger", PREMISES + """
@@ -379,7 +390,7 @@ def o118(s, d):
 @register("o117_candidates", PREMISES + """
 SELECT 'supplier_to_order_v1' AS template, 'supplier_serves_order' AS relation, a.x_id, b.x_id AS y_id, count(*) AS derivations,
   min(sha256(concat_ws(chr(9), 'supplier_to_order_v1', a.x_id, b.x_id, array_to_string(list_sort(['supplier_supplies_part|' || a.x_id || '|' || a.y_id, 'order_contains_part|' || b.x_id || '|' || b.y_id]), ';')))) AS derivation_hash
-FROM pre a JOIN pre b ON a.y_id = b.y_id AND a.relation = 'supplier_supplies_part' AND b.relation = 'order_contains_part' WHERE a.tissue = b.tissue AND lower(a.source) <> lower(b.source) GROUP BY ALL""".replace("count(*) AS derivations,\n  min(", "count(*) AS derivations, min("), view=True)
+FROM pre a JOIN pre b ON a.y_id = b.y_id AND a.relation = 'supplier_supplies_part' AND b.relation = 'order_contains_part' WHERE a.tissue = b.tissue AND lower(a.source) <> lower(b.source) GROUP BY ALL""", view=True)
 def o117(s, d):
     return C.candidates(C.derive(premises(s, d), T_NOVEL)).drop("all_hashes_sha256")
 
@@ -391,7 +402,9 @@ def o134(s, d):
     return C.ledger(C.derive(premises(s, d), T_SIGNED))
 
 
-@register("o123_triangle_template", "SELECT 'customer_part_triangle_v1' AS template, 'no_closing_edge' AS reason, count(*) AS paths FROM edges a JOIN edges b ON b.x_id = a.y_id WHERE a.relation = 'customer_places_order' AND b.relation = 'order_contains_part'", view=True)
+@register("o123_triangle_template", PREMISES + """
+SELECT 'nation_part_triangle_v1' AS template, CASE WHEN lower(a.source) = lower(b.source) THEN 'source_not_independent' WHEN c.x_id IS NULL THEN 'no_closing_edge' ELSE 'accepted' END AS reason, count(*) AS paths
+FROM pre a JOIN pre b ON a.x_id = b.x_id AND a.relation = 'supplier_in_nation' AND b.relation = 'supplier_supplies_part' LEFT JOIN pre c ON c.relation = 'nation_offers_part' AND c.x_id = a.y_id AND c.y_id = b.y_id GROUP BY ALL""", view=True)
 def o123(s, d):
     return C.ledger(C.derive(premises(s, d), T_TRIANGLE))
 

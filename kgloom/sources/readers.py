@@ -46,15 +46,18 @@ def delimited(spark: SparkSession, path: str, schema: str, sep: str = "\t", head
 
 def stanzas(spark: SparkSession, path: str, kind: str = "Term") -> DataFrame:
     """Blank-line stanzas of `key: value` lines: (id, fields map of key to values). Each stanza is one record of the scan."""
-    s = spark.read.text(path, lineSep="\n\n").where(F.startswith(F.trim("value"), F.lit(f"[{kind}]")))
+    # Lines may end in \r\n: a blank line is then cut inside, and a lone \r goes with its line.
+    whole = spark.read.text(path, lineSep="\n[").select(F.regexp_replace("value", "\r", "").alias("value"))
+    whole = whole.select(F.when(F.startswith("value", F.lit("[")), F.col("value")).otherwise(F.concat(F.lit("["), "value")).alias("value"))
+    s = whole.where(F.startswith("value", F.lit(f"[{kind}]"))).select(F.substring_index("value", "\n\n", 1).alias("value"))
     pairs = F.transform(F.filter(F.split("value", "\n"), lambda x: F.contains(x, F.lit(": "))), lambda x: F.struct(F.substring_index(x, ": ", 1).alias("key"), F.regexp_replace(x, "^[^:]+: ", "").alias("val")))
     keyed = s.select(F.regexp_extract("value", r"(?m)^id: (\S+)", 1).alias("id"), pairs.alias("pairs"))
     return keyed.select("id", F.map_from_entries(F.transform(F.array_distinct(F.transform("pairs", lambda p: p["key"])), lambda k: F.struct(k, F.transform(F.filter("pairs", lambda p: p["key"] == k), lambda p: p["val"])))).alias("fields"))
 
 
 def fasta(spark: SparkSession, path: str) -> DataFrame:
-    """(id, description, sequence) of `>` records."""
-    r = spark.read.text(path, lineSep=">").where(F.trim("value") != "")
+    """(id, description, sequence) of records that begin with `>` at the start of a line; a `>` elsewhere is text."""
+    r = spark.read.text(path, lineSep="\n>").select(F.regexp_replace("value", "^>", "").alias("value")).where(F.trim("value") != "")
     head = F.substring_index("value", "\n", 1)
     body = F.regexp_replace(F.regexp_replace("value", r"^[^\n]*\n?", ""), r"\s+", "")
     return r.select(F.regexp_extract(head, r"^(\S+)", 1).alias("id"), F.trim(F.regexp_replace(head, r"^\S+", "")).alias("description"), body.alias("sequence"))

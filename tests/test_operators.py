@@ -23,116 +23,38 @@ def test_windows_end_at_length(spark):
 
 
 def test_credibility_branches(spark):
+    plain = "x_id string, y_id string, relation string, source string, credibility long, seq long"
+    evidence = ", paper_id string, author_group_key string, raw_score double, datatype string"
+    rows = [(f"x{i % 5}", f"y{i % 3}", "r", ["drugbank", "go", "text", "other"][i % 7 % 4], i % 3 + 1, i, f"p{i % 6}" if i % 4 else None, f"g{i % 2}" if i % 5 else "", i / 40, "known_drug") for i in range(40)]
+    for name, schema, width in (("plain", plain, 6), ("evidence", plain + evidence, 10)):
+        at = tmp_path / name
+        mine = [r[:width] for r in rows]
+        for k in range(4):
+            spark.createDataFrame(mine[k * 10 : k * 10 + 10], schema).coalesce(1).write.mode("append").parquet(str(at / "in"))
+        append.append_edges(spark, str(at / "in"), spark.read.parquet(str(at / "in")).schema, str(at / "out"), str(at / "ck"), buckets=4)
+        cols = [c for c in spark.read.parquet(str(at / "in")).columns if c != "seq"]
+        got = sorted(map(repr, append.latest(spark, str(at / "out")).select(cols).collect()))
+        assert got == sorted(map(repr, credibility.dedup_edges(spark.createDataFrame(mine, schema)).select(cols).collect()))
+
+
+def test_merged_edges_take_stored_sources_apart(spark):
     schema = "x_id string, y_id string, relation string, source string, credibility long, seq long"
-    same = spark.createDataFrame([("a", "b", "r", "s", 1, 2), ("a", "b", "r", "s", 3, 1)], schema)
-    assert [r.credibility for r in credibility.dedup_edges(same).collect()] == [3]
-    many = spark.createDataFrame([("a", "b", "r", "s", 1, 1), ("a", "b", "r", "t", 3, 2), ("a", "b", "r", "s", 2, 3)], schema)
-    r = credibility.dedup_edges(many).first()
-    assert (r.source, r.credibility) == ("s,t", 3)
-    e = spark.createDataFrame([("a", "b", "r", "s", 1, 1, "p1", "", 0.5, "x"), ("a", "b", "r", "s", 1, 2, "p1", "", 0.6, "known_drug"), ("c", "d", "r", "reactome", 1, 3, None, None, None, None)], schema + ", paper_id string, author_group_key string, raw_score double, datatype string")
-    got = {r.x_id: r.credibility for r in credibility.dedup_edges(e).collect()}
-    assert got == {"a": 1, "c": 3}
-    again = credibility.dedup_edges(credibility.dedup_edges(many).withColumn("seq", F.lit(0)))
-    assert again.first().source == "s,t"
-
-
-def test_remap_conserves_rows(spark):
-    e = spark.createDataFrame([(f"x{i % 3}", f"y{i}", "r", "s", "d", 1, i) for i in range(12)], "x_id string, y_id string, relation string, source string, display_relation string, credibility int, seq int")
-    m = spark.createDataFrame([("y1", "y0", "accepted"), ("y2", None, "ambiguous"), ("y4", "y1b", "accepted"), ("x0", "x1", "accepted")], "old_id string, new_id string, status string")
-    kept, bad, coll = mapping.remap(e, m)
-    assert kept.count() + bad.count() + coll.count() == 12
-    assert {r.reason for r in bad.collect()} == {"y_ambiguous"}
-
-
-def test_dense_index_is_partition_free(spark):
-    n = spark.createDataFrame([("t", f"id{i:03d}") for i in range(100)] + [("u", "a"), ("u", None)], "node_type string, id string")
-    want = {("t", f"id{i:03d}"): i for i in range(100)} | {("u", "a"): 0}
-    for parts in ("1", "3", "17"):
-        spark.conf.set("spark.sql.shuffle.partitions", parts)
-        assert {(r[0], r[1]): r[2] for r in G.dense_index(n).collect()} == want
-    spark.conf.set("spark.sql.shuffle.partitions", "4")
-
-
-def test_closure_handles_cycles(spark):
-    e = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("d", "a")], "x_id string, y_id string")
-    got = {(r.ancestor, r.descendant) for r in G.closure(e).collect()}
-    assert got == {(p, q) for p in "abc" for q in "abcd" if p != q}
-
-
-def test_interval_join_bounds(spark):
-    p = spark.createDataFrame([("1", 10), ("1", 64), ("1", 200), ("2", 10)], "c string, p long")
-    i = spark.createDataFrame([("1", 10, 64, "i"), ("1", 65, 199, "j"), ("1", 9, 5, "bad")], "c string, s long, e long, n string")
-    assert {(r.p, r.n) for r in intervals.contains(p, i, "c", "p", "s", "e").collect()} == {(10, "i"), (64, "i")}
-    assert {(r.p, r.n) for r in intervals.contains(p, i, "c", "p", "s", "e", padding=1).collect()} == {(10, "i"), (64, "i"), (64, "j"), (200, "j")}
-
-
-def test_signs_and_context(spark):
-    assert one(spark, C.sign(F.col("c")), c="agonist, Increase") == 1
-    assert one(spark, C.sign(F.col("c")), c="agonist,inhibitor") == 0
-    assert one(spark, C.sign(F.col("c")), c="unknown") is None
-    assert one(spark, C.agree(F.col("a"), F.col("b")), a="liver", b="unknown") is True
-    assert one(spark, C.shared(F.col("a"), F.col("b")), a="liver", b="unknown") is False
-    assert one(spark, C.independent(F.col("a"), F.col("b")), a="s1", b="s2,s1") is False
-
-
-def test_split_is_disjoint_and_stable(spark):
-    e = spark.range(500).select(F.lit("r").alias("relation"), F.concat(F.lit("a"), F.col("id").cast("string")).alias("x_id"), F.concat(F.lit("b"), (F.col("id") % 37).cast("string")).alias("y_id"))
-    a = S.stratified(e, 1, 0.1, 0.2)
-    b = S.stratified(e.repartition(7), 1, 0.1, 0.2)
-    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
-    assert {r.split: r["count"] for r in a.groupBy("split").count().collect()} == {"test": 50, "valid": 100, "train": 350}
-    assert all(r.n == 0 for r in S.leaks(a).collect())
-
-
-def test_negatives_avoid_positives(spark):
-    n = spark.createDataFrame([("p", f"p{i}") for i in range(20)] + [("s", "s1")], "node_type string, id string")
-    pos = spark.createDataFrame([("s1", "s", f"p{i}", "p", "r") for i in range(10)], "x_id string, x_type string, y_id string, y_type string, relation string")
-    neg = S.filtered(S.negatives(pos, G.dense_index(n), 5, k=4), pos)
-    assert neg.count() > 0 and neg.join(pos, ["x_id", "y_id"]).count() == 0
-
-
-def test_migrate_flips_and_reports(spark):
-    e = spark.createDataFrame([("g", "gene", "d", "disease", "old"), ("d", "disease", "g", "gene", "old"), ("a", "x", "b", "y", "gone")], "x_id string, x_type string, y_id string, y_type string, relation string")
-    rules = spark.createDataFrame([("old", "new", "gene", "disease")], "old string, relation string, source_type string, target_type string")
-    ok, bad = migrate.migrate(e, rules)
-    assert {(r.x_id, r.y_id, r.relation) for r in ok.collect()} == {("g", "d", "new")} and bad.first().n == 1
-
-
-def test_evidence_contract(spark):
-    reg = spark.createDataFrame([("r", "a", "b")], "relation string, source_type string, target_type string")
-    e = spark.createDataFrame([("r", "1", "a", "2", "b", "s", 1), ("r", "1", "a", "2", "b", "s", 2), ("r", "1", "b", "2", "a", "s", 3), ("q", "1", "a", "2", "b", "s", 4)], "relation string, x_id string, x_type string, y_id string, y_type string, source string, seq int")
-    got = ev.coerce_evidence(e, reg).collect()
-    assert len(got) == 1 and got[0].seq == 2 and got[0].edge_key == "r|1|2" and got[0].paper_id == ""
-
-
-def test_text_readers(spark, tmp_path):
-    (tmp_path / "a.obo").write_text("format-version: 1\n\n[Term]\nid: X:1\nname: one\nis_a: X:0 ! zero\nis_a: X:9\n\n[Typedef]\nid: part_of\n\n[Term]\nid: X:2\nname: two: too\n")
-    got = {r.id: r.fields for r in readers.stanzas(spark, str(tmp_path / "a.obo")).collect()}
-    assert got == {"X:1": {"id": ["X:1"], "name": ["one"], "is_a": ["X:0 ! zero", "X:9"]}, "X:2": {"id": ["X:2"], "name": ["two: too"]}}
-    (tmp_path / "a.fa").write_text(">s1 first\nAC\nGT\n>s2\nTT\n")
-    assert {(r.id, r.description, r.sequence) for r in readers.fasta(spark, str(tmp_path / "a.fa")).collect()} == {("s1", "first", "ACGT"), ("s2", "", "TT")}
-    g = spark.createDataFrame([('gene_id "G1"; gene_name "N";',)], "a string")
-    assert readers.attributes(g, "a").first().attrs == {"gene_id": "G1", "gene_name": "N"}
-
-
-def test_nodes_keep_last(spark):
-    old = spark.createDataFrame([("a", "old"), ("b", "old")], "id string, name string")
-    new = spark.createDataFrame([("a", "n1", 1), ("a", "n2", 2), ("c", "n", 1), (None, "x", 1)], "id string, name string, seq long")
-    stored = old.withColumn("seq", F.lit(0).cast("long"))
-    assert {(r.id, r.name) for r in sinks.merged_nodes(stored, new).collect()} == {("a", "n2"), ("b", "old"), ("c", "n")}
-
-
-def test_incremental_append_equals_one_shot(spark, tmp_path):
-    from kgloom.streaming import append
-
-    schema = "x_id string, y_id string, relation string, source string, credibility long, seq long"
-    rows = [(f"x{i % 5}", f"y{i % 3}", "r", f"s{i % 4}", i % 3 + 1, i) for i in range(40)]
-    for k in range(4):
-        spark.createDataFrame(rows[k * 10 : k * 10 + 10], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    append.append_edges(spark, str(tmp_path / "in"), spark.read.schema(schema).parquet(str(tmp_path / "in")).schema, str(tmp_path / "out"), str(tmp_path / "ck"))
-    got = {(r.x_id, r.y_id): (set(r.source.split(",")), r.credibility) for r in append.latest(spark, str(tmp_path / "out")).collect()}
-    want = {(r.x_id, r.y_id): (set(r.source.split(",")), r.credibility) for r in credibility.dedup_edges(spark.createDataFrame(rows, schema)).collect()}
-    assert got == want
+    stored = spark.createDataFrame([("x", "y", "r", "drugbank,go", 3)], schema.removesuffix(", seq long"))
+    for source, want in (("drugbank", "drugbank,go"), ("text", "drugbank,go,text")):
+        for extra in ({}, {"paper_id": F.lit("p")}):
+            got = sinks.merged_edges(stored, spark.createDataFrame([("x", "y", "r", source, 1, 0)], schema).withColumns(extra)).first()
+            assert (got.source, got.credibility) == (want, 3)
+
+
+def test_numbered_rows_and_sums(spark):
+    from kgloom.operators.graph import numbered
+
+    rows = [(i % 3, (i * 37) % 101, i) for i in range(100)]
+    got = {r.i: (r["__r"], r["__n"], r["__w"], r["__all"]) for r in numbered(spark.createDataFrame(rows, "g int, o int, i int"), ["g"], [F.col("o")], F.col("i")).collect()}
+    for g in range(3):
+        mine = sorted((o, i) for k, o, i in rows if k == g)
+        for at, (_, i) in enumerate(mine):
+            assert got[i] == (at + 1, len(mine), sum(x[1] for x in mine[: at + 1]), sum(x[1] for x in mine))
 
 
 def test_reasons_and_features(spark):
