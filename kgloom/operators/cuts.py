@@ -3,20 +3,32 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in the checkpoint folder, its partitions as they are.
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder, named by spark.checkpoint.dir.
 
-    The folder is the session's spark.checkpoint.dir. In local mode, where driver and executors share a machine, a temporary
-    one is set if there is none; elsewhere its absence is an error.
+    In local mode, where driver and executors share a machine, a temporary one is set if there is none; elsewhere its absence
+    is an error.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if not context.getCheckpointDir():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder and not (context.master == "local" or context.master.startswith("local[")):
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         context.setCheckpointDir(folder or "file://" + tempfile.mkdtemp(prefix="kgloom-"))
+    return context.getCheckpointDir()
+
+
+def scratch(spark: SparkSession, tag: str) -> str:
+    """A new path below the shared folder."""
+    return f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df, computed once and kept in the checkpoint folder, its partitions as they are."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
