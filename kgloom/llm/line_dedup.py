@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .linking import Likeness, link_groups, shared_buckets
-from .storage import likely, materialize
+from .storage import discard, likely, materialize
 from .textops import ALNUM, LOWER, U, column, levels_of, mix, signed, word_levels, words
 
 #: Bits of a key's order: level, then hash; above them stands the line's number in its run.
@@ -266,6 +266,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return found.join(refs, "row").select("text", "refs").mapInArrow(_pick, "id long, text string")
 
     groups, _ = link_groups(buckets, sketches, payload, Likeness(_fields, scorer(similarity), prepare, verifier(similarity)), "lines")
+    discard(sketches)
     first = firsts.join(groups, "id", "left").groupBy(F.coalesce("component", "id").alias("g")).agg(F.min("first").alias("f"))
     stay = first.groupBy(F.col("f.row").alias("row")).agg(F.collect_list("f.line").alias("stay"))
     every = lines.groupBy("row").agg(F.min("doc").alias("doc"), F.collect_set("line").alias("every"))

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .storage import bloom, materialize, passes
+from .storage import bloom, discard, materialize, passes
 
 FAN, SMALL, BLOCK, BEST, BLOCK_BYTES = 1024, 64, 1536, 1, 32 << 20
 
@@ -40,19 +40,23 @@ def components(edges: DataFrame, tag: str = "cc") -> DataFrame:
     maps: list[DataFrame] = []
     while not edges.isEmpty():
         both = edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        to = materialize(both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("p")).select("v", F.least("v", "p").alias("p")), tag)
+        near = to = materialize(both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("p")).select("v", F.least("v", "p").alias("p")), tag)
         for _ in range(2):
             to = to.join(to.select(F.col("v").alias("p"), F.col("p").alias("q")), "p").select("v", F.col("q").alias("p"))
         to = materialize(to, tag)
+        discard(near)
         maps.append(to)
         a, b = to.select(F.col("v").alias("a"), F.col("p").alias("pa")), to.select(F.col("v").alias("b"), F.col("p").alias("pb"))
-        edges = materialize(edges.join(a, "a").join(b, "b").where("pa <> pb").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), tag)
+        last, edges = edges, materialize(edges.join(a, "a").join(b, "b").where("pa <> pb").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), tag)
+        discard(last)
     if not maps:
         return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
     out = maps[0].select(F.col("v").alias("id"), F.col("p").alias("component"))
     for m in maps[1:]:
         out = out.join(m, out.component == m.v, "left").select("id", F.coalesce("p", "component").alias("component"))
-    return materialize(out, tag)
+    out = materialize(out, tag)
+    discard(edges, *maps)
+    return out
 
 
 @dataclass(frozen=True)
@@ -262,31 +266,39 @@ def shared_buckets(table: DataFrame, emit: Callable[[Callable], Callable], tag:
     again = materialize(counted.where("n > 1").select("key"), tag)
     bits = table.sparkSession.sparkContext.broadcast(bloom(again, "key"))
     rows = table.mapInArrow(emit(lambda keys: passes(keys, bits.value)), "key long, id long")
-    return materialize(rows.join(again, "key", "left_semi").distinct(), tag)
+    out = materialize(rows.join(again, "key", "left_semi").distinct(), tag)
+    discard(again)
+    return out
 
 
 def link_groups(buckets: DataFrame, sketches: DataFrame, payload: Callable[[DataFrame], DataFrame], like: Likeness, tag: str) -> tuple[DataFrame, DataFrame]:
     """Components of similar items, and the links found; items without a link are in neither.
 
-    buckets: (key, id), without repeats, such as shared_buckets gives; sketches: (id, sketch, bytes), bytes the size of an item's contents; payload(ids)
+    buckets: (key, id), without repeats, such as shared_buckets gives, discarded at the end; sketches: (id, sketch, bytes), bytes the size of an item's contents; payload(ids)
     gives (id, text) of a table of ids.
     """
     # A bucket's least id and size come from a map-side combined aggregate; joining back splits hot keys at run time.
     heads = buckets.groupBy("key").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
     rows = materialize(buckets.join(heads, "key").select("key", "id", "head", "n"), tag)
+    done = [buckets, rows]
     drawn = sketches.select("id", "sketch")
     ends = [drawn.select(F.col("id").alias(c), F.col("sketch").alias(f"s{c}")) for c in "ab"]
     star = _star(rows, tag).join(ends[0], "a").join(ends[1], "b").select("a", "b", "sa", "sb")
     star = materialize(star.mapInArrow(_passing(like), "a long, b long, score double"), tag)
 
     def contents(ids: DataFrame) -> DataFrame:
-        return materialize(payload(materialize(ids.distinct(), tag)).select("id", "text"), tag)
+        wanted = materialize(ids.distinct(), tag)
+        texts = materialize(payload(wanted).select("id", "text"), tag)
+        discard(wanted)
+        return texts
 
     def verified(pairs: DataFrame) -> DataFrame:
         texts = contents(pairs.select(F.explode(F.array("a", "b")).alias("id")))
         ta, tb = (texts.select(F.col("id").alias(c), F.col("text").alias(f"t{c}")) for c in "ab")
         # The side that may repeat is joined while rows are thin.
-        return materialize(pairs.select("a", "b").join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb").mapInArrow(_verified(like), "a long, b long"), tag)
+        out = materialize(pairs.select("a", "b").join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb").mapInArrow(_verified(like), "a long, b long"), tag)
+        discard(texts)
+        return out
 
     best = materialize(star.groupBy("b").agg(F.max(F.struct("score", (-F.col("a")).alias("m"))).alias("x")).select((-F.col("x.m")).alias("a"), "b"), tag)
     links = verified(best)
@@ -300,18 +312,27 @@ def link_groups(buckets: DataFrame, sketches: DataFrame, payload: Callable[[Data
     other = star.join(a, "a", "left").join(b, "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
     found = found.unionAll(other.select("a", "b", F.lit(False)))
     found = materialize(found.groupBy("a", "b").agg(F.max("more").alias("more")).join(best.select("a", "b"), ["a", "b"], "left_anti"), tag)
+    discard(star, best, apart)
+    done.append(found)
     if found.isEmpty():
+        discard(*done)
         return comp, links
     links = links.unionAll(verified(found))
+    done.append(comp)
     comp = components(links, tag)
     if found.where("more").isEmpty():
+        discard(*done)
         return comp, links
 
     apart = _apart(rows.where(F.col("n") > SMALL), comp, tag)
     blocks = _blocks(apart, sketches).join(drawn, "id").select("blk", "id", "comp", "l", "r", "sketch")
     still = materialize(blocks.groupBy("blk").applyInArrow(_open(like), "blk long, id long, comp long, l boolean, r boolean"), tag)
-    if still.isEmpty():
-        return comp, links
-    full = still.join(drawn, "id").join(contents(still.select("id")), "id").select("blk", "id", "comp", "l", "r", "sketch", "text")
-    links = links.unionAll(materialize(full.groupBy("blk").applyInArrow(_links(like), "a long, b long"), tag))
-    return components(links, tag), links
+    done += [apart, still]
+    if not still.isEmpty():
+        texts = contents(still.select("id"))
+        full = still.join(drawn, "id").join(texts, "id").select("blk", "id", "comp", "l", "r", "sketch", "text")
+        links = links.unionAll(materialize(full.groupBy("blk").applyInArrow(_links(like), "a long, b long"), tag))
+        done += [texts, comp]
+        comp = components(links, tag)
+    discard(*done)
+    return comp, links

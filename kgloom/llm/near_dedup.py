@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .linking import Likeness, link_groups, shared_buckets
-from .storage import likely, materialize
+from .storage import discard, likely, materialize
 from .textops import SPACED, U, column, levels_of, mix, ngrams, shingle_set, signed, word_levels, words
 
 K, MANTISSA = 252, 10
@@ -194,6 +194,7 @@ def _compared(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent
     texts = src.where("id is not null").select(F.col("key").alias("id"), "text")
     payload = lambda ids: likely(texts, ids).join(ids, "id").dropDuplicates(["id"])
     found, links = link_groups(buckets, sketches, payload, Likeness(_matrix, scorer(percent / 100), preparer(shingle), verifier(percent)), "near")
+    discard(sketches)
     degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
     classes = sets.join(found.withColumnRenamed("id", "rep"), "rep", "left").join(degree, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     least = classes.groupBy("component").agg(F.min("least").alias("component_id"))

@@ -32,7 +32,18 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     """df as a Parquet table: its lineage is cut, later readers prune columns, and each row is computed once."""
     path = new_path(df.sparkSession, tag)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.kgloom_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that materialize made and that nothing reads any more; other DataFrames are left alone."""
+    for df in tables:
+        path = getattr(df, "kgloom_path", None)
+        if path:
+            at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
 #: Bits of a filter: eight megabytes, whatever it holds.
