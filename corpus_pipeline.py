@@ -19,7 +19,7 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated and nearly repeated lines of five words or more stay in their first document only."""
+    """Repeated and nearly repeated lines stay in their first document only."""
     return line_dedup.dedup_lines(docs)
 
 
@@ -40,7 +40,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("language_id", languages), ("line_dedup", lines), ("near_dedup", near_duplicates), ("decontamination", benchmark), ("byte_bpe", tokens)]
 
-#: Language ID is learned; no SQL gives its rows. tests/llm compares each stage with a brute-force version.
+#: Language ID is learned; no SQL gives its rows. tests/llm checks each stage on planted cases and its operator by brute force.
 ORACLE_SQL = None
 
 
