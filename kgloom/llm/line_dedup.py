@@ -166,18 +166,37 @@ def scorer(similarity: float):
     return score
 
 
-def prepare(col) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Of each line its words and the sorted set of (word, how often it stood before)."""
-    if isinstance(col, pa.ChunkedArray):
-        col = col.combine_chunks()
-    out = []
-    for w in words(col, ALNUM, LOWER):
-        for i in range(w.n):
-            h = w.h[w.bounds[i] : w.bounds[i + 1]]
-            bag = np.sort(h)
-            first = np.flatnonzero(np.append(True, bag[1:] != bag[:-1])) if len(bag) else np.zeros(0, dtype=np.int64)
-            nth = np.arange(len(bag)) - np.repeat(first, np.diff(np.append(first, len(bag))))
-            out.append((h, np.sort(mix(bag + nth.astype(U) * U(0x9E3779B97F4A7C15)))))
+class Lines:
+    """Lines of a column: the word hashes h of line i are h[bounds[i] : bounds[i + 1]]; bags holds, in the same places, hashes
+    of (word, how often it stood before)."""
+
+    def __init__(self, col):
+        if isinstance(col, pa.ChunkedArray):
+            col = col.combine_chunks()
+        runs = list(words(col, ALNUM, LOWER))
+        self.h = np.concatenate([w.h for w in runs]) if runs else np.zeros(0, dtype=U)
+        self.sizes = np.concatenate([np.diff(w.bounds) for w in runs]) if runs else np.zeros(0, dtype=np.int64)
+        self.bounds = np.append(0, np.cumsum(self.sizes))
+        self.bags = mix(self.h + occurrence(np.repeat(np.arange(len(self.sizes)), self.sizes), self.h).astype(U) * U(0x9E3779B97F4A7C15))
+
+    def words(self, i: int) -> np.ndarray:
+        return self.h[self.bounds[i] : self.bounds[i + 1]]
+
+    def drawn(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bags of lines i, one after the other, and for each entry its place in i."""
+        n = self.sizes[i]
+        at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        return self.bags[np.repeat(self.bounds[i], n) + at], np.repeat(np.arange(len(i)), n)
+
+
+def occurrence(group: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """How often each entry's (group, hash) stands before, up to the order of equal ones."""
+    order = np.lexsort((h, group))
+    g, x = group[order], h[order]
+    new = np.append(True, (g[1:] != g[:-1]) | (x[1:] != x[:-1]))[: len(x)]
+    first = np.flatnonzero(new)
+    out = np.empty(len(h), dtype=np.int64)
+    out[order] = np.arange(len(h)) - np.repeat(first, np.diff(np.append(first, len(h))))
     return out
 
 
@@ -218,21 +237,29 @@ def within(a: np.ndarray, b: np.ndarray, most: int) -> bool:
 
 
 def verifier(similarity: float):
-    def same(left, right, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(i), dtype=bool)
-        for k, (x, y) in enumerate(zip(i.tolist(), j.tolist())):
-            (a, p), (b, q) = left[x], right[y]
-            size = max(len(a), len(b))
-            most = int((1 - similarity) * size + 1e-9)
-            if abs(len(a) - len(b)) > most:
-                continue
-            # Words that the lines don't share need an edit each.
-            both = np.concatenate([p, q])
-            both.sort()
-            if size - int((both[1:] == both[:-1]).sum()) <= most:
-                out[k] = within(a, b, most)
+    def some(left: Lines, right: Lines, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        m, n = left.sizes[i], right.sizes[j]
+        size = np.maximum(m, n)
+        most = ((1 - similarity) * size + 1e-9).astype(np.int64)
+        # Words that the lines don't share need an edit each.
+        (p, of), (q, also) = left.drawn(i), right.drawn(j)
+        pair, bag = np.concatenate([of, also]), np.concatenate([p, q])
+        order = np.lexsort((bag, pair))
+        pair, bag = pair[order], bag[order]
+        twice = (pair[1:] == pair[:-1]) & (bag[1:] == bag[:-1])
+        shared = np.bincount(pair[1:][twice], minlength=len(i))
+        out = (np.abs(m - n) <= most) & (size - shared <= most)
+        for k in np.flatnonzero(out):
+            out[k] = within(left.words(i[k]), right.words(j[k]), int(most[k]))
         return out
 
+    def same(left: Lines, right: Lines, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        # So many pairs at a time that their bags have about a million entries.
+        step = np.cumsum(left.sizes[i] + right.sizes[j]) >> 20
+        cuts = np.append(np.flatnonzero(np.diff(step, prepend=-1)), len(i))
+        parts = [some(left, right, i[x:y], j[x:y]) for x, y in zip(cuts[:-1], cuts[1:])]
+        return np.concatenate(parts) if parts else np.zeros(0, dtype=bool)
+
     return same
 
 
@@ -265,7 +292,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         found = likely(src.select("row", "text"), refs.select(F.col("row").alias("id")), "row").dropDuplicates(["row"])
         return found.join(refs, "row").select("text", "refs").mapInArrow(_pick, "id long, text string")
 
-    groups, _ = link_groups(buckets, sketches, payload, Likeness(_fields, scorer(similarity), prepare, verifier(similarity)), "lines")
+    groups, _ = link_groups(buckets, sketches, payload, Likeness(_fields, scorer(similarity), Lines, verifier(similarity)), "lines")
     discard(sketches)
     first = firsts.join(groups, "id", "left").groupBy(F.coalesce("component", "id").alias("g")).agg(F.min("first").alias("f"))
     stay = first.groupBy(F.col("f.row").alias("row")).agg(F.collect_list("f.line").alias("stay"))
