@@ -281,7 +281,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     level = docs.sparkSession.sparkContext.broadcast(word_levels(src, ALNUM))
     lines = materialize(src.mapInArrow(_lines(min_words, similarity, level), LINES.format(dict(src.dtypes)["doc"])), "lines")
     firsts = materialize(lines.groupBy("id").agg(F.min(F.struct("doc", "row", "line")).alias("first")), "forms")
-    buckets = shared_buckets(lines.select("id", "keys"), _keys, "buckets")
+    buckets = shared_buckets(lines.select("id", "keys"), _keys, F.size("keys"), "buckets")
     fields = ["s0", "s1", "p0", "p1", "n"]
     some = buckets.select("id").distinct()
     sketches = likely(lines.select("id", *fields), some).join(some, "id", "left_semi").groupBy("id").agg(*(F.first(c).alias(c) for c in fields))

@@ -255,17 +255,58 @@ def _blocks(apart: DataFrame, sketches: DataFrame) -> DataFrame:
     return meets.unionAll(ahead).unionAll(core)
 
 
-def shared_buckets(table: DataFrame, emit: Callable[[Callable], Callable], tag: str) -> DataFrame:
+#: Keys that a task packs at a time, and that a group of packed keys holds on average.
+FLUSH, PACK = 1 << 21, 1 << 18
+
+
+def _packed(emit: Callable[[Callable], Callable], bits: int):
+    """(part, keys): each task's keys, none more than twice a flush, sorted and packed by their first bits."""
+    every = emit(lambda keys: np.ones(len(keys), dtype=bool))
+
+    def flush(found: list[np.ndarray]) -> pa.RecordBatch:
+        x = np.sort(np.concatenate(found))
+        third = np.append(np.zeros(2, dtype=bool), x[2:] == x[:-2])[: len(x)]
+        x = x[~third]
+        part = (x >> np.uint64(64 - bits)).astype(np.int64)
+        first = np.flatnonzero(np.diff(part, prepend=-1))
+        ends = (8 * np.append(first, len(x))).astype(np.int32)
+        blobs = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(x)])
+        return pa.RecordBatch.from_arrays([pa.array(part[first]), blobs], ["part", "keys"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, n = [], 0
+        for b in every(batches):
+            found.append(b.column("key").to_numpy().view(np.uint64))
+            n += b.num_rows
+            if n >= FLUSH:
+                yield flush(found)
+                found, n = [], 0
+        if n:
+            yield flush(found)
+
+    return run
+
+
+def _repeated(t: pa.Table) -> pa.Table:
+    """The distinct keys that the packed keys of a part hold more than once."""
+    x = np.sort(np.frombuffer(b"".join(t["keys"].to_pylist()), dtype=np.uint64))
+    return pa.table({"key": np.unique(x[1:][x[1:] == x[:-1]]).view(np.int64)})
+
+
+def shared_buckets(table: DataFrame, emit: Callable[[Callable], Callable], many: Column, tag: str) -> DataFrame:
     """The distinct (key, id) whose key stands in several rows. emit(keep) makes a function for mapInArrow that gives the keys
-    (key, id) of the table's rows for which keep(keys) holds.
+    (key, id) of the table's rows for which keep(keys) holds; many is a bound on a row's number of keys.
 
-    Most keys stand in one row only: keys are counted by themselves, and a filter of fixed size drops most of the others
-    where they are made; it loses none that is shared.
+    Most keys stand in one row only: keys are counted by themselves, in parts of about PACK keys, and a filter of fixed size
+    drops most of the others where they are made; it loses none that is shared. A task sends a key twice a flush at most, so
+    a part stays small however common its keys are.
     """
-    counted = table.mapInArrow(emit(lambda keys: np.ones(len(keys), dtype=bool)), "key long, id long").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    again = materialize(counted.where("n > 1").select("key"), tag)
-    bits = table.sparkSession.sparkContext.broadcast(bloom(again, "key"))
-    rows = table.mapInArrow(emit(lambda keys: passes(keys, bits.value)), "key long, id long")
+    total = table.agg(F.sum(many.cast("long"))).first()[0] or 0
+    bits = max(1, int(np.ceil(np.log2(max(total, 1) / PACK))))
+    packed = table.mapInArrow(_packed(emit, bits), "part long, keys binary")
+    again = materialize(packed.groupBy("part").applyInArrow(_repeated, "key long"), tag)
+    filled = table.sparkSession.sparkContext.broadcast(bloom(again, "key"))
+    rows = table.mapInArrow(emit(lambda keys: passes(keys, filled.value)), "key long, id long")
     out = materialize(rows.join(again, "key", "left_semi").distinct(), tag)
     discard(again)
     return out

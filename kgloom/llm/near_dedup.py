@@ -190,7 +190,7 @@ def _compared(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent
     reps = sets.select(F.col("rep").alias("id")).distinct()
     sketches = table.select(F.col("key").alias("id"), "n_shingles", "sketch", "low", (8 * F.col("n_shingles")).alias("bytes"))
     sketches = materialize(sketches.join(reps, "id", "left_semi").dropDuplicates(["id"]), "reps")
-    buckets = shared_buckets(sketches, lambda keep: _bands(percent / 100, keep), "buckets")
+    buckets = shared_buckets(sketches, lambda keep: _bands(percent / 100, keep), F.size("low") + Classes(percent / 100).bands, "buckets")
     texts = src.where("id is not null").select(F.col("key").alias("id"), "text")
     payload = lambda ids: likely(texts, ids).join(ids, "id").dropDuplicates(["id"])
     found, links = link_groups(buckets, sketches, payload, Likeness(_matrix, scorer(percent / 100), preparer(shingle), verifier(percent)), "near")
