@@ -112,10 +112,13 @@ def filtered(candidates: DataFrame, existing: DataFrame) -> DataFrame:
 
 
 def label_matrix(queries: DataFrame, candidates: DataFrame, split: DataFrame) -> DataFrame:
-    """(y_id, x_id, label): for each query entity all candidates: 1 test edge, -1 seen in training or validation, 0 other.
-
-    Queries and candidates are the stated evaluation sets; the candidates' side is broadcast only by the optimiser's own size
-    test."""
-    seen = split.groupBy("x_id", "y_id").agg(F.max(F.when(F.col("split") == "test", 1).otherwise(0)).alias("t"), F.max(F.when(F.col("split") != "test", 1).otherwise(0)).alias("s"))
-    j = queries.select("y_id").distinct().crossJoin(candidates.select("x_id").distinct()).join(seen, ["x_id", "y_id"], "left")
-    return j.select("y_id", "x_id", F.when(F.col("t") == 1, 1).when(F.col("s") == 1, -1).otherwise(0).alias("label"))
+    """(y_id, x_id, label, n_other): the labels of the observed pairs of a query entity and a candidate, 1 for a test edge and
+    -1 for one seen in training or validation only. All n_other other candidates of that entity have label 0: they are
+    counted, not listed, so the result is as large as the edges and not as entities times candidates. An entity without an
+    observed candidate has one row with a null x_id and label."""
+    asked, known = queries.select("y_id").where("y_id is not null").distinct(), candidates.select("x_id").where("x_id is not null").distinct()
+    seen = split.groupBy("x_id", "y_id").agg(F.max(F.when(F.col("split") == "test", 1).otherwise(-1)).alias("label")).join(known, "x_id", "left_semi")
+    many = seen.groupBy("y_id").agg(F.count(F.lit(1)).alias("__n"))
+    # One row of one count.
+    asked = asked.join(many, "y_id", "left").crossJoin(F.broadcast(known.agg(F.count(F.lit(1)).alias("__all"))))
+    return asked.join(seen, "y_id", "left").select("y_id", "x_id", "label", (F.col("__all") - F.coalesce("__n", F.lit(0))).alias("n_other"))

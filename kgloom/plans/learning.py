@@ -109,11 +109,11 @@ def o78(s, d):
 
 
 @register("o150_label_matrix", """
-, s AS (SELECT x_id, y_id, row_number() OVER (ORDER BY x_id, y_id) AS r, count(*) OVER () AS n FROM edges WHERE relation = 'supplier_supplies_part'), q AS (SELECT DISTINCT y_id FROM s WHERE y_id LIKE '%7'), c AS (SELECT DISTINCT x_id FROM s)
-SELECT q.y_id, c.x_id, CASE WHEN s.x_id IS NULL THEN 0 WHEN s.r <= round(n * 0.3) THEN 1 ELSE -1 END AS label FROM q CROSS JOIN c LEFT JOIN s ON s.x_id = c.x_id AND s.y_id = q.y_id""", view=True)
+, s AS (SELECT x_id, y_id, row_number() OVER (ORDER BY x_id, y_id) AS r, count(*) OVER () AS n FROM edges WHERE relation = 'supplier_supplies_part')
+SELECT y_id, x_id, CASE WHEN r <= round(n * 0.3) THEN 1 ELSE -1 END AS label, (SELECT count(DISTINCT x_id) FROM s) - count(*) OVER (PARTITION BY y_id) AS n_other FROM s""", view=True)
 def o150(s, d):
     sp = S.stratified(supply(s, d).select("relation", "x_id", "y_id"), 1, 0.3, 0.1, ORDER)
-    return S.label_matrix(sp.where("y_id like '%7'"), sp, sp)
+    return S.label_matrix(sp, sp, sp)
 
 
 SCORED = "(SELECT l.quality AS label, d.lang, d.doc_id, d.source, (d.n_chars % 97) / 100.0 AS score FROM labels l JOIN documents d ON d.doc_id = l.doc_id)"

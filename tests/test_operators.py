@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from kgloom.functions import normalize as N
-from kgloom.operators import audit, compose as C, credibility, evidence as ev, features, graph as G, intervals, mapping, migrate, splits as S
+from kgloom.operators import audit, compose as C, credibility, evidence as ev, features, graph as G, intervals, lookup, mapping, migrate, splits as S
 from kgloom.sources import readers, sinks
 
 
@@ -170,3 +170,26 @@ def test_reasons_and_features(spark):
     v = features.hashed_text(spark.createDataFrame([(1, "One two one"), (2, None), (3, "a")], "id int, text string"), "text", 16)
     norms = {r.id: round(sum(x * x for x in r.vector), 6) for r in v.collect()}
     assert norms == {1: 1.0, 2: 0.0, 3: 0.0}
+
+
+def test_nearest_takes_every_query_and_breaks_ties_by_id(spark):
+    rows = [(i, [float(i % 5), 1.0, float(i % 3)]) for i in range(60)] + [(60, [0.0, 0.0, 0.0]), (61, None), (None, [1.0, 1.0, 1.0])]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = sorted(tuple(r) for r in lookup.nearest(v, v.where("vec_id % 10 = 0"), 4, block=3).collect())
+
+    def cosine(x, y):
+        norm = (sum(a * a for a in x) * sum(a * a for a in y)) ** 0.5
+        return round(sum(a * b for a, b in zip(x, y)) / norm, 9) if norm else 0.0
+
+    good = [r for r in rows if None not in r]
+    want = [(q, i, s) for q, x in good if q % 10 == 0 for s, i in sorted(((cosine(x, y), i) for i, y in good if i != q), key=lambda p: (-p[0], p[1]))[:4]]
+    assert [r[:2] for r in got] == sorted(r[:2] for r in want) and len(got) == 28
+    assert all(abs(a[2] - b[2]) < 1e-8 for a, b in zip(got, sorted(want)))
+    assert lookup.nearest(v, v.where("false"), 4).count() == 0
+
+
+def test_label_matrix_counts_what_it_does_not_list(spark):
+    split = spark.createDataFrame([("a", "y", "test"), ("a", "y", "train"), ("b", "y", "valid"), ("c", "z", "train")], "x_id string, y_id string, split string")
+    asked = spark.createDataFrame([("y",), ("w",), (None,), ("y",)], "y_id string")
+    got = sorted((tuple(r) for r in S.label_matrix(asked, split, split).collect()), key=str)
+    assert got == [("w", None, None, 3), ("y", "a", 1, 1), ("y", "b", -1, 1)]
