@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import license_scan
+from . import license_scan, resampling
 from .byte_bpe import op7_byte_bpe
 from .class_lm import op9_class_lm
 from .code_search import op8_exact_top_k
@@ -11,6 +11,7 @@ from .language_id import op1_language_id
 from .license_scan import op10_license_scan
 from .line_dedup import op2_line_dedup
 from .near_dedup import op3_minhash_near_dedup
+from .resampling import op11_importance_resampling
 from .secret_scan import op5_secret_scan
 from .token_counts import op6_token_counts
 
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_exact_top_k": op8_exact_top_k,
     "op9_class_lm": op9_class_lm,
     "op10_license_scan": op10_license_scan,
+    "op11_importance_resampling": op11_importance_resampling,
 }
 
 ORACLE_SQL = {
@@ -85,4 +87,5 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance,
 SELECT query_id, rank, vec_id, distance FROM r WHERE rank <= 10
 """,
     "op10_license_scan": license_scan.oracle_sql(),
+    "op11_importance_resampling": resampling.ORACLE_SQL,
 }

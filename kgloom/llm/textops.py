@@ -28,6 +28,11 @@ ALNUM = np.zeros(256, dtype=bool)
 ALNUM[0x30:0x3A] = ALNUM[0x61:0x7B] = ALNUM[0x80:] = True
 
 
+#: Words of the source audit: ASCII letters and all bytes beyond ASCII.
+LETTERS = np.zeros(256, dtype=bool)
+LETTERS[0x61:0x7B] = LETTERS[0x80:] = True
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (splitmix64)."""
     x = x ^ (x >> U(30))
@@ -83,6 +88,34 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return out
 
 
+def gathered(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The slices data[start : start + size], one behind the other."""
+    return data[np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)]
+
+
+def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, which): the index of one of each of the distinct slices, and the place in `first` of each slice.
+
+    Slices of equal hash are compared byte by byte; should two differ, the later one stands for itself, so the result is exact.
+    """
+    _, first, which = np.unique(h, return_index=True, return_inverse=True)
+    rep, sizes = first[which], ends - starts
+    alike = np.flatnonzero((sizes == sizes[rep]) & (rep != np.arange(len(rep))))
+    differ = gathered(data, starts[alike], sizes[alike]) != gathered(data, starts[rep[alike]], sizes[alike])
+    odd = np.flatnonzero(sizes != sizes[rep])
+    if differ.any():
+        odd = np.union1d(odd, alike[np.unique(np.repeat(np.arange(len(alike)), sizes[alike])[differ])])
+    which[odd] = len(first) + np.arange(len(odd))
+    return np.append(first, odd), which
+
+
+def strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The slices as a string column."""
+    sizes = ends - starts
+    offsets = np.append(0, np.cumsum(sizes)).astype(np.int64)
+    return pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(offsets), pa.py_buffer(gathered(data, starts, sizes)))
+
+
 class Words:
     """The words of rows row0..row0+n of a batch: starts, ends, hashes h, and bounds (n + 1) of each row's words."""
 
