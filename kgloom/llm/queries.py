@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import license_scan, resampling
+from . import divergence, license_scan, resampling
 from .byte_bpe import op7_byte_bpe
 from .class_lm import op9_class_lm
 from .code_search import op8_exact_top_k
 from .decontamination import op4_benchmark_decontamination
+from .divergence import op12_source_divergence
 from .language_id import op1_language_id
 from .license_scan import op10_license_scan
 from .line_dedup import op2_line_dedup
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_class_lm": op9_class_lm,
     "op10_license_scan": op10_license_scan,
     "op11_importance_resampling": op11_importance_resampling,
+    "op12_source_divergence": op12_source_divergence,
 }
 
 ORACLE_SQL = {
@@ -88,4 +90,5 @@ SELECT query_id, rank, vec_id, distance FROM r WHERE rank <= 10
 """,
     "op10_license_scan": license_scan.oracle_sql(),
     "op11_importance_resampling": resampling.ORACLE_SQL,
+    "op12_source_divergence": divergence.ORACLE_SQL,
 }
