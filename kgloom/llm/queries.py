@@ -12,6 +12,7 @@ from .language_id import op1_language_id
 from .license_scan import op10_license_scan
 from .line_dedup import op2_line_dedup
 from .near_dedup import op3_minhash_near_dedup
+from .piece_bpe import op13_sentencepiece
 from .resampling import op11_importance_resampling
 from .secret_scan import op5_secret_scan
 from .token_counts import op6_token_counts
@@ -29,6 +30,7 @@ QUERIES = {
     "op10_license_scan": op10_license_scan,
     "op11_importance_resampling": op11_importance_resampling,
     "op12_source_divergence": op12_source_divergence,
+    "op13_sentencepiece": op13_sentencepiece,
 }
 
 ORACLE_SQL = {
