@@ -193,11 +193,61 @@ def overlap(found: DataFrame, observed: DataFrame) -> DataFrame:
     return found.join(seen, ["x_id", "y_id"], "left").withColumn("observed_overlap", F.col("__o").isNotNull()).drop("__o")
 
 
-def member_consensus(members: DataFrame, targets: DataFrame, most: int = 500, least: int = 2) -> DataFrame:
-    """Groups (g, y) from g -> m and m -> y edges: groups of at most `most` members in which two members at least support the
-    target, some two of them by different sources."""
-    size = members.groupBy("x_id").agg(F.count_distinct("y_id").alias("n_members"))
-    small = members.join(size.where(F.col("n_members") <= most), "x_id").select(F.col("x_id").alias("g"), F.col("y_id").alias("m"), "n_members")
-    j = small.join(targets.select(F.col("x_id").alias("m"), F.col("y_id").alias("y"), "source"), "m")
-    g = j.groupBy("g", "y", "n_members").agg(F.count_distinct("m").alias("support"), F.count_distinct("source").alias("sources"))
-    return g.where((F.col("support") >= least) & (F.col("sources") >= 2))
+def disjoint_pair(sets: Column) -> Column:
+    """Whether some two of the sets (array<array<string>>) have nothing in common; empty sets don't count.
+
+    Sets are bit masks over their union, in words of 63 bits, so a comparison is an AND a word. A value that all sets hold
+    settles most groups without a comparison.
+    """
+    kept = F.filter(sets, lambda x: F.size(x) > 0)
+    union = F.array_sort(F.array_distinct(F.flatten(kept)))
+    place = lambda every, v: F.array_position(every, v) - 1
+    word = lambda every, x, w: F.aggregate(
+        F.filter(x, lambda v: F.floor(place(every, v) / 63) == w), F.lit(0).cast("long"), lambda acc, v: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), (place(every, v) % 63).cast("int")))
+    )
+    masks = lambda every: F.transform(kept, lambda x: F.transform(F.sequence(F.lit(0), F.floor((F.size(every) - 1) / 63).cast("int")), lambda w: word(every, x, w)))
+    apart = lambda a, b: F.forall(F.zip_with(a, b, lambda m, n: m.bitwiseAND(n)), lambda m: m == 0)
+    # A one-element transform binds the masks, so that they are computed once a group.
+    pairs = F.transform(F.array(masks(union)), lambda ms: F.exists(ms, lambda a: F.exists(ms, lambda b: apart(a, b))))[0]
+    common = F.aggregate(kept, kept[0], F.array_intersect)
+    return F.when(F.size(kept) < 2, F.lit(False)).when(F.size(common) > 0, F.lit(False)).otherwise(pairs)
+
+
+def group_consensus(members: DataFrame, targets: DataFrame, most: int = 500) -> DataFrame:
+    """Targets y that the members of a group g support together: one row for every (g, y) that a path g -> m -> y joins.
+
+    members (x_id: g, y_id: m, source), targets (x_id: m, y_id: y, source, and native_support if there is such a field).
+    A path is independent when the sources of its two edges are known and have nothing in common; a member's sources are
+    those of its target edges on independent paths. reason, null when the group is accepted: `pathway_fanout` for groups of
+    more than `most` membership rows; else, unless a path states native support, `insufficient_independent_members` for fewer
+    than two members with an independent path, and `source_commonality_or_circularity` when no two members have disjoint
+    sources. members counts those of the accepted paths (all paths with native support, else the independent ones), support
+    lists the edges of these.
+
+    Groups beyond `most` are never joined path by path: their targets are told once each. In the others a group and target
+    has `most` members at most; members with equal sources are one class, and classes are compared as bit masks.
+    """
+    key = lambda relation: F.concat_ws("|", F.lit(relation) if isinstance(relation, str) else relation, "x_id", "y_id")
+    size = members.groupBy(F.col("x_id").alias("g")).agg(F.count(F.lit(1)).alias("group_size"))
+    native = values(F.col("native_support")) if "native_support" in targets.columns else F.array().cast("array<string>")
+    m = members.select(F.col("x_id").alias("g"), F.col("y_id").alias("m"), values(F.col("source")).alias("s1"), key("contains").alias("k1")).join(size, "g")
+    t = targets.select(F.col("x_id").alias("m"), F.col("y_id").alias("y"), values(F.col("source")).alias("s2"), key("supports").alias("k2"), F.arrays_overlap(native, F.array(F.lit("true"), F.lit("1"), F.lit("yes"))).alias("native"))
+    none = lambda kind: F.lit(None).cast(kind)
+    large = m.where(F.col("group_size") > most).select("g", "m", "group_size").distinct().join(t.select("m", "y").distinct(), "m").select("g", "y", "group_size").distinct()
+    large = large.select("g", "y", "group_size", F.lit("pathway_fanout").alias("reason"), none("boolean").alias("native"), none("long").alias("members"), none("string").alias("support"))
+    paths = m.where(F.col("group_size") <= most).join(t, "m")
+    paths = paths.withColumn("apart", (F.size("s1") > 0) & (F.size("s2") > 0) & ~F.arrays_overlap("s1", "s2"))
+    keys = F.array("k1", "k2")
+    each = paths.groupBy("g", "y", "group_size", "m").agg(
+        F.max("native").alias("native"), F.max("apart").alias("apart"), F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.when(F.col("apart"), F.col("s2")))))).alias("sources"),
+        F.flatten(F.collect_set(keys)).alias("all_keys"), F.flatten(F.collect_set(F.when(F.col("apart"), keys))).alias("apart_keys"),
+    )
+    one = each.groupBy("g", "y", "group_size").agg(
+        F.max("native").alias("native"), F.count(F.lit(1)).alias("every"), F.count(F.when(F.col("apart"), 1)).alias("some"), F.collect_set(F.when(F.col("apart"), F.col("sources"))).alias("classes"),
+        F.flatten(F.collect_list("all_keys")).alias("all_keys"), F.flatten(F.collect_list("apart_keys")).alias("apart_keys"),
+    )
+    one = one.withColumn("reason", F.when(F.col("native"), none("string")).when(F.col("some") < 2, "insufficient_independent_members").when(~disjoint_pair(F.col("classes")), "source_commonality_or_circularity"))
+    listed = F.array_join(F.array_sort(F.array_distinct(F.when(F.col("native"), F.col("all_keys")).otherwise(F.col("apart_keys")))), ";")
+    accepted = F.col("reason").isNull()
+    one = one.select("g", "y", "group_size", "reason", "native", F.when(accepted, F.when(F.col("native"), F.col("every")).otherwise(F.col("some"))).alias("members"), F.when(accepted, listed).alias("support"))
+    return one.unionByName(large)

@@ -428,12 +428,28 @@ def o116(s, d):
     return table(s, d, "documents").groupBy(F.coalesce(C.pathogenicity_reason(c), F.lit("accepted")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def consensus_premises(s, d):
+    """Lots (by size, by brand, and one of all parts) contain parts; parts, by their return flags, support suppliers."""
+    p, line = table(s, d, "part"), table(s, d, "lineitem")
+    held = p.select(F.explode(F.array(F.concat(F.lit("size:"), F.col("p_size").cast("string")), F.concat(F.lit("brand:"), "p_brand"), F.lit("lot:all"))).alias("x_id"), F.concat(F.lit("part:"), F.col("p_partkey").cast("string")).alias("y_id"), "p_partkey")
+    held = held.select("x_id", "y_id", F.when(F.col("p_partkey") % 5 == 0, "a, catalogue").when(F.col("p_partkey") % 11 == 0, "").otherwise("catalogue").alias("source"))
+    t = line.groupBy("l_partkey", "l_suppkey").agg(F.array_join(F.array_sort(F.collect_set("l_returnflag")), ",").alias("f"))
+    shared = F.when(F.col("l_suppkey") % 3 == 0, ",panel").otherwise("")
+    t = t.select(F.concat(F.lit("part:"), F.col("l_partkey").cast("string")).alias("x_id"), F.concat(F.lit("supplier:"), F.col("l_suppkey").cast("string")).alias("y_id"), F.concat("f", shared).alias("source"), F.when((F.col("l_partkey") + F.col("l_suppkey")) % 97 == 0, "Yes").otherwise("no").alias("native_support"))
+    return held, t
+
+
 @register("o132_group_consensus", """
-, m AS (SELECT x_id AS g, y_id AS m FROM edges WHERE relation = 'customer_places_order'), t AS (SELECT x_id AS m, y_id AS y, source FROM edges WHERE relation = 'order_contains_part'), z AS (SELECT g, count(DISTINCT m) AS n_members FROM m GROUP BY g)
-SELECT g, y, n_members, count(DISTINCT m) AS support, count(DISTINCT source) AS sources FROM m JOIN t USING (m) JOIN z USING (g) WHERE n_members <= 500 GROUP BY ALL HAVING count(DISTINCT m) >= 2 AND count(DISTINCT source) >= 2""", view=True)
+WITH held AS (SELECT unnest(['size:' || p_size, 'brand:' || p_brand, 'lot:all']) AS g, 'part:' || p_partkey AS m, CASE WHEN p_partkey % 5 = 0 THEN ['a', 'catalogue'] WHEN p_partkey % 11 = 0 THEN [] ELSE ['catalogue'] END AS s1 FROM part),
+t AS (SELECT 'part:' || l_partkey AS m, 'supplier:' || l_suppkey AS y, list_concat(list(DISTINCT lower(l_returnflag)), CASE WHEN l_suppkey % 3 = 0 THEN ['panel'] ELSE [] END) AS s2, (l_partkey + l_suppkey) % 97 = 0 AS native FROM lineitem GROUP BY l_partkey, l_suppkey),
+z AS (SELECT g, count(*) AS group_size FROM held GROUP BY g),
+p AS (SELECT g, m, y, s2, native, len(s1) > 0 AND NOT list_has_any(s1, s2) AS apart, group_size FROM held JOIN z USING (g) JOIN t USING (m)),
+dis AS (SELECT DISTINCT a.g, a.y FROM p a JOIN p b ON a.g = b.g AND a.y = b.y WHERE a.group_size <= 500 AND a.apart AND b.apart AND NOT list_has_any(a.s2, b.s2)),
+q AS (SELECT g, y, group_size, bool_or(native) AS native, count(*) AS n_every, count(*) FILTER (apart) AS n_some, array_to_string(list_sort(flatten(list(['contains|' || g || '|' || m, 'supports|' || m || '|' || y]))), ';') AS k_all, array_to_string(list_sort(flatten(list(['contains|' || g || '|' || m, 'supports|' || m || '|' || y]) FILTER (apart))), ';') AS k_some FROM p GROUP BY g, y, group_size),
+r AS (SELECT q.*, CASE WHEN group_size > 500 THEN 'pathway_fanout' WHEN native THEN NULL WHEN n_some < 2 THEN 'insufficient_independent_members' WHEN dis.g IS NULL THEN 'source_commonality_or_circularity' END AS reason FROM q LEFT JOIN dis ON dis.g = q.g AND dis.y = q.y)
+SELECT g, y, group_size, reason, CASE WHEN group_size <= 500 THEN native END AS native, CASE WHEN reason IS NULL THEN CASE WHEN native THEN n_every ELSE n_some END END AS members, CASE WHEN reason IS NULL THEN sha256(CASE WHEN native THEN k_all ELSE k_some END) END AS support FROM r""")
 def o132(s, d):
-    e = edges(s, d)
-    return C.member_consensus(e.where("relation = 'customer_places_order'"), e.where("relation = 'order_contains_part'"))
+    return C.group_consensus(*consensus_premises(s, d)).withColumn("support", F.sha2("support", 256))
 
 
 @register("o137_candidate_counts", """

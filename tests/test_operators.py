@@ -193,3 +193,40 @@ def test_label_matrix_counts_what_it_does_not_list(spark):
     asked = spark.createDataFrame([("y",), ("w",), (None,), ("y",)], "y_id string")
     got = sorted((tuple(r) for r in S.label_matrix(asked, split, split).collect()), key=str)
     assert got == [("w", None, None, 3), ("y", "a", 1, 1), ("y", "b", -1, 1)]
+
+
+def test_group_consensus_matches_all_pairs_of_members(spark):
+    """Several, shared, nested, equal, unknown and more than 63 sources; native support; large groups."""
+    import itertools
+    import random
+
+    rng = random.Random(8)
+    names = [f"s{i}" for i in range(6)]
+    pick = lambda k: ",".join(rng.sample(names, k))
+    members = [(f"g{g}", f"m{m}", rng.choice(["own", "own", "", "s1,own"])) for g in range(25) for m in rng.sample(range(12), rng.randrange(1, 7))]
+    members += [("big", f"m{m}", "own") for m in range(8)] + [("wide", "w1", "own"), ("wide", "w2", "own"), ("nest", "w3", "own"), ("nest", "w4", "own")]
+    targets = [(f"m{m}", f"y{y}", pick(rng.randrange(4)), rng.choice(["no", "no", "no", None, " TRUE ,x"])) for m in range(12) for y in range(4) if rng.random() < 0.7]
+    many = [f"t{i}" for i in range(140)]
+    targets += [("w1", "y0", ",".join(many[:70]), None), ("w2", "y0", ",".join(many[70:]), None), ("w1", "y1", ",".join(many[:71]), None), ("w2", "y1", ",".join(many[70:]), None), ("w3", "y0", "b", None), ("w4", "y0", "a,b", None)]
+    known = lambda t: {x.strip().lower() for x in (t or "").split(",")} - {"", "unknown"}
+    want = {}
+    for g, y in {(g, t[1]) for g, m, _ in members for t in targets if t[0] == m}:
+        paths = [(m, known(s), known(t[2]), known(t[3]) & {"true", "1", "yes"}) for g2, m, s in members for t in targets if g2 == g and t[0] == m and t[1] == y]
+        size = sum(x[0] == g for x in members)
+        own = {}
+        for m, a, b, _ in paths:
+            if a and b and not a & b:
+                own.setdefault(m, set()).update(b)
+        native = any(p[3] for p in paths)
+        apart = any(not own[a] & own[b] for a, b in itertools.combinations(own, 2))
+        reason = "pathway_fanout" if size > 7 else None if native else "insufficient_independent_members" if len(own) < 2 else None if apart else "source_commonality_or_circularity"
+        want[g, y] = (reason, None if reason else len({p[0] for p in paths}) if native else len(own))
+    got = C.group_consensus(spark.createDataFrame(members, "x_id string, y_id string, source string"), spark.createDataFrame(targets, "x_id string, y_id string, source string, native_support string"), 7).collect()
+    assert {(r.g, r.y): (r.reason, r.members) for r in got} == want and len(got) == len(want)
+    assert {w[0] for w in want.values()} == {None, "pathway_fanout", "insufficient_independent_members", "source_commonality_or_circularity"}
+    # The two cases of one source everywhere and of equal pairs of sources: refused.
+    edges = "x_id string, y_id string, source string"
+    nested = C.group_consensus(spark.createDataFrame([("g", "m1", "o"), ("g", "m2", "o"), ("h", "m3", "o"), ("h", "m4", "o")], edges), spark.createDataFrame([("m1", "y", "a,b"), ("m2", "y", "b"), ("m3", "y", "a,b"), ("m4", "y", "b,a")], edges)).collect()
+    assert {r.reason for r in nested} == {"source_commonality_or_circularity"}
+    empty = spark.createDataFrame([], edges)
+    assert C.group_consensus(empty, empty).count() == 0
