@@ -3,15 +3,23 @@
 A template is data: premise relations in order, which ends join, gates, and the ends of the result. Premises are joined by
 equi-joins, gates give the first reason against a path, accepted paths become candidates with support, context and a
 derivation hash, and rejected ones are counted by reason. Inferred edges never go into the edge table.
+
+Counting needs no paths. `counted` and `path_count` collapse each premise to the variables that others share and the fields
+that gates read, with a weight, and push products of weights along the chain, so a hub's edges are as few rows as it has kinds
+of edges. Path counts of parts of a template also give the join order, and refuse templates that would join too many paths.
+Closing a triangle starts from the closing edges, each from its rarer end, so open wedges are never built.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from .graph import numbered
+
 # Fields that describe an assertion's context, those that name a mapping, and words with a sign.
 CONTEXT = ["assembly", "organism", "tissue", "biosample", "cell_type", "cell_line", "disease_context", "phenotype_context", "population", "dose", "time", "readout"]
 MAPPING = ["assembly", "organism", "transcript_id", "isoform_id", "protein_isoform"]
@@ -91,39 +99,54 @@ class Template:
     mapping: tuple[str, ...] = ()
 
 
-def paths(edges: DataFrame, t: Template) -> DataFrame:
-    """All joins of the premises: variables v_*, and each premise's row as p0, p1, ...
+def _compared(t: Template) -> list[str]:
+    return list(dict.fromkeys((*t.context, *t.mapping, *(["source"] if t.independent else []))))
 
-    Values of the fields that the template compares are taken apart once an edge, before paths multiply: f_<field> holds them,
-    one_<field> the only one, if there is one, and sign the direction's sign.
-    """
-    fields = [c for c in edges.columns if c not in ("x_id", "y_id", "relation")]
-    compared = dict.fromkeys((*t.context, *t.mapping, *(["source"] if t.independent else [])))
-    taken = edges.withColumns({f"f_{f}": values(F.col(f)) for f in compared} | ({"sign": sign(F.col("direction"))} if t.signed is not None else {}))
-    more = [F.when(F.size(f"f_{f}") == 1, F.col(f"f_{f}")[0]).alias(f"one_{f}") for f in compared]
-    extra = [F.col(f"f_{f}") for f in compared] + more + (["sign"] if t.signed is not None else [])
+
+def _taken(edges: DataFrame, t: Template) -> DataFrame:
+    """edges with the values that the template compares taken apart once an edge, before paths multiply: f_<field> holds them,
+    one_<field> the only one, if there is one, and sign the direction's sign."""
+    out = edges.withColumns({f"f_{f}": values(F.col(f)) for f in _compared(t)} | ({"sign": sign(F.col("direction"))} if t.signed is not None else {}))
+    one = {f"one_{f}": F.when(F.size(f"f_{f}") == 1, F.col(f"f_{f}")[0]) for f in _compared(t)}
+    return out.withColumns(one | {"key": F.concat_ws("|", "relation", "x_id", "y_id")})
+
+
+def _variables(t: Template, i: int) -> tuple[str, ...]:
+    return tuple(dict.fromkeys(t.premises[i][1:]))
+
+
+def _premise(taken: DataFrame, t: Template, i: int, fields: list[str]) -> DataFrame:
+    """Premise i: its variables v_*, and a struct p<i> of the fields."""
+    relation, a, b = t.premises[i]
+    return taken.where(F.col("relation") == relation).where(F.lit(True) if a != b else F.col("x_id") == F.col("y_id")).select(*({f"v_{a}": F.col("x_id").alias(f"v_{a}"), f"v_{b}": F.col("y_id").alias(f"v_{b}")}.values()), F.struct(*fields).alias(f"p{i}"))
+
+
+def paths(edges: DataFrame, t: Template, order: list[int] | None = None) -> DataFrame:
+    """All joins of the premises: variables v_*, and each premise's row as p0, p1, ..., joined in the order given."""
+    taken = _taken(edges, t)
+    fields = [c for c in taken.columns if c not in ("x_id", "y_id")]
     out, known = None, set()
-    for i, (relation, a, b) in enumerate(t.premises):
-        p = taken.where(F.col("relation") == relation).select(
-            F.col("x_id").alias(f"v_{a}"), F.col("y_id").alias(f"v_{b}"), F.struct(F.concat_ws("|", "relation", "x_id", "y_id").alias("key"), "relation", *fields, *extra).alias(f"p{i}")
-        )
-        out = p if out is None else out.join(p, [f"v_{v}" for v in dict.fromkeys((a, b)) if v in known])
-        known |= {a, b}
+    for i in order or range(len(t.premises)):
+        p = _premise(taken, t, i, fields)
+        out = p if out is None else out.join(p, [f"v_{v}" for v in _variables(t, i) if v in known])
+        known |= set(_variables(t, i))
     return out
 
 
-def derive(edges: DataFrame, t: Template) -> DataFrame:
-    """Every path with its ends and `reason`, null for accepted ones."""
-    p = paths(edges, t)
+def _cell(i: int, field_: str) -> Column:
+    return F.col(f"p{i}.{field_}")
+
+
+def _reason(t: Template) -> Column:
+    """The first reason against a path of premise structs p0, p1, ...; null for none."""
     n = len(t.premises)
-    cell = lambda i, f: F.col(f"p{i}.{f}")
-    each = lambda f: [cell(i, f) for i in range(n)]
+    each = lambda f: [_cell(i, f) for i in range(n)]
     every = lambda conditions: functools.reduce(lambda a, b: a & b, conditions)
     # No field holds two values, and those that hold one hold the same; nulls don't count in least and greatest.
     single = lambda f: every(F.size(c) <= 1 for c in each(f"f_{f}"))
     same = lambda f: F.coalesce(F.least(*each(f"one_{f}")) == F.greatest(*each(f"one_{f}")), F.lit(True))
     full = lambda f: every(c.isNotNull() for c in each(f"one_{f}"))
-    reasons = [gate(cell) for gate in t.gates]
+    reasons = [gate(_cell) for gate in t.gates]
     if t.signed is not None:
         product = functools.reduce(lambda a, b: a * b, each("sign"))
         reasons.append(F.when(product == 0, "conflicting_sign").when(product.isNull(), "missing_sign").when(product != t.signed, "other_sign"))
@@ -137,13 +160,158 @@ def derive(edges: DataFrame, t: Template) -> DataFrame:
         common = functools.reduce(F.array_intersect, each("f_source"))
         apart = F.when(full("source"), ~same("source")).otherwise(every(F.size(c) > 0 for c in each("f_source")) & (F.size(common) == 0))
         reasons.append(F.when(~apart, "source_not_independent"))
-    x, y = (f"v_{v}" for v in t.out)
-    p = p.withColumn("x_id", F.col(x)).withColumn("y_id", F.col(y)).withColumn("reason", F.coalesce(*reasons, F.lit(None).cast("string")))
+    return F.coalesce(*reasons, F.lit(None).cast("string"))
+
+
+def _read_fields(t: Template) -> list[list[str]]:
+    """Of each premise, the fields that the template's gates read."""
+    seen = [{f"{k}_{f}" for f in _compared(t) for k in ("f", "one")} | ({"sign"} if t.signed is not None else set()) for _ in t.premises]
+
+    def note(i: int, field_: str) -> Column:
+        seen[i].add(field_)
+        return _cell(i, field_)
+
+    for gate in t.gates:
+        gate(note)
+    return [sorted(s) for s in seen]
+
+
+def _ends(t: Template, p: DataFrame) -> DataFrame:
+    return p.withColumns({"x_id": F.col(f"v_{t.out[0]}"), "y_id": F.col(f"v_{t.out[1]}")})
+
+
+def _closing(edges: DataFrame, t: Template) -> DataFrame:
+    return edges.where(F.col("relation") == t.triangle).select("x_id", "y_id").distinct()
+
+
+def _told(t: Template, p: DataFrame) -> DataFrame:
+    n = len(t.premises)
+    keys = [_cell(i, "key") for i in range(n)]
+    return p.select("x_id", "y_id", F.lit(t.relation).alias("relation"), F.lit(t.name).alias("template"), "reason", F.array_join(F.array_sort(F.array(*keys)), ";").alias("support"), F.array_join(F.array(*keys), ">").alias("path"))
+
+
+def derive(edges: DataFrame, t: Template, order: list[int] | None = None) -> DataFrame:
+    """Every path with its ends and `reason`, null for accepted ones; for single rejected paths. `counted` counts without
+    building them, and `closed` builds a triangle's closed paths only."""
+    p = _ends(t, paths(edges, t, order)).withColumn("reason", _reason(t))
+    if t.triangle:
+        p = p.join(_closing(edges, t).withColumn("__closed", F.lit(True)), ["x_id", "y_id"], "left").withColumn("reason", F.coalesce("reason", F.when(F.col("__closed").isNull(), "no_closing_edge"))).drop("__closed")
+    return _told(t, p)
+
+
+def closed(edges: DataFrame, t: Template) -> DataFrame:
+    """A triangle template's closed paths with their reason, as derive gives them.
+
+    Two premises share a variable; the closing edge joins the other two. Each closing edge is extended from the end that has
+    fewer premise edges, and the pair so found is looked up in the other premise: the rows made are at most the sum of the
+    smaller degrees of the closing edges.
+    """
+    (one, two), taken = [_variables(t, i) for i in (0, 1)], _taken(edges, t)
+    (shared_,) = set(one) & set(two)
+    if len(t.premises) != 2 or {*t.out} != {*one, *two} - {shared_}:
+        raise ValueError("a triangle has two premises and a closing relation between their other ends")
+    fields = [c for c in taken.columns if c not in ("x_id", "y_id")]
+    sides = [_premise(taken, t, i, fields) for i in (0, 1)]
+    far = [f"v_{next(v for v in x if v != shared_)}" for x in (one, two)]
+    pairs = _closing(edges, t).select(F.col("x_id").alias(f"v_{t.out[0]}"), F.col("y_id").alias(f"v_{t.out[1]}"))
+    for i in (0, 1):
+        pairs = pairs.join(sides[i].groupBy(far[i]).agg(F.count(F.lit(1)).alias(f"__d{i}")), far[i])
+    found = None
+    for i, rarer in ((0, F.col("__d0") <= F.col("__d1")), (1, F.col("__d0") > F.col("__d1"))):
+        part = pairs.where(rarer).drop("__d0", "__d1").join(sides[i], far[i]).join(sides[1 - i], [f"v_{shared_}", far[1 - i]]).select(f"v_{shared_}", *far, "p0", "p1")
+        found = part if found is None else found.unionByName(part)
+    return _told(t, _ends(t, found).withColumn("reason", _reason(t)))
+
+
+def _collapsed(edges: DataFrame, t: Template, which: list[int], fields: list[list[str]]) -> DataFrame:
+    """Premises `which` joined, collapsed to kinds of paths: the structs of the fields (p<i>) and `weight`, how many there are.
+
+    A premise is first counted by the variables that it shares and its fields; after each join, variables that nothing further
+    needs are dropped and equal rows added up.
+    """
+    taken = _taken(edges, t)
+    exact = lambda c: F.sum(c).cast("decimal(38,0)").alias("weight")
+    out, known = None, set()
+    for at, i in enumerate(which):
+        mine = set(_variables(t, i))
+        later = {v for j in which[at + 1 :] for v in _variables(t, j)}
+        keep = [f"v_{v}" for v in _variables(t, i) if v in later | known]
+        has = [f"p{i}"] if fields[i] else []
+        p = _premise(taken, t, i, fields[i] or ["key"]).groupBy(*keep, *has).agg(exact(F.lit(1).cast("decimal(20,0)")))
+        if out is None:
+            out = p
+        else:
+            common = [f"v_{v}" for v in _variables(t, i) if v in known]
+            out = out.join(p.withColumnRenamed("weight", "__w"), common)
+            rest = [c for c in out.columns if c not in ("weight", "__w") and (not c.startswith("v_") or c[2:] in later)]
+            out = out.groupBy(*rest).agg(exact((F.col("weight") * F.col("__w")).cast("decimal(38,0)")))
+        known |= mine
+    return out
+
+
+def path_count(edges: DataFrame, t: Template, which: list[int] | None = None) -> int:
+    """How many paths the premises (of `which`) join to, before gates: products of degrees pushed along the chain."""
+    which = which or list(range(len(t.premises)))
+    return int(_collapsed(edges, t, which, [[] for _ in t.premises]).agg(F.sum("weight")).first()[0] or 0)
+
+
+def join_order(edges: DataFrame, t: Template) -> list[int]:
+    """The order of the premises whose intermediate results are smallest, by exact counts of each connected part."""
+    n, counts = len(t.premises), {}
+    if n < 3:
+        return list(range(n))
+
+    def cost(order: tuple[int, ...]) -> int | None:
+        total, known = 0, set(_variables(t, order[0]))
+        for k in range(1, n):
+            if not known & set(_variables(t, order[k])):
+                return None
+            known |= set(_variables(t, order[k]))
+            part = tuple(sorted(order[: k + 1]))
+            if k < n - 1 and part not in counts:
+                counts[part] = path_count(edges, t, list(order[: k + 1]))
+            total += counts.get(part, 0)
+        return total
+
+    orders = [(c, o) for o in itertools.permutations(range(n)) if o[0] < o[1] and (c := cost(o)) is not None]
+    return list(min(orders)[1])
+
+
+def bounded(edges: DataFrame, t: Template, most: int) -> DataFrame:
+    """derive, in the best join order, or an error that names the number of paths when it is above `most`; nothing is joined then."""
+    found = path_count(edges, t)
+    if found > most:
+        raise ValueError(f"template {t.name} joins {found} paths, more than {most}")
+    return derive(edges, t, join_order(edges, t))
+
+
+def counted(edges: DataFrame, t: Template, max_paths: int | None = None) -> DataFrame:
+    """Paths by reason (template, reason, paths), accepted ones as `accepted`, without building open paths.
+
+    Beyond max_paths, accepted paths count as `max_paths_bound`. Of a triangle, only closed paths are built; the open ones are
+    those that no gate refuses, less the closed ones.
+    """
+    rows = _collapsed(edges, t, list(range(len(t.premises))), _read_fields(t))
+    rows = rows.groupBy(F.coalesce(_reason(t), F.lit("accepted")).alias("reason")).agg(F.sum("weight").alias("paths"))
     if t.triangle:
-        seen = edges.where(F.col("relation") == t.triangle).select("x_id", "y_id").distinct().withColumn("__closed", F.lit(True))
-        p = p.join(seen, ["x_id", "y_id"], "left").withColumn("reason", F.coalesce("reason", F.when(F.col("__closed").isNull(), "no_closing_edge"))).drop("__closed")
-    support = F.array_sort(F.array(*each("key")))
-    return p.select("x_id", "y_id", F.lit(t.relation).alias("relation"), F.lit(t.name).alias("template"), "reason", F.array_join(support, ";").alias("support"), F.array_join(F.array(*each("key")), ">").alias("path"))
+        ok = closed(edges, t).where("reason is null").agg(F.count(F.lit(1)).cast("decimal(38,0)").alias("paths"))
+        ok = ok.select(F.explode(F.array(F.struct(F.lit("accepted").alias("reason"), "paths"), F.struct(F.lit("no_closing_edge").alias("reason"), (-F.col("paths")).alias("paths")))).alias("r")).select("r.*")
+        open_ = F.when(F.col("reason") == "accepted", "no_closing_edge").otherwise(F.col("reason"))
+        rows = rows.withColumn("reason", open_).unionByName(ok).groupBy("reason").agg(F.sum("paths").alias("paths"))
+    if max_paths is not None:
+        over = F.greatest(F.lit(0), F.col("paths") - max_paths)
+        split = F.array(F.struct(F.lit("accepted").alias("reason"), (F.col("paths") - over).alias("paths")), F.struct(F.lit("max_paths_bound").alias("reason"), over.alias("paths")))
+        rows = rows.where("reason <> 'accepted'").unionByName(rows.where("reason = 'accepted'").select(F.explode(split).alias("r")).select("r.*"))
+    return rows.where("paths > 0").select(F.lit(t.name).alias("template"), "reason", F.col("paths").cast("long").alias("paths"))
+
+
+def accepted(edges: DataFrame, t: Template, max_paths: int | None = None) -> DataFrame:
+    """The accepted paths; beyond max_paths, the first by ends and path, numbered over range partitions."""
+    found = (closed(edges, t) if t.triangle else derive(edges, t, join_order(edges, t))).where("reason is null")
+    if max_paths is None:
+        return found
+    kept = numbered(found, [], [F.col("x_id"), F.col("y_id"), F.col("path")])
+    return kept.where(F.col("__r") <= max_paths).select(*found.columns)
 
 
 def pathogenic(i: int):
@@ -168,16 +336,16 @@ def member_views(members: DataFrame, targets: DataFrame, most: int = 500) -> Dat
     return small.join(targets.select(F.col("x_id").alias("m"), F.col("y_id").alias("y")).distinct(), "m").select("g", "m", "y", "n_members")
 
 
-def candidates(derived: DataFrame) -> DataFrame:
-    """One row per inferred edge: least derivation hash, how many derivations, all hashes."""
-    h = F.sha2(F.concat_ws("\t", "template", "x_id", "y_id", "support"), 256)
-    ok = derived.where("reason is null").withColumn("h", h)
-    g = ok.groupBy("template", "relation", "x_id", "y_id").agg(F.min("h").alias("derivation_hash"), F.count(F.lit(1)).alias("derivations"), F.array_join(F.array_sort(F.collect_set("h")), ",").alias("hashes"))
-    return g.withColumn("all_hashes_sha256", F.sha2("hashes", 256)).drop("hashes")
+def candidates(found: DataFrame) -> DataFrame:
+    """One row per inferred edge of the paths without a reason: how many derivations, the hash of the one with the least
+    support, and a digest of all, two sums of 64-bit hashes, which the order of paths doesn't change."""
+    sums = [F.sum(F.xxhash64(F.lit(k), "support").cast("decimal(38,0)")).cast("string") for k in (1, 2)]
+    g = found.where("reason is null").groupBy("template", "relation", "x_id", "y_id").agg(F.min("support").alias("least_support"), F.count(F.lit(1)).alias("derivations"), F.concat_ws(":", *sums).alias("digest"))
+    return g.withColumn("derivation_hash", F.sha2(F.concat_ws("\t", "template", "x_id", "y_id", "least_support"), 256)).drop("least_support")
 
 
 def ledger(derived: DataFrame) -> DataFrame:
-    """Paths by reason; accepted ones count as `accepted`."""
+    """Paths of derive by reason; accepted ones count as `accepted`. `counted` gives the same without paths."""
     return derived.groupBy("template", F.coalesce("reason", F.lit("accepted")).alias("reason")).agg(F.count(F.lit(1)).alias("paths"))
 
 

@@ -4,17 +4,48 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+#: Bins of level L hold 2^L positions.
+LEVELS = tuple(range(6, 63, 3))
 
-def contains(points: DataFrame, intervals: DataFrame, chrom: str, position: str, start: str, end: str, padding: int = 0, bin_size: int = 64) -> DataFrame:
+
+def contains(points: DataFrame, intervals: DataFrame, chrom: str, position: str, start: str, end: str, padding: int = 0, wide: int = 18, copies: int = 16) -> DataFrame:
     """Pairs of a point and an interval (both ends inclusive, widened by padding) on the same sequence.
 
-    Both sides are cut into bins, an interval standing in each bin it touches, so the join is an equi-join on (sequence, bin)
-    that splits hot sequences; a point is in one bin, so no pair comes twice.
+    Bins are nested: an interval stands at the first level whose bins are as long as it is, so it touches two bins at most,
+    whatever its length; a point probes one bin a level, of the levels that intervals are at (a query over the intervals'
+    bounds tells them, 19 numbers at most, when the plan is made). The join is an equi-join on (sequence, level, bin). A bin of
+    more than 2^wide positions can hold a large share of the points: there intervals stand in `copies` copies and each point
+    goes to one of them, so that no key gathers a sequence's points in one task.
+
+    Nulls and intervals that end before they start give no pair.
+    """
+    lo, hi = F.col(start).cast("long") - padding, F.col(end).cast("long") + padding
+    i = intervals.where(F.col(end) >= F.col(start)).withColumn("__level", F.coalesce(*(F.when(hi - lo < (1 << n), n) for n in LEVELS)))
+    bin_ = lambda c: F.expr(f"shiftright({c}, __level)")
+    i = i.withColumns({"__lo": lo, "__hi": hi})
+    levels = sorted(r[0] for r in i.select("__level").distinct().collect())
+    salts = F.when(F.col("__level") > wide, copies).otherwise(1)
+    i = i.withColumn("__bin", F.explode(F.array_distinct(F.array(bin_("__lo"), bin_("__hi"))))).withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    p = points.withColumn("__at", F.col(position).cast("long")).withColumn("__level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>")))
+    p = p.withColumns({"__bin": bin_("__at"), "__salt": F.pmod(F.xxhash64(*points.columns), salts.cast("long")).cast("int")})
+    return p.join(i, [chrom, "__level", "__bin", "__salt"]).where("__at between __lo and __hi").drop("__level", "__bin", "__salt", "__lo", "__hi", "__at")
+
+
+def containment(pairs: DataFrame, intervals: DataFrame) -> DataFrame:
+    """Whether each point lies in an interval of the entity it is paired with, and the interval that proves it.
+
+    pairs (id, entity, chrom, pos), intervals (entity, chrom, start, end, strand); a leading `chr` doesn't matter. One row a
+    distinct pair: contained, reason (missing_variant_coordinate, missing_gene_interval, outside_gene_interval, contained, the
+    first that holds) and the proof, the least of the containing intervals by start, end and strand. An equi-join on the
+    entity, summed up a pair; an entity's intervals are never gathered.
     """
-    lo, hi = F.col(start) - padding, F.col(end) + padding
-    i = intervals.where(F.col(end) >= F.col(start)).withColumn("__bin", F.explode(F.sequence(F.floor(lo / bin_size), F.floor(hi / bin_size))))
-    p = points.withColumn("__bin", F.floor(F.col(position) / bin_size))
-    return p.join(i, [chrom, "__bin"]).where((F.col(position) >= lo) & (F.col(position) <= hi)).drop("__bin")
+    plain = lambda c: F.regexp_replace(c, "^chr", "")
+    p = pairs.select("id", "entity", plain("chrom").alias("chrom"), F.col("pos").cast("long").alias("pos")).distinct()
+    i = intervals.select(F.col("entity"), plain("chrom").alias("__chrom"), F.struct(F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "strand").alias("__i"))
+    inside = (F.col("chrom") == F.col("__chrom")) & F.col("pos").between(F.col("__i.start"), F.col("__i.end"))
+    j = p.join(i, "entity", "left").groupBy("id", "entity", "chrom", "pos").agg(F.min(F.when(inside, F.col("__i"))).alias("proof"), F.count("__i").alias("__n"))
+    reason = F.when(F.col("chrom").isNull() | F.col("pos").isNull(), "missing_variant_coordinate").when(F.col("__n") == 0, "missing_gene_interval").when(F.col("proof").isNull(), "outside_gene_interval").otherwise("contained")
+    return j.select("id", "entity", "chrom", "pos", F.col("proof").isNotNull().alias("contained"), reason.alias("reason"), "proof")
 
 
 def interval_faults(start: Column, end: Column, strand: Column) -> Column:

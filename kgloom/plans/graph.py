@@ -123,6 +123,33 @@ def o55(s, d):
     return j.groupBy("chrom").agg(F.count(F.lit(1)).alias("pairs"), F.sum(F.col("pk") % 1000).alias("check_p"), F.sum(F.col("o_orderkey") % 1000).alias("check_i"))
 
 
+@register("o55_wide_intervals", """
+WITH iv AS (SELECT o_orderkey AS i, 'chr' || o_custkey % 7 AS chrom, date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) * 100000 + o_orderkey % 100000 AS s, CASE WHEN o_orderkey % 499 = 0 THEN 100000000 ELSE [1, 30, 1000, 60000, 1000000][o_orderkey % 5 + 1] END AS size FROM orders),
+p AS (SELECT l_orderkey AS pk, 'chr' || l_suppkey % 7 AS chrom, date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) * 100000 + l_partkey * 37 % 100000 AS pos FROM lineitem)
+SELECT i, size, count(*) AS points, CAST(sum(pk) AS BIGINT) AS check_p FROM p JOIN iv ON p.chrom = iv.chrom AND pos BETWEEN s AND s + size - 1 GROUP BY i, size""")
+def o55_wide(s, d):
+    day = lambda c: F.datediff(F.col(c), F.lit("1992-01-01")).cast("long") * 100_000
+    chrom = lambda c: F.concat(F.lit("chr"), (F.col(c) % 7).cast("string")).alias("chrom")
+    size = F.when(F.col("o_orderkey") % 499 == 0, 100_000_000).otherwise(F.element_at(F.array(*map(F.lit, (1, 30, 1000, 60_000, 1_000_000))), (F.col("o_orderkey") % 5 + 1).cast("int")))
+    iv = table(s, d, "orders").select(F.col("o_orderkey").alias("i"), chrom("o_custkey"), (day("o_orderdate") + F.col("o_orderkey") % 100_000).alias("s"), size.alias("size")).withColumn("e", F.col("s") + F.col("size") - 1)
+    p = table(s, d, "lineitem").select(F.col("l_orderkey").alias("pk"), chrom("l_suppkey"), (day("l_shipdate") + F.col("l_partkey") * 37 % 100_000).alias("pos"))
+    return intervals.contains(p, iv, "chrom", "pos", "s", "e").groupBy("i", "size").agg(F.count(F.lit(1)).alias("points"), F.sum("pk").alias("check_p"))
+
+
+@register("o55_containment", """
+WITH p AS (SELECT DISTINCT 'rs' || l_orderkey || '-' || l_linenumber AS id, 'order:' || l_orderkey AS entity, CASE WHEN l_linenumber = 4 THEN '9' WHEN l_suppkey % 50 = 0 THEN NULL ELSE CAST(l_orderkey % 3 AS VARCHAR) END AS chrom, CASE WHEN l_linenumber < 7 THEN date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) END AS pos FROM lineitem),
+g AS (SELECT 'order:' || o_orderkey AS entity, CAST(o_orderkey % 3 AS VARCHAR) AS chrom, date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) AS s, x FROM orders, (VALUES (20), (60)) v(x) WHERE o_orderkey % 10 > 0),
+j AS (SELECT p.*, count(g.entity) AS n, min(CASE WHEN g.chrom = p.chrom AND pos BETWEEN s AND s + x THEN lpad(CAST(s AS VARCHAR), 6, '0') || '-' || lpad(CAST(s + x AS VARCHAR), 6, '0') END) AS proof FROM p LEFT JOIN g ON g.entity = p.entity GROUP BY ALL)
+SELECT id, entity, proof IS NOT NULL AS contained, CASE WHEN chrom IS NULL OR pos IS NULL THEN 'missing_variant_coordinate' WHEN n = 0 THEN 'missing_gene_interval' WHEN proof IS NULL THEN 'outside_gene_interval' ELSE 'contained' END AS reason, proof FROM j""")
+def o55_containment(s, d):
+    day = lambda c: F.datediff(F.col(c), F.lit("1992-01-01")).cast("long")
+    own = lambda c: F.concat(F.lit("chr"), (F.col(c) % 3).cast("string"))
+    p = table(s, d, "lineitem").select(F.concat(F.lit("rs"), "l_orderkey", F.lit("-"), "l_linenumber").alias("id"), F.concat(F.lit("order:"), "l_orderkey").alias("entity"), F.when(F.col("l_linenumber") == 4, "chr9").when(F.col("l_suppkey") % 50 != 0, own("l_orderkey")).alias("chrom"), F.when(F.col("l_linenumber") < 7, day("l_shipdate")).alias("pos"))
+    g = table(s, d, "orders").where("o_orderkey % 10 > 0").select(F.concat(F.lit("order:"), "o_orderkey").alias("entity"), (F.col("o_orderkey") % 3).cast("string").alias("chrom"), day("o_orderdate").alias("start"), F.explode(F.array(F.lit(20), F.lit(60))).alias("x"), F.lit("+").alias("strand"))
+    told = F.concat_ws("-", *(F.lpad(F.col(f"proof.{c}").cast("string"), 6, "0") for c in ("start", "end")))
+    return intervals.containment(p, g.withColumn("end", F.col("start") + F.col("x"))).select("id", "entity", "contained", "reason", F.when(F.col("contained"), told).alias("proof"))
+
+
 @register("o56_nested_explode", """
 SELECT DISTINCT 'order:' || l_orderkey AS x_id, 'part:' || l_partkey AS y_id FROM lineitem WHERE l_returnflag = 'A' AND l_partkey IN (SELECT p_partkey FROM part WHERE p_size > 25)""")
 def o56(s, d):
@@ -359,56 +386,95 @@ def o112(s, d):
 
 def premises(s, d):
     """Edges with the fields that templates read: source sets, direction, context, mapping and statements; besides those of the
-    view, each nation is joined to the parts with an even-length id that its suppliers supply."""
+    view, each nation is joined to the parts with an even-length id that its suppliers supply.
+
+    What an edge states follows from the digits of a hash of its whole key, so that every gate both passes and refuses.
+    """
     e = edges(s, d).where("relation in ('customer_places_order', 'order_contains_part', 'supplier_in_nation', 'supplier_supplies_part')").select("x_id", "y_id", "relation", "source")
     sn = e.where("relation = 'supplier_in_nation'").select("x_id", F.col("y_id").alias("n"))
     seen = sn.join(e.where("relation = 'supplier_supplies_part' and length(y_id) % 2 = 0").select("x_id", "y_id"), "x_id").select(F.col("n").alias("x_id"), "y_id").distinct()
-    e = e.unionAll(seen.select("x_id", "y_id", F.lit("nation_offers_part"), F.lit("seen")))
-    n, k = F.length("x_id") + F.length("y_id"), F.length("x_id") % 4
-    direction = F.when(n % 3 == 0, "increase").when(n % 3 == 1, "decrease").otherwise("unknown")
-    stated = F.when(k == 0, "pathogenic").when(k == 1, "benign").when(k == 2, "likely_pathogenic").otherwise("unknown")
+    e = e.unionAll(seen.select("x_id", "y_id", F.lit("nation_offers_part"), F.lit("seen"))).withColumn("k", F.md5(F.concat_ws("|", "relation", "x_id", "y_id")))
+    digit = lambda at: F.substring("k", at, 1)
     return e.select(
-        "x_id", "y_id", "relation", "source", direction.alias("direction"), F.when(F.length("y_id") % 2 == 0, "even").otherwise("odd").alias("tissue"), stated.alias("pathogenicity"),
-        F.when(F.length("x_id") % 2 == 0, "even").otherwise("unknown").alias("isoform_id"), F.when(F.length("y_id") % 2 == 0, F.col("y_id")).otherwise("").alias("protein_isoform"),
+        "x_id", "y_id", "relation",
+        F.when(digit(1) < "3", "common").when(digit(1) < "6", F.concat("source", F.lit(",common"))).when(digit(1) < "7", "").otherwise(F.col("source")).alias("source"),
+        F.when(digit(2) < "6", "increase").when(digit(2) < "b", "inhibitor").when(digit(2) < "d", "increase,inhibitor").otherwise("unknown").alias("direction"),
+        F.when(digit(3) < "6", "even").when(digit(3) < "c", "odd").when(digit(3) < "d", "even,odd").otherwise("unknown").alias("tissue"),
+        F.when(digit(4) < "6", "pathogenic").when(digit(4) < "9", "benign").when(digit(4) < "d", "likely_pathogenic").otherwise("unknown").alias("pathogenicity"),
+        F.when(digit(5) < "7", "iso1").when(digit(5) < "b", "iso2").otherwise("").alias("isoform_id"), F.when(digit(6) < "9", F.col("y_id")).otherwise("").alias("protein_isoform"),
     )
 
 
 PREMISES = """, pre0 AS (SELECT x_id, y_id, relation, source FROM edges UNION ALL SELECT DISTINCT a.y_id, b.y_id, 'nation_offers_part', 'seen' FROM edges a JOIN edges b ON a.x_id = b.x_id WHERE a.relation = 'supplier_in_nation' AND b.relation = 'supplier_supplies_part' AND length(b.y_id) % 2 = 0),
-pre AS (SELECT x_id, y_id, relation, source, CASE (length(x_id) + length(y_id)) % 3 WHEN 0 THEN 1 WHEN 1 THEN -1 END AS sgn, CASE WHEN length(y_id) % 2 = 0 THEN 'even' ELSE 'odd' END AS tissue,
-  CASE length(x_id) % 4 WHEN 1 THEN 'benign_only' WHEN 3 THEN 'missing_pathogenicity' END AS refused, CASE WHEN length(x_id) % 2 = 0 THEN 'even' END AS iso FROM pre0)
+pre1 AS (SELECT *, md5(relation || '|' || x_id || '|' || y_id) AS k FROM pre0),
+pre2 AS (SELECT *, substr(k, 1, 1) AS k1, substr(k, 2, 1) AS k2, substr(k, 3, 1) AS k3, substr(k, 4, 1) AS k4, substr(k, 5, 1) AS k5, substr(k, 6, 1) AS k6 FROM pre1),
+pre AS (SELECT x_id, y_id, relation, CASE WHEN k1 < '3' THEN ['common'] WHEN k1 < '6' THEN [lower(source), 'common'] WHEN k1 < '7' THEN [] ELSE [lower(source)] END AS sources,
+  CASE WHEN k2 < '6' THEN 1 WHEN k2 < 'b' THEN -1 WHEN k2 < 'd' THEN 0 END AS sgn, CASE WHEN k3 < '6' THEN 'even' WHEN k3 < 'c' THEN 'odd' END AS tissue, k3 = 'c' AS mixed,
+  CASE WHEN k4 < '6' THEN NULL WHEN k4 < '9' THEN 'benign_only' WHEN k4 < 'd' THEN NULL ELSE 'missing_pathogenicity' END AS refused, k4 < '6' AS proven,
+  CASE WHEN k5 < '7' THEN 'iso1' WHEN k5 < 'b' THEN 'iso2' END AS iso, k6 < '9' AS named FROM pre2)
 """
+#: Conditions against paths of premises a, b (and c), in the SQL of the oracles.
+APART2 = "a.mixed OR b.mixed OR a.tissue <> b.tissue"
+APART3 = "a.mixed OR b.mixed OR c.mixed OR a.tissue <> b.tissue OR b.tissue <> c.tissue OR a.tissue <> c.tissue"
+COMMON2 = "len(a.sources) = 0 OR len(b.sources) = 0 OR list_has_any(a.sources, b.sources)"
+COMMON3 = "len(a.sources) = 0 OR len(b.sources) = 0 OR len(c.sources) = 0 OR list_has_any(list_intersect(a.sources, b.sources), c.sources)"
+SIGN2 = "WHEN a.sgn * b.sgn = 0 THEN 'conflicting_sign' WHEN a.sgn * b.sgn IS NULL THEN 'missing_sign' WHEN a.sgn * b.sgn <> -1 THEN 'other_sign'"
+NOVEL = "pre a JOIN pre b ON a.y_id = b.y_id AND a.relation = 'supplier_supplies_part' AND b.relation = 'order_contains_part'"
 T_NOVEL = C.Template("supplier_to_order_v1", (("supplier_supplies_part", "s", "p"), ("order_contains_part", "o", "p")), ("s", "o"), "supplier_serves_order", context=("tissue",), independent=True)
 T_SIGNED = C.Template("supplier_to_order_signed_v1", (("supplier_supplies_part", "s", "p"), ("order_contains_part", "o", "p")), ("s", "o"), "supplier_hinders_order", context=("tissue",), signed=-1)
 T_TRIANGLE = C.Template("nation_part_triangle_v1", (("supplier_in_nation", "s", "n"), ("supplier_supplies_part", "s", "p")), ("n", "p"), "nation_gets_part", independent=True, triangle="nation_offers_part")
 
 
-@register("o118_rejection_ledger", PREMISES + """
-SELECT 'supplier_to_order_v1' AS template, CASE WHEN a.tissue <> b.tissue THEN 'context_mismatch' WHEN lower(a.source) = lower(b.source) THEN 'source_not_independent' ELSE 'accepted' END AS reason, count(*) AS paths
-FROM pre a JOIN pre b ON a.y_id = b.y_id AND a.relation = 'supplier_supplies_part' AND b.relation = 'order_contains_part' GROUP BY ALL""", view=True)
+@register("o118_rejection_ledger", PREMISES + f"""
+SELECT 'supplier_to_order_v1' AS template, CASE WHEN {APART2} THEN 'context_mismatch' WHEN {COMMON2} THEN 'source_not_independent' ELSE 'accepted' END AS reason, count(*) AS paths
+FROM {NOVEL} GROUP BY ALL""", view=True)
 def o118(s, d):
-    return C.ledger(C.derive(premises(s, d), T_NOVEL))
+    return C.counted(premises(s, d), T_NOVEL)
+
+
+@register("o118_bounded_ledger", PREMISES + f"""
+, r AS (SELECT CASE {SIGN2} WHEN {APART2} THEN 'context_mismatch' WHEN a.tissue IS NULL OR b.tissue IS NULL THEN 'missing_shared_context' ELSE 'accepted' END AS reason, count(*) AS paths FROM {NOVEL} GROUP BY ALL)
+SELECT 'supplier_to_order_signed_v1' AS template, reason, CASE WHEN reason = 'accepted' THEN least(paths, 1000) ELSE paths END AS paths FROM r
+UNION ALL SELECT 'supplier_to_order_signed_v1', 'max_paths_bound', paths - 1000 FROM r WHERE reason = 'accepted' AND paths > 1000""", view=True)
+def o118_bounded(s, d):
+    return C.counted(premises(s, d), T_SIGNED, max_paths=1_000)
 
 
-@register("o117_candidates", PREMISES + """
-SELECT 'supplier_to_order_v1' AS template, 'supplier_serves_order' AS relation, a.x_id, b.x_id AS y_id, count(*) AS derivations,
-  min(sha256(concat_ws(chr(9), 'supplier_to_order_v1', a.x_id, b.x_id, array_to_string(list_sort(['supplier_supplies_part|' || a.x_id || '|' || a.y_id, 'order_contains_part|' || b.x_id || '|' || b.y_id]), ';')))) AS derivation_hash
-FROM pre a JOIN pre b ON a.y_id = b.y_id AND a.relation = 'supplier_supplies_part' AND b.relation = 'order_contains_part' WHERE a.tissue = b.tissue AND lower(a.source) <> lower(b.source) GROUP BY ALL""", view=True)
+@register("o118_bounded_candidates", PREMISES + f"""
+, f AS (SELECT a.x_id, b.x_id AS y_id, 'supplier_supplies_part|' || a.x_id || '|' || a.y_id || '>order_contains_part|' || b.x_id || '|' || b.y_id AS path FROM {NOVEL} WHERE a.sgn * b.sgn = -1 AND NOT coalesce({APART2}, false) AND a.tissue IS NOT NULL AND b.tissue IS NOT NULL)
+SELECT x_id, y_id, path FROM f ORDER BY x_id, y_id, path LIMIT 1000""", view=True)
+def o118_kept(s, d):
+    return C.accepted(premises(s, d), T_SIGNED, max_paths=1_000).select("x_id", "y_id", "path")
+
+
+@register("o117_candidates", PREMISES + f"""
+, f AS (SELECT a.x_id, b.x_id AS y_id, array_to_string(list_sort(['supplier_supplies_part|' || a.x_id || '|' || a.y_id, 'order_contains_part|' || b.x_id || '|' || b.y_id]), ';') AS support FROM {NOVEL} WHERE NOT coalesce({APART2}, false) AND NOT coalesce({COMMON2}, false))
+SELECT 'supplier_to_order_v1' AS template, 'supplier_serves_order' AS relation, x_id, y_id, count(*) AS derivations, sha256(concat_ws(chr(9), 'supplier_to_order_v1', x_id, y_id, min(support))) AS derivation_hash FROM f GROUP BY x_id, y_id""", view=True)
 def o117(s, d):
-    return C.candidates(C.derive(premises(s, d), T_NOVEL)).drop("all_hashes_sha256")
+    return C.candidates(C.accepted(premises(s, d), T_NOVEL)).drop("digest")
 
 
-@register("o134_signed_template", PREMISES + """
-SELECT 'supplier_to_order_signed_v1' AS template, CASE WHEN a.sgn * b.sgn IS NULL THEN 'missing_sign' WHEN a.sgn * b.sgn <> -1 THEN 'other_sign' WHEN a.tissue <> b.tissue THEN 'context_mismatch' ELSE 'accepted' END AS reason, count(*) AS paths
-FROM pre a JOIN pre b ON a.y_id = b.y_id AND a.relation = 'supplier_supplies_part' AND b.relation = 'order_contains_part' GROUP BY ALL""", view=True)
+@register("o134_signed_template", PREMISES + f"""
+SELECT 'supplier_to_order_signed_v1' AS template, CASE {SIGN2} WHEN {APART2} THEN 'context_mismatch' WHEN a.tissue IS NULL OR b.tissue IS NULL THEN 'missing_shared_context' ELSE 'accepted' END AS reason, count(*) AS paths
+FROM {NOVEL} GROUP BY ALL""", view=True)
 def o134(s, d):
-    return C.ledger(C.derive(premises(s, d), T_SIGNED))
+    return C.counted(premises(s, d), T_SIGNED)
+
 
+TRIANGLE = "pre a JOIN pre b ON a.x_id = b.x_id AND a.relation = 'supplier_in_nation' AND b.relation = 'supplier_supplies_part' LEFT JOIN pre c ON c.relation = 'nation_offers_part' AND c.x_id = a.y_id AND c.y_id = b.y_id"
 
-@register("o123_triangle_template", PREMISES + """
-SELECT 'nation_part_triangle_v1' AS template, CASE WHEN lower(a.source) = lower(b.source) THEN 'source_not_independent' WHEN c.x_id IS NULL THEN 'no_closing_edge' ELSE 'accepted' END AS reason, count(*) AS paths
-FROM pre a JOIN pre b ON a.x_id = b.x_id AND a.relation = 'supplier_in_nation' AND b.relation = 'supplier_supplies_part' LEFT JOIN pre c ON c.relation = 'nation_offers_part' AND c.x_id = a.y_id AND c.y_id = b.y_id GROUP BY ALL""", view=True)
+
+@register("o123_triangle_template", PREMISES + f"""
+SELECT 'nation_part_triangle_v1' AS template, CASE WHEN {COMMON2} THEN 'source_not_independent' WHEN c.x_id IS NULL THEN 'no_closing_edge' ELSE 'accepted' END AS reason, count(*) AS paths
+FROM {TRIANGLE} GROUP BY ALL""", view=True)
 def o123(s, d):
-    return C.ledger(C.derive(premises(s, d), T_TRIANGLE))
+    return C.counted(premises(s, d), T_TRIANGLE)
+
+
+@register("o123_closed_triangles", PREMISES + f"""
+SELECT a.y_id AS x_id, b.y_id, a.x_id AS via, CASE WHEN {COMMON2} THEN 'source_not_independent' END AS reason FROM {TRIANGLE} WHERE c.x_id IS NOT NULL""", view=True)
+def o123_closed(s, d):
+    return C.closed(premises(s, d), T_TRIANGLE).select("x_id", "y_id", F.split_part("path", F.lit("|"), F.lit(2)).alias("via"), "reason")
 
 
 @register("o119_observed_overlap", """

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import normalize as N
 from ..operators import artefacts as A, compose as C, evidence as ev, graph as G
 from .core import SP, supply
-from .graph import PREMISES, premises
+from .graph import APART2, APART3, COMMON2, COMMON3, NOVEL, PREMISES, SIGN2, premises
 from .view import edges, evidence, nodes, register, table
 
 
@@ -71,17 +71,22 @@ def template(name, t, joins, reason="'accepted'"):
 
     @register(name, sql, view=True)
     def run(s, d, t=t):
-        return C.ledger(C.derive(premises(s, d), t))
+        return C.counted(premises(s, d), t)
 
 
 P = lambda a, r: f"(SELECT * FROM pre WHERE relation = '{r}') {a}"
+case = lambda *conditions: f"CASE {' '.join(conditions)} ELSE 'accepted' END"
 CO, OP, SN = "customer_places_order", "order_contains_part", "supplier_in_nation"
-template("o120_two_premise_attribution", C.Template("order_attribution_v1", ((CO, "c", "o"), (OP, "o", "p")), ("c", "p"), "customer_gets_part", context=("tissue",)), f"{P('a', CO)} JOIN {P('b', OP)} ON a.y_id = b.x_id", "CASE WHEN a.tissue <> b.tissue THEN 'context_mismatch' ELSE 'accepted' END")
-template("o121_three_premise_attribution", C.Template("chain_attribution_v1", ((SP, "s", "p"), (SN, "s", "n"), (OP, "o", "p")), ("o", "n"), "order_served_from", context=("tissue",)), f"{P('a', SP)} JOIN {P('b', SN)} ON a.x_id = b.x_id JOIN {P('c', OP)} ON c.y_id = a.y_id", "CASE WHEN a.tissue <> b.tissue OR b.tissue <> c.tissue THEN 'context_mismatch' ELSE 'accepted' END")
-template("o122_independent_candidate", C.Template("nation_part_v1", ((SN, "s", "n"), (SP, "s", "p")), ("n", "p"), "nation_offers_part", context=("tissue",), independent=True), f"{P('a', SN)} JOIN {P('b', SP)} ON a.x_id = b.x_id", "CASE WHEN a.tissue <> b.tissue THEN 'context_mismatch' WHEN lower(a.source) = lower(b.source) THEN 'source_not_independent' ELSE 'accepted' END")
-template("o124_existential", C.Template("supplier_part_nation_v1", ((SN, "s", "n"), (SP, "s", "p")), ("p", "n"), "part_from_nation"), f"{P('a', SN)} JOIN {P('b', SP)} ON a.x_id = b.x_id")
-template("o128_projection", C.Template("customer_supplier_v1", ((CO, "c", "o"), (OP, "o", "p"), (SP, "s", "p")), ("c", "s"), "customer_may_use_supplier", independent=True), f"{P('a', CO)} JOIN {P('b', OP)} ON a.y_id = b.x_id JOIN {P('c', SP)} ON c.y_id = b.y_id", "CASE WHEN lower(a.source) = lower(b.source) AND lower(b.source) = lower(c.source) THEN 'source_not_independent' ELSE 'accepted' END")
-template("o135_triple_sign", C.Template("triple_sign_v1", ((SN, "s", "n"), (SP, "s", "p"), (OP, "o", "p")), ("n", "o"), "nation_hinders_order", signed=-1), f"{P('a', SN)} JOIN {P('b', SP)} ON a.x_id = b.x_id JOIN {P('c', OP)} ON c.y_id = b.y_id", "CASE WHEN a.sgn * b.sgn * c.sgn IS NULL THEN 'missing_sign' WHEN a.sgn * b.sgn * c.sgn <> -1 THEN 'other_sign' ELSE 'accepted' END")
+LOCAL = f"{P('a', SN)} JOIN {P('b', SP)} ON a.x_id = b.x_id"
+MISMATCH2, MISMATCH3 = f"WHEN {APART2} THEN 'context_mismatch'", f"WHEN {APART3} THEN 'context_mismatch'"
+BOUND2, BOUND3 = f"WHEN {COMMON2} THEN 'source_not_independent'", f"WHEN {COMMON3} THEN 'source_not_independent'"
+SIGN3 = "WHEN a.sgn * b.sgn * c.sgn = 0 THEN 'conflicting_sign' WHEN a.sgn * b.sgn * c.sgn IS NULL THEN 'missing_sign' WHEN a.sgn * b.sgn * c.sgn <> -1 THEN 'other_sign'"
+template("o120_two_premise_attribution", C.Template("order_attribution_v1", ((CO, "c", "o"), (OP, "o", "p")), ("c", "p"), "customer_gets_part", context=("tissue",)), f"{P('a', CO)} JOIN {P('b', OP)} ON a.y_id = b.x_id", case(MISMATCH2))
+template("o121_three_premise_attribution", C.Template("chain_attribution_v1", ((SP, "s", "p"), (SN, "s", "n"), (OP, "o", "p")), ("o", "n"), "order_served_from", context=("tissue",)), f"{P('a', SP)} JOIN {P('b', SN)} ON a.x_id = b.x_id JOIN {P('c', OP)} ON c.y_id = a.y_id", case(MISMATCH3))
+template("o122_independent_candidate", C.Template("nation_part_v1", ((SN, "s", "n"), (SP, "s", "p")), ("n", "p"), "nation_offers_part", context=("tissue",), independent=True), LOCAL, case(MISMATCH2, BOUND2))
+template("o124_existential", C.Template("supplier_part_nation_v1", ((SN, "s", "n"), (SP, "s", "p")), ("p", "n"), "part_from_nation"), LOCAL)
+template("o128_projection", C.Template("customer_supplier_v1", ((CO, "c", "o"), (OP, "o", "p"), (SP, "s", "p")), ("c", "s"), "customer_may_use_supplier", independent=True), f"{P('a', CO)} JOIN {P('b', OP)} ON a.y_id = b.x_id JOIN {P('c', SP)} ON c.y_id = b.y_id", case(BOUND3))
+template("o135_triple_sign", C.Template("triple_sign_v1", ((SN, "s", "n"), (SP, "s", "p"), (OP, "o", "p")), ("n", "o"), "nation_hinders_order", signed=-1), f"{LOCAL} JOIN {P('c', OP)} ON c.y_id = b.y_id", case(SIGN3))
 
 
 # Supplier, its nation and its part stand for variant, disease and protein; the order that holds the part for the gene.
@@ -89,17 +94,17 @@ GATED = ((SP, "s", "p"), (SN, "s", "n"))
 LONG = (*GATED, (OP, "o", "p"))
 TWO = f"{P('a', SP)} JOIN {P('b', SN)} ON a.x_id = b.x_id"
 THREE = f"{TWO} JOIN {P('c', OP)} ON c.y_id = a.y_id"
-REFUSED, APART = "WHEN b.refused IS NOT NULL THEN b.refused", "WHEN a.tissue <> b.tissue THEN 'context_mismatch'"
-#: Three isoform ids, of which nulls don't count, agree: here all known ones are alike, so none is refused.
+REFUSED = "WHEN b.refused IS NOT NULL THEN b.refused"
+#: Isoform ids that are known, of which nulls don't count, must agree.
 ALIKE = "WHEN a.iso <> b.iso OR b.iso <> c.iso OR a.iso <> c.iso THEN 'isoform_or_assembly_mismatch'"
-template("o125_gated_candidate", C.Template("part_nation_gated_v1", GATED, ("p", "n"), "part_matters_in_nation", context=("tissue",), gates=(C.pathogenic(1),)), TWO, f"CASE {REFUSED} {APART} ELSE 'accepted' END")
-template("o126_gated_mapped_candidate", C.Template("order_nation_gated_v1", LONG, ("o", "n"), "order_matters_in_nation", mapping=("isoform_id",), gates=(C.pathogenic(1),)), THREE, f"CASE {REFUSED} {ALIKE} ELSE 'accepted' END")
-template("o127_mapped_candidate", C.Template("order_nation_mapped_v1", LONG, ("o", "n"), "order_shows_in_nation", context=("tissue",), mapping=("isoform_id",)), THREE, f"CASE WHEN a.tissue <> b.tissue OR b.tissue <> c.tissue THEN 'context_mismatch' {ALIKE} ELSE 'accepted' END")
-template("o129_projection_by_mapping", C.Template("order_nation_projected_v1", LONG, ("o", "n"), "order_from_nation", mapping=("isoform_id", "tissue")), THREE, "CASE WHEN a.tissue <> b.tissue OR b.tissue <> c.tissue THEN 'isoform_or_assembly_mismatch' ELSE 'accepted' END")
-template("o130_named_isoform", C.Template("part_nation_named_v1", GATED, ("p", "n"), "part_named_in_nation", context=("tissue",), gates=(C.names(0, 0),)), TWO, f"CASE WHEN a.tissue <> 'even' THEN 'isoform_not_named' {APART} ELSE 'accepted' END")
-template("o133_localisation", C.Template("nation_part_localised_v1", ((SN, "s", "n"), (SP, "s", "p")), ("n", "p"), "nation_holds_part", context=("tissue",)), f"{P('a', SN)} JOIN {P('b', SP)} ON a.x_id = b.x_id", f"CASE {APART} ELSE 'accepted' END")
-template("o133_localisation_triangle", C.Template("nation_part_localised_triangle_v1", ((SN, "s", "n"), (SP, "s", "p")), ("n", "p"), "nation_holds_part", context=("tissue",), triangle="nation_offers_part"), f"{P('a', SN)} JOIN {P('b', SP)} ON a.x_id = b.x_id LEFT JOIN {P('c', 'nation_offers_part')} ON c.x_id = a.y_id AND c.y_id = b.y_id", f"CASE {APART} WHEN c.x_id IS NULL THEN 'no_closing_edge' ELSE 'accepted' END")
-template("o136_efficacy", C.Template("part_nation_efficacy_v1", GATED, ("p", "n"), "part_works_in_nation", context=("tissue",), gates=(C.states(0, "direction", "increase", "no_benefit"), C.states(1, "pathogenicity", "pathogenic", "not_efficacy"))), TWO, f"CASE WHEN coalesce(a.sgn, 0) <> 1 THEN 'no_benefit' WHEN length(b.x_id) % 4 <> 0 THEN 'not_efficacy' {APART} ELSE 'accepted' END")
+template("o125_gated_candidate", C.Template("part_nation_gated_v1", GATED, ("p", "n"), "part_matters_in_nation", context=("tissue",), gates=(C.pathogenic(1),)), TWO, case(REFUSED, MISMATCH2))
+template("o126_gated_mapped_candidate", C.Template("order_nation_gated_v1", LONG, ("o", "n"), "order_matters_in_nation", mapping=("isoform_id",), gates=(C.pathogenic(1),)), THREE, case(REFUSED, ALIKE))
+template("o127_mapped_candidate", C.Template("order_nation_mapped_v1", LONG, ("o", "n"), "order_shows_in_nation", context=("tissue",), mapping=("isoform_id",)), THREE, case(MISMATCH3, ALIKE))
+template("o129_projection_by_mapping", C.Template("order_nation_projected_v1", LONG, ("o", "n"), "order_from_nation", mapping=("isoform_id", "tissue")), THREE, case(ALIKE, f"WHEN {APART3} THEN 'isoform_or_assembly_mismatch'"))
+template("o130_named_isoform", C.Template("part_nation_named_v1", GATED, ("p", "n"), "part_named_in_nation", context=("tissue",), gates=(C.names(0, 0),)), TWO, case("WHEN NOT a.named THEN 'isoform_not_named'", MISMATCH2))
+template("o133_localisation", C.Template("nation_part_localised_v1", ((SN, "s", "n"), (SP, "s", "p")), ("n", "p"), "nation_holds_part", context=("tissue",)), LOCAL, case(MISMATCH2))
+template("o133_localisation_triangle", C.Template("nation_part_localised_triangle_v1", ((SN, "s", "n"), (SP, "s", "p")), ("n", "p"), "nation_holds_part", context=("tissue",), triangle="nation_offers_part"), f"{LOCAL} LEFT JOIN {P('c', 'nation_offers_part')} ON c.x_id = a.y_id AND c.y_id = b.y_id", case(MISMATCH2, "WHEN c.x_id IS NULL THEN 'no_closing_edge'"))
+template("o136_efficacy", C.Template("part_nation_efficacy_v1", GATED, ("p", "n"), "part_works_in_nation", context=("tissue",), gates=(C.states(0, "direction", "increase", "no_benefit"), C.states(1, "pathogenicity", "pathogenic", "not_efficacy"))), TWO, case("WHEN coalesce(a.sgn, 0) <> 1 THEN 'no_benefit'", "WHEN NOT b.proven THEN 'not_efficacy'", MISMATCH2))
 
 
 @register("o131_member_views", """
@@ -112,7 +117,7 @@ def o131(s, d):
 
 @register("o118_ledger_samples", PREMISES + """
 SELECT reason, x_id, y_id, CAST(r AS INTEGER) AS r FROM (SELECT *, row_number() OVER (PARTITION BY reason ORDER BY x_id, y_id, path) AS r FROM (SELECT a.x_id, b.x_id AS y_id, 'supplier_supplies_part|' || a.x_id || '|' || a.y_id || '>order_contains_part|' || b.x_id || '|' || b.y_id AS path,
-  CASE WHEN a.sgn * b.sgn IS NULL THEN 'missing_sign' WHEN a.sgn * b.sgn <> -1 THEN 'other_sign' END AS reason FROM pre a JOIN pre b ON a.y_id = b.y_id AND a.relation = 'supplier_supplies_part' AND b.relation = 'order_contains_part') WHERE reason IS NOT NULL) WHERE r <= 5""", view=True)
+  CASE """ + SIGN2 + " WHEN " + APART2 + """ THEN 'context_mismatch' WHEN a.tissue IS NULL OR b.tissue IS NULL THEN 'missing_shared_context' END AS reason FROM """ + NOVEL + """) WHERE reason IS NOT NULL) WHERE r <= 5""", view=True)
 def o118(s, d):
     from .graph import T_SIGNED
 

@@ -66,6 +66,84 @@ def test_interval_join_bounds(spark):
     assert {(r.p, r.n) for r in intervals.contains(p, i, "c", "p", "s", "e", padding=1).collect()} == {(10, "i"), (64, "i"), (64, "j"), (200, "j")}
 
 
+def test_intervals_of_any_length(spark):
+    """Lengths 1 to 10^8 match all pairs, and no interval stands in more than two bins of its level."""
+    import random
+
+    rng = random.Random(5)
+    points = [(rng.choice("ab"), rng.choice([rng.randrange(-50, 300), rng.randrange(3 * 10**8)])) for _ in range(400)] + [("a", None), (None, 5), ("a", 7), ("a", 7)]
+    spans = [(rng.choice("ab"), (s := rng.choice([rng.randrange(-60, 300), rng.randrange(2 * 10**8)])), s + 10 ** rng.randrange(9) - 1, k) for k in range(200)]
+    spans += [("a", None, 5, 900), ("a", 9, 3, 901), (None, 1, 9, 902), ("b", 0, 2**40, 903), ("a", 63, 64, 904)]
+    p, i = spark.createDataFrame(points, "c string, p long"), spark.createDataFrame(spans, "c string, s long, e long, k long")
+    for padding in (0, 3):
+        want = sorted((x, k) for c, x in points for d, s, e, k in spans if None not in (c, x, s) and c == d and s <= e and s - padding <= x <= e + padding)
+        assert sorted((r.p, r.k) for r in intervals.contains(p, i, "c", "p", "s", "e", padding).collect()) == want
+    one = spark.createDataFrame([("a", 999_999, 1_999_998, 1)], "c string, s long, e long, k long")
+    assert intervals.contains(p, i.limit(0), "c", "p", "s", "e").count() == 0
+    joined = intervals.contains(p, one, "c", "p", "s", "e", wide=60)._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(0, 15" not in joined and joined.count("explode") <= 3
+
+
+def test_containment_reasons(spark):
+    pairs = [("v1", "g1", "chr1", 15), ("v2", "g1", "1", 99), ("v3", "g2", "1", 5), ("v4", "g1", None, 5), ("v5", "g1", "1", None), ("v6", "g1", "2", 15), ("v1", "g1", "1", 15)]
+    genes = [("g1", "1", 10, 20, "+"), ("g1", "chr1", 12, 30, "-"), ("g3", "1", 1, 2, "+")]
+    got = intervals.containment(spark.createDataFrame(pairs, "id string, entity string, chrom string, pos int"), spark.createDataFrame(genes, "entity string, chrom string, start int, end int, strand string")).collect()
+    assert {r.id: (r.contained, r.reason) for r in got} == {"v1": (True, "contained"), "v2": (False, "outside_gene_interval"), "v3": (False, "missing_gene_interval"), "v4": (False, "missing_variant_coordinate"), "v5": (False, "missing_variant_coordinate"), "v6": (False, "outside_gene_interval")}
+    assert len(got) == 6 and [tuple(r.proof) for r in got if r.proof] == [(10, 20, "+")]
+
+
+def rule_edges(spark, seed=3, n=400):
+    """Random edges with every field, and hubs."""
+    import random
+
+    rng = random.Random(seed)
+    word = lambda *w: rng.choice(w)
+    rows = {}
+    for _ in range(n):
+        r, x, y = word(("r1", "a", "b"), ("r2", "b", "c"), ("r3", "c", "d"), ("close", "a", "c"))
+        key = (f"{x}{rng.randrange(12) * rng.randrange(2)}", f"{y}{rng.randrange(12) * rng.randrange(2)}", r)
+        rows[key] = (*key, word("s1", "s2", "s1,s2", ""), word("increase", "inhibitor", "increase,inhibitor", "unknown"), word("liver", "brain", "liver,brain", ""), word("pathogenic", "benign", "unknown"), word("i1", "i2", ""), word(key[1], ""))
+    return spark.createDataFrame(list(rows.values()), "x_id string, y_id string, relation string, source string, direction string, tissue string, pathogenicity string, isoform_id string, protein_isoform string")
+
+
+def test_counted_ledgers_equal_ledgers_of_paths(spark):
+    e = rule_edges(spark)
+    two, three = (("r1", "a", "b"), ("r2", "b", "c")), (("r1", "a", "b"), ("r2", "b", "c"), ("r3", "c", "d"))
+    for t in (
+        C.Template("context", three, ("a", "d"), "r", context=("tissue",), independent=True), C.Template("signed", two, ("a", "c"), "r", context=("tissue",), signed=-1),
+        C.Template("gates", three, ("a", "d"), "r", mapping=("isoform_id",), gates=(C.pathogenic(1), C.names(0, 0))), C.Template("closed", two, ("a", "c"), "r", context=("tissue",), independent=True, triangle="close"),
+        C.Template("turned", (("r2", "b", "c"), ("r1", "a", "b")), ("a", "c"), "r", triangle="close"),
+    ):
+        paths = C.derive(e, t)
+        want = {r.reason: r.paths for r in C.ledger(paths).collect()}
+        assert {r.reason: r.paths for r in C.counted(e, t).collect()} == want, t.name
+        assert C.path_count(e, t) == sum(want.values())
+        some = {r.reason: r.paths for r in C.counted(e, t, max_paths=3).collect()}
+        full = want.get("accepted", 0)
+        assert some == {k: v for k, v in (want | {"accepted": min(3, full), "max_paths_bound": max(0, full - 3)}).items() if v}
+        kept = sorted((r.x_id, r.y_id, r.path) for r in paths.where("reason is null").collect())
+        assert sorted((r.x_id, r.y_id, r.path) for r in C.accepted(e, t).collect()) == kept
+        assert sorted((r.x_id, r.y_id, r.path) for r in C.accepted(e, t, 3).collect()) == kept[:3]
+        if t.triangle:
+            assert sorted((r.path, r.reason or "") for r in C.closed(e, t).collect()) == sorted((r.path, r.reason or "") for r in paths.collect() if r.reason != "no_closing_edge" and (r.reason or True) and (r.x_id, r.y_id) in {(c.x_id, c.y_id) for c in e.where("relation = 'close'").collect()})
+    import pytest
+
+    assert C.bounded(e, t, 10**6).count() == C.path_count(e, t)
+    with pytest.raises(ValueError, match="joins"):
+        C.bounded(e, t, 2)
+
+
+def test_join_order_starts_with_the_small_part(spark):
+    rows = [(f"a{i}", "b0", "r1") for i in range(50)] + [("b0", f"c{i}", "r2") for i in range(50)] + [("c1", "d1", "r3")]
+    e = spark.createDataFrame(rows, "x_id string, y_id string, relation string")
+    t = C.Template("chain", (("r1", "a", "b"), ("r2", "b", "c"), ("r3", "c", "d")), ("a", "d"), "r")
+    assert C.join_order(e, t)[-1] == 0 and C.path_count(e, t) == 50 and C.path_count(e, t, [0, 1]) == 2500
+    hub = C.Template("hub", (("r1", "a", "b"), ("r2", "b", "c")), ("a", "c"), "r", triangle="close")
+    closing = spark.createDataFrame([("a1", "c2", "close"), ("a3", "c999", "close")], "x_id string, y_id string, relation string")
+    assert [(r.x_id, r.y_id) for r in C.closed(e.unionByName(closing), hub).collect()] == [("a1", "c2")]
+    assert {r.reason: r.paths for r in C.counted(e.unionByName(closing), hub).collect()} == {"accepted": 1, "no_closing_edge": 2499}
+
+
 def test_signs_and_context(spark):
     assert one(spark, C.sign(F.col("c")), c="agonist, Increase") == 1
     assert one(spark, C.sign(F.col("c")), c="agonist,inhibitor") == 0
