@@ -7,29 +7,33 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from .cuts import cut
 
 
-def numbered(df: DataFrame, group: list[str], order: list[Column], weight: Column | None = None) -> DataFrame:
+def numbered(df: DataFrame, group: list[str], order: list[Column], weight: Column | None = None, more: dict[str, Column] | None = None) -> DataFrame:
     """df with __r, the place of each row in its group by `order`, from 1, and __n, the group's size; with a weight also __w,
-    the sum of weights up to and with the row, and __all, the group's sum.
+    the sum of weights up to and with the row, and __all, the group's sum; for each further weight __w_<name> and __all_<name>.
 
     Rows are range-partitioned by (group, order); each partition numbers its own rows and adds what stands in the partitions
     before it, so no group needs to fit one task.
     """
+    weights = ({"": weight} if weight is not None else {}) | {f"_{k}": c for k, c in (more or {}).items()}
     keys = {f"__o{i}": c for i, c in enumerate(order)}
-    rows = df.withColumns(keys | ({"__v": weight} if weight is not None else {}))
+    rows = df.withColumns(keys | {f"__v{k}": c for k, c in weights.items()})
     # A range exchange samples anew whenever it runs: both readers below need the same written partitions.
     rows = cut(rows.repartitionByRange(*group, *keys).withColumn("__p", F.spark_partition_id()))
-    sums = [F.sum("__v").alias("__s")] if weight is not None else []
-    sizes = rows.groupBy("__p", *group).agg(F.count(F.lit(1)).alias("__k"), *sums)
+    sizes = rows.groupBy("__p", *group).agg(F.count(F.lit(1)).alias("__k"), *(F.sum(f"__v{k}").alias(f"__s{k}") for k in weights))
     # A row a partition and group.
     inside, whole = W.partitionBy("__p", *group).orderBy(*keys), W.partitionBy(*group) if group else W.partitionBy(F.lit(0))
     before = whole.orderBy("__p").rowsBetween(W.unboundedPreceding, -1)
     zero = lambda c: F.coalesce(c, F.lit(0))
-    more = [zero(F.sum("__s").over(before)).alias("__c"), F.sum("__s").over(whole).alias("__all")] if sums else []
-    sizes = sizes.select("__p", *group, zero(F.sum("__k").over(before)).alias("__b"), F.sum("__k").over(whole).alias("__n"), *more)
-    new = {"__i": F.row_number().over(inside)} | ({"__u": F.sum("__v").over(inside.rowsBetween(W.unboundedPreceding, 0))} if sums else {})
-    out = rows.withColumns(new).join(sizes, ["__p", *group]).withColumn("__r", F.col("__i") + F.col("__b"))
-    out = out.withColumn("__w", F.col("__u") + F.col("__c")).drop("__v", "__u", "__c") if sums else out
-    return out.drop(*keys, "__p", "__i", "__b")
+    sums = [x for k in weights for x in (zero(F.sum(f"__s{k}").over(before)).alias(f"__c{k}"), F.sum(f"__s{k}").over(whole).alias(f"__all{k}"))]
+    sizes = sizes.select(F.col("__p").alias("__q"), *(F.col(g).alias(f"__g{i}") for i, g in enumerate(group)), zero(F.sum("__k").over(before)).alias("__b"), F.sum("__k").over(whole).alias("__n"), *sums)
+    new = {"__i": F.row_number().over(inside)} | {f"__u{k}": F.sum(f"__v{k}").over(inside.rowsBetween(W.unboundedPreceding, 0)) for k in weights}
+    # Groups of null are groups like others.
+    same = F.col("__p") == F.col("__q")
+    for i, g in enumerate(group):
+        same = same & F.col(g).eqNullSafe(F.col(f"__g{i}"))
+    out = rows.withColumns(new).join(sizes, same).withColumn("__r", F.col("__i") + F.col("__b"))
+    out = out.withColumns({f"__w{k}": F.col(f"__u{k}") + F.col(f"__c{k}") for k in weights}) if weights else out
+    return out.drop(*keys, "__p", "__q", "__i", "__b", *(f"__g{i}" for i in range(len(group))), *(f"__{x}{k}" for k in weights for x in "vuc"))
 
 
 def dense_index(nodes: DataFrame, kind: str = "node_type", key: str = "id") -> DataFrame:
@@ -76,20 +80,41 @@ def k_hops(edges: DataFrame, anchors: DataFrame, k: int) -> DataFrame:
     return a.unionAll(edges.join(reach.withColumnRenamed("id", "y_id"), "y_id", "left_semi").select(*edges.columns)).distinct()
 
 
-def closure(edges: DataFrame, rounds: int = 20) -> DataFrame:
-    """(ancestor, descendant, depth) over child -> parent edges (x_id, y_id): shortest depth, by rounds that extend only new
-    pairs. Each round writes its new pairs only; the result is the union of the rounds."""
-    step = edges.select(F.col("x_id").alias("child"), F.col("y_id").alias("ancestor")).where("child <> ancestor").distinct()
-    found = new = cut(step.select("ancestor", F.col("child").alias("descendant"), F.lit(1).alias("depth")))
-    for depth in range(2, rounds + 1):
-        more = new.join(step.select(F.col("child").alias("ancestor"), F.col("ancestor").alias("up")), "ancestor").select(F.col("up").alias("ancestor"), "descendant").distinct()
-        new = cut(more.join(found, ["ancestor", "descendant"], "left_anti").where("ancestor <> descendant").withColumn("depth", F.lit(depth)))
-        if new.isEmpty():
-            break
-        found = found.unionByName(new)
+def closure(edges: DataFrame, most: int | None = None) -> DataFrame:
+    """(ancestor, descendant, depth) over child -> parent edges (x_id, y_id) with the shortest depth; an entity is not its own
+    ancestor, whatever cycles there are.
+
+    Depths double: when all pairs up to depth r are known, those at exactly r are joined with all of them, which gives each
+    pair between r and 2r by the nodes in the middle of its shortest paths. A chain of n takes about log2(n) rounds, each one
+    job, when the plan is made; nothing is cut off. With `most`, needing more rounds is an error.
+    """
+    step = edges.select(F.col("x_id").alias("descendant"), F.col("y_id").alias("ancestor")).where("descendant <> ancestor").distinct()
+    found = edge = cut(step.select("ancestor", "descendant", F.lit(1).alias("depth")))
+    reach, rounds = 1, 0
+    while not edge.isEmpty():
+        if most is not None and rounds >= most:
+            raise ValueError(f"paths of more than {reach} steps: {most} rounds don't close them")
+        up = found.select(F.col("ancestor").alias("__top"), F.col("descendant").alias("ancestor"), F.col("depth").alias("__more"))
+        more = edge.join(up, "ancestor").where(F.col("__top") != F.col("descendant")).groupBy(F.col("__top").alias("ancestor"), "descendant").agg((F.min("__more") + reach).cast("int").alias("depth"))
+        new = cut(more.join(found, ["ancestor", "descendant"], "left_anti"))
+        found, reach, rounds = found.unionByName(new), 2 * reach, rounds + 1
+        edge = new.where(F.col("depth") == reach)
     return found
 
 
+def code_nodes(below: DataFrame, xrefs: DataFrame, nodes: DataFrame, groups: DataFrame) -> DataFrame:
+    """(code, id): the nodes that a code of an ontology stands for: those of itself and its descendants.
+
+    below is the closure (ancestor, descendant), xrefs (code, entity), groups (entity, group_id), nodes (id). A code's entities
+    by cross-reference count where they are nodes, and so do the groups that hold such an entity.
+    """
+    codes = xrefs.select("code").unionAll(below.select("ancestor")).where("code is not null").distinct()
+    members = below.select(F.col("ancestor").alias("top"), F.col("descendant").alias("code")).unionAll(codes.select("code", "code")).toDF("top", "code").distinct()
+    reached = members.join(xrefs, "code").select(F.col("top").alias("code"), "entity").distinct()
+    found = reached.select("code", F.col("entity").alias("id")).unionAll(reached.join(groups, "entity").select("code", "group_id")).distinct()
+    return found.join(nodes.select("id").distinct(), "id", "left_semi").select("code", "id")
+
+
 def compose(first: DataFrame, second: DataFrame) -> DataFrame:
     """Paths a -> c -> b where c is the same node: composed relation, the node between, the lower credibility."""
     a = first.select("x_id", "x_type", F.col("y_id").alias("via_id"), F.col("y_type").alias("via_type"), F.col("relation").alias("r1"), F.col("credibility").alias("c1"))
@@ -123,30 +148,98 @@ def random_edges(edges: DataFrame, index: DataFrame, percent: float, seed: int)
     return pick.join(to, ["y_type", "index"]).withColumn("y_id", F.col("__y")).select(*edges.columns)
 
 
-def shared_neighbours(edges: DataFrame) -> DataFrame:
-    """Cosine of binary neighbour sets of sources that share a target: shared / sqrt(d1 * d2). The cost is the sum of squared
-    target degrees, so hub targets should be left out before."""
-    e = edges.select(F.col("x_id").alias("a"), "y_id").distinct()
-    d = e.groupBy("a").agg(F.count(F.lit(1)).alias("d"))
-    j = e.join(e.select(F.col("a").alias("b"), "y_id"), "y_id").where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
-    j = j.join(d.withColumnRenamed("d", "da"), "a").join(d.select(F.col("a").alias("b"), F.col("d").alias("db")), "b")
-    return j.select("a", "b", "shared", (F.col("shared") / F.sqrt(F.col("da") * F.col("db"))).alias("cosine"))
-
-
-def walk_profile(edges: DataFrame, anchors: DataFrame, steps: int, walks: int, seed: int) -> DataFrame:
-    """(anchor, id, visits) over seeded random walks: each step takes the neighbour whose position is a hash of seed, walk and
-    step modulo the degree."""
-    adj = edges.select(F.col("x_id").alias("at"), F.col("y_id").alias("to")).unionAll(edges.select("y_id", "x_id")).distinct()
-    # Neighbours are numbered, not gathered: a hub is as many rows as it has neighbours.
-    adj = cut(numbered(adj, ["at"], [F.col("to")]).select("at", "to", (F.col("__r") - 1).alias("place"), F.col("__n").alias("degree")))
-    degrees = adj.where("place = 0").select("at", "degree")
-    now = anchors.select(F.col("id").alias("anchor"), F.col("id").alias("at"), F.explode(F.sequence(F.lit(0), F.lit(walks - 1))).alias("walk"))
+def neighbour_classes(edges: DataFrame) -> DataFrame:
+    """(a, class_id, d): sources with equal neighbour sets are one class, named by its least source; d is the size of the set.
+
+    Sets are compared by their size and two sums of 64-bit hashes of their distinct members, so no set is gathered.
+    """
+    e = edges.select(F.col("x_id").alias("a"), "y_id").where("a is not null and y_id is not null").distinct()
+    s = e.groupBy("a").agg(F.count(F.lit(1)).alias("d"), *(F.sum(F.xxhash64(F.lit(k), "y_id").cast("decimal(38,0)")).alias(f"__s{k}") for k in (1, 2)))
+    key = ["d", "__s1", "__s2"]
+    return s.join(s.groupBy(*key).agg(F.min("a").alias("class_id")), key).select("a", "class_id", "d")
+
+
+def prefixes(ranked: DataFrame, least: float) -> DataFrame:
+    """Of sets in rows (a, y_id, place, d), places by one order of all members, the members of which two sets of cosine
+    `least` or more share one: those sets have at least least^2 * d members in common."""
+    return ranked.where(F.col("place") <= F.col("d") - F.ceil(F.col("d") * (least * least) - 1e-9) + 1)
+
+
+def similar_neighbours(edges: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """(classes, pairs): neighbour_classes, and all pairs of classes (a < b, d_a, d_b, shared, cosine) whose binary neighbour sets have a
+    cosine of `least` or more.
+
+    A prefix-filtered join: members are ordered by how many classes hold them, rarest first, so hubs come last and hardly ever
+    stand in a prefix; pairs meet on a shared prefix member, pass bounds on their sizes and on what can still follow, and are
+    counted exactly from the smaller set. No stage is squared in a hub's degree, but for pairs that the threshold lets be
+    similar by that hub.
+    """
+    classes = cut(neighbour_classes(edges))
+    e = edges.select(F.col("x_id").alias("a"), "y_id").distinct().join(classes.where("a = class_id").select("a"), "a", "left_semi")
+    often = e.groupBy("y_id").agg(F.count(F.lit(1)).alias("__often"))
+    ranked = cut(numbered(e.join(often, "y_id"), ["a"], [F.col("__often"), F.col("y_id")]).select("a", "y_id", F.col("__r").alias("place"), F.col("__n").alias("d")))
+    first = prefixes(ranked, least)
+    left, right = (first.select("y_id", F.col("a").alias(x), F.col("d").alias(f"d_{x}"), F.col("place").alias(f"place_{x}")) for x in "ab")
+    need = F.sqrt(F.col("d_a") * F.col("d_b")) * least - 1e-9
+    sizes = F.least("d_a", "d_b") >= (least * least) * F.greatest("d_a", "d_b") - 1e-9
+    follow = 1 + F.least(F.col("d_a") - F.col("place_a"), F.col("d_b") - F.col("place_b")) >= need
+    met = left.join(right, "y_id").where((F.col("a") < F.col("b")) & sizes & follow).select("a", "b", "d_a", "d_b").distinct()
+    small = F.col("d_a") <= F.col("d_b")
+    met = met.withColumns({"__small": F.when(small, F.col("a")).otherwise(F.col("b")), "__large": F.when(small, F.col("b")).otherwise(F.col("a"))})
+    both = met.join(ranked.select(F.col("a").alias("__small"), "y_id"), "__small").join(ranked.select(F.col("a").alias("__large"), "y_id"), ["__large", "y_id"])
+    pairs = both.groupBy("a", "b", "d_a", "d_b").agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= need)
+    return classes, pairs.withColumn("cosine", F.col("shared") / F.sqrt(F.col("d_a") * F.col("d_b")))
+
+
+def draw(*parts: Column | str) -> Column:
+    """A number from 0 to 2^60 that depends on the parts only."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 15), 16, 10).cast("long")
+
+
+def placed(adjacent: DataFrame, block: int = 4096) -> DataFrame:
+    """(relation, at, to) with each neighbour's place in its (relation, at) from 0, and the degree.
+
+    A hub's neighbours are dealt by hash into blocks of about `block`; places are numbered inside a block and follow the sizes
+    of the blocks before it, so no node's neighbours meet in one task.
+    """
+    degree = adjacent.groupBy("relation", "at").agg(F.count(F.lit(1)).alias("degree"))
+    rows = adjacent.join(degree, ["relation", "at"]).withColumn("__block", F.pmod(F.xxhash64("to"), F.ceil(F.col("degree") / block)))
+    own, key = W.partitionBy("relation", "at", "__block").orderBy("to"), ["relation", "at", "__block"]
+    before = W.partitionBy("relation", "at").orderBy("__block").rowsBetween(W.unboundedPreceding, -1)
+    sizes = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("__k")).withColumn("__before", F.coalesce(F.sum("__k").over(before), F.lit(0)))
+    out = rows.withColumn("__i", F.row_number().over(own)).join(sizes, key)
+    return out.select("relation", "at", "to", "degree", (F.col("__before") + F.col("__i") - 1).alias("place"))
+
+
+def walk_profile(edges: DataFrame, anchors: DataFrame, hops: list[str], walks: int, seed: int, dead_ends: str = "keep") -> DataFrame:
+    """(anchor, id, visits, prob, bit) over seeded random walks along typed hops: hop s of a walk takes a neighbour by the
+    relation hops[s] (edges x_id -> y_id; `rev_<relation>` goes back, `any` both ways by every relation).
+
+    All nodes after the anchor count. A walk that finds no neighbour ends: with dead_ends `keep` what it visited counts, with
+    `drop` only full walks do. prob is the share of all visits of the anchor, bit is 1 for a visited node. The neighbour's
+    place is a draw from (seed, anchor, walk, hop) modulo the degree, so results don't depend on partitions.
+    """
+    if dead_ends not in ("keep", "drop"):
+        raise ValueError("dead_ends is keep or drop")
+    e = edges.select("relation", F.col("x_id").alias("at"), F.col("y_id").alias("to")).where("at is not null and to is not null")
+    back = e.select(F.concat(F.lit("rev_"), "relation").alias("relation"), F.col("to").alias("at"), F.col("at").alias("to"))
+    both = e.unionAll(back)
+    all_ways = both.unionAll(both.select(F.lit("any"), "at", "to")) if "any" in hops else both
+    adjacent = cut(placed(all_ways.where(F.col("relation").isin(*dict.fromkeys(hops))).distinct()))
+    degrees = adjacent.where("place = 0").select("relation", "at", "degree")
+    now = anchors.select(F.col("id").alias("anchor"), F.col("id").alias("at")).distinct().withColumn("walk", F.explode(F.sequence(F.lit(0), F.lit(walks - 1))))
     seen = None
-    for s in range(steps):
-        place = F.pmod(F.xxhash64(F.lit(seed), "anchor", "walk", F.lit(s)), F.col("degree")).alias("place")
-        now = now.join(degrees, "at").select("anchor", "walk", "at", place).join(adj.select("at", "to", "place"), ["at", "place"]).select("anchor", "walk", F.col("to").alias("at"))
+    for s, relation in enumerate(hops):
+        here = lambda df: df.where(F.col("relation") == relation).drop("relation")  # noqa: E731, B023
+        place = F.pmod(draw(F.lit(str(seed)), "anchor", F.col("walk").cast("string"), F.lit(str(s))), F.col("degree")).alias("place")
+        now = now.join(here(degrees), "at").select("anchor", "walk", "at", place).join(here(adjacent).drop("degree"), ["at", "place"]).select("anchor", "walk", F.col("to").alias("at"))
+        now = cut(now)
         seen = now if seen is None else seen.unionAll(now)
-    return seen.groupBy("anchor", F.col("at").alias("id")).agg(F.count(F.lit(1)).alias("visits"))
+    if dead_ends == "drop":
+        seen = seen.join(now.select("anchor", "walk").distinct(), ["anchor", "walk"], "left_semi")
+    visits = seen.groupBy("anchor", F.col("at").alias("id")).agg(F.count(F.lit(1)).alias("visits"))
+    total = visits.groupBy("anchor").agg(F.sum("visits").alias("__all"))
+    return visits.join(total, "anchor").select("anchor", "id", "visits", (F.col("visits") / F.col("__all")).alias("prob"), F.lit(1).alias("bit"))
 
 
 def distmult(pairs: DataFrame, vectors: DataFrame, relation: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .graph import numbered
+from .cuts import cut
+from .graph import draw, numbered
 
 KEY = ["x_id", "y_id"]
 
@@ -84,28 +85,78 @@ def leaks(split: DataFrame) -> DataFrame:
 
 
 def negatives(positives: DataFrame, index: DataFrame, seed: int, k: int = 1, side: str = "y") -> DataFrame:
-    """k corrupted copies of each positive: the given end is replaced by a node of its type at a hashed index."""
-    sizes = index.groupBy(F.col("node_type").alias(f"{side}_type")).agg((F.max("index") + 1).alias("__m"))
-    p = positives.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(k)))).join(F.broadcast(sizes), f"{side}_type")
-    p = p.withColumn("index", F.pmod(F.xxhash64(F.lit(seed), *KEY, "k"), F.col("__m")))
-    to = index.select(F.col("node_type").alias(f"{side}_type"), "index", F.col("id").alias("__to"))
-    return p.join(to, [f"{side}_type", "index"]).withColumn(f"{side}_id", F.col("__to")).drop("__to", "__m", "index")
+    """k corrupted copies of each positive (relation, x_id, x_type, y_id, y_type): the end `side` (x, y, or both) is replaced by
+    a node of its type, drawn by a hash of the positive among all but the positive itself. index is (node_type, id, index),
+    0..n-1 a type. The given ends are kept as x_pos and y_pos; a type of one node has nothing to draw."""
+    ends = ["x", "y"] if side == "both" else [side]
+    sizes = index.groupBy("node_type").agg((F.max("index") + 1).alias("__m"))
+    p = positives.withColumns({"x_pos": F.col("x_id"), "y_pos": F.col("y_id"), "k": F.explode(F.sequence(F.lit(1), F.lit(k)))})
+    for e in ends:
+        own = index.select(F.col("node_type").alias(f"{e}_type"), F.col("id").alias(f"{e}_id"), F.col("index").alias(f"__own_{e}"))
+        p = p.join(F.broadcast(sizes.select(F.col("node_type").alias(f"{e}_type"), F.col("__m").alias(f"__m_{e}"))), f"{e}_type").join(own, [f"{e}_type", f"{e}_id"])
+    # One number stands for the drawn end, or for the pair of ends; numbers from the positive's own on are shifted by one.
+    size, own = (F.col(f"__m_{side}"), F.col(f"__own_{side}")) if side != "both" else (F.col("__m_x") * F.col("__m_y"), F.col("__own_x") * F.col("__m_y") + F.col("__own_y"))
+    p = p.withColumn("__all", size).where("__all > 1").withColumn("__at", F.pmod(draw(F.lit(str(seed)), "x_pos", "y_pos", F.col("k").cast("string")), F.col("__all") - 1))
+    p = p.withColumn("__at", F.col("__at") + F.when(F.col("__at") >= own, 1).otherwise(0))
+    place = {side: F.col("__at")} if side != "both" else {"x": F.expr("__at div __m_y"), "y": F.expr("__at % __m_y")}
+    for e in ends:
+        to = index.select(F.col("node_type").alias(f"{e}_type"), F.col("index").alias(f"__i_{e}"), F.col("id").alias(f"__to_{e}"))
+        p = p.withColumn(f"__i_{e}", place[e]).join(to, [f"{e}_type", f"__i_{e}"]).withColumn(f"{e}_id", F.col(f"__to_{e}"))
+    return p.select(*positives.columns, "x_pos", "y_pos", "k")
 
 
 def weighted_negatives(positives: DataFrame, degrees: DataFrame, seed: int, power: float = 0.75) -> DataFrame:
-    """One corrupted copy of each positive whose target is drawn with weight degree**power (a negative power favours rare
-    nodes). degrees is (id, degree), all of one type; cumulative weights are cut into 65,536 equal slots, so the draw is an
-    equi-join on the slot followed by a range test."""
-    slots = 1 << 16
-    cum = numbered(degrees.where("degree > 0"), [], [F.col("id")], F.pow(F.col("degree"), F.lit(power)))
-    own = F.pow(F.col("degree"), F.lit(power))
-    cum = cum.select("id", (F.col("__w") / F.col("__all")).alias("hi"), ((F.col("__w") - own) / F.col("__all")).alias("lo"))
-    cum = cum.withColumn("slot", F.explode(F.sequence(F.floor(F.col("lo") * slots).cast("int"), F.floor(F.least(F.col("hi"), F.lit(0.999999999)) * slots).cast("int"))))
-    u = F.pmod(F.xxhash64(F.lit(seed), *KEY), F.lit(1 << 40)) / float(1 << 40)
-    p = positives.withColumn("u", u).withColumn("slot", F.floor(F.col("u") * slots).cast("int"))
+    """One corrupted copy of each positive whose target is drawn with weight degree**power, in thousandths and at least one (a negative
+    power favours rare nodes). degrees is (id, degree), all of one type. The line of all weights is cut into equal slots, as
+    many as there are nodes, 2^22 at most, so the draw is an equi-join on the slot followed by a range test of few nodes."""
+    own = F.greatest(F.lit(1), F.round(1000 * F.pow(F.col("degree"), F.lit(power)))).cast("long")
+    cum = numbered(degrees.where("degree > 0"), [], [F.col("id")], own)
+    top = cum.agg(F.max("__all"), F.max("__n")).first()
+    total, slots = top[0] or 1, max(1024, min(1 << 22, top[1] or 1))
+    width = total // slots + 1
+    cum = cum.select("id", (F.col("__w") - own).alias("lo"), F.col("__w").alias("hi"))
+    cum = cum.withColumn("slot", F.explode(F.sequence(F.expr(f"lo div {width}"), F.expr(f"(hi - 1) div {width}"))))
+    p = positives.withColumn("u", F.pmod(draw(F.lit(str(seed)), *KEY), F.lit(total))).withColumn("slot", F.expr(f"u div {width}"))
     return p.join(cum.select("slot", "lo", "hi", F.col("id").alias("__to")), "slot").where("u >= lo and u < hi").withColumn("y_id", F.col("__to")).drop("__to", "u", "slot", "lo", "hi")
 
 
+def filtered_negatives(positives: DataFrame, existing: DataFrame, index: DataFrame, seed: int, k: int = 1, side: str = "y", attempts: int = 20) -> DataFrame:
+    """k negatives of each distinct positive that are no existing pair and all different: (relation, x_pos, y_pos, k, x_id,
+    y_id, attempt, reason).
+
+    Each attempt draws for the slots still open only, refuses pairs that exist or are taken (two slots that draw one pair: the
+    first by its positive keeps it), and leaves the rest open. Slots open after `attempts` rounds have null ends and the reason
+    attempts_exhausted, or too_few_nodes when their type has nothing else to draw. A job an attempt, when the plan is made.
+    """
+    slot = ["relation", "x_pos", "y_pos", "k"]
+    types = ["x_type", "y_type"]
+    once = positives.select("relation", *KEY, *types).distinct()
+    open_ = once.select("relation", F.col("x_id").alias("x_pos"), F.col("y_id").alias("y_pos"), *types).withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(k))))
+    seen = existing.select("relation", *KEY).distinct()
+    taken = None
+    for n in range(1, attempts + 1):
+        asked = once if n == 1 else open_.select("relation", F.col("x_pos").alias("x_id"), F.col("y_pos").alias("y_id"), *types).distinct()
+        drawn = negatives(asked, index, seed + n, k, side)
+        drawn = drawn.join(open_.select(*slot), slot, "left_semi") if n > 1 else drawn
+        drawn = drawn.join(seen, ["relation", *KEY], "left_anti")
+        if taken is not None:
+            drawn = drawn.join(taken, ["relation", *KEY], "left_anti")
+        won = drawn.groupBy("relation", *KEY).agg(F.min(F.struct("x_pos", "y_pos", "k")).alias("__s"))
+        won = cut(won.select("relation", "__s.*", *KEY, F.lit(n).alias("attempt")))
+        taken = won if taken is None else taken.unionByName(won)
+        open_ = cut(open_.join(won.select(*slot), slot, "left_anti"))
+        if open_.isEmpty():
+            break
+    sizes = index.groupBy("node_type").agg(F.count(F.lit(1)).alias("__m"))
+    few = F.lit(True)
+    for e in ["x", "y"] if side == "both" else [side]:
+        open_ = open_.join(F.broadcast(sizes.select(F.col("node_type").alias(f"{e}_type"), F.col("__m").alias(f"__{e}"))), f"{e}_type", "left")
+        few = few & (F.coalesce(f"__{e}", F.lit(0)) <= 1)
+    none = F.lit(None).cast("string")
+    left = open_.select(*slot, none.alias("x_id"), none.alias("y_id"), F.lit(None).cast("int").alias("attempt"), F.when(few, "too_few_nodes").otherwise("attempts_exhausted").alias("reason"))
+    return taken.select(*slot, *KEY, "attempt", none.alias("reason")).unionByName(left)
+
+
 def filtered(candidates: DataFrame, existing: DataFrame) -> DataFrame:
     """Distinct candidates that aren't existing pairs."""
     return candidates.select("relation", *KEY).distinct().join(existing.select("relation", *KEY), ["relation", *KEY], "left_anti")

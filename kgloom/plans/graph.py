@@ -322,6 +322,19 @@ def o101(s, d):
     return G.closure(e)
 
 
+@register("o101_code_nodes", f"""
+WITH RECURSIVE e AS {TREE}, c(ancestor, descendant) AS (SELECT y, x FROM e UNION SELECT e.y, c.descendant FROM c JOIN e ON e.x = c.ancestor),
+m AS (SELECT ancestor AS top, descendant AS code FROM c UNION SELECT p_partkey, p_partkey FROM part WHERE p_partkey % 2 = 0 UNION SELECT ancestor, ancestor FROM c),
+r AS (SELECT DISTINCT top, 'supplier:' || code % 120 AS entity FROM m WHERE code % 2 = 0 AND code IN (SELECT p_partkey FROM part))
+SELECT CAST(top AS VARCHAR) AS code, entity AS id FROM r WHERE entity IN (SELECT 'supplier:' || s_suppkey FROM supplier)
+UNION SELECT CAST(top AS VARCHAR), 'nation:' || s_nationkey FROM r JOIN supplier ON 'supplier:' || s_suppkey = entity WHERE s_suppkey % 3 = 0""")
+def o101_codes(s, d):
+    tree = table(s, d, "part").where("p_partkey > 2").select(F.col("p_partkey").cast("string").alias("x_id"), F.floor(F.col("p_partkey") / 3).cast("string").alias("y_id"))
+    xrefs = table(s, d, "part").where("p_partkey % 2 = 0").select(F.col("p_partkey").cast("string").alias("code"), F.concat(F.lit("supplier:"), F.col("p_partkey") % 120).alias("entity"))
+    groups = table(s, d, "supplier").where("s_suppkey % 3 = 0").select(F.concat(F.lit("supplier:"), "s_suppkey").alias("entity"), F.concat(F.lit("nation:"), "s_nationkey").alias("group_id"))
+    return G.code_nodes(G.closure(tree), xrefs, nodes(s, d), groups)
+
+
 @register("o102_reverse_edges", "SELECT relation, count(*) AS n FROM (SELECT relation FROM edges UNION ALL SELECT 'rev_' || relation FROM edges) GROUP BY relation", view=True)
 def o102(s, d):
     return G.reversed_edges(edges(s, d)).groupBy("relation").agg(F.count(F.lit(1)).alias("n"))
@@ -343,16 +356,35 @@ def o104b(s, d):
     return G.random_edges(edges(s, d), G.dense_index(nodes(s, d)), 20, 7).groupBy("relation").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("o105_neighbour_similarity", """
-, e AS (SELECT DISTINCT x_id AS a, y_id FROM edges WHERE relation = 'supplier_supplies_part'), d AS (SELECT a, count(*) AS d FROM e GROUP BY a)
-SELECT p.a, p.b, shared, round(shared / sqrt(x.d * y.d), 6) AS cosine FROM (SELECT l.a, r.a AS b, count(*) AS shared FROM e l JOIN e r ON l.y_id = r.y_id AND l.a < r.a GROUP BY ALL) p JOIN d x ON x.a = p.a JOIN d y ON y.a = p.b""", view=True)
+CLASSES = """, e AS (SELECT DISTINCT x_id AS a, y_id FROM edges WHERE relation = 'order_contains_part'), g AS (SELECT a, count(*) AS d, string_agg(y_id, ' ' ORDER BY y_id) AS held FROM e GROUP BY a),
+cls AS (SELECT a, min(a) OVER (PARTITION BY held) AS class_id, d FROM g)"""
+
+
+@register("o105_neighbour_classes", CLASSES + " SELECT a, class_id, d FROM cls", view=True)
+def o105_classes(s, d):
+    return G.neighbour_classes(edges(s, d).where("relation = 'order_contains_part'"))
+
+
+@register("o105_neighbour_similarity", CLASSES + """
+, r AS (SELECT e.a, y_id, d FROM e JOIN cls ON cls.a = e.a AND class_id = e.a)
+SELECT *, round(shared / sqrt(d_a * d_b), 6) AS cosine FROM (SELECT l.a, r.a AS b, l.d AS d_a, r.d AS d_b, count(*) AS shared FROM r l JOIN r ON l.y_id = r.y_id AND l.a < r.a GROUP BY ALL) WHERE shared >= 0.5 * sqrt(d_a * d_b) - 1e-9""", view=True)
 def o105(s, d):
-    return G.shared_neighbours(supply(s, d).select("x_id", "y_id")).withColumn("cosine", F.round("cosine", 6))
+    return G.similar_neighbours(edges(s, d).where("relation = 'order_contains_part'"), 0.5)[1].withColumn("cosine", F.round("cosine", 6))
+
+
+HOPS = ["supplier_supplies_part", "rev_order_contains_part", "rev_customer_places_order"]
+_hop = lambda n: f"""w{n} AS (SELECT anchor, walk, a.o AS "at" FROM w{n - 1} w JOIN adj a ON a.relation = '{HOPS[n - 1]}' AND a."at" = w."at" AND a.place = CAST('0x' || substr(md5('11|' || anchor || '|' || walk || '|{n - 1}'), 1, 15) AS BIGINT) % a.degree)"""
 
 
-@register("o106_walk_profile")
+@register("o106_walk_profile", f"""
+, e AS (SELECT DISTINCT relation, x_id AS "at", y_id AS o FROM edges WHERE relation = 'supplier_supplies_part' UNION SELECT 'rev_' || relation, y_id, x_id FROM edges WHERE relation = 'order_contains_part' OR relation = 'customer_places_order' AND source = 'F'),
+adj AS (SELECT *, row_number() OVER (PARTITION BY relation, "at" ORDER BY o) - 1 AS place, count(*) OVER (PARTITION BY relation, "at") AS degree FROM e),
+w0 AS (SELECT id AS anchor, walk, id AS "at" FROM nodes, range(10) t(walk) WHERE node_type = 'supplier'), {_hop(1)}, {_hop(2)}, {_hop(3)},
+v AS (SELECT anchor, "at" AS id, count(*) AS visits FROM (SELECT * FROM w1 UNION ALL SELECT * FROM w2 UNION ALL SELECT * FROM w3) GROUP BY anchor, "at")
+SELECT anchor, id, visits, round(visits / sum(visits) OVER (PARTITION BY anchor), 9) AS prob, 1 AS bit FROM v""", view=True)
 def o106(s, d):
-    return G.walk_profile(supply(s, d), nodes(s, d).where("node_type = 'supplier'"), 3, 20, 11)
+    e = edges(s, d).where("relation in ('supplier_supplies_part', 'order_contains_part') or relation = 'customer_places_order' and source = 'F'")
+    return G.walk_profile(e, nodes(s, d).where("node_type = 'supplier'"), HOPS, 10, 11).withColumn("prob", F.round("prob", 9))
 
 
 @register("o107_degree_gate", "SELECT id, round(0.5 * exp(-0.5 * count(*)) + 0.2, 9) AS gate FROM (SELECT x_id AS id FROM edges UNION ALL SELECT y_id FROM edges) GROUP BY id", view=True)
