@@ -29,16 +29,26 @@ from .storage import discard, materialize
 from .textops import LETTERS, column, distinct, strings, words
 
 #: Postings of a block; kept terms of a salt.
-BLOCK, SHARE = 1 << 18, 1 << 14
+BLOCK, SHARE = 1 << 19, 1 << 16
 RUN = "lang string, source string, term string, n long, docs long"
 LOW = np.int64(0xFFFFFFFF)
 
 
-def _added(parts: list[pa.Table], keys: list[str]) -> pa.Table:
-    """The rows of the parts with n and docs summed by the keys."""
-    t = pa.concat_tables(parts)
-    t = t.group_by(keys, use_threads=False).aggregate([("n", "sum"), ("docs", "sum")])
-    return t.select([*keys, "n_sum", "docs_sum"]).rename_columns([*keys, "n", "docs"])
+def _starts(t: pa.Table, keys: list[str]) -> np.ndarray:
+    """Where another key begins, in rows sorted by the keys."""
+    if not t.num_rows:
+        return np.zeros(0, dtype=np.int64)
+    new = np.zeros(t.num_rows - 1, dtype=bool)
+    for k in keys:
+        new |= pc.not_equal(t[k].slice(1), t[k].slice(0, t.num_rows - 1)).to_numpy()
+    return np.append(0, 1 + np.flatnonzero(new))
+
+
+def _added(t: pa.Table, keys: list[str]) -> pa.Table:
+    """Rows sorted by the keys, those of equal keys added up."""
+    at = _starts(t, keys)
+    sums = {c: pa.array(np.add.reduceat(t[c].to_numpy(), at) if len(at) else np.zeros(0, dtype=np.int64)) for c in ("n", "docs")}
+    return pa.table({k: t[k].take(pa.array(at)) for k in keys} | sums)
 
 
 def _runs(block: int):
@@ -48,10 +58,10 @@ def _runs(block: int):
         held = 0
 
         def spill() -> Iterator[pa.RecordBatch]:
-            names = [pa.array([g[k] for g in groups], pa.string()) for k in (0, 1)]
-            t = _added(parts, ["group", "term"])
-            t = pa.table([names[0].take(t["group"]), names[1].take(t["group"]), t["term"].cast(pa.string()), t["n"], t["docs"]], names=["lang", "source", "term", "n", "docs"])
-            yield from t.sort_by([("lang", "ascending"), ("term", "ascending"), ("source", "ascending")]).combine_chunks().to_batches(max_chunksize=1 << 14)
+            t = _added(pa.concat_tables(parts).sort_by([("term", "ascending"), ("group", "ascending")]), ["term", "group"])
+            lang, source = (pa.array([g[k] for g in groups], pa.string()).take(t["group"]) for k in (0, 1))
+            out = pa.table([lang, source, t["term"].cast(pa.string()), t["n"], t["docs"]], names=["lang", "source", "term", "n", "docs"])
+            yield from out.combine_chunks().to_batches(max_chunksize=1 << 14)
 
         for b in batches:
             names = zip(b.column("lang").to_pylist(), b.column("source").to_pylist())
@@ -61,20 +71,14 @@ def _runs(block: int):
                     continue
                 first, which = distinct(w.data, w.starts, w.ends, w.h)
                 d = len(first)
-                # A document and term, with its occurrences; then a group and term.
+                # A posting: a document and term, with its occurrences.
                 key, n = np.unique(w.rows() * d + which, return_counts=True)
-                key, at = np.unique(gid[key // d] * d + key % d, return_inverse=True)
-                total = np.zeros(len(key), dtype=np.int64)
-                np.add.at(total, at, n)
                 term = strings(w.data, w.starts[first], w.ends[first]).take(pa.array(key % d))
-                parts.append(pa.table([pa.array(key // d), term, pa.array(total), pa.array(np.bincount(at))], names=["group", "term", "n", "docs"]))
+                parts.append(pa.table([pa.array(gid[key // d]), term, pa.array(n), pa.array(np.ones(len(n), dtype=np.int64))], names=["group", "term", "n", "docs"]))
                 held += len(key)
                 if held >= block:
-                    parts = [_added(parts, ["group", "term"])]
-                    held = parts[0].num_rows
-                    if 2 * held >= block:
-                        yield from spill()
-                        parts, held = [], 0
+                    yield from spill()
+                    parts, held = [], 0
         if parts:
             yield from spill()
 
@@ -82,25 +86,25 @@ def _runs(block: int):
 
 
 def _merge(least: int):
-    """Folds a shard's stream of (language, term, source)-sorted postings into a row a kept term."""
-    keys = ["lang", "term", "source"]
+    """Folds a shard's stream of postings, sorted by (term, language, source), into a row a kept term."""
+    keys = ["term", "lang", "source"]
 
     def rows(t: pa.Table) -> pa.RecordBatch:
-        starts = np.append(0, 1 + np.flatnonzero(_changes(t))).astype(np.int32)
+        starts = _starts(t, keys[:2])
         total, docs = (np.add.reduceat(t[c].to_numpy(), starts) for c in ("n", "docs"))
-        offsets = pa.array(np.append(starts, t.num_rows).astype(np.int32))
+        offsets, at = pa.array(np.append(starts, t.num_rows).astype(np.int32)), pa.array(starts)
         cell = lambda c: t[c].combine_chunks()
-        out = pa.table([t["lang"].take(pa.array(starts)), t["term"].take(pa.array(starts)), pa.array(total), pa.ListArray.from_arrays(offsets, cell("source")), pa.ListArray.from_arrays(offsets, cell("n"))], names=["lang", "term", "total", "sources", "counts"])
+        out = pa.table([t["lang"].take(at), t["term"].take(at), pa.array(total), pa.ListArray.from_arrays(offsets, cell("source")), pa.ListArray.from_arrays(offsets, cell("n"))], names=["lang", "term", "total", "sources", "counts"])
         return out.filter(pa.array(docs >= least))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_ = None
         for b in batches:
-            t = pa.Table.from_batches([b])
-            t = _added([t] if open_ is None else [open_, t.select(open_.column_names)], keys).sort_by([(k, "ascending") for k in keys])
+            t = pa.Table.from_batches([b]).select([*keys, "n", "docs"])
+            t = _added(t if open_ is None else pa.concat_tables([open_, t]), keys)
             # The last term may go on in the next batch.
-            ends = np.flatnonzero(_changes(t))
-            cut = int(ends[-1]) + 1 if len(ends) else 0
+            ends = _starts(t, keys[:2])
+            cut = int(ends[-1]) if len(ends) else 0
             open_ = t.slice(cut)
             if cut:
                 yield from rows(t.slice(0, cut)).combine_chunks().to_batches()
@@ -110,16 +114,10 @@ def _merge(least: int):
     return run
 
 
-def _changes(t: pa.Table) -> np.ndarray:
-    """Whether the next row has another language or term, for all rows but the last."""
-    differ = [pc.not_equal(t[c].slice(1), t[c].slice(0, t.num_rows - 1)).to_numpy() for c in ("lang", "term")]
-    return differ[0] | differ[1]
-
-
 def frequencies(docs: DataFrame, least: int = 3, block: int = BLOCK, lang_col: str = "lang", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """(lang, term, total, sources, counts): the terms in at least `least` documents of their language."""
     src = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((lang_col, "lang"), (source_col, "source"), (text_col, "text"))))
-    runs = src.mapInArrow(_runs(block), RUN).repartition("lang", "term").sortWithinPartitions("lang", "term", "source")
+    runs = src.mapInArrow(_runs(block), RUN).repartition("lang", "term").sortWithinPartitions("term", "lang", "source")
     return runs.mapInArrow(_merge(least), "lang string, term string, total long, sources array<string>, counts array<long>")
 
 
