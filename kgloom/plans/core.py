@@ -39,11 +39,14 @@ def o05(s, d):
     return table(s, d, "lineitem").where("l_returnflag = 'R' and l_suppkey in (1, 2, 3) and l_quantity >= 45").select("l_orderkey", "l_linenumber", "l_extendedprice")
 
 
-@register("o06_table_inventory", " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS n_rows, CAST({n} AS INTEGER) AS n_columns FROM {t}" for t, n in (("region", 2), ("nation", 3), ("customer", 5), ("supplier", 4), ("part", 6), ("orders", 6), ("lineitem", 11))))
+WIDTHS = {"region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6, "orders": 6, "lineitem": 11, "events": 6, "documents": 5, "embeddings": 3, "pages": 3, "benchmark": 2, "labels": 3, "conversations": 4}
+
+
+@register("o06_table_inventory", " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS n_rows, CAST({n} AS INTEGER) AS n_columns FROM {t}" for t, n in WIDTHS.items()))
 def o06(s, d):
     from ..sources.readers import inventory
 
-    return inventory({t: table(s, d, t) for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")})
+    return inventory({t: table(s, d, t) for t in WIDTHS})
 
 
 @register("o16_delete_by_source", "SELECT relation, count(*) AS kept FROM edges WHERE source IS DISTINCT FROM 'R' GROUP BY relation", view=True)

@@ -44,12 +44,17 @@ def o12_summaries(s, d):
     return sinks.validated(t, text_faults(F.col("text"), 2000), scratch(s, "summaries")).groupBy("part").agg(F.sum("n_rows").alias("n_rows"))
 
 
-@register("o13_export", """
-, n AS (SELECT 'nodes' AS layer, 'nodes' AS name, count(*) AS n_rows, 5 AS n_columns FROM nodes UNION ALL SELECT 'edges', 'edges', count(*), 8 FROM edges UNION ALL SELECT 'edges', 'evidence', count(*), 15 FROM evidence)
-SELECT layer, name, n_rows, n_columns, CAST(sum(n_rows) OVER (PARTITION BY layer) AS BIGINT) AS total_rows, 'v1' AS version FROM n""", view=True)
+_cell = lambda c: f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+_digest = lambda cols, t: "(SELECT " + " || ':' || ".join(f"coalesce(CAST(sum(CAST('0x' || substr(k, {at}, {n}) AS HUGEINT)) AS VARCHAR), '0')" for at, n in ((1, 11), (12, 11), (23, 10))) + f" FROM (SELECT md5({' || '.join(map(_cell, cols.split()))}) AS k FROM {t}))"
+
+
+@register("o13_export", f"""
+, n AS (SELECT 'nodes' AS layer, 'nodes' AS name, count(*) AS n_rows, 5 AS n_columns, {_digest("id node_type name xref taxon", "nodes")} AS content_digest FROM nodes UNION ALL SELECT 'edges', 'edges', count(*), 8, {_digest("x_id x_type y_id y_type relation display_relation source credibility", "edges")} FROM edges
+  UNION ALL SELECT 'edges', 'evidence', count(*), 15, {_digest("edge_key relation x_id x_type y_id y_type evidence_type source source_dataset source_record_id paper_id evidence_score direction l_orderkey l_linenumber", "evidence")} FROM evidence)
+SELECT layer, name, n_rows, n_columns, content_digest, CAST(sum(n_rows) OVER (PARTITION BY layer) AS BIGINT) AS total_rows, 'v1' AS version FROM n""", view=True)
 def o13(s, d):
     layers = {"nodes": {"nodes": nodes(s, d)}, "edges": {"edges": edges(s, d), "evidence": evidence(s, d)}}
-    return sinks.export(layers, scratch(s, "export"), "v1").select("layer", "name", "n_rows", "n_columns", "total_rows", "version")
+    return sinks.export(layers, scratch(s, "export"), "v1").select("layer", "name", "n_rows", "n_columns", "content_digest", "total_rows", "version")
 
 
 @register("o17_text_readers", """

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .export import content_digest
+
 
 def select_available(df: DataFrame, want: list[str]) -> DataFrame:
     """The wanted columns; those the table lacks are null strings."""
@@ -25,11 +27,11 @@ def inventory(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def manifest(tables: dict[str, DataFrame]) -> DataFrame:
-    """The inventory with a hash of each schema and an order-free hash of the contents."""
+    """(name, n_rows, schema_hash, content_digest): the inventory with a hash of each table's column names and types, and the
+    order-free digest of its rows (export.content_digest)."""
     out = None
     for name, df in tables.items():
-        row = df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.bit_xor(F.xxhash64(*df.columns)), F.lit(0)).alias("content_hash"))
-        row = row.select(F.lit(name).alias("name"), "n_rows", F.sha2(F.lit(df.schema.json()), 256).alias("schema_hash"), "content_hash")
+        row = content_digest(df).select(F.lit(name).alias("name"), "n_rows", F.sha2(F.lit(",".join(f"{c} {t}" for c, t in df.dtypes)), 256).alias("schema_hash"), F.col("digest").alias("content_digest"))
         out = row if out is None else out.unionAll(row)
     return out
 

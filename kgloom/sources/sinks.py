@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators.credibility import KEY, dedup_edges
 from ..operators.evidence import keep_last
+from .export import content_digest
 
 
 def merged_nodes(stored: DataFrame | None, new: DataFrame, seq: str = "seq") -> DataFrame:
@@ -56,17 +57,17 @@ def validated(df: DataFrame, fault, out: str) -> DataFrame:
 
 def export(layers: dict[str, dict[str, DataFrame]], out: str, version: str) -> DataFrame:
     """Writes layers of named tables below out/version and their receipt, a row a table, which is returned: layer, name,
-    n_rows, n_columns, schema_sha256, total_rows (of the layer) and the provenance fields version and format.
+    n_rows, n_columns, schema_sha256, content_digest, total_rows (of the layer) and the provenance fields version and format.
 
-    The rows are counted from what was written. A version that is there already is an error, so no export is half replaced.
+    The rows are counted, and their digest taken, from what was written. A version that is there already is an error, so no export is half replaced.
     """
     done = None
     for layer, tables in layers.items():
         for name, df in tables.items():
             path = f"{out}/{version}/{layer}/{name}"
             df.write.mode("errorifexists").parquet(path)
-            row = df.sparkSession.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows")).select(
-                F.lit(layer).alias("layer"), F.lit(name).alias("name"), "n_rows", F.lit(len(df.columns)).alias("n_columns"), F.sha2(F.lit(",".join(f"{c} {t}" for c, t in df.dtypes)), 256).alias("schema_sha256")
+            row = content_digest(df.sparkSession.read.parquet(path)).select(
+                F.lit(layer).alias("layer"), F.lit(name).alias("name"), "n_rows", F.lit(len(df.columns)).alias("n_columns"), F.sha2(F.lit(",".join(f"{c} {t}" for c, t in df.dtypes)), 256).alias("schema_sha256"), F.col("digest").alias("content_digest")
             )
             done = row if done is None else done.unionAll(row)
     totals = done.groupBy("layer").agg(F.sum("n_rows").alias("total_rows"))
