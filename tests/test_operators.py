@@ -266,6 +266,37 @@ def test_nearest_takes_every_query_and_breaks_ties_by_id(spark):
     assert lookup.nearest(v, v.where("false"), 4).count() == 0
 
 
+def test_search_prunes_clustered_vectors(spark):
+    """Rows equal a comparison of all pairs, while a small share of them is compared; equal vectors and a bad seed chunk included."""
+    import random
+
+    import numpy as np
+
+    rng = random.Random(6)
+    centres = [[rng.gauss(0, 1) for _ in range(8)] for _ in range(12)]
+    rows = [(i, [c + rng.gauss(0, 0.02) for c in centres[i % 12]]) for i in range(900)] + [(900 + i, centres[0]) for i in range(5)] + [(950, [0.0] * 8), (951, [-c for c in centres[3]])]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    asked = v.where("vec_id % 10 = 0 or vec_id >= 950")
+    got, report = lookup.search(v, asked, 6, block=7, chunk=16)
+    x = np.array([r[1] for r in rows])
+    norm = np.linalg.norm(x, axis=1, keepdims=True)
+    sim = np.round(np.divide(x, norm, out=np.zeros_like(x), where=norm > 0) @ np.divide(x, norm, out=np.zeros_like(x), where=norm > 0).T, 9)
+    ids = np.array([r[0] for r in rows])
+    want = {}
+    for k, (i, _) in enumerate(rows):
+        if i % 10 == 0 or i >= 950:
+            others = np.flatnonzero(ids != i)
+            order = others[np.lexsort((ids[others], -sim[k][others]))][:6]
+            want[i] = [(int(ids[o]), float(sim[k][o])) for o in order]
+    found = {}
+    for r in got.collect():
+        found.setdefault(r.query_id, []).append((r.vec_id, r.similarity))
+    near = lambda a, b: [x for x, _ in a] == [x for x, _ in b] and all(abs(x - y) < 1e-8 for (_, x), (_, y) in zip(a, b))
+    assert found.keys() == want.keys() and all(near(sorted(found[i], key=lambda r: (-r[1], r[0])), want[i]) for i in want)
+    share = report.first()
+    assert 0 < share.compared < 0.3 * share.all_pairs
+
+
 def test_label_matrix_counts_what_it_does_not_list(spark):
     split = spark.createDataFrame([("a", "y", "test"), ("a", "y", "train"), ("b", "y", "valid"), ("c", "z", "train")], "x_id string, y_id string, split string")
     asked = spark.createDataFrame([("y",), ("w",), (None,), ("y",)], "y_id string")
