@@ -71,13 +71,31 @@ def two_hops(edges: DataFrame, anchor: str) -> DataFrame:
 
 
 def k_hops(edges: DataFrame, anchors: DataFrame, k: int) -> DataFrame:
-    """Distinct edges within k hops of a set of nodes: every edge with an end that is less than k steps away."""
+    """Distinct edges within k hops of a set of nodes: every edge with an end that is less than k steps away. The nodes reached
+    are written after each hop, a job when the plan is made."""
+    touch = lambda ids: edges.join(ids.withColumnRenamed("id", "x_id"), "x_id", "left_semi").select(*edges.columns).unionAll(edges.join(ids.withColumnRenamed("id", "y_id"), "y_id", "left_semi").select(*edges.columns))
     reach = anchors.select("id").distinct()
     for _ in range(k - 1):
-        near = edges.join(reach.withColumnRenamed("id", "x_id"), "x_id", "left_semi").select(F.col("y_id").alias("id")).unionAll(edges.join(reach.withColumnRenamed("id", "y_id"), "y_id", "left_semi").select("x_id"))
-        reach = reach.unionAll(near).distinct()
-    a = edges.join(reach.withColumnRenamed("id", "x_id"), "x_id", "left_semi").select(*edges.columns)
-    return a.unionAll(edges.join(reach.withColumnRenamed("id", "y_id"), "y_id", "left_semi").select(*edges.columns)).distinct()
+        near = touch(reach)
+        reach = cut(reach.unionAll(near.select(F.col("x_id").alias("id"))).unionAll(near.select("y_id")).distinct())
+    return touch(reach).distinct()
+
+
+def subgraph(edges: DataFrame, anchors: DataFrame, k: int, targets: list[str], sample: int, seed: int) -> DataFrame:
+    """Distinct edges with `part`: `hop` for those within k hops of the anchors, `target` for all other edges of the target
+    relations at an anchor, and `test` for `sample` further edges of the target relations, drawn by a hash of their ends.
+
+    The draw is numbered over range partitions; targets at an anchor are within the first hop, so with k of 1 or more they are
+    told as `target`, not as `hop`.
+    """
+    ids, mine = anchors.select("id").distinct(), F.col("relation").isin(*targets)
+    at = lambda e: edges.where(mine).join(ids.withColumnRenamed("id", e), e, "left_semi").select(*edges.columns)
+    target = at("x_id").unionAll(at("y_id")).distinct()
+    hop = k_hops(edges, anchors, k).join(target.select("relation", "x_id", "y_id"), ["relation", "x_id", "y_id"], "left_anti").select(*edges.columns)
+    found = cut(hop.withColumn("part", F.lit("hop")).unionByName(target.withColumn("part", F.lit("target"))))
+    rest = edges.where(mine).join(found.select("relation", "x_id", "y_id"), ["relation", "x_id", "y_id"], "left_anti").select(*edges.columns).distinct()
+    drawn = numbered(rest, [], [draw(F.lit(str(seed)), "relation", "x_id", "y_id"), F.col("x_id"), F.col("y_id")]).where(F.col("__r") <= sample)
+    return found.unionByName(drawn.select(*edges.columns, F.lit("test").alias("part")))
 
 
 def closure(edges: DataFrame, most: int | None = None) -> DataFrame:
@@ -128,24 +146,38 @@ def hashed_order(seed: int, *cols: str):
     return F.xxhash64(F.lit(seed), *cols)
 
 
+def drawn_order(seed: int) -> list[Column]:
+    """An order of edges by a draw."""
+    return [draw(F.lit(str(seed)), "relation", "x_id", "y_id"), F.col("x_id"), F.col("y_id")]
+
+
 def drop_share(edges: DataFrame, percent: float, seed: int) -> DataFrame:
-    """edges less floor(percent of each relation), chosen by a seeded hash order."""
-    r = numbered(edges, ["relation"], [hashed_order(seed, "x_id", "y_id"), F.col("x_id"), F.col("y_id")])
-    return r.where(F.col("__r") > F.floor(F.col("__n") * percent / 100)).drop("__n", "__r")
+    """edges less floor(percent of each relation), the first by a drawn order."""
+    r = numbered(edges, ["relation"], drawn_order(seed))
+    return r.where(F.col("__r") > F.floor(F.col("__n") * percent / 100)).select(*edges.columns)
 
 
 def drop_relation(edges: DataFrame, relation: str) -> DataFrame:
     return edges.where(~F.col("relation").isin(relation, f"rev_{relation}"))
 
 
-def random_edges(edges: DataFrame, index: DataFrame, percent: float, seed: int) -> DataFrame:
-    """percent more edges a relation with the same source and a random target of the right type."""
-    sizes = index.groupBy(F.col("node_type").alias("y_type")).agg(F.max("index").alias("__m"))
-    pick = numbered(edges, ["relation"], [hashed_order(seed, "x_id", "y_id"), F.col("x_id"), F.col("y_id")])
-    pick = pick.where(F.col("__r") <= F.floor(F.col("__n") * percent / 100)).drop("__r")
-    pick = pick.join(F.broadcast(sizes), "y_type").withColumn("index", F.pmod(hashed_order(seed + 1, "relation", "x_id", "y_id"), F.col("__m") + 1))
-    to = index.select(F.col("node_type").alias("y_type"), "index", F.col("id").alias("__y"))
-    return pick.join(to, ["y_type", "index"]).withColumn("y_id", F.col("__y")).select(*edges.columns)
+def random_edges(edges: DataFrame, index: DataFrame, percent: float, seed: int, ends: str = "y") -> DataFrame:
+    """floor(percent of each relation) further edges: copies of its first edges by a drawn order, with random nodes of the right
+    types at the ends named (x, y or xy). Registry of type sizes: a row a node type."""
+    r = numbered(edges, ["relation"], drawn_order(seed))
+    pick = r.where(F.col("__r") <= F.floor(F.col("__n") * percent / 100)).withColumns({"__x": F.col("x_id"), "__y": F.col("y_id")})
+    sizes = index.groupBy("node_type").agg((F.max("index") + 1).alias("__m"))
+    for e in ends:
+        mine = sizes.select(F.col("node_type").alias(f"{e}_type"), "__m")
+        to = index.select(F.col("node_type").alias(f"{e}_type"), F.col("index").alias("__i"), F.col("id").alias("__to"))
+        pick = pick.join(F.broadcast(mine), f"{e}_type").withColumn("__i", F.pmod(draw(F.lit(f"{seed}{e}"), "relation", "__x", "__y"), F.col("__m"))).drop("__m")
+        pick = pick.join(to, [f"{e}_type", "__i"]).withColumn(f"{e}_id", F.col("__to")).drop("__i", "__to")
+    return pick.select(*edges.columns)
+
+
+def rewired(edges: DataFrame, index: DataFrame, seed: int) -> DataFrame:
+    """As many edges of each relation as there are, all with random ends of the right types."""
+    return random_edges(edges, index, 100, seed, "xy")
 
 
 def neighbour_classes(edges: DataFrame) -> DataFrame:

@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 def one_to_one(pairs: DataFrame, source: str, target: str) -> DataFrame:
     """(source, targets, status): mapped when a source has one target, else ambiguous."""
-    g = pairs.where(F.col(source).isNotNull() & F.col(target).isNotNull()).groupBy(source).agg(F.array_sort(F.collect_set(target)).alias("t"))
-    return g.select(source, F.when(F.size("t") == 1, F.col("t")[0]).alias(target), F.when(F.size("t") == 1, "mapped").otherwise("ambiguous").alias("status"), F.size("t").cast("long").alias("n_targets"))
+    g = pairs.where(F.col(source).isNotNull() & F.col(target).isNotNull()).select(source, target).distinct().groupBy(source).agg(F.min(target).alias("t"), F.count(F.lit(1)).alias("n_targets"))
+    one = F.col("n_targets") == 1
+    return g.select(source, F.when(one, F.col("t")).alias(target), F.when(one, "mapped").otherwise("ambiguous").alias("status"), "n_targets")
 
 
 def mutual(pairs: DataFrame, a: str, b: str) -> DataFrame:

@@ -83,11 +83,11 @@ def o47(s, d):
 
 
 @register("o48_edge_index", """
-SELECT relation, count(*) AS n, CAST(sum(a.i) AS BIGINT) AS src_sum, CAST(sum(b.i) AS BIGINT) AS dst_sum, count(*) FILTER (b.i IS NULL) AS missing FROM edges e
-LEFT JOIN (SELECT id, row_number() OVER (PARTITION BY node_type ORDER BY id) - 1 AS i FROM nodes) a ON a.id = e.x_id LEFT JOIN (SELECT id, row_number() OVER (PARTITION BY node_type ORDER BY id) - 1 AS i FROM nodes WHERE name NOT LIKE '%9') b ON b.id = e.y_id AND false IS NOT NULL GROUP BY relation""".replace(" WHERE name NOT LIKE '%9') b ON b.id = e.y_id AND false IS NOT NULL", ") b ON b.id = e.y_id"), view=True)
+, i AS (SELECT id, row_number() OVER (PARTITION BY node_type ORDER BY id) - 1 AS i FROM nodes WHERE right(id, 1) <> '7')
+SELECT relation, x_id, y_id, a.i AS src, b.i AS dst FROM edges e LEFT JOIN i a ON a.id = e.x_id LEFT JOIN i b ON b.id = e.y_id""", view=True)
 def o48(s, d):
-    j = G.edge_index(edges(s, d), G.dense_index(nodes(s, d)))
-    return j.groupBy("relation").agg(F.count(F.lit(1)).alias("n"), F.sum("src").alias("src_sum"), F.sum("dst").alias("dst_sum"), F.count_if(F.col("dst").isNull()).alias("missing"))
+    """The nodes whose id ends in 7 have no index: their edges have a null end."""
+    return G.edge_index(edges(s, d), G.dense_index(nodes(s, d).where("right(id, 1) <> '7'"))).select("relation", "x_id", "y_id", "src", "dst")
 
 
 @register("o52_entity_lookup", """
@@ -292,23 +292,32 @@ def o97(s, d):
 
 
 @register("o98_node_dossier", """
-SELECT 'node' AS section, 'supplier:3' AS item, CAST(1 AS BIGINT) AS total UNION ALL SELECT 'edge:' || relation, min(y_id), count(*) FROM edges WHERE x_id = 'supplier:3' GROUP BY relation UNION ALL SELECT 'evidence', min(source_record_id), count(*) FROM evidence WHERE x_id = 'supplier:3'""", view=True)
+, r AS (SELECT 'node' AS section, node_type || ' ' || name AS item FROM nodes WHERE id = 'supplier:3'
+  UNION ALL SELECT 'edge:' || relation, CASE WHEN x_id = 'supplier:3' THEN 'x > ' || y_id ELSE 'y < ' || x_id END FROM edges WHERE x_id = 'supplier:3' OR y_id = 'supplier:3'
+  UNION ALL SELECT 'feature:balance', CAST(s_acctbal AS VARCHAR) FROM supplier WHERE s_suppkey = 3 UNION ALL SELECT 'feature:line', l_orderkey || '-' || l_linenumber FROM lineitem WHERE l_suppkey = 3
+  UNION ALL SELECT 'evidence', source_record_id || ' ' || relation || ' ' || CASE WHEN x_id = 'supplier:3' THEN 'x > ' || y_id ELSE 'y < ' || x_id END FROM evidence WHERE x_id = 'supplier:3' OR y_id = 'supplier:3')
+SELECT section, CAST(rank AS INTEGER) AS rank, item, total, total > 25 AS truncated FROM (SELECT *, row_number() OVER (PARTITION BY section ORDER BY item) AS rank, count(*) OVER (PARTITION BY section) AS total FROM r) WHERE rank <= 25""", view=True)
 def o98(s, d):
-    e = edges(s, d).where("x_id = 'supplier:3'").groupBy(F.concat(F.lit("edge:"), "relation").alias("section")).agg(F.min("y_id").alias("item"), F.count(F.lit(1)).alias("total"))
-    n = nodes(s, d).where("id = 'supplier:3'").select(F.lit("node").alias("section"), F.col("id").alias("item"), F.lit(1).cast("long").alias("total"))
-    v = evidence(s, d).where("x_id = 'supplier:3'").agg(F.min("source_record_id").alias("item"), F.count(F.lit(1)).alias("total")).select(F.lit("evidence").alias("section"), "item", "total")
-    return n.unionByName(e).unionByName(v)
+    supplier = lambda c: F.concat(F.lit("supplier:"), c).alias("id")
+    features = {"balance": table(s, d, "supplier").select(supplier("s_suppkey"), F.col("s_acctbal").alias("value")), "line": table(s, d, "lineitem").select(supplier("l_suppkey"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("value"))}
+    return lookup.dossier(nodes(s, d), edges(s, d), features, evidence(s, d), "supplier:3")
 
 
 @register("o99_two_hop_edges", """
-SELECT relation, count(*) AS n FROM (SELECT DISTINCT relation, x_id, y_id FROM edges WHERE x_id IN (SELECT id FROM r) OR y_id IN (SELECT id FROM r)) GROUP BY relation""".replace("SELECT relation, count(*)", ", r AS (SELECT 'supplier:3' AS id UNION SELECT y_id FROM edges WHERE x_id = 'supplier:3' UNION SELECT x_id FROM edges WHERE y_id = 'supplier:3') SELECT relation, count(*)"), view=True)
+, r AS (SELECT 'supplier:3' AS id UNION SELECT y_id FROM edges WHERE x_id = 'supplier:3' UNION SELECT x_id FROM edges WHERE y_id = 'supplier:3')
+SELECT DISTINCT relation, x_id, y_id FROM edges WHERE x_id IN (SELECT id FROM r) OR y_id IN (SELECT id FROM r)""", view=True)
 def o99(s, d):
-    return G.two_hops(edges(s, d), "supplier:3").groupBy("relation").agg(F.count(F.lit(1)).alias("n"))
+    return G.two_hops(edges(s, d), "supplier:3").select("relation", "x_id", "y_id")
 
 
-@register("o100_k_hop_subgraph", """, r AS (SELECT id FROM nodes WHERE node_type = 'nation' AND id LIKE '%:1%') SELECT relation, count(*) AS n FROM edges WHERE x_id IN (SELECT id FROM r) OR y_id IN (SELECT id FROM r) GROUP BY relation""", view=True)
+@register("o100_k_hop_subgraph", """
+, r0 AS (SELECT id FROM nodes WHERE node_type = 'supplier' AND id LIKE '%:1%'), r1 AS (SELECT id FROM r0 UNION SELECT y_id FROM edges WHERE x_id IN (SELECT id FROM r0) UNION SELECT x_id FROM edges WHERE y_id IN (SELECT id FROM r0)),
+h AS (SELECT relation, x_id, y_id, CASE WHEN relation = 'supplier_supplies_part' AND (x_id IN (SELECT id FROM r0) OR y_id IN (SELECT id FROM r0)) THEN 'target' ELSE 'hop' END AS part FROM edges WHERE x_id IN (SELECT id FROM r1) OR y_id IN (SELECT id FROM r1)),
+t AS (SELECT relation, x_id, y_id FROM edges e WHERE relation = 'supplier_supplies_part' AND NOT EXISTS (SELECT 1 FROM h WHERE h.relation = e.relation AND h.x_id = e.x_id AND h.y_id = e.y_id) ORDER BY CAST('0x' || substr(md5('5|' || relation || '|' || x_id || '|' || y_id), 1, 15) AS BIGINT), x_id, y_id LIMIT 100)
+SELECT * FROM h UNION ALL SELECT *, 'test' FROM t""", view=True)
 def o100(s, d):
-    return G.k_hops(edges(s, d), nodes(s, d).where("node_type = 'nation' and id like '%:1%'"), 1).groupBy("relation").agg(F.count(F.lit(1)).alias("n"))
+    e = edges(s, d).select("relation", "x_id", "y_id")
+    return G.subgraph(e, nodes(s, d).where("node_type = 'supplier' and id like '%:1%'"), 2, ["supplier_supplies_part"], 100, 5)
 
 
 TREE = "(SELECT DISTINCT p_partkey AS x, p_partkey // 3 AS y FROM part WHERE p_partkey > 2)"
@@ -346,14 +355,30 @@ def o103(s, d):
     return G.compose(e.where("relation = 'customer_in_nation'"), e.where("relation = 'nation_in_region'")).select("x_id", "y_id", "relation", "via", "credibility")
 
 
-@register("o104_drop_share", "SELECT relation, count(*) - CAST(floor(count(*) * 0.2) AS BIGINT) AS n FROM edges GROUP BY relation", view=True)
+_drawn = """, o AS (SELECT relation, x_id, x_type, y_id, y_type, row_number() OVER (PARTITION BY relation ORDER BY CAST('0x' || substr(md5('7|' || relation || '|' || x_id || '|' || y_id), 1, 15) AS BIGINT), x_id, y_id) AS r, count(*) OVER (PARTITION BY relation) AS n FROM edges),
+i AS (SELECT node_type, id, row_number() OVER (PARTITION BY node_type ORDER BY id) - 1 AS i, count(*) OVER (PARTITION BY node_type) AS m FROM nodes), z AS (SELECT DISTINCT node_type, m FROM i)"""
+_picked = lambda e, rows: f"""SELECT o.* EXCLUDE ({e}_id), i.id AS {e}_id FROM (SELECT o.*, CAST('0x' || substr(md5('7{e}|' || relation || '|' || x0 || '|' || y0), 1, 15) AS BIGINT) % m AS k FROM {rows} o JOIN z ON z.node_type = {e}_type) o JOIN i ON i.node_type = {e}_type AND i.i = k"""
+_kept = _drawn + ", q AS (SELECT *, x_id AS x0, y_id AS y0 FROM o WHERE r <= floor(n * {} / 100))"
+
+
+@register("o104_drop_share", _drawn + " SELECT relation, x_id, y_id FROM o WHERE r > floor(n * 20 / 100)", view=True)
 def o104(s, d):
-    return G.drop_share(edges(s, d), 20, 7).groupBy("relation").agg(F.count(F.lit(1)).alias("n"))
+    return G.drop_share(edges(s, d), 20, 7).select("relation", "x_id", "y_id")
+
+
+@register("o104_random_edges", _kept.format(20) + f" SELECT relation, x_id, y_id FROM ({_picked('y', 'q')})", view=True)
+def o104_targets(s, d):
+    return G.random_edges(edges(s, d), G.dense_index(nodes(s, d)), 20, 7).select("relation", "x_id", "y_id")
+
+
+@register("o104_random_sources", _kept.format(20) + f" SELECT relation, x_id, y_id FROM ({_picked('x', 'q')})", view=True)
+def o104_sources(s, d):
+    return G.random_edges(edges(s, d), G.dense_index(nodes(s, d)), 20, 7, "x").select("relation", "x_id", "y_id")
 
 
-@register("o104_random_edges", "SELECT relation, CAST(floor(count(*) * 0.2) AS BIGINT) AS n FROM edges GROUP BY relation HAVING floor(count(*) * 0.2) > 0", view=True)
-def o104b(s, d):
-    return G.random_edges(edges(s, d), G.dense_index(nodes(s, d)), 20, 7).groupBy("relation").agg(F.count(F.lit(1)).alias("n"))
+@register("o104_rewired", _kept.format(100) + f", w AS ({_picked('x', 'q')}) SELECT relation, x_id, y_id FROM ({_picked('y', '(SELECT * EXCLUDE (k) FROM w)')})", view=True)
+def o104_rewired(s, d):
+    return G.rewired(edges(s, d), G.dense_index(nodes(s, d)), 7).select("relation", "x_id", "y_id")
 
 
 CLASSES = """, e AS (SELECT DISTINCT x_id AS a, y_id FROM edges WHERE relation = 'order_contains_part'), g AS (SELECT a, count(*) AS d, string_agg(y_id, ' ' ORDER BY y_id) AS held FROM e GROUP BY a),
@@ -402,12 +427,13 @@ def o108(s, d):
     return G.distmult(supply(s, d).select("relation", "x_id", "y_id"), ids("part:").unionAll(ids("supplier:")), r).select("x_id", "y_id", F.round("score", 6).alias("score"))
 
 
-@register("o111_feature_attach", "SELECT count(*) AS n, count(*) FILTER (e.vec_id IS NOT NULL) AS real, CAST(64 AS INTEGER) AS dim FROM part LEFT JOIN embeddings e ON e.vec_id = p_partkey")
+@register("o111_feature_attach", "SELECT p_partkey AS id, e.vec_id IS NOT NULL AS real, 64 AS dim, round(list_sum(list_transform(e.embedding, lambda x: CAST(x AS DOUBLE))), 4) AS total FROM part LEFT JOIN embeddings e ON e.vec_id = p_partkey")
 def o111(s, d):
     from ..operators.features import attach
 
     f = table(s, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
-    return attach(table(s, d, "part").select(F.col("p_partkey").alias("id")), f, 64, 5).agg(F.count(F.lit(1)).alias("n"), F.count_if("real").alias("real"), F.max(F.size("vector")).alias("dim"))
+    total = F.when(F.col("real"), F.round(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x), 4))
+    return attach(table(s, d, "part").select(F.col("p_partkey").alias("id")), f, 64, 5).select("id", "real", F.size("vector").alias("dim"), total.alias("total"))
 
 
 @register("o112_evidence_context", """

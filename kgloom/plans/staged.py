@@ -76,15 +76,38 @@ def o17(s, d):
     return rows.unionAll(readers.fasta(s, f"{out}/fasta").select(F.lit("fasta"), "id", F.concat("description", F.lit("/"), "sequence")))
 
 
-@register("o19_incremental_append", FIRST_SEEN)
-def o19(s, d):
-    """Three batches of supply edges, in line order, appended one after the other."""
+def supply_store(s, d, **options):
+    """A store of supply edges, appended in three batches in line order."""
     out, rows = scratch(s, "append"), assertions(s, d)
     most = rows.agg(F.max("seq")).first()[0] or 0
     for k in range(3):
         rows.where((F.col("seq") > most * k // 3) & (F.col("seq") <= most * (k + 1) // 3)).coalesce(1).write.mode("append").parquet(f"{out}/in")
-    append.append_edges(s, f"{out}/in", s.read.parquet(f"{out}/in").schema, f"{out}/store", f"{out}/log")
-    return append.latest(s, f"{out}/store").drop("seq")
+    append.append_edges(s, f"{out}/in", s.read.parquet(f"{out}/in").schema, f"{out}/store", f"{out}/log", **options)
+    return f"{out}/store"
+
+
+@register("o19_incremental_append", FIRST_SEEN)
+def o19(s, d):
+    return append.latest(s, supply_store(s, d)).drop("seq")
+
+
+@register("o19_compacted_store", FIRST_SEEN)
+def o19_compacted(s, d):
+    """The same edges, from a store that has outgrown its four buckets."""
+    return append.latest(s, supply_store(s, d, buckets=4, rows_per_bucket=500)).drop("seq")
+
+
+@register("o53_anchor_from_store", f"SELECT * FROM ({FIRST_SEEN}) WHERE x_id = 'supplier:3'")
+def o53_store(s, d):
+    return append.edges_of(s, supply_store(s, d), "supplier_supplies_part", "supplier:3").drop("seq")
+
+
+@register("o05_partitioned_shard", "SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem WHERE l_returnflag = 'R' AND l_suppkey IN (1, 2, 3) AND l_quantity >= 45")
+def o05_partitioned(s, d):
+    """From a table partitioned by the flag and sorted by supplier: one partition's files are read, in them some row groups."""
+    out = scratch(s, "shards")
+    table(s, d, "lineitem").repartition("l_returnflag").sortWithinPartitions("l_returnflag", "l_suppkey").write.partitionBy("l_returnflag").parquet(out)
+    return s.read.parquet(out).where("l_returnflag = 'R' and l_suppkey in (1, 2, 3) and l_quantity >= 45").select("l_orderkey", "l_linenumber", "l_extendedprice")
 
 
 @register("o192_layer_keys", """

@@ -232,3 +232,39 @@ def test_an_export_tells_what_changed(spark, tmp_path):
     assert export.verify_export(spark, out).count() == 0
     spark.createDataFrame([("n1", "m1", 0, 0)], "x_id string, y_id string, src long, dst long").write.mode("append").parquet(f"{out}/graph/part=edges/relation=r")
     assert [(r.part, r.name) for r in export.verify_export(spark, out).collect()] == [("edges", "r")]
+
+
+def test_batches_rewrite_their_buckets_and_anchors_read_theirs(spark, tmp_path):
+    import os
+
+    from kgloom.streaming import append
+
+    schema = "x_id string, y_id string, relation string, source string, credibility long, seq long"
+    rows = lambda lo, hi: [(f"x{i % 97}", f"y{i % 53}", "r", "s", 1, i) for i in range(lo, hi)] + [("hub", f"y{i}", "r", "s", 1, 10**6 + i) for i in range(lo, hi)]
+    store, n = str(tmp_path / "store"), 0
+
+    def add(new):
+        nonlocal n
+        spark.createDataFrame(new, schema).coalesce(1).write.parquet(str(tmp_path / "in" / f"part{n}"))
+        n += 1
+        append.append_edges(spark, str(tmp_path / "in" / "*"), schema, store, str(tmp_path / "ck"), buckets=32, rows_per_bucket=10**6)
+
+    add(rows(0, 600))
+    files = lambda: {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, fs in os.walk(f"{store}/v0/edges") for f in fs if f.endswith(".parquet")}
+    before = files()
+    add([("x5", "new1", "r", "s", 1, 1), ("x6", "new2", "r", "t", 2, 2)])
+    after = files()
+    folders = lambda fs: {os.path.dirname(f) for f in fs}
+    # Two edges rewrite two buckets of about 32 at most.
+    assert 1 <= len(folders(set(after) - set(before))) <= 2 < len(folders(before)) / 8
+    hub = folders(f for f in after)
+    assert len(hub) > 20 and append.latest(spark, store).where("x_id = 'hub'").count() == 600
+    got = append.edges_of(spark, store, "r", "x5")
+    assert {r.y_id for r in got.collect()} >= {"new1"} and got.count() == append.latest(spark, store).where("x_id = 'x5'").count()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "bucket" in plan.split("PartitionFilters: [")[1].split("]")[0] and "EqualTo(x_id,x5)" in plan
+    every = sorted(map(str, append.latest(spark, store).collect()))
+    assert append.compact(spark, store, rows_per_bucket=8) and append.layout(spark, store) == (1, 256) and not append.compact(spark, store, rows_per_bucket=8)
+    assert sorted(map(str, append.latest(spark, store).collect())) == every and append.edges_of(spark, store, "r", "x5").count() == got.count()
+    add([("x5", "new3", "r", "s", 1, 1)])
+    assert append.latest(spark, store).count() == len(every) + 1
