@@ -274,9 +274,9 @@ def test_search_prunes_clustered_vectors(spark):
 
     rng = random.Random(6)
     centres = [[rng.gauss(0, 1) for _ in range(8)] for _ in range(12)]
-    rows = [(i, [c + rng.gauss(0, 0.02) for c in centres[i % 12]]) for i in range(900)] + [(900 + i, centres[0]) for i in range(5)] + [(950, [0.0] * 8), (951, [-c for c in centres[3]])]
+    rows = [(i, [c + rng.gauss(0, 0.02) for c in centres[i % 12]]) for i in range(1200)] + [(1200 + i, centres[0]) for i in range(5)] + [(1250, [0.0] * 8), (1251, [-c for c in centres[3]])]
     v = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
-    asked = v.where("vec_id % 10 = 0 or vec_id >= 950")
+    asked = v.where("vec_id % 10 = 0 or vec_id >= 1250")
     got, report = lookup.search(v, asked, 6, block=7, chunk=16)
     x = np.array([r[1] for r in rows])
     norm = np.linalg.norm(x, axis=1, keepdims=True)
@@ -284,7 +284,7 @@ def test_search_prunes_clustered_vectors(spark):
     ids = np.array([r[0] for r in rows])
     want = {}
     for k, (i, _) in enumerate(rows):
-        if i % 10 == 0 or i >= 950:
+        if i % 10 == 0 or i >= 1250:
             others = np.flatnonzero(ids != i)
             order = others[np.lexsort((ids[others], -sim[k][others]))][:6]
             want[i] = [(int(ids[o]), float(sim[k][o])) for o in order]
