@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from .cuts import cut
 from .graph import numbered
 
 # Fields that describe an assertion's context, those that name a mapping, and words with a sign.
@@ -204,8 +205,10 @@ def closed(edges: DataFrame, t: Template) -> DataFrame:
 
     Two premises share a variable; the closing edge joins the other two. Each closing edge is extended from the end that has
     fewer premise edges, and the pair so found is looked up in the other premise: the rows made are at most the sum of the
-    smaller degrees of the closing edges.
+    smaller degrees of the closing edges. The relations concerned are read six times, so they are written once, by a job when
+    the plan is made.
     """
+    edges = cut(edges.where(F.col("relation").isin(t.triangle, *(p[0] for p in t.premises))))
     (one, two), taken = [_variables(t, i) for i in (0, 1)], _taken(edges, t)
     (shared_,) = set(one) & set(two)
     if len(t.premises) != 2 or {*t.out} != {*one, *two} - {shared_}:
