@@ -23,19 +23,19 @@ from pyspark.sql import DataFrame, functions as F
 
 from .linking import Likeness, link_groups, shared_buckets
 from .storage import discard, likely, materialize
-from .textops import SPACED, U, column, levels_of, mix, ngrams, shingle_set, signed, word_levels, words
+from .textops import SPACED, U, column, levels_of, mix, ngrams, ordered, shingle_set, signed, word_levels, words
 
 K, MANTISSA = 252, 10
 #: Chance that two different minima give one register, for sets much larger than K.
 COLLISION = 0.1699 * 2.0**-MANTISSA
 
 
-def registers(s: np.ndarray) -> np.ndarray:
-    """The K compressed registers of a sorted array of distinct hashes; an empty bucket is 0."""
-    out = np.zeros(K, dtype=np.uint16)
+def registers(s: np.ndarray, row: np.ndarray | int = 0, rows: int = 1) -> np.ndarray:
+    """The K compressed registers of each row; s holds the rows' sorted distinct hashes, row by row. An empty bucket is 0."""
+    out = np.zeros(rows * K, dtype=np.uint16)
     if len(s):
-        bucket = ((s >> U(32)) * U(K) >> U(32)).astype(np.int64)
-        first = np.flatnonzero(np.diff(bucket, prepend=-1))
+        bucket = ((s >> U(32)) * U(K) >> U(32)).astype(np.int64) + row * K
+        first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
         low = np.minimum.reduceat(s & U(0xFFFFFFFF), first)
         bits = np.frexp(low.astype(np.float64))[1]
         zeros = 32 - bits
@@ -97,12 +97,11 @@ def verifier(percent: int):
     return same
 
 
-def _first_keys(h: np.ndarray, shingle: int, level: np.ndarray, take: int) -> np.ndarray:
-    """The first `take` shingles of word hashes h: those of rare words first, then by hash."""
-    n = min(shingle, len(h))
+def _ranked(h: np.ndarray, grams: np.ndarray, n: int, level: np.ndarray) -> np.ndarray:
+    """Keys of the n-word shingles of word hashes h that put those of rare words first, then order by hash."""
     of = levels_of(level, h).astype(U)
-    common = np.minimum(sum(of[k : len(h) - n + 1 + k] for k in range(n)), U(255))
-    return np.unique(common << U(56) | ngrams(h, n) >> U(8))[:take]
+    common = np.minimum(sum(of[k : k + len(grams)] for k in range(n)), U(255))
+    return common << U(56) | grams >> U(8)
 
 
 def _sketch(shingle: int, percent: int, shared):
@@ -111,19 +110,32 @@ def _sketch(shingle: int, percent: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for w in words(column(b, "text"), SPACED):
-                size, one, two, sk, low = [], [], [], [], []
-                for i in range(w.n):
-                    h = w.h[w.bounds[i] : w.bounds[i + 1]]
-                    s = shingle_set(h, shingle)
-                    size.append(len(s))
-                    one.append(s.sum(dtype=U))
-                    two.append(mix(s ^ U(0x5851F42D4C957F2D)).sum(dtype=U))
-                    sk.append(registers(s).tobytes())
-                    # Of A's n hashes ceil(t * n) at least are in any B linked to it, so the first of those both have is here.
-                    small = len(s) and classes.small(len(s))
-                    low.append(_first_keys(h, shingle, shared.value, len(s) + percent * len(s) // -100 + 1).view(np.int64) if small else [])
+                # Shingles of all rows at once; those that run over a row's end stand in no row's slice.
+                grams = ngrams(w.h, shingle)
+                spans = [(i, j, shingle) if j - i >= shingle else (i, j, j - i) for i, j in zip(w.bounds[:-1].tolist(), w.bounds[1:].tolist())]
+                sets = [ordered(grams[i : j - n + 1]) if n == shingle else shingle_set(w.h[i:j], shingle) for i, j, n in spans]
+                size = np.array([len(s) for s in sets], dtype=np.int64)
+                flat, row = np.concatenate(sets), np.repeat(np.arange(w.n), size)
+                sums = np.zeros((2, w.n), dtype=U)
+                full = np.flatnonzero(size)
+                if len(full):
+                    begins = (np.cumsum(size) - size)[full]
+                    sums[0, full] = np.add.reduceat(flat, begins)
+                    sums[1, full] = np.add.reduceat(mix(flat ^ U(0x5851F42D4C957F2D)), begins)
+                sk = registers(flat, row, w.n).tobytes()
+                ends = np.arange(w.n + 1, dtype=np.int32) * 2 * K
+                # Of A's n hashes ceil(t * n) at least are in any B linked to it, so the first of those both have is here.
+                take = np.where(classes.small(size), size + percent * size // -100 + 1, 0) * (size > 0)
+                low, ranked = [], _ranked(w.h, grams, shingle, shared.value)
+                for k in np.flatnonzero(take).tolist():
+                    i, j, n = spans[k]
+                    key = ordered(ranked[i : j - n + 1]) if n == shingle else _ranked(w.h[i:j], ngrams(w.h[i:j], n), n, shared.value)
+                    low.append(key[: take[k]])
+                many = np.zeros(w.n, dtype=np.int64)
+                many[take > 0] = [len(x) for x in low]
+                lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(many)).astype(np.int32)), signed(np.concatenate([np.zeros(0, dtype=U), *low])))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(c).slice(w.row0, w.n) for c in ("key", "id")] + [pa.array(size, pa.int64()), signed(np.array(one, dtype=U)), signed(np.array(two, dtype=U)), pa.array(sk, pa.binary()), pa.array(low, pa.list_(pa.int64()))],
+                    [b.column(c).slice(w.row0, w.n) for c in ("key", "id")] + [pa.array(size), signed(sums[0]), signed(sums[1]), pa.Array.from_buffers(pa.binary(), w.n, [None, pa.py_buffer(ends), pa.py_buffer(sk)]), lists],
                     ["key", "id", "n_shingles", "set_a", "set_b", "sketch", "low"],
                 )
 

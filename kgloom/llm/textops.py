@@ -170,9 +170,15 @@ def ngrams(h: np.ndarray, n: int) -> np.ndarray:
     return acc
 
 
+def ordered(x: np.ndarray) -> np.ndarray:
+    """The distinct values, sorted."""
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
+
+
 def shingle_set(h: np.ndarray, n: int) -> np.ndarray:
     """Sorted distinct n-word shingles; with fewer words, the whole sequence as one; without words, none."""
-    return np.unique(ngrams(h, n)) if len(h) >= n else ngrams(h, len(h)) if len(h) else h
+    return ordered(ngrams(h, n)) if len(h) >= n else ngrams(h, len(h)) if len(h) else h
 
 
 def signed(x: np.ndarray) -> pa.Array:
