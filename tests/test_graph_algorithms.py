@@ -73,6 +73,27 @@ def test_similar_neighbours_match_all_pairs(spark, least):
     assert {(r.a, r.b): r.shared for r in pairs.collect()} == want
 
 
+def test_shared_neighbours_list_every_pair(spark):
+    """No threshold, and no pair lost or counted twice where a hub's sources are dealt into blocks."""
+    rng = random.Random(5)
+    sets = {f"a{i}": set(rng.sample(range(40), rng.randrange(1, 9))) | ({99} if i % 3 else set()) for i in range(90)}
+    rows = [(a, f"y{y}") for a, s in sets.items() for y in s]
+    e = spark.createDataFrame(rows + rows[:30] + [(None, "y1"), ("a0", None)], XY)
+    want = {(a, b): len(sets[a] & sets[b]) for a, b in itertools.combinations(sorted(sets), 2) if sets[a] & sets[b]}
+    for block in (7, 1024):
+        got = G.shared_neighbours(e, block).collect()
+        assert len(got) == len(want) and {(r.a, r.b): r.shared for r in got} == want
+        assert all(math.isclose(r.cosine, r.shared / math.sqrt(len(sets[r.a]) * len(sets[r.b]))) for r in got)
+    assert min(r.cosine for r in got) < 0.2
+
+
+def test_neighbour_similarity_is_whole(spark):
+    """The registered query lists pairs below any threshold, over the supply relation."""
+    from kgloom.plans.catalog import QUERIES
+
+    assert QUERIES["o105_neighbour_similarity"](spark, "/root/testdata/sf0.01").where("cosine < 0.5 and a like 'supplier:%'").count() > 0
+
+
 def test_a_hub_is_in_no_prefix(spark):
     """3,000 sources share a hub: none of their prefixes holds it, so no pair meets there."""
     rows = spark.range(3000).select(F.concat(F.lit("s"), "id").alias("x_id"), F.explode(F.array(F.lit("hub"), F.concat(F.lit("own"), "id"), F.concat(F.lit("pair"), F.floor(F.col("id") / 2)))).alias("y_id"))
