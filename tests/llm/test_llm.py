@@ -561,6 +561,40 @@ def test_lm_scores_match_brute_force(spark, monkeypatch):
         assert r.score == pytest.approx(want, rel=1e-9)
 
 
+def test_lm_words_beyond_the_head_have_classes(spark, monkeypatch):
+    """With tail no word is left in the class of other words; scores are those of a plain count over these classes."""
+    for name, n in {"HEAD": 12, "CLUSTERED": 8, "REST": 8, "END": 9, "WIDE": 10}.items():
+        monkeypatch.setattr(class_lm, name, n)
+    rng = random.Random(26)
+    vocab = [f"w{i}" for i in range(60)]
+    texts = [*(" ".join(rng.choices(vocab, weights=[1 / (i + 1) for i in range(60)], k=rng.randrange(0, 25))) for _ in range(120)), "new w1 new newer", ""]
+    df = docs(spark, texts)
+    train = [t for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 10]
+    c = collections.Counter(w for t in train for w in t.split())
+    model, rest = class_lm.fit(df.where(~class_lm.held_out()), tail=True)
+    beyond = {r["h"] % 2**64: (r["n"], r["class"]) for r in rest.collect()}
+    hashed = {w: int(x.h[0]) for w in [*vocab, "new", "newer"] for x in textops.words(__import__("pyarrow").array([w]), textops.SPACED)}
+    cls = dict(zip(model.head.tolist(), model.head_class.tolist())) | {h: k for h, (_, k) in beyond.items()}
+    assert len(model.head) <= 12 and beyond.keys() == {hashed[w] for w in c} - set(model.head.tolist())
+    assert all(n == c[w] for w in c for n, _ in [beyond.get(hashed[w], (c[w], 0))])
+    assert all(k < class_lm.CLASSES for k in cls.values()) and len({k for _, k in beyond.values()}) > 1
+    of = lambda w: cls.get(hashed[w], class_lm.CLASSES)
+    chained = lambda t: [class_lm.CLASSES + 1, *map(of, t.split()), class_lm.CLASSES + 1]
+    g, total, kinds, size = (collections.Counter() for _ in range(4))
+    for t in train:
+        g.update(zip(chained(t), chained(t)[1:]))
+    for (a, _), n in g.items():
+        total[a] += n
+    for w, n in c.items():
+        size[of(w)] += n
+        kinds[of(w)] += 1
+    for r in class_lm.lm_scores(df, tail=True).collect():
+        chain = chained(texts[r.doc_id])
+        want = sum(math.log10((g[a, b] + 0.1) / (total[a] + 0.1 * (class_lm.CLASSES + 2))) for a, b in zip(chain, chain[1:]))
+        want += sum(math.log10((c[w] + 0.1) / (size[of(w)] + 0.1 * (kinds[of(w)] + 1))) for w in texts[r.doc_id].split())
+        assert r.score == pytest.approx(want, rel=1e-9)
+
+
 def test_lm_probabilities_sum_to_one(spark):
     model, _ = class_lm.fit(docs(spark, ["a b a c", "b a d", "c c a"]))
     assert np.power(10, model.step).sum(axis=1) == pytest.approx(np.ones(class_lm.CLASSES + 2))
