@@ -7,9 +7,12 @@
    their sketches, inside tasks: small buckets many at a time, large ones in blocks of at most BLOCK by BLOCK items, where
    only items outside the bucket's largest component meet the others. What passes is verified in full; a large block gives
    the BEST pairs of each item, which join most.
-3. What large blocks still have to compare is compared to the end: the items that may be linked get their contents, and the
+3. What large blocks of buckets in which an item had more pairs still have to compare is compared to the end: the items that may be linked get their contents, and the
    links that join components are found inside the block, so a block returns no more links than it has items.
 
+Items that share several large buckets are compared in the one of the least key only: a block's rows bring the keys of their
+large buckets. A key that drops out between 2 and 3 holds one component, so pairs that still differ never count on it.
+
 Every pair that shares a bucket thus ends in one component or has been tested; no bucket is capped. Only components of
 verified links matter, so unrelated items that share buckets never grow into one family. Blocks are bounded in items and in
 bytes of contents; contents are joined to items that a sketch lets pass alone.
@@ -100,11 +103,12 @@ def _verified(like: Likeness):
     return run
 
 
-FOUND = "a long, b long, more boolean"
+#: key: the large bucket of the pair.
+FOUND = "a long, b long, more boolean, key long"
 
 
-def _found(ids: np.ndarray, x: np.ndarray, y: np.ndarray, more: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[x], ids[y])), pa.array(np.maximum(ids[x], ids[y])), pa.array(more)], ["a", "b", "more"])
+def _found(ids: np.ndarray, x: np.ndarray, y: np.ndarray, more: np.ndarray, key: int | None = None) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[x], ids[y])), pa.array(np.maximum(ids[x], ids[y])), pa.array(more), pa.array([key] * len(x), pa.int64())], ["a", "b", "more", "key"])
 
 
 def _within_small(like: Likeness):
@@ -141,14 +145,44 @@ def _within_small(like: Likeness):
     return run
 
 
+def _met_before(t: pa.Table, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which pairs (left x right) of a block's rows share a large bucket of a key less than the block's."""
+    keys = t["keys"].combine_chunks()
+    flat, row = keys.flatten().to_numpy(), np.repeat(np.arange(len(keys)), np.diff(keys.offsets.to_numpy()))
+    less = flat < t["key"][0].as_py()
+    _, which, many = np.unique(flat[less], return_inverse=True, return_counts=True)
+    row, which = row[less][many[which] > 1], which[many[which] > 1]
+    met = np.zeros((len(left), len(right)), dtype=bool)
+    # So many keys at a time that their matrix stays small.
+    for at in range(0, len(many), 512):
+        some = (which >= at) & (which < at + 512)
+        if some.any():
+            held = np.zeros((t.num_rows, min(512, len(many) - at)), dtype=np.float32)
+            held[row[some], which[some] - at] = 1
+            met |= held[left] @ held[right].T > 0
+    return met
+
+
 def _survivors(like: Likeness, t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(left, right, score) of pairs of different components in one block, row numbers of t, that sketches let pass."""
+    """(left, right, score) of pairs of different components in one block, row numbers of t, that sketches let pass and that
+    no block of a lesser key compares."""
     comp = t["comp"].to_numpy()
     left, right = (np.flatnonzero(t[c].to_numpy()) for c in ("l", "r"))
+    mine = (comp[left][:, None] != comp[right][None, :]) & ~_met_before(t, left, right)
+    li, ri = np.nonzero(mine)
     x = like.fields(t["sketch"].combine_chunks())
-    s, least = like.score(x[left], x[right], True)
-    li, ri = np.nonzero((s >= least) & (comp[left][:, None] != comp[right][None, :]))
-    return left[li], right[ri], s[li, ri]
+    if 4 * len(li) > mine.size:
+        s, least = like.score(x[left], x[right], True)
+        ok = (s >= least)[li, ri]
+        li, ri = li[ok], ri[ok]
+        return left[li], right[ri], s[li, ri]
+    parts = [(np.zeros(0, dtype=np.int64), np.zeros(0))]
+    for at in range(0, len(li), 4096):
+        s, least = like.score(x[left[li[at : at + 4096]]], x[right[ri[at : at + 4096]]], False)
+        ok = np.flatnonzero(s >= least)
+        parts.append((at + ok, s[ok]))
+    ok = np.concatenate([p for p, _ in parts])
+    return left[li[ok]], right[ri[ok]], np.concatenate([s for _, s in parts])
 
 
 def _best(like: Likeness, best: int):
@@ -161,7 +195,7 @@ def _best(like: Likeness, best: int):
         rank = np.arange(len(x)) - np.searchsorted(x, x)
         more = np.append(rank[1:] == best, False)[: len(x)]
         keep = rank < best
-        return pa.Table.from_batches([_found(t["id"].to_numpy(), x[keep], y[keep], more[keep])])
+        return pa.Table.from_batches([_found(t["id"].to_numpy(), x[keep], y[keep], more[keep], t["key"][0].as_py())])
 
     return run
 
@@ -171,13 +205,13 @@ def _open(like: Likeness):
 
     def run(t: pa.Table) -> pa.Table:
         x, y, _ = _survivors(like, t)
-        return t.take(pa.array(np.unique(np.concatenate([x, y])))).select(["blk", "id", "comp", "l", "r"])
+        return t.take(pa.array(np.unique(np.concatenate([x, y])))).select(["blk", "key", "id", "comp", "l", "r"])
 
     return run
 
 
 def _links(like: Likeness):
-    """Links of one block that join components, the likeliest pairs first; rows: id, comp, l, r, sketch, text."""
+    """Links of one block that join components, the likeliest pairs first; rows: key, id, comp, l, r, sketch, keys, text."""
 
     def run(t: pa.Table) -> pa.Table:
         ids, comp = t["id"].to_numpy(), t["comp"].to_numpy()
@@ -225,33 +259,33 @@ def _star(rows: DataFrame, tag: str) -> DataFrame:
 
 def _apart(rows: DataFrame, comp: DataFrame, tag: str) -> DataFrame:
     """The rows, with their components, of buckets that hold more than one component."""
-    named = rows.select("key", "id", "n").join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
+    named = rows.join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
     mixed = named.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
     return materialize(named.join(mixed, "key"), tag)
 
 
 def _small_pairs(apart: DataFrame, sketches: DataFrame, like: Likeness) -> DataFrame:
-    """(a, b, more): pairs of different components in a small bucket that sketches let pass."""
+    """(a, b, more, key): pairs of different components in a small bucket that sketches let pass."""
     small = apart.where(F.col("n") <= SMALL).select("key", "id", "comp").join(sketches, "id").select("key", "id", "comp", "sketch")
     return small.repartition("key").sortWithinPartitions("key").mapInArrow(_within_small(like), FOUND)
 
 
-def _blocks(apart: DataFrame, sketches: DataFrame) -> DataFrame:
-    """(blk, id, comp, l, r): the large buckets cut into blocks, in which items on the left meet those on the right."""
-    large = apart.where(F.col("n") > SMALL).select("key", "id", "comp").join(sketches.select("id", "bytes"), "id")
+def _blocks(large: DataFrame) -> DataFrame:
+    """(blk, key, id, comp, l, r): the large buckets (key, id, comp, bytes) cut into blocks, in which items on the left meet
+    those on the right."""
     sizes = large.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
     mains = sizes.groupBy("key").agg(F.max(F.struct("n", (-F.col("comp")).alias("c"), "bytes")).alias("x"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
     chunks = lambda n, size: F.greatest(F.ceil(n / BLOCK), F.ceil(size / BLOCK_BYTES), F.lit(1)).cast("int")
     mains = mains.select("key", (-F.col("x.c")).alias("main"), chunks(F.col("n") - F.col("x.n"), F.col("bytes") - F.col("x.bytes")).alias("oc"), chunks(F.col("x.n"), F.col("x.bytes")).alias("mc"))
     rows = large.select("key", "id", "comp").join(mains, "key").withColumn("out", F.col("comp") != F.col("main"))
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1)).alias("j")
-    block = lambda i, j, kind: F.xxhash64("key", i.cast("long"), j.cast("long"), F.lit(kind)).alias("blk")
+    block = lambda i, j, kind: [F.xxhash64("key", i.cast("long"), j.cast("long"), F.lit(kind)).alias("blk"), "key"]
     outs = rows.where("out").withColumn("c", _salted(F.col("id"), F.col("oc")))
     # An outsider's chunk i meets the outsiders' chunks j >= i (as left side), j < i (as right side) and all main chunks.
-    meets = outs.select("key", "id", "comp", "c", every(F.col("oc"))).select(block(F.least("c", "j"), F.greatest("c", "j"), 0), "id", "comp", (F.col("c") <= F.col("j")).alias("l"), (F.col("c") >= F.col("j")).alias("r"))
-    ahead = outs.select("key", "id", "comp", "c", every(F.col("mc"))).select(block(F.col("c"), F.col("j"), 1), "id", "comp", F.lit(True).alias("l"), F.lit(False).alias("r"))
+    meets = outs.select("key", "id", "comp", "c", every(F.col("oc"))).select(*block(F.least("c", "j"), F.greatest("c", "j"), 0), "id", "comp", (F.col("c") <= F.col("j")).alias("l"), (F.col("c") >= F.col("j")).alias("r"))
+    ahead = outs.select("key", "id", "comp", "c", every(F.col("mc"))).select(*block(F.col("c"), F.col("j"), 1), "id", "comp", F.lit(True).alias("l"), F.lit(False).alias("r"))
     core = rows.where("not out").withColumn("c", _salted(F.col("id"), F.col("mc")))
-    core = core.select("key", "id", "comp", "c", every(F.col("oc"))).select(block(F.col("j"), F.col("c"), 1), "id", "comp", F.lit(False).alias("l"), F.lit(True).alias("r"))
+    core = core.select("key", "id", "comp", "c", every(F.col("oc"))).select(*block(F.col("j"), F.col("c"), 1), "id", "comp", F.lit(False).alias("l"), F.lit(True).alias("r"))
     return meets.unionAll(ahead).unionAll(core)
 
 
@@ -346,32 +380,42 @@ def link_groups(buckets: DataFrame, sketches: DataFrame, payload: Callable[[Data
     comp = components(links, tag)
 
     # The star has compared the buckets of two.
-    apart = _apart(rows.where("n > 2"), comp, tag)
-    blocks = _blocks(apart, sketches).join(drawn, "id").select("blk", "id", "comp", "l", "r", "sketch")
+    apart = _apart(rows.where("n > 2").select("key", "id", "n"), comp, tag)
+    large = apart.where(F.col("n") > SMALL).select("key", "id", "comp")
+    met = materialize(large.groupBy("id").agg(F.collect_list("key").alias("keys")).join(sketches, "id").select("id", "sketch", "keys", "bytes"), tag)
+    # Written once: blocks are cut by sizes of the same rows.
+    large = materialize(large.join(met.select("id", "bytes"), "id"), tag)
+    shown = met.select("id", "sketch", "keys")
+    blocks = _blocks(large).join(shown, "id").select("blk", "key", "id", "comp", "l", "r", "sketch", "keys")
     found = _small_pairs(apart, drawn, like).unionAll(blocks.groupBy("blk").applyInArrow(_best(like, BEST), FOUND))
     a, b = (comp.select(F.col("id").alias(c), F.col("component").alias(f"c{c}")) for c in "ab")
     other = star.join(a, "a", "left").join(b, "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
-    found = found.unionAll(other.select("a", "b", F.lit(False)))
-    found = materialize(found.groupBy("a", "b").agg(F.max("more").alias("more")).join(best.select("a", "b"), ["a", "b"], "left_anti"), tag)
+    raw = materialize(found.unionAll(other.select("a", "b", F.lit(False), F.lit(None).cast("long"))), tag)
+    found = raw
+    tested = best.select("a", "b", F.lit(True).alias("tested"))
+    found = materialize(found.groupBy("a", "b").agg(F.max("more").alias("more")).join(tested, ["a", "b"], "left"), tag)
     discard(star, best, apart)
-    done.append(found)
-    if found.isEmpty():
+    done += [found, met, large, raw]
+    fresh = found.where("tested is null")
+    # A pair that the star has tested may still say that its block has more.
+    if found.where("more or tested is null").isEmpty():
         discard(*done)
         return comp, links
-    links = links.unionAll(verified(found))
+    links = links.unionAll(verified(fresh))
     done.append(comp)
     comp = components(links, tag)
     if found.where("more").isEmpty():
         discard(*done)
         return comp, links
 
-    apart = _apart(rows.where(F.col("n") > SMALL), comp, tag)
-    blocks = _blocks(apart, sketches).join(drawn, "id").select("blk", "id", "comp", "l", "r", "sketch")
-    still = materialize(blocks.groupBy("blk").applyInArrow(_open(like), "blk long, id long, comp long, l boolean, r boolean"), tag)
+    unfinished = large.drop("comp").join(raw.where("more").select("key").distinct(), "key", "left_semi")
+    apart = _apart(unfinished, comp, tag)
+    blocks = _blocks(apart).join(shown, "id").select("blk", "key", "id", "comp", "l", "r", "sketch", "keys")
+    still = materialize(blocks.groupBy("blk").applyInArrow(_open(like), "blk long, key long, id long, comp long, l boolean, r boolean"), tag)
     done += [apart, still]
     if not still.isEmpty():
         texts = contents(still.select("id"))
-        full = still.join(drawn, "id").join(texts, "id").select("blk", "id", "comp", "l", "r", "sketch", "text")
+        full = still.join(shown.join(texts, "id"), "id").select("blk", "key", "id", "comp", "l", "r", "sketch", "keys", "text")
         links = links.unionAll(materialize(full.groupBy("blk").applyInArrow(_links(like), "a long, b long"), tag))
         done += [texts, comp]
         comp = components(links, tag)

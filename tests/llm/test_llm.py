@@ -328,6 +328,26 @@ def test_unrelated_items_of_a_chain_of_buckets_stay_out_of_blocks(spark):
     assert groups.count() == links.count() == 0 and seen.value < 6 * n
 
 
+def test_items_that_share_many_large_buckets_are_compared_in_one(spark):
+    """300 items, all in the same buckets: pairs are scored in one bucket, and none is lost, also beyond the best of each."""
+    n = 300
+    seen = spark.sparkContext.accumulator(0)
+
+    def score(x, y, cross):
+        seen.add(len(x) * (len(y) if cross else 1))
+        d = (x[:, None, 0] if cross else x[:, 0]) - (y[None, :, 0] if cross else y[:, 0])
+        return np.where(d % 10 == 0, 1.0, -1.0), np.zeros(d.shape)
+
+    # Sketches let ten times as many pairs pass as are linked.
+    same = lambda left, right, i, j: np.array([abs(left[p] - right[q]) == 100 for p, q in zip(i, j)], dtype=bool)
+    like = linking.Likeness(lambda col: np.array(col.to_pylist()).reshape(-1, 1), score, lambda col: [int(v) for v in col.to_pylist()], same)
+    buckets = spark.range(n).selectExpr("explode(sequence(1L, 20L)) as key", "id").where("id % 7 > 0 or key > 1")
+    groups, _ = linking.link_groups(buckets, spark.range(n).selectExpr("id", "id as sketch", "8L as bytes"), lambda ids: ids.selectExpr("id", "cast(id as string) as text"), like, "bands")
+    assert {r.id: r.component for r in groups.collect()} == {i: i % 100 for i in range(n)}
+    # Two buckets hold all pairs; their blocks are scored for the best, the open and the linked pairs.
+    assert seen.value < 6 * n * n + 20 * n
+
+
 @pytest.mark.parametrize("percent", [80, 85])
 def test_small_linked_sets_share_a_key(spark, percent):
     import pyarrow as pa
