@@ -106,6 +106,11 @@ class Codec:
             _loaded[name] = cls(ranks, public_tokenizers.PATTERN)
         return _loaded[name]
 
+    def forget(self) -> None:
+        """Drops what was remembered; the worker outlives its task, and other stages run in it."""
+        for memory in (self.matches, self.first, self.later):
+            memory.clear()
+
     def encode_match(self, b: bytes) -> list[int]:
         """Ids of one match."""
         whole = self.ranks.get(b)
@@ -283,17 +288,20 @@ class Codec:
 def _codes(name: str, full: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.named(name)
-        for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
-                got = codec.texts(column(part, "text").to_pylist())
-                n = pa.array([g[1] for g in got], pa.int64())
-                if full:
-                    ids = pa.array([[int(x) for x in g[0].split()] for g in got], pa.list_(pa.int32()))
-                    yield pa.RecordBatch.from_arrays([part.column("id"), n, ids, pa.array([g[2] for g in got], pa.binary())], ["id", "n_tokens", "ids", "decoded"])
-                else:
-                    sha = [[hashlib.sha256(x).hexdigest() for x in (g[0].encode(), g[2])] for g in got]
-                    yield pa.RecordBatch.from_arrays([part.column("id"), n, pa.array([s[0] for s in sha], pa.string()), pa.array([s[1] for s in sha], pa.string())], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        try:
+            for b in batches:
+                for at in range(0, b.num_rows, 512):
+                    part = b.slice(at, 512)
+                    got = codec.texts(column(part, "text").to_pylist())
+                    n = pa.array([g[1] for g in got], pa.int64())
+                    if full:
+                        ids = pa.array([[int(x) for x in g[0].split()] for g in got], pa.list_(pa.int32()))
+                        yield pa.RecordBatch.from_arrays([part.column("id"), n, ids, pa.array([g[2] for g in got], pa.binary())], ["id", "n_tokens", "ids", "decoded"])
+                    else:
+                        sha = [[hashlib.sha256(x).hexdigest() for x in (g[0].encode(), g[2])] for g in got]
+                        yield pa.RecordBatch.from_arrays([part.column("id"), n, pa.array([s[0] for s in sha], pa.string()), pa.array([s[1] for s in sha], pa.string())], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        finally:
+            codec.forget()
 
     return run
 

@@ -30,6 +30,8 @@ from .storage import materialize
 from .textops import CHUNK, U, buffers, column, mix
 
 SLOTS, K = 1 << 20, 3
+#: Bytes of texts that are voted on at a time: each gram takes some sixty bytes meanwhile.
+VOTED = 1 << 18
 #: Letters and bytes beyond ASCII, lower-cased; all else is a space.
 LETTERS = np.full(256, 0x20, dtype=np.uint8)
 LETTERS[0x61:0x7B] = LETTERS[0x41:0x5B] = np.arange(0x61, 0x7B)
@@ -44,12 +46,12 @@ class Model:
     false_rate: np.ndarray
 
 
-def _padded(col: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, offsets, bytes) of runs of rows; each row stands between two spaces."""
+def _padded(col: pa.Array, size_of_run: int = CHUNK) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, offsets, bytes) of runs of rows of about so many bytes; each row stands between two spaces."""
     offsets, data = buffers(col)
     at, n = 0, len(offsets) - 1
     while at < n:
-        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CHUNK, "right")) - 1)
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size_of_run, "right")) - 1)
         size = np.diff(offsets[at : to + 1])
         out = np.full(int(size.sum()) + 2 * (to - at), 0x20, dtype=np.uint8)
         out[np.arange(int(size.sum())) + np.repeat(2 * np.arange(to - at) + 1, size)] = LETTERS[data[offsets[at] : offsets[to]]]
@@ -156,7 +158,7 @@ def _votes(shared):
         kind = m.slots.dtype.type
         for b in batches:
             text = column(b, "text")
-            for at, offsets, d in _padded(text):
+            for at, offsets, d in _padded(text, VOTED):
                 n = len(offsets) - 1
                 g, ok = _grams(d)
                 ok &= _inside(offsets, len(d))

@@ -12,6 +12,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
@@ -706,3 +707,26 @@ def test_pipeline_stages(spark, tmp_path):
     out = {r.doc_id: r for r in P.run(spark, str(tmp_path)).collect()}
     assert set(out) == set(seen["decontamination"])
     assert all(out[i].decoded_sha256 == hashlib.sha256(t.encode()).hexdigest() for i, t in seen["decontamination"].items())
+
+
+def test_pipeline_workers_stay_small(spark, tmp_path):
+    """Batches of texts are bounded in bytes, voting works on short runs, and the codec keeps nothing from task to task."""
+    import corpus_pipeline as P
+
+    df = docs(spark, [f"some words of text number {i} " * 4_000 for i in range(200)]).coalesce(1)
+    P.STAGES[0][1](spark, df, str(tmp_path))
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"])
+
+    seen = [r.n for r in df.select("text").mapInArrow(sizes, "n long").collect()]
+    assert sum(seen) == 200 and max(seen) * 4_000 * 30 < 16 << 20
+    texts = pa.array(["some words"] * 100_000)
+    runs = [len(d) for _, _, d in language_id._padded(texts, language_id.VOTED)]
+    assert max(runs) <= 2 * language_id.VOTED <= textops.CHUNK and sum(runs) == 12 * 100_000
+    name = "byte_bpe_50k.tiktoken"
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["unheardofwordone anotherunheardofword, andmore"])], ["id", "text"])
+    (out,) = byte_bpe._codes(name, False)(iter([batch]))
+    codec = byte_bpe.Codec.named(name)
+    assert out.num_rows == 1 and not (codec.first or codec.later or codec.matches)
