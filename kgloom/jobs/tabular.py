@@ -59,7 +59,10 @@ RELIABILITY = {"enhanced": 3, "supported": 3, "approved": 2, "uncertain": 1}
 
 def localisations(rows: DataFrame, proteins: DataFrame, *mappings: DataFrame) -> DataFrame:
     """(protein, component, credibility) of rows (accession, reliability, labels `a;b`): a label's component comes from the
-    first mapping (label, component) that has it, else it is local:<label>; ambiguous accessions are expanded."""
+    first mapping (label, component) that has it, else it is local:<label>; ambiguous accessions are expanded.
+
+    An accession's components are summed up before proteins join, so that its rows don't multiply by its proteins.
+    """
     level = F.lit(1)
     for k, v in RELIABILITY.items():
         level = F.when(F.lower("reliability") == k, v).otherwise(level)
@@ -69,7 +72,8 @@ def localisations(rows: DataFrame, proteins: DataFrame, *mappings: DataFrame) ->
         r = r.join(m.groupBy(F.lower("label").alias("label")).agg(F.min("component").alias(f"__m{i}")), "label", "left")
         found.append(F.col(f"__m{i}"))
     component = F.coalesce(*found, F.concat(F.lit("local:"), F.regexp_replace("label", " ", "_")))
-    return r.join(proteins.distinct(), "accession").groupBy("protein", component.alias("component")).agg(F.max("level").cast("long").alias("credibility"))
+    held = r.groupBy("accession", component.alias("component")).agg(F.max("level").alias("level"))
+    return held.join(proteins.distinct(), "accession").groupBy("protein", "component").agg(F.max("level").cast("long").alias("credibility"))
 
 
 def ontology_edges(terms: DataFrame, known: DataFrame, prefix: str, part_prefix: str) -> DataFrame:
