@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 #: Bins of level L hold 2^L positions.
 LEVELS = tuple(range(6, 63, 3))
@@ -31,6 +31,47 @@ def contains(points: DataFrame, intervals: DataFrame, chrom: str, position: str,
     return p.join(i, [chrom, "__level", "__bin", "__salt"]).where("__at between __lo and __hi").drop("__level", "__bin", "__salt", "__lo", "__hi", "__at")
 
 
+def summed(points: DataFrame, intervals: DataFrame, chrom: str, position: str, start: str, end: str, by: list[str], sums: dict[str, Column], padding: int = 0) -> DataFrame:
+    """The pairs of `contains`, grouped by columns of the intervals and added up, without building them: by, each sum over the
+    points of the pairs (whole numbers; null where all values are), and __pairs, how many there are.
+
+    What lies in an interval is what lies up to its end less what lies before its start, so work grows with points plus
+    intervals, however many of them meet. Positions are cut into bins of one width, 2^16 at most; bins that hold more than a
+    thousandth of all rows are cut again, down to single positions (two queries or more when the plan is made, a thousand bins
+    at most reach the driver a round). Rows are summed inside their bin and add what stands in the bins before it.
+    """
+    lo, hi = F.col(start).cast("long") - padding, F.col(end).cast("long") + padding
+    bounds = F.array(*(F.struct(F.lit(kind).alias("__kind"), at.alias("__at")) for kind, at in ((0, lo), (2, hi))))
+    i = intervals.where((F.col(end) >= F.col(start)) & (hi >= lo)).select(F.col(chrom).alias("__chrom"), F.struct(*by).alias("__by"), F.inline(bounds))
+    p = points.select(F.col(chrom).alias("__chrom"), F.col(position).cast("long").alias("__at"), F.lit(1).alias("__kind"), *(c.alias(f"__v{k}") for k, c in sums.items()))
+    # Rows of one position: starts, points, ends.
+    rows = p.unionByName(i, allowMissingColumns=True).where("__chrom is not null and __at is not null")
+    least, most, n = rows.agg(F.min("__at"), F.max("__at"), F.count(F.lit(1))).first()
+    shift = max(0, ((most or 0) - (least or 0)).bit_length() - 16)
+    bin_ = lambda: F.shiftleft(F.shiftright("__at", shift), shift)
+    rows, key = rows.withColumn("__bin", bin_()), ["__chrom", "__bin"]
+    while shift:
+        large = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > max(1024, n // 1000)).select(*key)
+        found = large.collect()
+        if not found:
+            break
+        shift = max(0, shift - 10)
+        large = rows.sparkSession.createDataFrame(found, large.schema).withColumn("__large", F.lit(True))
+        rows = rows.join(F.broadcast(large), key, "left").withColumn("__bin", F.when(F.col("__large"), bin_()).otherwise(F.col("__bin"))).drop("__large")
+    # A value is two halves, so that running sums of any values stay in 64 bits.
+    halves = lambda c: {"h": F.shiftright(c, 32), "l": c.bitwiseAND(F.lit((1 << 32) - 1)), "k": F.when(c.isNotNull(), 1)}
+    values = {"__pairs": F.when(F.col("__kind") == 1, 1)} | {f"__{x}{k}": c for k in sums for x, c in halves(F.col(f"__v{k}").cast("long")).items()}
+    total = lambda c, over: F.coalesce(F.sum(c).over(over), F.lit(0))
+    upto = W.partitionBy(*key).orderBy("__at", "__kind").rowsBetween(W.unboundedPreceding, 0)
+    before = W.partitionBy("__chrom").orderBy("__bin").rowsBetween(W.unboundedPreceding, -1)
+    base = rows.groupBy(*key).agg(*(F.sum(c).alias(f"__t{k}") for k, c in values.items())).select(*key, *(total(f"__t{k}", before).alias(f"__b{k}") for k in values))
+    ends = rows.select(*key, "__by", "__kind", *(total(c, upto).alias(f"__r{k}") for k, c in values.items())).where("__kind <> 1").join(base, key)
+    side = F.when(F.col("__kind") == 2, 1).otherwise(-1)
+    out = ends.groupBy("__by").agg(*(F.sum((F.col(f"__r{k}") + F.col(f"__b{k}")) * side).alias(k) for k in values)).where("__pairs > 0")
+    whole = lambda k: (F.col(f"__h{k}").cast("decimal(20,0)") * (1 << 32) + F.col(f"__l{k}")).cast("long")
+    return out.select("__by.*", *(F.when(F.col(f"__k{k}") > 0, whole(k)).alias(k) for k in sums), "__pairs")
+
+
 def containment(pairs: DataFrame, intervals: DataFrame) -> DataFrame:
     """Whether each point lies in an interval of the entity it is paired with, and the interval that proves it.
 

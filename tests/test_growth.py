@@ -1,10 +1,13 @@
 """Work that must not grow with the square of a group: rows that joins make, by the metrics of the plan that ran."""
 
+import random
 from collections import Counter
 
 from pyspark.sql import functions as F
 
 from kgloom.jobs import tabular
+from kgloom.operators import intervals
+from kgloom.plans.catalog import QUERIES
 
 
 def join_rows(df):
@@ -31,3 +34,23 @@ def test_localisations_of_an_accession_join_its_proteins_once(spark):
     found, made = join_rows(tabular.localisations(rows, proteins, mapping))
     assert Counter((r.component, r.credibility) for r in found) == {("GO:1", 1): 200, ("local:site_1", 3): 200}
     assert max(made) <= 1200  # 900 labels are mapped; the rows of an accession times its proteins are 120,000
+
+
+def test_pairs_of_points_and_intervals_are_added_up_without_building_them(spark):
+    """Against all pairs: lengths 1 to 10^8, equal rows, nulls, padding, large values, and bins that are cut again."""
+    rng = random.Random(6)
+    near = lambda: rng.choice([rng.randrange(-50, 300), rng.randrange(3 * 10**8), 5_000 + rng.randrange(40)])
+    points = [(rng.choice("ab"), near(), rng.choice([None, 3, -(2**62), 2**62 - 1])) for _ in range(3000)] + [("a", None, 1), (None, 5, 1), ("c", 1, None), ("c", 2, 8)]
+    spans = [(rng.choice("ab"), (s := near()), s + 10 ** rng.randrange(9) - 1, k) for k in range(150)] + [("a", None, 5, 900), ("a", 9, 3, 901), ("c", 0, 1, 902), ("c", 0, 2, 903), ("c", 0, 2, 903), ("d", 0, 9, 904)]
+    p, i = spark.createDataFrame(points, "c string, p long, v long"), spark.createDataFrame(spans, "c string, s long, e long, k long")
+    for padding in (0, 3):
+        want = {}
+        for c, x, v in points:
+            for d, s, e, k in spans:
+                if None not in (c, x, s) and c == d and s <= e and s - padding <= x <= e + padding:
+                    want.setdefault(k, []).append(v)
+        held = {k: vs for k, vs in want.items() if -(2**63) <= sum(v or 0 for v in vs) < 2**63}
+        assert len(held) > 20 and held[903].count(8) == 2
+        got = intervals.summed(p, i.join(spark.createDataFrame([(k,) for k in held], "k long"), "k", "left_semi"), "c", "p", "s", "e", ["k"], {"v": F.col("v")}, padding).collect()
+        assert {r.k: (r["__pairs"], r.v) for r in got} == {k: (len(vs), sum(v for v in vs if v is not None) if any(v is not None for v in vs) else None) for k, vs in held.items()}
+    assert intervals.summed(p.limit(0), i.limit(0), "c", "p", "s", "e", ["k"], {"v": F.col("v")}).count() == 0
