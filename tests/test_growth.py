@@ -54,3 +54,14 @@ def test_pairs_of_points_and_intervals_are_added_up_without_building_them(spark)
         got = intervals.summed(p, i.join(spark.createDataFrame([(k,) for k in held], "k long"), "k", "left_semi"), "c", "p", "s", "e", ["k"], {"v": F.col("v")}, padding).collect()
         assert {r.k: (r["__pairs"], r.v) for r in got} == {k: (len(vs), sum(v for v in vs if v is not None) if any(v is not None for v in vs) else None) for k, vs in held.items()}
     assert intervals.summed(p.limit(0), i.limit(0), "c", "p", "s", "e", ["k"], {"v": F.col("v")}).count() == 0
+
+
+def test_interval_queries_make_no_row_a_pair(spark, tmp_path):
+    """400 points lie in each of 300 intervals: 120,000 pairs."""
+    day = F.lit("1995-01-10").cast("timestamp")
+    spark.range(300).select((F.col("id") * 7 + 3).alias("o_orderkey"), F.lit(0).cast("long").alias("o_custkey"), day.alias("o_orderdate")).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(400).select((F.col("id") * 7 + 3).alias("l_orderkey"), F.lit(0).cast("long").alias("l_suppkey"), F.lit(2700).cast("long").alias("l_partkey"), day.alias("l_shipdate")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    found, made = join_rows(QUERIES["o55_interval_join"](spark, str(tmp_path)))
+    assert found[0].pairs == 120_000 and max(made) <= 1_400
+    found, made = join_rows(QUERIES["o55_wide_intervals"](spark, str(tmp_path)))
+    assert sum(r.points for r in found) > 20_000 and max(made) <= 1_400
