@@ -6,7 +6,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from kgloom.jobs import tabular
-from kgloom.operators import intervals
+from kgloom.operators import graph as G, intervals
 from kgloom.plans.catalog import QUERIES
 
 
@@ -65,3 +65,12 @@ def test_interval_queries_make_no_row_a_pair(spark, tmp_path):
     assert found[0].pairs == 120_000 and max(made) <= 1_400
     found, made = join_rows(QUERIES["o55_wide_intervals"](spark, str(tmp_path)))
     assert sum(r.points for r in found) > 20_000 and max(made) <= 1_400
+
+
+def test_sets_that_must_share_two_members_do_not_meet_on_one(spark):
+    """400 sets of four members; any two share one at most, and 3,800 of them share one that is in their prefixes."""
+    rows = [(f"s{i}-{j}", y) for i in range(20) for j in range(20) for y in (f"r{i}", f"c{j}", f"own{i}-{j}", f"too{i}-{j}")]
+    rows += [("one", "r1"), ("five", "r1"), *(("five", f"f{k}") for k in range(4))]
+    found, made = join_rows(G.similar_neighbours(spark.createDataFrame(rows, "x_id string, y_id string"), 0.5)[1])
+    assert {(r.a, r.b, r.shared) for r in found} == {("one", f"s1-{j}", 1) for j in range(20)}
+    assert max(made) <= 20
