@@ -74,3 +74,11 @@ def test_sets_that_must_share_two_members_do_not_meet_on_one(spark):
     found, made = join_rows(G.similar_neighbours(spark.createDataFrame(rows, "x_id string, y_id string"), 0.5)[1])
     assert {(r.a, r.b, r.shared) for r in found} == {("one", f"s1-{j}", 1) for j in range(20)}
     assert max(made) <= 20
+
+
+def test_rewiring_all_edges_orders_none(spark):
+    e = spark.createDataFrame([(f"x{i % 5}", "x", f"y{i}", "y", r) for i in range(40) for r in "pq"], "x_id string, x_type string, y_id string, y_type string, relation string")
+    nodes = spark.createDataFrame([(f"{t}{i}", t) for t in "xy" for i in range(40)], "id string, node_type string")
+    found, made = join_rows(G.rewired(e, G.dense_index(nodes), 7))
+    assert Counter(r.relation for r in found) == {"p": 40, "q": 40} and all(r.x_id[0] == "x" and r.y_id[0] == "y" for r in found)
+    assert made == [80] * 4  # sizes and names of both ends; no places in a relation
