@@ -5,7 +5,7 @@ Order is by a seeded hash of the keys, so a split is the same whatever the parti
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from .cuts import cut
 from .graph import draw, numbered
@@ -18,12 +18,29 @@ def hash_order(seed: int, *cols: str) -> list[Column]:
 
 
 def stratified(edges: DataFrame, seed: int, test: float, valid: float, order: list[Column] | None = None) -> DataFrame:
-    """edges with `split`: per relation round(test * n) test rows, then round(valid / (1 - test) * rest) valid rows."""
-    r = numbered(edges, ["relation"], order or hash_order(seed, *KEY))
+    """edges with `split`: per relation round(test * n) test rows, then round(valid / (1 - test) * rest) valid rows.
+
+    In hash order nothing is sorted: counts by the first 16 bits of the hash tell the two slices of a relation in which it is
+    cut, and only their rows are numbered."""
     n_test = F.round(F.col("__n") * test)
     n_valid = F.round((F.col("__n") - n_test) * (valid / (1 - test)))
-    split = F.when(F.col("__r") <= n_test, "test").when(F.col("__r") <= n_test + n_valid, "valid").otherwise("train")
-    return r.withColumn("split", split).drop("__n", "__r")
+    if order:
+        r = numbered(edges, ["relation"], order)
+        split = F.when(F.col("__r") <= n_test, "test").when(F.col("__r") <= n_test + n_valid, "valid").otherwise("train")
+        return r.withColumn("split", split).drop("__n", "__r")
+    rows = cut(edges.withColumn("__h", hash_order(seed, *KEY)[0])).withColumn("__slice", F.shiftright("__h", 48))
+    whole = W.partitionBy("relation")
+    sizes = rows.groupBy("relation", "__slice").agg(F.count(F.lit(1)).alias("__k"))
+    sizes = sizes.withColumns({"__n": F.sum("__k").over(whole), "__b": F.sum("__k").over(whole.orderBy("__slice")) - F.col("__k")})
+    at = lambda most, c: F.max(F.when((F.col("__b") < most) & (most <= F.col("__b") + F.col("__k")), c))
+    cuts = sizes.groupBy(F.col("relation").alias("__of")).agg(*(at(most, c).alias(f"__{k}{i}") for i, most in enumerate((n_test, n_test + n_valid)) for k, c in (("s", F.col("__slice")), ("m", most - F.col("__b")))))
+    # A row a relation.
+    rows = rows.join(F.broadcast(cuts), F.col("relation").eqNullSafe(F.col("__of")), "left")
+    divided = F.coalesce((F.col("__slice") == F.col("__s0")) | (F.col("__slice") == F.col("__s1")), F.lit(False))
+    place = F.row_number().over(W.partitionBy("relation", "__slice").orderBy("__h", *KEY))
+    rows = rows.where(divided).withColumn("__i", place).unionByName(rows.where(~divided).withColumn("__i", F.lit(0)))
+    upto = lambda i: (F.col("__slice") < F.col(f"__s{i}")) | ((F.col("__slice") == F.col(f"__s{i}")) & (F.col("__i") <= F.col(f"__m{i}")))
+    return rows.select(*edges.columns, F.when(upto(0), "test").when(upto(1), "valid").otherwise("train").alias("split"))
 
 
 def hold_out(edges: DataFrame, entities: DataFrame, seed: int, valid: float = 0.05, order: list[Column] | None = None) -> DataFrame:
@@ -73,15 +90,19 @@ def three_way(edges: DataFrame, seed: int, most: int = 1024, order: list[Column]
 
 def leaks(split: DataFrame) -> DataFrame:
     """One row: pairs that stand in two splits, and held-out pairs that stand reversed in train."""
-    p = lambda s: split.where(F.col("split") == s).select("relation", *KEY).distinct()
-    back = p("train").select("relation", F.col("y_id").alias("x_id"), F.col("x_id").alias("y_id"))
-    n = lambda a, b: a.join(b, ["relation", *KEY], "left_semi").agg(F.count(F.lit(1)).alias("n"))
-    parts = {"train_valid": n(p("train"), p("valid")), "train_test": n(p("train"), p("test")), "valid_test": n(p("valid"), p("test")), "reversed": n(p("test").unionAll(p("valid")), back)}
-    out = None
-    for k, df in parts.items():
-        row = df.select(F.lit(k).alias("check"), "n")
-        out = row if out is None else out.unionAll(row)
-    return out
+    # One row a pair of nodes in a relation, whichever way round: the splits that hold it each way, as bits.
+    ahead, bit = F.col("x_id") <= F.col("y_id"), F.when(F.col("split") == "train", 1).when(F.col("split") == "valid", 2).when(F.col("split") == "test", 4).otherwise(0)
+    known = split.where("relation is not null and x_id is not null and y_id is not null")
+    at = lambda way: F.bit_or(F.when(way, bit).otherwise(0))
+    pairs = known.groupBy("relation", F.least("x_id", "y_id").alias("__l"), F.greatest("x_id", "y_id").alias("__g")).agg(at(ahead).alias("__f"), at(~ahead).alias("__t"))
+    # A loop is its own reverse.
+    pairs = pairs.withColumn("__u", F.when(F.col("__l") == F.col("__g"), F.col("__f")).otherwise(F.col("__t"))).withColumn("__v", F.when(F.col("__l") == F.col("__g"), 0).otherwise(F.col("__f")))
+    has = lambda c, bits: (F.col(c).bitwiseAND(F.lit(bits)) == bits).cast("long")
+    both = lambda bits: has("__f", bits) + has("__t", bits)
+    back = lambda held: has("__f", held) * has("__u", 1) + has("__t", held) * has("__v", 1)
+    parts = {"train_valid": both(3), "train_test": both(5), "valid_test": both(6), "reversed": back(2) + back(4)}
+    n = pairs.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(k) for k, c in parts.items()))
+    return n.select(F.inline(F.array(*(F.struct(F.lit(k).alias("check"), F.col(k).alias("n")) for k in parts))))
 
 
 def negatives(positives: DataFrame, index: DataFrame, seed: int, k: int = 1, side: str = "y") -> DataFrame:

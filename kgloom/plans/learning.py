@@ -150,7 +150,7 @@ def o78(s, d):
 @register("o078_clean_split", """
 SELECT 'train_valid' AS "check", CAST(0 AS BIGINT) AS n UNION ALL SELECT 'train_test', 0 UNION ALL SELECT 'valid_test', 0 UNION ALL SELECT 'reversed', 0""")
 def o78_clean(s, d):
-    return S.leaks(S.stratified(edges(s, d), 1, 0.05, 0.11875))
+    return S.leaks(S.stratified(edges(s, d).select("relation", "x_id", "y_id"), 1, 0.05, 0.11875))
 
 
 @register("o150_label_matrix", """

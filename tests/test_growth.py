@@ -6,7 +6,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from kgloom.jobs import tabular
-from kgloom.operators import graph as G, intervals
+from kgloom.operators import graph as G, intervals, splits as S
 from kgloom.plans.catalog import QUERIES
 
 
@@ -76,6 +76,19 @@ def test_sets_that_must_share_two_members_do_not_meet_on_one(spark):
     assert max(made) <= 20
 
 
+def test_split_by_hash_equals_the_full_order_and_leaks_read_it_once(spark):
+    rows = [(r, f"x{i % 97}", f"y{i % 89}") for r, n in (("a", 4000), ("b", 7), ("c", 1), (None, 30)) for i in range(n)] + [("a", None, "y1"), ("d", "x", "x"), ("d", "y", "x"), ("d", "x", "y")]
+    e = spark.createDataFrame(rows, "relation string, x_id string, y_id string")
+    order = [F.xxhash64(F.lit(1), "x_id", "y_id"), F.col("x_id"), F.col("y_id")]
+    key = lambda df: Counter(map(tuple, df.select("relation", "x_id", "y_id", "split").collect()))
+    for test, valid in ((0.05, 0.11875), (0.0, 0.3), (0.5, 0.5)):
+        assert key(S.stratified(e, 1, test, valid)) == key(S.stratified(e, 1, test, valid, order))
+    split = spark.createDataFrame([("r", "a", "b", "train"), ("r", "b", "a", "test"), ("r", "b", "a", "valid"), ("r", "a", "b", "valid"), ("r", "c", "c", "train"), ("r", "c", "c", "test"), ("s", "b", "a", "train"), ("r", "c", "c", "test"), ("r", None, "a", "train"), ("r", None, "a", "test")], "relation string, x_id string, y_id string, split string")
+    found, made = join_rows(S.leaks(split))
+    assert {r.check: r.n for r in found} == {"train_valid": 1, "train_test": 1, "valid_test": 1, "reversed": 3}
+    assert made == []
+
+
 def test_rewiring_all_edges_orders_none(spark):
     e = spark.createDataFrame([(f"x{i % 5}", "x", f"y{i}", "y", r) for i in range(40) for r in "pq"], "x_id string, x_type string, y_id string, y_type string, relation string")
     nodes = spark.createDataFrame([(f"{t}{i}", t) for t in "xy" for i in range(40)], "id string, node_type string")
