@@ -358,6 +358,25 @@ def ledger_samples(derived: DataFrame, n: int) -> DataFrame:
     return derived.where("reason is not null").withColumn("r", F.row_number().over(w)).where(F.col("r") <= n)
 
 
+def samples(edges: DataFrame, t: Template, n: int, first: int = 64) -> DataFrame:
+    """ledger_samples of derive, from the first sources only: counts by reason, taken without paths, tell how many samples there
+    must be, and paths are built from the `first` sources in order of their ids, then from 16 times as many, until all are
+    there. Jobs run when the plan is made."""
+    # A row a reason.
+    wanted = {r["reason"]: min(n, r["paths"]) for r in counted(edges, t).collect() if r["reason"] != "accepted"}
+    at = next(p for p in t.premises if t.out[0] in p[1:])
+    ids = edges.where(F.col("relation") == at[0]).select(F.col("x_id" if at[1] == t.out[0] else "y_id").alias("id")).where("id is not null").distinct().orderBy("id")
+    while True:
+        # The last of the first ids: one row.
+        last = ids.limit(first).agg(F.max("id"), F.count(F.lit(1))).first()
+        some = derive(edges, t)
+        found = cut(ledger_samples(some.where(F.col("x_id") <= F.lit(last[0])) if last[1] == first else some, n))
+        have = {r["reason"]: r["count"] for r in found.groupBy("reason").count().collect()}
+        if last[1] < first or all(have.get(k, 0) >= v for k, v in wanted.items()):
+            return found
+        first *= 16
+
+
 def overlap(found: DataFrame, observed: DataFrame) -> DataFrame:
     """found with whether its ends are already joined by an observed edge."""
     seen = observed.select("x_id", "y_id").distinct().withColumn("__o", F.lit(True))

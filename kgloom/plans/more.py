@@ -142,7 +142,7 @@ SELECT reason, x_id, y_id, CAST(r AS INTEGER) AS r FROM (SELECT *, row_number()
 def o118(s, d):
     from .graph import T_SIGNED
 
-    return C.ledger_samples(C.derive(premises(s, d), T_SIGNED), 5).select("reason", "x_id", "y_id", "r")
+    return C.samples(premises(s, d), T_SIGNED, 5).select("reason", "x_id", "y_id", "r")
 
 
 @register("o158_hierarchy_edges", "SELECT 'UBERON:' || lpad(CAST(n_nationkey AS VARCHAR), 7, '0') AS x_id, 'UBERON:' || lpad(CAST(n_regionkey AS VARCHAR), 7, '0') AS y_id FROM nation WHERE n_nationkey <> n_regionkey")

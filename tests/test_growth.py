@@ -6,7 +6,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from kgloom.jobs import tabular
-from kgloom.operators import graph as G, intervals, splits as S
+from kgloom.operators import compose as C, graph as G, intervals, splits as S
 from kgloom.plans.catalog import QUERIES
 
 
@@ -95,3 +95,17 @@ def test_rewiring_all_edges_orders_none(spark):
     found, made = join_rows(G.rewired(e, G.dense_index(nodes), 7))
     assert Counter(r.relation for r in found) == {"p": 40, "q": 40} and all(r.x_id[0] == "x" and r.y_id[0] == "y" for r in found)
     assert made == [80] * 4  # sizes and names of both ends; no places in a relation
+
+
+def test_samples_build_paths_of_the_first_sources_only(spark, monkeypatch):
+    """Samples equal those of all paths, whether the reasons come early, late, or fewer than n times."""
+    rows = [(f"s{i:03}", f"p{j}", "a", "left", "benign" if i == 190 else "increase") for i in range(200) for j in range(4)] + [(f"o{i:02}", f"p{i % 4}", "b", "right", "increase" if i % 3 else "decrease") for i in range(40)]
+    e = spark.createDataFrame(rows, "x_id string, y_id string, relation string, source string, direction string")
+    t = C.Template("t", (("a", "s", "p"), ("b", "o", "p")), ("s", "o"), "r", signed=-1)
+    told = lambda df: sorted((r.reason, r.r, r.x_id, r.y_id, r.path) for r in df.collect())
+    for first in (2, 8, 300):
+        assert told(C.samples(e, t, 3, first)) == told(C.ledger_samples(C.derive(e, t), 3))
+    monkeypatch.setattr(C, "cut", lambda df: df)
+    plain = e.where("direction <> 'benign'")
+    found, made = join_rows(C.samples(plain, t, 3, 2))
+    assert len(found) == 3 and max(made) <= 80  # two sources; all paths are 7,960
