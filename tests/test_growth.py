@@ -109,3 +109,13 @@ def test_samples_build_paths_of_the_first_sources_only(spark, monkeypatch):
     plain = e.where("direction <> 'benign'")
     found, made = join_rows(C.samples(plain, t, 3, 2))
     assert len(found) == 3 and max(made) <= 80  # two sources; all paths are 7,960
+
+
+def test_supports_of_candidates_do_not_travel(spark):
+    rows = [(f"s{i}", f"p{j}", "a", "left", "x") for i in range(6) for j in (i % 3, 12, 1)] + [(f"o{i}", f"p{j}", "b", "right" if i else "left", "x") for i in range(6) for j in (i % 3, 12)]
+    e = spark.createDataFrame(rows, "x_id string, y_id string, relation string, source string, tissue string")
+    t = C.Template("t", (("a", "s", "p"), ("b", "o", "p")), ("s", "o"), "r", context=("tissue",), independent=True)
+    told = lambda df: sorted(tuple(r) for r in df.collect())
+    got = C.candidates(C.gathered(e, t))
+    assert told(got) == told(C.candidates(C.accepted(e, t))) != []
+    assert "hashpartitioning(template" not in got._jdf.queryExecution().executedPlan().toString()
